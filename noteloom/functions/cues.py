@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from noteloom import contract as C
-from noteloom.functions.text import WS, or_empty
+from noteloom.functions.text import WS_CHARS, or_empty, strip
 
 # Control characters used as marks inside the working text; removed from notes first.
 SEGMENT, VALUE, COLON = "\u0001", "\u0002", "\u0003"
@@ -20,80 +20,117 @@ def _any_of(words) -> str:
 
 ALL_LABELS = [label for labels in C.FIELD_LABELS.values() for label in labels]
 LABEL_PATTERN = rf"(?i)(^|[^A-Za-z0-9])({_any_of(ALL_LABELS)})[ \t]*:"
-TRAILING_PATTERN = rf"\A[{WS}]+|[{WS};,.]+\z"
 ALLERGY_PATTERN = rf"(?i)(^|[^A-Za-z])({_any_of(C.ALLERGY_CUES)})($|[^A-Za-z])"
 EXAMINATION_PATTERN = rf"(?i)(^|[^A-Za-z])({_any_of(C.EXAMINATION_CUES)})($|[^A-Za-z])"
 KNOWN_CASE_PATTERN = rf"(?i)(^|[^A-Za-z])((?:{_any_of(C.KNOWN_CASE_CUES)}) [^;.,\n]+)"
 BACKGROUND_PATTERN = rf"(?i)(^|[^A-Za-z])((?:{_any_of(C.BACKGROUND_CUES)}) [^;.,\n]+)"
-OBSTETRIC_PATTERN = r"(^|[^A-Za-z0-9])([PG][0-9]+(?:\+[0-9]+)?)"
+# Case matters here, but only within (?-i:...): without the flag in front, Java's matcher
+# takes ten times as long on this pattern.
+OBSTETRIC_PATTERN = r"(?i)(^|[^A-Za-z0-9])((?-i:[PG])[0-9]+(?:\+[0-9]+)?)"
 COMPLETION_PATTERN = rf"(?i)(^|[^A-Za-z])({_any_of(C.COMPLETION_CUES)})($|[^A-Za-z])"
 
+# Bare cues of each field, looked for in the lead and in the segments of other fields.
+BARE_CUES = {
+    "History": (KNOWN_CASE_PATTERN, OBSTETRIC_PATTERN),
+    "Allergy": (ALLERGY_PATTERN,),
+    "Comorbidities": (BACKGROUND_PATTERN,),
+    "Clinical_Examination": (EXAMINATION_PATTERN,),
+}
+# True wherever one of the patterns above could match: one pass instead of five.
+ANY_CUE_PATTERN = (
+    rf"(?i)(^|[^A-Za-z])({_any_of((*C.ALLERGY_CUES, *C.EXAMINATION_CUES, *C.BACKGROUND_CUES))}"
+    r"|[PG][0-9])"
+)
+
 
 def _tidy(text: Column) -> Column:
-    return F.regexp_replace(text, TRAILING_PATTERN, "")
+    return F.rtrim(strip(text), F.lit(WS_CHARS + ";,."))
 
 
 def _found(text: Column, pattern: str) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(2)), _tidy)
 
 
+def _without_marks(note: Column) -> Column:
+    marked = F.contains(note, F.lit(SEGMENT)) | F.contains(note, F.lit(VALUE))
+    marked |= F.contains(note, F.lit(COLON))
+    return F.when(marked, F.translate(note, MARKS, "")).otherwise(note)
+
+
+def _cut(part: Column, i: Column) -> Column:
+    """One part of the marked text as struct<field, label, raw, value, has_cue>."""
+    label = F.when(i > 0, F.substring_index(part, VALUE, 1))
+    text = F.replace(F.substring_index(part, VALUE, -1), F.lit(COLON), F.lit(""))
+    field = F.lit(None).cast("string")
+    for name, labels in C.FIELD_LABELS.items():
+        field = F.when(F.lower(label).isin(*[x.lower() for x in labels]), name).otherwise(field)
+    return F.struct(
+        field.alias("field"),
+        label.alias("label"),
+        text.alias("raw"),
+        _tidy(text).alias("value"),
+        F.rlike(text, F.lit(ANY_CUE_PATTERN)).alias("has_cue"),
+    )
+
+
+def _searched(part: Column) -> Column:
+    """The part with what each pattern finds in it; most parts hold no cue at all."""
+    found = {
+        f"{name}_{i}": F.when(part["has_cue"], _found(part["raw"], pattern)).otherwise(F.array())
+        for name, patterns in BARE_CUES.items()
+        for i, pattern in enumerate(patterns)
+    }
+    kept = [part[c].alias(c) for c in ("field", "label", "raw", "value")]
+    return F.struct(*kept, *[column.alias(name) for name, column in found.items()])
+
+
 def segments(note: Column) -> Column:
-    """array<struct<label, value>>; the first element is the text before any label."""
-    plain = F.translate(or_empty(note), MARKS, "")
+    """array<struct<field, label, raw, value, ...>>, one element per segment, and the text
+    before any label first. What the bare-cue patterns find in a segment stands in
+    ``<field>_0``, ``<field>_1``."""
     # A mark after every colon separates a label from one that follows it directly.
-    spaced = F.regexp_replace(plain, ":", ":" + COLON)
+    spaced = F.replace(_without_marks(or_empty(note)), F.lit(":"), F.lit(":" + COLON))
     marked = F.regexp_replace(spaced, LABEL_PATTERN, f"$1{SEGMENT}$2{VALUE}")
-    return F.transform(
-        F.split(marked, SEGMENT),
-        lambda part, i: F.struct(
-            F.when(i > 0, F.substring_index(part, VALUE, 1)).alias("label"),
-            F.translate(F.substring_index(part, VALUE, -1), COLON, "").alias("value"),
-        ),
-    )
+    return F.transform(F.transform(F.split(marked, SEGMENT), _cut), _searched)
+
+
+def lead(parts: Column) -> Column:
+    """Text before the first label, without the allergy and examination cues in it."""
+    text = parts[0]["raw"]
+    for pattern in (ALLERGY_PATTERN, EXAMINATION_PATTERN):
+        text = F.regexp_replace(text, pattern, "$1$3")
+    return _tidy(text)
 
 
 def _labelled(parts: Column, field: str) -> Column:
-    """Tidied segments of a field, in note order."""
-    own = [label.lower() for label in C.FIELD_LABELS[field]]
-    chosen = F.filter(
-        parts, lambda p: F.lower(p["label"]).isin(*own) & (_tidy(p["value"]) != "")
-    )
+    """Segments of a field, in note order."""
+    own = F.filter(parts, lambda p: (p["field"] == field) & (p["value"] != ""))
     if field in C.LABELLED_FIELDS:
-        return F.transform(chosen, lambda p: F.concat(p["label"], F.lit(": "), _tidy(p["value"])))
-    return F.transform(chosen, lambda p: _tidy(p["value"]))
+        return F.transform(own, lambda p: F.concat(p["label"], F.lit(": "), p["value"]))
+    return F.transform(own, lambda p: p["value"])
 
 
-def _elsewhere(parts: Column, field: str) -> Column:
-    """Text outside the segments of a field, where its bare cues are looked for."""
-    own = [label.lower() for label in C.FIELD_LABELS[field]]
-    others = F.filter(parts, lambda p: p["label"].isNull() | ~F.lower(p["label"]).isin(*own))
-    return F.array_join(F.transform(others, lambda p: p["value"]), "\n")
+def _bare(parts: Column, field: str) -> list[Column]:
+    """Bare cues of a field found outside its own segments, in note order."""
+    others = F.filter(parts, lambda p: ~F.equal_null(p["field"], F.lit(field)))
+    found = [f"{field}_{i}" for i in range(len(BARE_CUES.get(field, ())))]
+    return [F.flatten(others[name]) for name in found]
 
 
 def cue_fields(
-    parts: Column, billing_name: Column | None = None, billing_code: Column | None = None
+    parts: Column,
+    lead_text: Column,
+    billing_name: Column | None = None,
+    billing_code: Column | None = None,
 ) -> list[Column]:
-    """The seven fields from the segments of a note."""
-    lead = parts[0]["value"]
-    for pattern in (ALLERGY_PATTERN, EXAMINATION_PATTERN):
-        lead = F.regexp_replace(lead, pattern, "$1$3")
-    lead = _tidy(lead)
-    lead_list = F.when(lead != "", F.array(lead)).otherwise(F.array().cast("array<string>"))
-    is_procedure = (F.size(parts) == 1) & F.rlike(lead, F.lit(COMPLETION_PATTERN))
+    """The seven fields from the segments and the lead of a note."""
+    is_procedure = (F.size(parts) == 1) & F.rlike(lead_text, F.lit(COMPLETION_PATTERN))
     nothing = F.array().cast("array<string>")
+    lead_list = F.when(lead_text != "", F.array(lead_text)).otherwise(nothing)
 
-    found = {field: [_labelled(parts, field)] for field in C.FIELDS}
+    found = {field: [_labelled(parts, field), *_bare(parts, field)] for field in C.FIELDS}
     found["Chief_Complain"].insert(0, F.when(is_procedure, nothing).otherwise(lead_list))
     found["Treatment_Plan"].insert(0, F.when(is_procedure, lead_list).otherwise(nothing))
-    found["History"] += [
-        _found(_elsewhere(parts, "History"), KNOWN_CASE_PATTERN),
-        _found(_elsewhere(parts, "History"), OBSTETRIC_PATTERN),
-    ]
-    found["Allergy"].append(_found(_elsewhere(parts, "Allergy"), ALLERGY_PATTERN))
-    found["Comorbidities"].append(_found(_elsewhere(parts, "Comorbidities"), BACKGROUND_PATTERN))
-    found["Clinical_Examination"].append(
-        _found(_elsewhere(parts, "Clinical_Examination"), EXAMINATION_PATTERN)
-    )
     fields = {f: F.array_join(F.concat(*found[f]), "; ") for f in C.FIELDS}
     if billing_name is not None or billing_code is not None:
         given = [F.nullif(c, F.lit("")) for c in (billing_name, billing_code) if c is not None]

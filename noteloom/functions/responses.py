@@ -166,9 +166,14 @@ def _parse_responses(raw: pa.Array) -> pa.Array:
     return pa.array([_row(text) for text in raw.to_pylist()], type=to_arrow_type(PARSED_RESPONSE))
 
 
+# Parsing gives the same result every time; called non-deterministic, it is not repeated for
+# a filter that the planner would otherwise move below it.
+_parse_once = _parse_responses.asNondeterministic()
+
+
 def parsed(raw: Column) -> Column:
     """struct<strategy, records> of a response text."""
-    return _parse_responses(raw)
+    return _parse_once(raw)
 
 
 def attempt_failed(parsed_response: Column, extras: str = "merge") -> Column:

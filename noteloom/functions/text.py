@@ -3,14 +3,24 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space. `trim` knows only the space and `\s` only ASCII, so both would
-# call a no-break space text.
-WS = r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\p{Z}"
-_EDGES = rf"\A[{WS}]+|[{WS}]+\z"
+# --- fixed values: Unicode white space ---------------------------------------------
+# `trim` alone knows only the space and `\s` only ASCII, so both would call a no-break
+# space text.
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# The same as the body of a character class.
+WS = (
+    r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}"
+    r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 
 
 def strip(value: Column) -> Column:
-    return F.regexp_replace(value, _EDGES, "")
+    """Without white space at both ends; looks at the ends only, not at every character."""
+    return F.btrim(value, F.lit(WS_CHARS))
 
 
 def nonblank(value: Column) -> Column:
@@ -24,7 +34,7 @@ def or_empty(value: Column) -> Column:
 
 def clean(value: Column) -> Column:
     """One line, single spaces, without one leading bullet."""
-    one_line = F.regexp_replace(strip(or_empty(value.cast("string"))), rf"[{WS}]+", " ")
+    one_line = F.regexp_replace(strip(or_empty(value.cast("string"))), f"[{WS}]+", " ")
     return F.regexp_replace(one_line, r"\A[-*•][ ]*", "")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from noteloom import contract as C
-from noteloom.functions.cues import cue_fields, segments
+from noteloom.functions.cues import cue_fields, lead, segments
 from noteloom.functions.responses import parse
 from noteloom.schemas import RESPONSES
 
@@ -130,7 +130,8 @@ def cue_records(
     """The seven fields of every note by its labels and cues; other columns are kept."""
     name, code = (F.col(c) if c else None for c in (billing_name, billing_code))
     parts = notes.withColumn("_parts", segments(F.col(note)))
-    return parts.select(*notes.columns, *cue_fields(F.col("_parts"), name, code))
+    parts = parts.withColumn("_lead", lead(F.col("_parts")))
+    return parts.select(*notes.columns, *cue_fields(F.col("_parts"), F.col("_lead"), name, code))
 
 
 def cue_responses(batched: DataFrame, note: str = "Note", **billing: str) -> DataFrame:

@@ -35,41 +35,46 @@ def default_order(df: DataFrame, note: str = "Note") -> list[Column]:
     ]
 
 
+def _placed(df: DataFrame, order: Sequence[Column], unique: bool) -> DataFrame:
+    """Rows in sorted range partitions, written once, with partition and position in it."""
+    columns = df.columns
+    if not unique:
+        df = stored(df, "unnumbered").withColumn("_copy", F.monotonically_increasing_id())
+        order = [*order, F.asc("_copy")]
+    placed = (
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select(*columns, F.monotonically_increasing_id().alias("_place"))
+    )
+    place = F.col("_place")
+    return stored(placed, "row-ids").select(
+        *columns,
+        F.shiftright(place, _LOCAL_BITS).alias("_partition"),
+        place.bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("_position"),
+    )
+
+
 def with_row_id(
     df: DataFrame, order: Sequence[Column], name: str = "row_id", unique: bool = True
 ) -> DataFrame:
     """Dense 0-based numbers in the given order, without a single-task sort.
 
-    Range partitions are sorted and written once, which fixes each row's place; a row's
-    number is its place in its partition plus the sizes of the partitions before it. The
-    offsets are one row per partition.
+    A row's number is its position in its range partition plus the sizes of the partitions
+    before it. The offsets are one row per partition.
 
     Rows that tie in ``order`` share a partition. Where copies of a row are possible, say
     ``unique=False``: the input is written first and its position in those files tells
     copies apart, so that many copies spread over many partitions.
     """
-    columns = df.columns
-    if not unique:
-        df = stored(df, "unnumbered").withColumn("_copy", F.monotonically_increasing_id())
-        order = [*order, F.asc("_copy")]
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select(*columns, F.monotonically_increasing_id().alias("_place"))
-    )
-    placed = stored(placed, "row-ids")
-    partition = F.shiftright("_place", _LOCAL_BITS)
-    position = F.col("_place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    placed = _placed(df, order, unique)
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy(partition.alias("_partition"))
+        placed.groupBy("_partition")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    return (
-        placed.withColumn("_partition", partition)
-        .join(F.broadcast(offsets), "_partition")
-        .select((F.col("_offset") + position).alias(name), *columns)
+    return placed.join(F.broadcast(offsets), "_partition").select(
+        (F.col("_offset") + F.col("_position")).alias(name), *df.columns
     )
 
 
@@ -77,7 +82,7 @@ def with_batches(numbered: DataFrame, batch_size: int = C.BATCH_SIZE, row_id: st
     """Consecutive batches of ``batch_size`` rows; the last may be shorter."""
     return numbered.withColumns(
         {
-            "batch_id": F.floor(F.col(row_id) / batch_size).cast("bigint"),
+            "batch_id": F.expr(f"`{row_id}` div {int(batch_size)}"),
             "pos_in_batch": (F.col(row_id) % batch_size).cast("int"),
         }
     )

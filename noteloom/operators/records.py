@@ -90,27 +90,27 @@ def batch_report(
 ) -> DataFrame:
     """Per batch: size, outcome, attempts made, strategy and number of records found."""
     sizes = batched.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_notes"))
-    tried = (
+    ok_attempt = F.when(F.col("ok"), F.col("attempt"))
+    outcomes = (
         attempts.filter(F.col("attempt") <= max_attempts)
+        .select("batch_id", "attempt", "ok", "strategy", F.size("records").alias("n_records"))
         .groupBy("batch_id")
-        .agg(F.count(F.lit(1)).alias("tried"))
-    )
-    chosen = first_ok(attempts, max_attempts).select(
-        "batch_id", "attempt", "strategy", F.size("records").alias("n_records")
-    )
-    return (
-        sizes.join(tried, "batch_id", "left")
-        .join(chosen, "batch_id", "left")
-        .select(
-            "batch_id",
-            (F.col("batch_id") + 1).alias("batch_number"),
-            "n_notes",
-            F.col("attempt").isNotNull().alias("ok"),
-            F.coalesce("attempt", "tried", F.lit(0)).cast("bigint").alias("attempts"),
-            F.coalesce("strategy", F.lit(0)).alias("strategy"),
-            F.coalesce("n_records", F.lit(0)).alias("n_records"),
+        .agg(
+            F.count(F.lit(1)).alias("tried"),
+            F.min(ok_attempt).alias("attempt"),
+            F.min_by("strategy", ok_attempt).alias("strategy"),
+            F.min_by("n_records", ok_attempt).alias("n_records"),
         )
     )
+    return sizes.join(outcomes, "batch_id", "left").select(
+        "batch_id",
+        (F.col("batch_id") + 1).alias("batch_number"),
+        "n_notes",
+        F.col("attempt").isNotNull().alias("ok"),
+        F.coalesce("attempt", "tried", F.lit(0)).cast("bigint").alias("attempts"),
+        F.coalesce("strategy", F.lit(0)).alias("strategy"),
+        F.coalesce("n_records", F.lit(0)).alias("n_records"),
+    )
 
 
 def batch_totals(report: DataFrame) -> DataFrame:

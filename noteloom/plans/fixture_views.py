@@ -98,9 +98,10 @@ OTHER = {
                      concat('{{"Chief_Complain":"c', CAST(b AS VARCHAR(20)), '_0","Allergy":"NKDA"}}') AS r0,
                      concat('{{"Chief_Complain":"c', CAST(b AS VARCHAR(20)), '_1","Allergy":"NKDA"}}') AS r1,
                      concat('{{"Chief_Complain":"c', CAST(b AS VARCHAR(20)), '_2","Allergy":"NKDA"}}') AS r2
-              FROM (SELECT DISTINCT CAST(floor(doc_id / 3) AS BIGINT) AS b FROM {documents}) x
-              CROSS JOIN (SELECT 1 AS a UNION ALL SELECT 2 AS a) y
-              WHERE a = 1 OR b % 16 IN (5, 6)) z""",
+              FROM (SELECT DISTINCT CAST(floor(doc_id / 3) AS BIGINT) AS b, 1 AS a FROM {documents}
+                    UNION ALL
+                    SELECT DISTINCT CAST(floor(doc_id / 3) AS BIGINT) AS b, 2 AS a FROM {documents}
+                    WHERE CAST(floor(doc_id / 3) AS BIGINT) % 16 IN (5, 6)) y) z""",
     # The same with usage and timing, as a model would report them.
     "billed_responses": """
         SELECT batch_id, attempt, raw, CAST(length(raw) * 3 AS BIGINT) AS prompt_tokens,

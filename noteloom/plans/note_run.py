@@ -34,7 +34,8 @@ class RunSettings:
 
 
 def cohort_batches(star: cohorts.Star, settings: RunSettings = RunSettings()) -> DataFrame:
-    """Cohort rows with row_id, batch_id and pos_in_batch; written once."""
+    """Cohort rows with row_id, batch_id and pos_in_batch, read from the files that fixed
+    their order."""
     rows = cohorts.cohort(
         star, settings.start, settings.end, settings.organization_key, settings.ignore_case
     )
@@ -108,14 +109,13 @@ def run_notes(
 ) -> NoteRun:
     """The run with ``respond`` taking batched notes to responses.
 
-    None answers by the cue rules. A replay is ``lambda batched: earlier_responses``; a
-    model is ``model_responder(backend, path)``. Responses are written before they are
-    read: the calls happen once.
+    None answers by the cue rules. A replay is ``lambda batched: earlier_responses``. A
+    model is ``model_responder(backend, path)``, which writes its responses before anything
+    reads them, so that no call is repeated.
     """
-    batched = stored(cohort_batches(star, settings), "batches")
+    batched = cohort_batches(star, settings)
     respond = respond or (lambda rows: extract.cue_responses(rows, settings.note_column))
-    responses = stored(respond(batched), "responses")
-    return records_to_results(batched, responses, settings)
+    return records_to_results(batched, respond(batched), settings)
 
 
 def model_responder(

@@ -256,7 +256,7 @@ _add("quality_metrics", ["billed_responses"], f"""
 
 
 def tidy(text: str) -> str:
-    return f"regexp_replace({text}, {literal(cues.TRAILING_PATTERN)}, '', 'g')"
+    return rf"regexp_replace({text}, '\A[{WS}]+|[{WS};,.]+\z', '', 'g')"
 
 
 def _labels(field: str) -> str:
@@ -271,13 +271,10 @@ def _segments_of(field: str) -> str:
             f" AND {tidy('p.value')} <> ''), lambda p: {value})")
 
 
-def _rest(field: str) -> str:
-    return (f"array_to_string(list_concat([first_part], list_transform(list_filter(segs,"
-            f" lambda p: lower(p.label) NOT IN ({_labels(field)})), lambda p: p.value)), chr(10))")
-
-
 def _bare(field: str, pattern: str) -> str:
-    found = f"regexp_extract_all({_rest(field)}, {literal(pattern)}, 2)"
+    texts = (f"list_concat([first_part], list_transform(list_filter(segs,"
+             f" lambda p: lower(p.label) NOT IN ({_labels(field)})), lambda p: p.value))")
+    found = f"flatten(list_transform({texts}, lambda t: regexp_extract_all(t, {literal(pattern)}, 2)))"
     return f"list_transform({found}, lambda x: {tidy('x')})"
 
 
