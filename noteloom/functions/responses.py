@@ -7,6 +7,7 @@ Arrow UDF; every step after it is a native column.
 
 import json
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -133,37 +134,54 @@ def parse(raw):
     return 0, []
 
 
-def _encodable(text):
-    """JSON may hold half a surrogate pair, which Arrow cannot store."""
-    return text.encode("utf-8", "replace").decode("utf-8")
+def _texts(values):
+    """A string array; half a surrogate pair, which JSON may hold, becomes a question mark."""
+    try:
+        return pa.array(values, pa.string())
+    except UnicodeEncodeError:
+        whole = [v if v is None else v.encode("utf-8", "replace").decode("utf-8") for v in values]
+        return pa.array(whole, pa.string())
 
 
-def _entry(key, value):
-    if value is None:
-        text = None
-    elif isinstance(value, str):
-        text = _encodable(value)
-    else:
-        text = _encodable(json.dumps(value, ensure_ascii=False))
-    return {"key": _encodable(key), "text": text, "falsy": not value, "nan": value != value}
+def _as_text(value):
+    return value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
-def _row(raw):
-    strategy, records = parse(raw)
-    return {
-        "strategy": strategy,
-        "records": [
-            {"is_object": True, "entries": [_entry(k, v) for k, v in record.items()]}
-            if isinstance(record, dict)
-            else {"is_object": False, "entries": []}
-            for record in records
-        ],
-    }
+def _list_of(struct_type, columns, ends):
+    fields = list(struct_type.value_type)
+    return pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, fields=fields), struct_type
+    )
+
+
+_ARROW_TYPE = to_arrow_type(PARSED_RESPONSE)
 
 
 @F.arrow_udf(PARSED_RESPONSE)
 def _parse_responses(raw: pa.Array) -> pa.Array:
-    return pa.array([_row(text) for text in raw.to_pylist()], type=to_arrow_type(PARSED_RESPONSE))
+    """Columns are filled directly: a Python object per entry would cost more than the JSON."""
+    found = [parse(text) for text in raw.to_pylist()]
+    records = [record for _, held in found for record in held]
+    items = [list(r.items()) if isinstance(r, dict) else [] for r in records]
+    values = [value for item in items for _, value in item]
+    records_type = _ARROW_TYPE.field("records").type
+    entries_type = records_type.value_type.field("entries").type
+    entries = _list_of(
+        entries_type,
+        [
+            _texts([key for item in items for key, _ in item]),
+            _texts([_as_text(value) for value in values]),
+            pa.array([not value for value in values], pa.bool_()),
+            pa.array([value != value for value in values], pa.bool_()),
+        ],
+        [0, *accumulate(map(len, items))],
+    )
+    is_object = pa.array([isinstance(r, dict) for r in records], pa.bool_())
+    held_records = _list_of(
+        records_type, [is_object, entries], [0, *accumulate(len(held) for _, held in found)]
+    )
+    strategies = pa.array([strategy for strategy, _ in found], pa.int32())
+    return pa.StructArray.from_arrays([strategies, held_records], fields=list(_ARROW_TYPE))
 
 
 # Parsing gives the same result every time; called non-deterministic, it is not repeated for

@@ -139,10 +139,11 @@ def billed_services(
 def with_documents(services: DataFrame, star: Star) -> DataFrame:
     """Cohort rows: each service with every distinct note and code of its episode.
 
-    Only documents of these episodes go on. Where the services are few they are broadcast
-    and the notes are cut down at the scan; otherwise one shuffle by episode serves the
-    cut, the removal of equal notes and the join. Equal notes collapse before a shuffle,
-    so copies never meet in one task.
+    Only documents of these episodes go on. Where the services are few they are broadcast:
+    the notes are cut down at the scan, and equal ones collapse before their only shuffle.
+    Otherwise one shuffle by episode serves the cut, the removal of equal notes and the
+    join; the partition of a hot episode is split among tasks, each of which removes equal
+    notes before the parts meet.
     """
     episodes = services.select("Episode_key")
 

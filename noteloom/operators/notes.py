@@ -23,16 +23,19 @@ def as_text(df: DataFrame, column: str = "Note") -> DataFrame:
     return df.withColumn(column, or_empty(F.col(column).cast("string")))
 
 
-def default_order(df: DataFrame, note: str = "Note") -> list[Column]:
-    """Newest first, then every other column; a long note takes part as its digest, since
-    sort keys are sampled on the driver."""
+def numbered(
+    df: DataFrame, note: str = "Note", name: str = "row_id", unique: bool = True
+) -> DataFrame:
+    """Rows numbered newest first, then by every other column.
+
+    The note takes part as its digest: sort keys are sampled on the driver, where long
+    texts have no place, and a digest in a column is computed once per row.
+    """
     rest = [c for c in df.columns if c not in ("FormattedDate", note)]
     first = [F.desc_nulls_last("FormattedDate")] if "FormattedDate" in df.columns else []
-    return [
-        *first,
-        *(F.asc_nulls_last(c) for c in rest),
-        F.asc_nulls_last(F.sha2(F.col(note), 256)),
-    ]
+    order = [*first, *[F.asc_nulls_last(c) for c in rest], F.asc_nulls_last("_digest")]
+    digested = df.withColumn("_digest", F.sha2(F.col(note), 256))
+    return with_row_id(digested, order, name, unique).drop("_digest")
 
 
 def _placed(df: DataFrame, order: Sequence[Column], unique: bool) -> DataFrame:

@@ -40,8 +40,7 @@ def cohort_batches(star: cohorts.Star, settings: RunSettings = RunSettings()) ->
         star, settings.start, settings.end, settings.organization_key, settings.ignore_case
     )
     rows = notes.as_text(cohorts.newest_rows(rows, settings.max_rows), settings.note_column)
-    numbered = notes.with_row_id(rows, notes.default_order(rows, settings.note_column))
-    return notes.with_batches(numbered, settings.batch_size)
+    return notes.with_batches(notes.numbered(rows, settings.note_column), settings.batch_size)
 
 
 def gather_responses(

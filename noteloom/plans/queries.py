@@ -129,8 +129,7 @@ def cap_rows(f: Fixture) -> DataFrame:
 
 
 def _numbered_notes(f: Fixture) -> DataFrame:
-    texts = notes.as_text(f["dim_clinical_notes"])
-    return notes.with_row_id(texts, notes.default_order(texts), unique=False)
+    return notes.numbered(notes.as_text(f["dim_clinical_notes"]), unique=False)
 
 
 def _batched_documents(f: Fixture) -> DataFrame:

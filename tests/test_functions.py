@@ -178,16 +178,16 @@ def test_cue_cases(spark):
         assert found == CUES[row.i][1], CUES[row.i][0]
 
 
-def test_cue_matches_survive_the_prefilter(spark):
-    """Whatever one of the bare patterns finds, the pattern that looks for any cue finds."""
-    from noteloom.functions.cues import ANY_CUE_PATTERN, BARE_CUES
+def test_a_match_contains_one_of_its_hint_words(spark):
+    from noteloom.functions.cues import BARE_CUES
 
-    cues = [*C.ALLERGY_CUES, *C.EXAMINATION_CUES, *[f"{c} x" for c in C.BACKGROUND_CUES], "P1", "G12+3"]
+    cues = [*C.ALLERGY_CUES, *C.EXAMINATION_CUES, *[f"{c} x" for c in C.BACKGROUND_CUES]]
     texts = [before + cue + after for cue in cues for before in ("", " ", "3", "(") for after in ("", ".", " z")]
-    patterns = [p for group in BARE_CUES.values() for p in group]
+    texts += [text.upper() for text in texts]
     df = spark.createDataFrame([(t,) for t in texts], "x string")
-    found = F.greatest(*[F.rlike("x", F.lit(p)).cast("int") for p in patterns])
-    assert df.filter((found == 1) & ~F.rlike("x", F.lit(ANY_CUE_PATTERN))).collect() == []
+    for pattern, words in (pair for pairs in BARE_CUES.values() for pair in pairs if pair[1]):
+        matched = [r.x for r in df.filter(F.rlike("x", F.lit(pattern))).collect()]
+        assert matched and all(any(w.lower() in x.lower() for w in words) for x in matched)
 
 
 def test_billing_fills_a_missing_diagnosis(spark):
