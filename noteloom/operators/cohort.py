@@ -108,6 +108,13 @@ def newest_rows(cohort: DataFrame, n: int | None) -> DataFrame:
     return cohort.orderBy(*newest_first(cohort)).limit(n) if n else cohort
 
 
+def nth_newest(df: DataFrame, date: str, n: int) -> dt.datetime | None:
+    """The n-th newest date, or None if there are fewer. Reads and sends dates alone."""
+    newest = df.select(date).orderBy(F.desc_nulls_last(date)).limit(n)
+    found = newest.agg(F.count(date).alias("dates"), F.min(date).alias("oldest")).first()
+    return found["oldest"] if found["dates"] == n else None
+
+
 # --- the cohort -----------------------------------------------------------------------
 
 
@@ -133,10 +140,15 @@ def billed_services(
     billing = with_organization(billing, star).select(
         "Service_Date", "Staff_name", "patient_id", "Episode_key", "ShortName"
     )
-    return keep_latest(billing, ["Staff_name", "patient_id", "Episode_key"], latest_first())
+    keys = [_same("Staff_name", ci), "patient_id", "Episode_key"]
+    return keep_latest(billing, keys, latest_first())
+
 
+def _same(text: str, ci: bool) -> Column:
+    return F.collate(F.col(text), IGNORE_CASE) if ci else F.col(text)
 
-def with_documents(services: DataFrame, star: Star) -> DataFrame:
+
+def with_documents(services: DataFrame, star: Star, ci: bool = False) -> DataFrame:
     """Cohort rows: each service with every distinct note and code of its episode.
 
     Only documents of these episodes go on. Where the services are few they are broadcast:
@@ -147,13 +159,15 @@ def with_documents(services: DataFrame, star: Star) -> DataFrame:
     """
     episodes = services.select("Episode_key")
 
-    def of_these(documents: DataFrame) -> DataFrame:
-        return documents.join(episodes, "Episode_key", "left_semi").distinct()
+    def of_these(documents: DataFrame, text: str) -> DataFrame:
+        found = documents.join(episodes, "Episode_key", "left_semi")
+        if not ci:
+            return found.distinct()
+        return keep_latest(found, ["Episode_key", _same(text, ci)], [F.asc_nulls_last(text)])
 
-    notes = star["dim_clinical_notes"].filter(F.col("Note").isNotNull())
     episode_star = {
-        "dim_clinical_notes": of_these(notes),
-        "dim_diagnosis": of_these(star["dim_diagnosis"]),
+        "dim_clinical_notes": of_these(star["dim_clinical_notes"].filter("Note IS NOT NULL"), "Note"),
+        "dim_diagnosis": of_these(star["dim_diagnosis"], "ICDDiagnoseCode"),
     }
     rows = with_diagnosis(with_notes(services, episode_star), episode_star)
     return rows.select(
@@ -173,14 +187,26 @@ def cohort(
     end: dt.datetime | None = None,
     organization_key: int | None = None,
     ci: bool = False,
+    newest: int | None = None,
 ) -> DataFrame:
     """One row per doctor name, patient, episode, note and code, with the latest service.
 
     The services are written once: three joins read them, and their true size decides
     whether they are broadcast to the notes.
+
+    ``newest`` keeps that many of the newest rows. Every service with a note gives at least
+    one row, so no service older than the n-th newest of them can be among the rows: only
+    the notes of the others are fetched.
     """
     services = stored(billed_services(star, start, end, organization_key, ci), "services")
-    return with_documents(services, star)
+    if newest:
+        with_a_note = star["dim_clinical_notes"].filter("Note IS NOT NULL").select("Episode_key")
+        dated = services.join(with_a_note.distinct(), "Episode_key", "left_semi")
+        oldest = nth_newest(dated, "Service_Date", newest)
+        if oldest is not None:
+            recent = services.filter(in_window(F.col("Service_Date"), oldest, None))
+            services = stored(recent, "newest-services")
+    return newest_rows(with_documents(services, star, ci), newest)
 
 
 def recent_documents(
@@ -193,4 +219,7 @@ def recent_documents(
     """Newest ``n`` rows of the last ``days`` days, counted back from the instant ``as_of``."""
     ties = [F.asc_nulls_last(c) for c in documentation.columns if c != date]
     recent = documentation.filter(in_window(F.col(date), as_of - dt.timedelta(days=days), None))
+    oldest = nth_newest(recent, date, n)
+    if oldest is not None:
+        recent = recent.filter(in_window(F.col(date), oldest, None))
     return recent.orderBy(F.desc_nulls_last(date), *ties).limit(n)

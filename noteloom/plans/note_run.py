@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from noteloom import contract as C
 from noteloom.operators import cohort as cohorts
 from noteloom.operators import extract, notes, prompts, quality, records
+from noteloom.schemas import RESULTS
 from noteloom.session import fresh_path, stored
 from noteloom.sources.sinks import append_to_path
 
@@ -37,9 +38,14 @@ def cohort_batches(star: cohorts.Star, settings: RunSettings = RunSettings()) ->
     """Cohort rows with row_id, batch_id and pos_in_batch, read from the files that fixed
     their order."""
     rows = cohorts.cohort(
-        star, settings.start, settings.end, settings.organization_key, settings.ignore_case
+        star,
+        settings.start,
+        settings.end,
+        settings.organization_key,
+        settings.ignore_case,
+        settings.max_rows,
     )
-    rows = notes.as_text(cohorts.newest_rows(rows, settings.max_rows), settings.note_column)
+    rows = notes.as_text(rows, settings.note_column)
     return notes.with_batches(notes.numbered(rows, settings.note_column), settings.batch_size)
 
 
@@ -76,6 +82,13 @@ class NoteRun:
     report: DataFrame
     checked: DataFrame
 
+    def append_to(self, path: str, **options) -> int:
+        """Append the rows in the columns of the results table; returns their number."""
+        return append_to_path(self.results.select(*RESULTS.fieldNames()), path, **options)
+
+    def summary(self) -> DataFrame:
+        return quality.field_summary(self.results)
+
     def totals(self) -> DataFrame:
         return records.batch_totals(self.report)
 

@@ -117,12 +117,12 @@ def dedup_latest(f: Fixture) -> DataFrame:
 
 @registered
 def topn_latest(f: Fixture) -> DataFrame:
-    return cohort.newest_rows(cohort.cohort(f.star(), START, END), TOP_N)
+    return cohort.cohort(f.star(), START, END, newest=TOP_N)
 
 
 @registered
 def cap_rows(f: Fixture) -> DataFrame:
-    return cohort.newest_rows(cohort.cohort(f.star(), START, END), C.MAX_ROWS)
+    return cohort.cohort(f.star(), START, END, newest=C.MAX_ROWS)
 
 
 # --- notes and prompts ----------------------------------------------------------------

@@ -100,6 +100,34 @@ def test_window_organization_and_case(spark):
     assert patients(start=start, end=end, ci=True, organization_key=2) == [3]
 
 
+def test_names_notes_and_codes_merge_without_regard_to_case(spark):
+    star = star_of(
+        spark,
+        fact_billing=[(day(1), 7, 100, 1, 1, 1, 1), (day(2), 7, 100, 1, 2, 1, 1)],
+        dim_clinical_notes=[(100, "Note"), (100, "NOTE  "), (100, "other")],
+        dim_diagnosis=[(100, "J45"), (100, "j45"), (100, None)],
+        **{**DIMENSIONS, "dim_staff": [(1, "Dr A", 10, "Doctor"), (2, "DR A", 10, "Nurse")]},
+    )
+    assert cohort.cohort(star).count() == 2 * 3 * 3
+    found = cohort.cohort(star, ci=True).collect()
+    assert {r.FormattedDate for r in found} == {day(2)}
+    assert sorted((r.Note, r.ICD10_code or "") for r in found) == [
+        ("NOTE  ", ""), ("NOTE  ", "J45"), ("other", ""), ("other", "J45")]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 50])
+def test_newest_rows_fetch_only_what_can_count(spark, n):
+    """Episodes without notes, ties in time and dates that are null."""
+    billing = [(day(1 + i % 3), i, 100 + i, 1, 1, 1, 1) for i in range(6)]
+    billing += [(None, 90, 100, 1, 1, 1, 1), (day(9), 91, 999, 1, 1, 1, 1)]
+    notes = [(100 + i, t) for i in range(5) for t in ("a", "b")] + [(105, None)]
+    star = star_of(spark, fact_billing=billing, dim_clinical_notes=notes, **DIMENSIONS)
+    everything = cohort.cohort(star)
+    expected = cohort.newest_rows(everything, n).collect()
+    assert cohort.cohort(star, newest=n).collect() == expected
+    assert len(expected) == min(n, everything.count()) and everything.count() == 12
+
+
 def test_equals_the_late_deduplication(spark):
     """Removing repeated billing lines early gives what the window over the fan-out gives."""
     rng = random.Random(3)
@@ -165,8 +193,9 @@ def test_window_reaches_the_scan(small):
 
 
 def test_top_n_does_not_sort_everything(small):
-    plan = plan_of(cohort.newest_rows(cohort.cohort(small.star(), START, END), 10))
-    assert "TakeOrderedAndProject" in plan
+    found = cohort.cohort(small.star(), START, END, newest=10)
+    assert "TakeOrderedAndProject" in plan_of(found)
+    assert "newest-services" in plan_of(found)
 
 
 def test_no_cap_keeps_all(small):
@@ -181,8 +210,9 @@ def test_recent_documents_counts_from_the_instant(spark):
         [(1, "a", dt.datetime(2024, 5, 1, 11)), (2, "b", dt.datetime(2024, 5, 1, 12)), (3, "c", dt.datetime(2024, 6, 1))],
         "Patient_ID int, Clinical_Notes string, Visit_Date timestamp_ntz",
     )
-    found = cohort.recent_documents(df, dt.datetime(2024, 5, 31, 12))
-    assert [r.Patient_ID for r in found.collect()] == [3, 2]
+    as_of = dt.datetime(2024, 5, 31, 12)
+    assert [r.Patient_ID for r in cohort.recent_documents(df, as_of).collect()] == [3, 2]
+    assert [r.Patient_ID for r in cohort.recent_documents(df, as_of, n=1).collect()] == [3]
 
 
 def test_sources_read_the_same_star(spark, small, tmp_path):
