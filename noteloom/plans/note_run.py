@@ -83,8 +83,14 @@ class NoteRun:
     checked: DataFrame
 
     def append_to(self, path: str, **options) -> int:
-        """Append the rows in the columns of the results table; returns their number."""
-        return append_to_path(self.results.select(*RESULTS.fieldNames()), path, **options)
+        """Append the rows in the columns of the results table; returns their number.
+
+        With ``partition_by=["service_day"]`` the day of service becomes a column.
+        """
+        rows = self.results.select(*RESULTS.fieldNames())
+        if "service_day" in options.get("partition_by", ()):
+            rows = rows.withColumn("service_day", F.to_date("FormattedDate"))
+        return append_to_path(rows, path, **options)
 
     def summary(self) -> DataFrame:
         return quality.field_summary(self.results)

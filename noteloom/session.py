@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     # the join's partitioning: one more shuffle beats one straggler.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Records grouped by batch are joined to notes by batch and position where they lie. A
+    # batch is a handful of rows, so the coarser key makes no large partitions.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

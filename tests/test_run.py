@@ -9,7 +9,7 @@ from noteloom import contract as C
 from noteloom.operators import extract, notes, prompts, quality, records
 from noteloom.plans import note_run
 from noteloom.plans.queries import END, START
-from noteloom.schemas import RESPONSES
+from noteloom.schemas import RESPONSES, RESULTS, STAR_TABLES
 from noteloom.session import fresh_path, work_folder
 from noteloom.sources import sinks
 
@@ -190,6 +190,22 @@ def test_score_and_batches_stay_in_bounds(spark, small):
     assert quality.overall_completion(run.results).first().total_records == 45
 
 
+def test_nightly_run_from_the_command_line(spark, small, tmp_path, capsys):
+    import run_notes
+
+    for name, df in small.star().items():
+        types = STAR_TABLES[name]
+        df.select(*[F.col(t.name).cast(t.dataType) for t in types]).write.parquet(f"{tmp_path}/{name}.parquet")
+    output = str(tmp_path / "results")
+    given = ["--star", str(tmp_path), "--as-of", "1995-05-30", "--output", output, "--replace-day"]
+    for _ in range(2):
+        assert run_notes.run(spark, run_notes.arguments(given)) == 2
+    rows = spark.read.parquet(output)
+    assert rows.count() == 2
+    assert set(rows.columns) == {*RESULTS.fieldNames(), "service_day"}
+    assert "2 rows appended" in capsys.readouterr().out
+
+
 # --- sinks ----------------------------------------------------------------------------
 
 
