@@ -125,18 +125,23 @@ def billed_services(
     organization_key: int | None = None,
     ci: bool = False,
 ) -> DataFrame:
-    """Latest qualifying service per doctor name, patient and episode.
-
-    Notes and codes hang on the episode alone, so removing repeated billing lines before
-    they are joined keeps the same rows as removing them afterwards. The rows sorted and
-    shuffled here are seven narrow columns, without any note text.
-    """
+    """Latest service per doctor name, patient and episode among the cohort's billing lines."""
     billing = star["fact_billing"].filter(in_window(F.col("Service_Date"), start, end))
     if organization_key is not None:
         billing = billing.filter(F.col("Organization_Key") == organization_key)
     billing = with_credit_company(billing, star, ci)
     billing = with_outpatient_type(billing, star, ci)
     billing = with_staff(billing, sharing_a_doctors_degree(star["dim_staff"]))
+    return latest_services(billing, star, ci)
+
+
+def latest_services(billing: DataFrame, star: Star, ci: bool = False) -> DataFrame:
+    """Latest line per doctor name, patient and episode, with its organization's name.
+
+    Notes and codes hang on the episode alone, so removing repeated billing lines before
+    they are joined keeps the same rows as removing them afterwards. The rows sorted and
+    shuffled here are a few narrow columns, without any note text.
+    """
     billing = with_organization(billing, star).select(
         "Service_Date", "Staff_name", "patient_id", "Episode_key", "ShortName"
     )

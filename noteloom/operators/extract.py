@@ -34,14 +34,16 @@ class CallSettings:
     backoff_seconds: float = 1.0  # doubled after every failed attempt
     rate_limit_seconds: float = C.RATE_LIMIT_SECONDS
     max_batches_per_second: float | None = None  # over all tasks together
+    parallelism: int | None = None  # tasks that call at once; None takes the cluster's default
     extras: str = "merge"
     system_prompt: str = C.SYSTEM_PROMPT
 
-    def tasks(self) -> int | None:
-        """Tasks that may call at once, each at most once per delay; None sets no bound."""
-        if self.max_batches_per_second is None:
-            return None
-        return max(1, math.floor(self.max_batches_per_second * self.rate_limit_seconds))
+    def tasks(self, default: int) -> int:
+        """Tasks to call from. Each calls at most once per delay, which bounds the rate."""
+        tasks = self.parallelism or default
+        if self.max_batches_per_second is not None:
+            tasks = min(tasks, math.floor(self.max_batches_per_second * self.rate_limit_seconds))
+        return max(1, tasks)
 
 
 def _failure(text: str | None, extras: str) -> str | None:
@@ -110,10 +112,14 @@ def call_backend(
                 rows = list(_attempts(backend, batch, settings))
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    todo = prompts.select("batch_id", "user_prompt", "max_tokens")
-    if settings.tasks() is not None:
-        todo = todo.repartition(settings.tasks(), "batch_id")
-    return todo.mapInArrow(run, RESPONSES)
+    # A stated number of partitions, as by their size alone a few would hold all prompts; by a
+    # hash, as a repartition by batch_id is dropped where the prompts are grouped by it already.
+    tasks = settings.tasks(spark.sparkContext.defaultParallelism)
+    return (
+        prompts.select("batch_id", "user_prompt", "max_tokens")
+        .repartition(tasks, F.xxhash64("batch_id"))
+        .mapInArrow(run, RESPONSES)
+    )
 
 
 def pending(prompts: DataFrame, responses: DataFrame) -> DataFrame:

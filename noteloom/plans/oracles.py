@@ -93,15 +93,16 @@ _add("exists_doctor_degree", ["fact_billing", "dim_staff"], """
 _add("like_doctor", ["dim_staff"], "SELECT * FROM dim_staff WHERE lower(category_desc) LIKE '%doctor%'")
 _add("dedup_latest", STAR_VIEWS, """
     SELECT * FROM (
-      SELECT b.Service_Date, g.ShortName, s.Staff_name, b.patient_id, b.Episode_key, n.Note,
-             d.ICDDiagnoseCode
+      SELECT b.Service_Date AS "FormattedDate", s.Staff_name AS "Doctor_Name",
+             b.patient_id AS "Patient_Code", b.Episode_key AS "Episode_key", n.Note AS "Note",
+             d.ICDDiagnoseCode AS "ICD10_code", g.ShortName AS "ShortName"
       FROM fact_billing b JOIN dim_staff s ON s.Staff_Key = b.Doctor_Key
       JOIN dim_clinical_notes n ON n.Episode_key = b.Episode_key AND n.Note IS NOT NULL
       LEFT JOIN dim_diagnosis d ON d.Episode_Key = b.Episode_key
       LEFT JOIN dim_organization g ON g.OrganizationKey = b.Organization_Key) rows
     QUALIFY row_number() OVER (
-      PARTITION BY Staff_name, patient_id, Episode_key, Note, ICDDiagnoseCode
-      ORDER BY Service_Date DESC NULLS LAST, ShortName ASC NULLS LAST) = 1""")
+      PARTITION BY "Doctor_Name", "Patient_Code", "Episode_key", "Note", "ICD10_code"
+      ORDER BY "FormattedDate" DESC NULLS LAST, "ShortName" ASC NULLS LAST) = 1""")
 _add("topn_latest", STAR_VIEWS, f"SELECT * FROM ({cohort_sql(ALL_DATES)}) c {NEWEST} LIMIT 10")
 _add("cap_rows", STAR_VIEWS, f"SELECT * FROM ({cohort_sql(ALL_DATES)}) c {NEWEST} LIMIT 1000")
 

@@ -105,14 +105,10 @@ def like_doctor(f: Fixture) -> DataFrame:
 
 @registered
 def dedup_latest(f: Fixture) -> DataFrame:
-    """Latest row per doctor name, patient, episode, note and code, on the full fan-out."""
+    """Latest row per doctor name, patient, episode, note and code, over all billing lines."""
     billed = cohort.with_staff(f["fact_billing"], f["dim_staff"])
-    billed = cohort.with_organization(billed, f)
-    rows = cohort.with_diagnosis(cohort.with_notes(billed, f), f)
-    keys = ["Staff_name", "patient_id", "Episode_key", "Note", "ICDDiagnoseCode"]
-    return cohort.keep_latest(
-        rows.select("Service_Date", "ShortName", *keys), keys, cohort.latest_first()
-    )
+    services = stored(cohort.latest_services(billed, f), "services")
+    return cohort.with_documents(services, f)
 
 
 @registered

@@ -178,16 +178,18 @@ def test_cue_cases(spark):
         assert found == CUES[row.i][1], CUES[row.i][0]
 
 
-def test_a_match_contains_one_of_its_hint_words(spark):
-    from noteloom.functions.cues import BARE_CUES
+def test_every_match_satisfies_its_hint(spark):
+    from noteloom.functions.cues import BARE_CUES, _hinted
 
-    cues = [*C.ALLERGY_CUES, *C.EXAMINATION_CUES, *[f"{c} x" for c in C.BACKGROUND_CUES]]
-    texts = [before + cue + after for cue in cues for before in ("", " ", "3", "(") for after in ("", ".", " z")]
+    cues = [*C.ALLERGY_CUES, *C.EXAMINATION_CUES, *[f"{c} x" for c in C.BACKGROUND_CUES], "P1", "G12+3"]
+    texts = [before + cue + after for cue in cues for before in ("", " ", "(") for after in ("", ".", " z")]
     texts += [text.upper() for text in texts]
-    df = spark.createDataFrame([(t,) for t in texts], "x string")
-    for pattern, words in (pair for pairs in BARE_CUES.values() for pair in pairs if pair[1]):
-        matched = [r.x for r in df.filter(F.rlike("x", F.lit(pattern))).collect()]
-        assert matched and all(any(w.lower() in x.lower() for w in words) for x in matched)
+    df = spark.createDataFrame([(t, t.lower()) for t in texts], "raw string, lowered string")
+    part = F.struct("raw", "lowered")
+    for pattern, hint in (pair for pairs in BARE_CUES.values() for pair in pairs):
+        matched = df.filter(F.rlike("raw", F.lit(pattern)))
+        assert matched.count() > 0
+        assert matched.filter(~_hinted(part, hint)).collect() == []
 
 
 def test_billing_fills_a_missing_diagnosis(spark):

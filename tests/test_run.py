@@ -79,11 +79,13 @@ def test_second_attempt_succeeds(spark, tmp_path):
 
 def test_rate_bounds_tasks(spark):
     settings = extract.CallSettings(max_batches_per_second=4, rate_limit_seconds=0.5)
-    assert settings.tasks() == 2
-    assert extract.CallSettings().tasks() is None
-    assert extract.CallSettings(max_batches_per_second=0.1).tasks() == 1
+    assert settings.tasks(100) == 2
+    assert extract.CallSettings().tasks(100) == 100
+    assert extract.CallSettings(parallelism=7).tasks(100) == 7
+    assert extract.CallSettings(max_batches_per_second=0.1).tasks(100) == 1
     todo = prompts.batch_prompts(batches_of(spark, ["a"] * 9))
-    assert extract.call_backend(todo, answering, settings).rdd.getNumPartitions() <= 2
+    assert extract.call_backend(todo, answering, settings).rdd.getNumPartitions() == 2
+    assert extract.call_backend(todo, answering, QUICK).rdd.getNumPartitions() == 8
 
 
 def test_rerun_calls_only_what_is_missing(spark, tmp_path):
