@@ -122,6 +122,16 @@ def call_backend(
     )
 
 
+def as_responses(df: DataFrame) -> DataFrame:
+    """The columns of the responses table, null where ``df`` has none."""
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in RESPONSES
+        ]
+    )
+
+
 def pending(prompts: DataFrame, responses: DataFrame) -> DataFrame:
     """Prompts whose batch has no response yet, so that a rerun does not pay twice."""
     return prompts.join(responses.select("batch_id"), "batch_id", "left_anti")

@@ -78,9 +78,10 @@ def _exists(spark, path: str) -> bool:
 
 @dataclass(frozen=True)
 class NoteRun:
-    results: DataFrame
-    report: DataFrame
-    checked: DataFrame
+    results: DataFrame  # one scored row per cohort row
+    report: DataFrame  # one row per batch
+    checked: DataFrame  # one row per record found, before normalization
+    responses: DataFrame
 
     def append_to(self, path: str, **options) -> int:
         """Append the rows in the columns of the results table; returns their number.
@@ -101,11 +102,18 @@ class NoteRun:
     def validation(self) -> DataFrame:
         return quality.validation_totals(self.checked)
 
+    def usage(self) -> DataFrame:
+        return records.usage_totals(self.responses)
+
+    def metrics(self) -> DataFrame:
+        return quality.quality_metrics(self.report, self.results, self.responses)
+
 
 def records_to_results(
     batched: DataFrame, responses: DataFrame, settings: RunSettings = RunSettings()
 ) -> NoteRun:
-    """Responses to scored rows: one per cohort row, in columns of the results table."""
+    """Responses to scored rows. Only batch_id, attempt and raw are required of responses."""
+    responses = extract.as_responses(responses)
     attempts = stored(records.parsed_attempts(responses, settings.extras), "attempts")
     found = records.repaired_records(records.first_ok(attempts, settings.max_attempts))
     aligned = records.records_for_notes(
@@ -114,10 +122,11 @@ def records_to_results(
     scored = quality.with_score(aligned)
     results = scored.select(
         "row_id", *[c for c in batched.columns if c not in ("row_id", "batch_id", "pos_in_batch")],
-        *C.FIELDS, C.EXTRA_COLUMN, C.SCORE_COLUMN, "falsy_fields",
+        *C.FIELDS, C.EXTRA_COLUMN, C.SCORE_COLUMN, "falsy_fields", "nan_fields",
     )
     report = records.batch_report(batched, attempts, settings.max_attempts)
-    return NoteRun(results, report, quality.validated(records.with_keys(found)))
+    checked = quality.validated(records.with_keys(found))
+    return NoteRun(results, report, checked, responses)
 
 
 def run_notes(

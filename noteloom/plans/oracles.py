@@ -58,6 +58,7 @@ STAR_VIEWS = list(STAR)
 
 _add("cohort_latest_opd_notes", STAR_VIEWS, cohort_sql(ALL_DATES))
 _add("cohort_day_slice", STAR_VIEWS, cohort_sql("CAST(b.Service_Date AS DATE) = DATE '1996-04-29' - 1"))
+_add("cohort_one_organization", STAR_VIEWS, cohort_sql(f"{ALL_DATES} AND b.Organization_Key = 1"))
 _add("cohort_rolling_window", ["fact_billing", "dim_clinical_notes"], """
     SELECT b.patient_id AS "Patient_ID", n.Note AS "Clinical_Notes", b.Service_Date AS "Visit_Date"
     FROM fact_billing b JOIN dim_clinical_notes n ON n.Episode_key = b.Episode_key
@@ -180,13 +181,13 @@ def normalized_sql(fails: str) -> str:
     FROM ({first_attempt(RECORD_SLOTS, fails)}) r"""
 
 
-def aligned_sql(fails: str) -> str:
+def aligned_sql(fails: str, notes: str = "SELECT doc_id, doc_id % 3 AS slot FROM documents") -> str:
     fields = ", ".join(f"coalesce(r.\"{f}\", '') AS \"{f}\"" for f in C.FIELDS)
     return f"""
     SELECT n.doc_id AS row_id, n.doc_id // 3 AS batch_id, CAST(n.doc_id % 3 AS INTEGER) AS pos_in_batch,
            {fields}
-    FROM documents n LEFT JOIN ({normalized_sql(fails)}) r
-      ON r.batch_id = n.doc_id // 3 AND r.rec_pos = n.doc_id % 3"""
+    FROM ({notes}) n LEFT JOIN ({normalized_sql(fails)}) r
+      ON r.batch_id = n.doc_id // 3 AND r.rec_pos = n.slot"""
 
 
 def report_sql(fails: str) -> str:
@@ -222,6 +223,10 @@ _add("unwrap_records", [], """
 _add("normalize_merge", ["responses"], normalized_sql(FAILS_MERGED))
 _add("normalize_observed", ["responses"], normalized_sql(FAILS_OBSERVED))
 _add("fix_count", ["responses"], aligned_sql(FAILS_MERGED))
+_add("fix_count_nonblank", ["responses", "cue_notes"], aligned_sql(FAILS_MERGED, f"""
+    SELECT note_id AS doc_id, CASE WHEN {present("Note")} THEN
+             count(*) FILTER (WHERE {present("Note")}) OVER (PARTITION BY note_id // 3 ORDER BY note_id) - 1 END AS slot
+    FROM cue_notes"""))
 _add("resolve_attempts", ["responses"], f"""
     SELECT batch_id, attempt, strategy, n_records FROM ({first_attempt(FOUND, FAILS_OBSERVED)}) c""")
 _add("batch_report", ["responses"], report_sql(FAILS_OBSERVED))
@@ -406,6 +411,6 @@ _FIELD_LIST = ", ".join(f'"{f}"' for f in C.FIELDS)
 _add("end_to_end_results", STAR_VIEWS, scored(
     cues_sql(NUMBERED_COHORT, _COHORT_LIST), f"{_COHORT_LIST}, {_FIELD_LIST}"))
 _add("end_to_end_totals", STAR_VIEWS, f"""
-    SELECT (count(*) + 2) // 3 AS total_batches, (count(*) + 2) // 3 AS successful, 0 AS failed,
+    SELECT (count(*) + 2) // 3 AS total_batches, (count(*) + 2) // 3 AS successful, CAST(0 AS BIGINT) AS failed,
            count(*) AS total, count(*) AS valid, TRUE AS all_valid
     FROM ({cohort_sql(ALL_DATES)}) c""")

@@ -44,6 +44,11 @@ def cohort_day_slice(f: Fixture) -> DataFrame:
     return cohort.cohort(f.star(), *cohort.day_before(AS_OF))
 
 
+@registered
+def cohort_one_organization(f: Fixture) -> DataFrame:
+    return cohort.cohort(f.star(), START, END, organization_key=1)
+
+
 @registered
 def cohort_rolling_window(f: Fixture) -> DataFrame:
     visits = cohort.with_notes(f["fact_billing"], f).select(
@@ -255,6 +260,13 @@ def fix_count(f: Fixture) -> DataFrame:
     return aligned.select("row_id", "batch_id", "pos_in_batch", *C.FIELDS)
 
 
+@registered
+def fix_count_nonblank(f: Fixture) -> DataFrame:
+    """As fix_count, past the notes that are blank and so were not in the prompt."""
+    aligned = records.records_for_notes(_batched_documents(f), _chosen(f), align="nonblank")
+    return aligned.select("row_id", "batch_id", "pos_in_batch", *C.FIELDS)
+
+
 @registered
 def resolve_attempts(f: Fixture) -> DataFrame:
     return records.first_ok(_attempts(f, "observed")).select(
@@ -408,7 +420,7 @@ def json_export(f: Fixture) -> DataFrame:
 @registered
 def end_to_end_results(f: Fixture) -> DataFrame:
     run = note_run.run_notes(f.star(), note_run.RunSettings(START, END))
-    return run.results.drop(C.EXTRA_COLUMN, "falsy_fields")
+    return run.results.drop(C.EXTRA_COLUMN, "falsy_fields", "nan_fields")
 
 
 @registered

@@ -67,14 +67,6 @@ PARSED_RESPONSE = T.StructType(
     ]
 )
 
-NORMALIZED = T.StructType(
-    [T.StructField(f, T.StringType()) for f in (*FIELDS, EXTRA_COLUMN)]
-    + [
-        T.StructField("falsy_fields", T.ArrayType(T.StringType())),
-        T.StructField("nan_fields", T.ArrayType(T.StringType())),
-    ]
-)
-
 RESULTS = T.StructType(
     [T.StructField("row_id", T.LongType())]
     + list(COHORT.fields)

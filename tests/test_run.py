@@ -145,6 +145,9 @@ def test_every_note_gets_one_record(spark):
     report = {r.batch_number: (r.ok, r.attempts, r.n_records) for r in run.report.collect()}
     assert report == {1: (True, 1, 1), 2: (True, 1, 9), 3: (False, 3, 0), 4: (True, 2, 1), 5: (False, 0, 0)}
     assert run.totals().first()[:] == (5, 3, 2)
+    assert run.metrics().first().success_rate == pytest.approx(100 * 9 / 14)
+    assert run.metrics().first().notes_per_minute is None
+    assert run.usage().first()[:] == (10, 0, 0)
 
 
 def test_unknown_key_blanks_the_batch_only_as_observed(spark):
@@ -161,12 +164,16 @@ def test_run_with_a_model_and_as_a_replay(spark, small):
     path = fresh_path(spark, "responses")
     calls = extract.CallSettings(rate_limit_seconds=0, backoff_seconds=0)
     run = note_run.run_notes(small.star(), settings, note_run.model_responder(answering, path, calls))
-    rows = sorted(map(tuple, run.results.drop("falsy_fields").collect()))
+    rows = sorted(map(tuple, run.results.drop("falsy_fields", "nan_fields").collect()))
     assert len(rows) == 20 and run.totals().first()[:] == (5, 5, 0)
     assert {r[7] is not None for r in rows}
+    assert run.usage().first().calls == 5
+    metrics = run.metrics().first()
+    assert (metrics.notes, metrics.success_rate) == (20, 100.0)
+    assert metrics.completion_rate == pytest.approx(100 / 7) and metrics.mean_score == pytest.approx(0.2)
     responses = spark.read.schema(RESPONSES).parquet(path)
     replay = note_run.run_notes(small.star(), settings, lambda batched: responses)
-    assert sorted(map(tuple, replay.results.drop("falsy_fields").collect())) == rows
+    assert sorted(map(tuple, replay.results.drop("falsy_fields", "nan_fields").collect())) == rows
 
 
 def test_results_do_not_depend_on_partitions(spark, small):
