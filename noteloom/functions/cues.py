@@ -11,8 +11,7 @@ from noteloom import contract as C
 from noteloom.functions.text import WS_CHARS, or_empty
 
 # Control characters used as marks inside the working text; removed from notes first.
-SEGMENT, VALUE, COLON = "\u0001", "\u0002", "\u0003"
-MARKS = SEGMENT + VALUE + COLON
+SEGMENT, VALUE = "\u0001", "\u0002"
 
 
 def _any_of(words) -> str:
@@ -21,7 +20,11 @@ def _any_of(words) -> str:
 
 
 ALL_LABELS = [label for labels in C.FIELD_LABELS.values() for label in labels]
-LABEL_PATTERN = rf"(?i)(^|[^A-Za-z0-9])({_any_of(ALL_LABELS)})[ \t]*:"
+_FIRST_LETTERS = "".join(sorted({label[0].lower() for label in ALL_LABELS}))
+# The letter is looked at first: most characters fail there, before any label is tried.
+LABEL_PATTERN = (
+    rf"(?i)(?=[{_FIRST_LETTERS}])(?<![A-Za-z0-9])({_any_of(ALL_LABELS)})[ \t]*:"
+)
 ALLERGY_PATTERN = rf"(?i)(^|[^A-Za-z])({_any_of(C.ALLERGY_CUES)})($|[^A-Za-z])"
 EXAMINATION_PATTERN = rf"(?i)(^|[^A-Za-z])({_any_of(C.EXAMINATION_CUES)})($|[^A-Za-z])"
 KNOWN_CASE_PATTERN = rf"(?i)(^|[^A-Za-z])((?:{_any_of(C.KNOWN_CASE_CUES)}) [^;.,\n]+)"
@@ -58,15 +61,13 @@ def _found(text: Column, pattern: str) -> Column:
 
 def _without_marks(note: Column) -> Column:
     marked = F.contains(note, F.lit(SEGMENT)) | F.contains(note, F.lit(VALUE))
-    marked |= F.contains(note, F.lit(COLON))
-    return F.when(marked, F.translate(note, MARKS, "")).otherwise(note)
+    return F.when(marked, F.translate(note, SEGMENT + VALUE, "")).otherwise(note)
 
 
 def _cut(part: Column, i: Column) -> Column:
     """One part of the marked text as struct<label, raw>; the part before any label has none."""
-    text = F.replace(F.substring_index(part, VALUE, -1), F.lit(COLON), F.lit(""))
     label = F.when(i > 0, F.substring_index(part, VALUE, 1))
-    return F.struct(label.alias("label"), text.alias("raw"))
+    return F.struct(label.alias("label"), F.substring_index(part, VALUE, -1).alias("raw"))
 
 
 def _described(part: Column) -> Column:
@@ -98,9 +99,8 @@ def segments(note: Column) -> Column:
     """array<struct<field, label, raw, value, ...>>, one element per segment, and the text
     before any label first. What the bare-cue patterns find in a segment stands in
     ``<field>_0``, ``<field>_1``."""
-    # A mark after every colon separates a label from one that follows it directly.
-    spaced = F.replace(_without_marks(or_empty(note)), F.lit(":"), F.lit(":" + COLON))
-    marked = F.regexp_replace(spaced, LABEL_PATTERN, f"$1{SEGMENT}$2{VALUE}")
+    plain = _without_marks(or_empty(note))
+    marked = F.regexp_replace(plain, LABEL_PATTERN, f"{SEGMENT}$1{VALUE}")
     parts = F.split(marked, SEGMENT)
     # One step per function: what a step computes, the next one reads several times.
     for step in (_cut, _described, _searched):

@@ -152,7 +152,9 @@ def cue_records(
 
 def cue_responses(batched: DataFrame, note: str = "Note", **billing: str) -> DataFrame:
     """Responses as a model following the contract would give them, from the cue rules."""
-    records = cue_records(batched.select("batch_id", "pos_in_batch", note, *billing.values()), note, **billing)
+    rows = batched.select("batch_id", "pos_in_batch", note, *billing.values())
+    # Together by batch first: collecting before the shuffle would sort and save nothing.
+    records = cue_records(rows.repartition("batch_id"), note, **billing)
     record = F.struct("pos_in_batch", F.to_json(F.struct(*C.FIELDS)).alias("json"))
     listed = F.array_join(F.array_sort(F.collect_list(record))["json"], ",")
     wrapper = json.dumps({C.WRAPPER_KEYS[0]: []})

@@ -23,6 +23,7 @@ def batch_prompts(
     block = note_block(F.col("pos_in_batch"), F.col(note), name, code)
     return (
         batched.select("batch_id", "pos_in_batch", block.alias("block"))
+        .repartition("batch_id")  # collecting before the shuffle would sort and save nothing
         .groupBy("batch_id")
         .agg(
             F.count(F.lit(1)).alias("n_notes"),

@@ -261,6 +261,12 @@ _add("quality_metrics", ["billed_responses"], f"""
 # --- cue rules ------------------------------------------------------------------------
 
 
+# No look-around here, so a mark after each colon separates a label from the one before it.
+LABEL = (
+    rf"(?i)(^|[^A-Za-z0-9])({'|'.join(sorted(cues.ALL_LABELS, key=len, reverse=True))})[ \t]*:"
+)
+
+
 def tidy(text: str) -> str:
     return rf"regexp_replace({text}, '\A[{WS}]+|[{WS};,.]+\z', '', 'g')"
 
@@ -314,7 +320,7 @@ def cues_sql(source: str, kept: str, billing: str = "") -> str:
                               'value': replace(split_part(p, chr(2), 2), chr(3), '')}}) AS segs
         FROM (SELECT *, string_split(regexp_replace(
                 replace(replace(replace(replace(coalesce(Note, ''), chr(1), ''), chr(2), ''), chr(3), ''), ':', ':' || chr(3)),
-                {literal(cues.LABEL_PATTERN)}, '\\1' || chr(1) || '\\2' || chr(2), 'g'), chr(1)) AS parts
+                {literal(LABEL)}, '\\1' || chr(1) || '\\2' || chr(2), 'g'), chr(1)) AS parts
               FROM ({source}) s) a) b) c) d"""
 
 

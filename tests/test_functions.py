@@ -164,7 +164,9 @@ CUES = [
     ("cough, background of asthma, allergy free", {
         "Chief_Complain": "cough, background of asthma", "Comorbidities": "background of asthma", "Allergy": "allergy free"}),
     ("No known drug allergies; Impression: Eczema, both hands", {"Allergy": "No known drug allergies", "Diagnosis": "Eczema, both hands"}),
-    ("a\u0001b\u0002c\u0003d", {"Chief_Complain": "abcd"}),
+    ("a\u0001b\u0002c", {"Chief_Complain": "abc"}),
+    ("(Dx:flu)Plan :rest", {"Chief_Complain": "(", "Diagnosis": "flu)", "Treatment_Plan": "rest"}),
+    ("xDx: a 5Plan: b éRx: c", {"Chief_Complain": "xDx: a 5Plan: b é", "Treatment_Plan": "c"}),
     (None, {}),
     ("  ", {}),
 ]
