@@ -216,13 +216,21 @@ def test_recent_documents_counts_from_the_instant(spark):
 
 
 def test_sources_read_the_same_star(spark, small, tmp_path):
-    spark.sql("CREATE DATABASE IF NOT EXISTS warehouse_copy")
+    """Files and catalog tables, one of them under another name."""
+    spark.sql(f"CREATE DATABASE star_copy LOCATION '{tmp_path}/catalog'")
     for name, df in small.star().items():
         typed = df.select(*[F.col(f.name).cast(f.dataType) for f in STAR_TABLES[name]])
         typed.write.parquet(f"{tmp_path}/{name}.parquet")
-        spark.read.parquet(f"{tmp_path}/{name}.parquet").createOrReplaceTempView(f"copy_{name}")
-    star = tables.star_from_parquet(spark, str(tmp_path))
-    assert cohort.cohort(star, START, END).count() == 45
+        table = "billing_lines" if name == "fact_billing" else name
+        spark.sql(f"CREATE TABLE star_copy.{table} USING parquet LOCATION '{tmp_path}/{name}.parquet'")
+    try:
+        for star in (
+            tables.star_from_parquet(spark, str(tmp_path)),
+            tables.star_from_catalog(spark, "star_copy", {"fact_billing": "billing_lines"}),
+        ):
+            assert cohort.cohort(star, START, END).count() == 45
+    finally:
+        spark.sql("DROP DATABASE star_copy CASCADE")
 
 
 def test_query_file(spark, small, tmp_path):
