@@ -71,7 +71,12 @@ def with_notes(billing: DataFrame, star: Star) -> DataFrame:
 
 
 def with_diagnosis(billing: DataFrame, star: Star) -> DataFrame:
-    return billing.join(star["dim_diagnosis"], "Episode_Key", "left")
+    return billing.join(_codes(star), "Episode_key", "left")
+
+
+def _codes(star: Star) -> DataFrame:
+    """The codes with their key spelled as in the other tables."""
+    return star["dim_diagnosis"].toDF("Episode_key", "ICDDiagnoseCode")
 
 
 def sharing_a_doctors_degree(staff: DataFrame) -> DataFrame:
@@ -83,14 +88,15 @@ def sharing_a_doctors_degree(staff: DataFrame) -> DataFrame:
 # --- de-duplication and limits --------------------------------------------------------
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str | Column], latest_first: Sequence[Column]) -> DataFrame:
+def keep_latest(
+    df: DataFrame, keys: Sequence[str | Column], latest_first: Sequence[Column]
+) -> DataFrame:
     """First row per key. The rank filter also runs before the shuffle, so a key sends at
     most one row per task however many rows it has."""
     order = Window.partitionBy(*keys).orderBy(*latest_first)
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
-
 def latest_first(date: str = "Service_Date") -> list[Column]:
     """Newest service first; the organization's name decides between equal dates."""
     return [F.desc_nulls_last(date), F.asc_nulls_last("ShortName")]
@@ -172,7 +178,7 @@ def with_documents(services: DataFrame, star: Star, ci: bool = False) -> DataFra
 
     episode_star = {
         "dim_clinical_notes": of_these(star["dim_clinical_notes"].filter("Note IS NOT NULL"), "Note"),
-        "dim_diagnosis": of_these(star["dim_diagnosis"], "ICDDiagnoseCode"),
+        "dim_diagnosis": of_these(_codes(star), "ICDDiagnoseCode"),
     }
     rows = with_diagnosis(with_notes(services, episode_star), episode_star)
     return rows.select(

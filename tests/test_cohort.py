@@ -152,8 +152,9 @@ def test_equals_the_late_deduplication(spark):
     assert sorted(map(tuple, late.collect()), key=repr) == sorted(map(tuple, early.collect()), key=repr)
 
 
-def test_a_hot_episode_is_split(spark):
-    """A third of all notes on one episode: the join reads it in several parts."""
+@pytest.fixture
+def small_partitions(spark):
+    """No broadcasts, and partitions small enough for the test's rows to count as skewed."""
     settings = {
         "spark.sql.shuffle.partitions": "64",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -161,21 +162,47 @@ def test_a_hot_episode_is_split(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
     }
     before = {key: spark.conf.get(key) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        notes = spark.range(0, 30000, 1, 16).select(
-            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("Episode_key"),
-            F.concat(F.lit("note "), F.sha2(F.col("id").cast("string"), 512)).alias("Note"),
-        )
-        billing = spark.range(0, 3000).select(F.col("id").alias("Episode_key"), F.lit(1).alias("x"))
-        joined = cohort.with_notes(billing, {"dim_clinical_notes": notes})
-        joined.collect()
-        assert "skewed" in plan_of(joined) and "skew=true" in plan_of(joined)
-        assert joined.count() == 10000 + sum(1 for i in range(3000) if i % 3)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def hot_notes(spark):
+    """30,000 notes, a third of them on episode 1, half of those copies of one note."""
+    own = F.concat(F.lit("note "), F.sha2(F.col("id").cast("string"), 512))
+    return spark.range(0, 30000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("Episode_key"),
+        F.when(F.col("id") % 6 == 0, F.repeat(F.lit("same note "), 14)).otherwise(own).alias("Note"),
+    )
+
+
+def test_a_hot_episode_is_split(spark, small_partitions):
+    billing = spark.range(0, 3000).select(F.col("id").alias("Episode_key"), F.lit(1).alias("x"))
+    joined = cohort.with_notes(billing, {"dim_clinical_notes": hot_notes(spark)})
+    joined.collect()
+    assert "skewed" in plan_of(joined) and "skew=true" in plan_of(joined)
+    assert joined.count() == 10000 + sum(1 for i in range(3000) if i % 3)
+
+
+def test_a_hot_episode_is_split_in_the_cohort(spark, small_partitions):
+    services = spark.range(0, 3000).select(
+        F.lit(day(1)).cast("timestamp_ntz").alias("Service_Date"),
+        F.lit("Dr A").alias("Staff_name"),
+        F.col("id").alias("patient_id"),
+        F.col("id").alias("Episode_key"),
+        F.lit("Main").alias("ShortName"),
+    )
+    codes = spark.createDataFrame([(1, "J45"), (1, "J45"), (1, "K21")], STAR_TABLES["dim_diagnosis"])
+    star = {"dim_clinical_notes": hot_notes(spark), "dim_diagnosis": codes}
+    rows = cohort.with_documents(services, star)
+    found = rows.collect()
+    assert "skew=true" in plan_of(rows)
+    hot = [r for r in found if r.Episode_key == 1]
+    # 5,000 notes of its own and the one that 5,000 copies share, plus note 1 itself
+    assert len(hot) == 2 * (5000 + 1 + 1)
+    assert len(found) - len(hot) == sum(1 for i in range(3000) if i % 3) - 1
 
 
 def test_rank_filter_runs_before_the_shuffle(small):
