@@ -1,9 +1,12 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from noteloom.llm import warc, winnowing
+from noteloom.llm import huffman, packing, toxicity, warc, winnowing
 
 QUERIES = {
     "op2_winnowing": winnowing.op2_winnowing,
+    "op7_packing": packing.op7_packing,
+    "op8_toxicity": toxicity.op8_toxicity,
+    "op9_huffman": huffman.op9_huffman,
     "op10_warc": warc.op10_warc,
 }
 

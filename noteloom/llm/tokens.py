@@ -5,44 +5,72 @@ its pieces in order. Each piece still goes through the tokenizers library; a pie
 is looked up. The memo of a worker is emptied when it is full.
 """
 
+import os
 from array import array
 
 import numpy as np
 
 from noteloom.llm.common import worker_state
 
-MEMO_PIECES = 300_000
+MEMO_PIECES = 500_000
+PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers in bytes."""
 
     def __init__(self, path: str, memo: int = MEMO_PIECES):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo, self.limit = {}, memo
+        self.memo, self.tails, self.limit = {}, {}, memo
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.memo) + len(pieces) > self.limit:
-            self.memo.clear()
-        missing = list(pieces)
-        for first in range(0, len(missing), 4096):
-            part = missing[first : first + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo[piece] = array("I", found.ids).tobytes()
+        """A word and the punctuation after it are cut apart anyway, so each is learned once."""
+        memo, words, split, other = self.memo, set(), [], []
+        for piece in pieces:
+            word = piece.rstrip(PUNCTUATION)
+            if not word[self.lead :].isalpha() or not piece.startswith(self.before):
+                other.append(piece)
+                continue
+            if word not in memo:
+                words.add(word)
+            if len(word) < len(piece):
+                split.append((piece, word, piece[len(word) :]))
+        words = list(words)
+        for first in range(0, len(words), 512):
+            self._learn_words(words[first : first + 512])
+        for piece, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            memo[piece] = array("I", found.ids).tobytes()
+        for piece, word, tail in split:
+            if tail not in self.tails:
+                self.tails[tail] = array("I", self.tokenizer.encode(tail, add_special_tokens=False).ids).tobytes()
+            memo[piece] = memo[word] + self.tails[tail]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode words as one text and deal its ids out by the word that each belongs to."""
+        found = self.tokenizer.encode(self.between.join(words), add_special_tokens=False)
+        numbers = np.array(found.word_ids, dtype=np.int64)
+        ids = np.array(found.ids, dtype="<u4").tobytes()
+        if not len(numbers) or numbers[-1] != len(words) - 1:
+            for word in words:  # some word was cut in another way
+                self.memo[word] = self.plain(word)
+            return
+        cuts = (4 * np.searchsorted(numbers, np.arange(len(words) + 1))).tolist()
+        self.memo.update((w, ids[low:high]) for w, low, high in zip(words, cuts, cuts[1:], strict=False))
+
+    lead, before, between = 0, "", ""
 
     def _joined(self, pieces: list[str]) -> bytes:
-        memo = self.memo
-        try:
-            return b"".join([memo[p] for p in pieces])
-        except KeyError:
-            self._learn({p for p in pieces if p not in memo})
-        try:
-            return b"".join([self.memo[p] for p in pieces])
-        except KeyError:  # the memo was emptied meanwhile
-            self._learn(set(pieces))
-            return b"".join([self.memo[p] for p in pieces])
+        missing = set(pieces).difference(self.memo)
+        if missing:
+            if len(self.memo) + len(missing) > self.limit:
+                self.memo.clear()
+                self.tails.clear()
+                missing = set(pieces)
+            self._learn(missing)
+        return b"".join(map(self.memo.__getitem__, pieces))
 
     def plain(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -70,6 +98,8 @@ class ByteEncoder(Encoder):
         first, *rest = text.split(" ")
         return [first, *[" " + word for word in rest]]
 
+    lead, before, between = 1, " ", ""
+
 
 class WordEncoder(Encoder):
     """BPE on lower-cased words without white space: any white space ends a piece.
@@ -80,6 +110,8 @@ class WordEncoder(Encoder):
     def pieces(self, text: str) -> list[str]:
         return text.replace("\n", " ").split(" ")
 
+    lead, before, between = 0, "", " "
+
 
 def encoder(kind: type[Encoder], path: str) -> Encoder:
     """This worker's encoder for a vocabulary file."""
