@@ -1,9 +1,11 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from noteloom.llm import huffman, packing, toxicity, warc, winnowing
+from noteloom.llm import huffman, multi_index, packing, simhash, toxicity, warc, winnowing
 
 QUERIES = {
     "op2_winnowing": winnowing.op2_winnowing,
+    "op4_multi_index": multi_index.op4_multi_index,
+    "op5_simhash": simhash.op5_simhash,
     "op7_packing": packing.op7_packing,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_huffman": huffman.op9_huffman,

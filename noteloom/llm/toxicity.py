@@ -37,7 +37,7 @@ FOLDS = 5
 REACH = 4  # words over which a negation, report or target acts
 STEM = (4, 9)  # letters of a stem
 LEAST_ROWS = 5  # toxic rows that a learned word or stem needs
-LEAST_ODDS = 2.5  # and by how much (natural log of odds) it points to them
+LEAST_ODDS = 3.0  # and by how much (natural log of odds) it points to them
 
 # Seed words of the classes.
 SEED = {
