@@ -1,8 +1,9 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from noteloom.llm import huffman, multi_index, packing, simhash, toxicity, warc, winnowing
+from noteloom.llm import huffman, multi_index, packing, pii, simhash, toxicity, warc, winnowing
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_winnowing": winnowing.op2_winnowing,
     "op4_multi_index": multi_index.op4_multi_index,
     "op5_simhash": simhash.op5_simhash,
