@@ -1,16 +1,20 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from noteloom.llm import huffman, multi_index, packing, pii, simhash, toxicity, warc, winnowing
+from noteloom.llm import huffman, lm, mixing, multi_index, packing, pii, simhash, toxicity, warc, winnowing
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_winnowing": winnowing.op2_winnowing,
+    "op3_mixing": mixing.op3_mixing,
     "op4_multi_index": multi_index.op4_multi_index,
     "op5_simhash": simhash.op5_simhash,
+    "op6_lm": lm.op6_lm,
     "op7_packing": packing.op7_packing,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_huffman": huffman.op9_huffman,
     "op10_warc": warc.op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_mixing": mixing.oracle(),
+}
