@@ -5,6 +5,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noteloom import contract as C
 from noteloom.session import stored
@@ -81,7 +82,7 @@ def _codes(star: Star) -> DataFrame:
 
 def sharing_a_doctors_degree(staff: DataFrame) -> DataFrame:
     """Staff whose degree is also held by someone in a doctor category."""
-    degrees = staff.filter(mentions_doctor(F.col("category_desc"))).select("degree_key")
+    degrees = staff.filter(mentions_doctor(F.col("category_desc"))).select("degree_key").distinct()
     return staff.join(degrees, "degree_key", "left_semi")
 
 
@@ -114,11 +115,21 @@ def newest_rows(cohort: DataFrame, n: int | None) -> DataFrame:
     return cohort.orderBy(*newest_first(cohort)).limit(n) if n else cohort
 
 
-def nth_newest(df: DataFrame, date: str, n: int) -> dt.datetime | None:
-    """The n-th newest date, or None if there are fewer. Reads and sends dates alone."""
+def nth_newest(df: DataFrame, date: str, n: int) -> Column | None:
+    """The n-th newest date as a literal of the column's type, or None if there are fewer.
+
+    Reads and sends dates alone. The date comes to the driver as text or, where it is an
+    instant, as a number: a Python date would be read in the driver's time zone.
+    """
+    kind = df.schema[date].dataType
+    instant = isinstance(kind, T.TimestampType)
+    value = F.unix_micros(F.min(date)) if instant else F.min(date).cast("string")
     newest = df.select(date).orderBy(F.desc_nulls_last(date)).limit(n)
-    found = newest.agg(F.count(date).alias("dates"), F.min(date).alias("oldest")).first()
-    return found["oldest"] if found["dates"] == n else None
+    found = newest.agg(F.count(date).alias("dates"), value.alias("oldest")).first()
+    if found["dates"] < n:
+        return None
+    oldest = F.lit(found["oldest"])
+    return F.timestamp_micros(oldest) if instant else oldest.cast(kind)
 
 
 # --- the cohort -----------------------------------------------------------------------
@@ -215,7 +226,7 @@ def cohort(
         dated = services.join(with_a_note.distinct(), "Episode_key", "left_semi")
         oldest = nth_newest(dated, "Service_Date", newest)
         if oldest is not None:
-            recent = services.filter(in_window(F.col("Service_Date"), oldest, None))
+            recent = services.filter(F.col("Service_Date") >= oldest)
             services = stored(recent, "newest-services")
     return newest_rows(with_documents(services, star, ci), newest)
 
@@ -232,5 +243,5 @@ def recent_documents(
     recent = documentation.filter(in_window(F.col(date), as_of - dt.timedelta(days=days), None))
     oldest = nth_newest(recent, date, n)
     if oldest is not None:
-        recent = recent.filter(in_window(F.col(date), oldest, None))
+        recent = recent.filter(F.col(date) >= oldest)
     return recent.orderBy(F.desc_nulls_last(date), *ties).limit(n)

@@ -4,9 +4,34 @@ from collections.abc import Mapping
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from noteloom.schemas import STAR_TABLES
 
+# Table -> column of the star schema -> what the warehouse calls it, where that differs.
+WAREHOUSE_COLUMNS = {"dim_patient_episode_type": {"Unified_ShortName": "Unified ShortName"}}
+Columns = Mapping[str, Mapping[str, str]]
+
+
+def as_star_table(df: DataFrame, name: str, columns: Columns | None = None) -> DataFrame:
+    """``df`` with the columns and types of a star-schema table.
+
+    ``columns`` maps, per table, a star-schema column to its name in ``df``. Without it the
+    warehouse's own names are looked for where the star schema's are missing.
+    """
+    given = (columns or {}).get(name, {})
+    usual = WAREHOUSE_COLUMNS.get(name, {})
+    present = {c.lower() for c in df.columns}
+
+    def source(column: str) -> str:
+        if column in given:
+            return given[column]
+        return column if column.lower() in present else usual.get(column, column)
+
+    return df.select(
+        *[F.col(f"`{source(f.name)}`").cast(f.dataType).alias(f.name) for f in STAR_TABLES[name]]
+    )
+
 
 def star_from_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """One parquet table per star-schema name under ``folder``."""
@@ -17,13 +42,20 @@ def star_from_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def star_from_catalog(
-    spark: SparkSession, database: str, names: Mapping[str, str] | None = None
+    spark: SparkSession,
+    database: str,
+    names: Mapping[str, str] | None = None,
+    columns: Columns | None = None,
 ) -> dict[str, DataFrame]:
-    """Catalog tables; ``names`` maps a star-schema name to a differently named table."""
+    """Catalog tables in the star schema's columns and types.
+
+    ``names`` maps a star-schema name to a differently named table, ``columns`` columns of
+    it. A timestamp with time zone becomes the local time of the session's zone.
+    """
     names = names or {}
     return {
-        name: spark.table(f"{database}.{names.get(name, name)}").select(*schema.fieldNames())
-        for name, schema in STAR_TABLES.items()
+        name: as_star_table(spark.table(f"{database}.{names.get(name, name)}"), name, columns)
+        for name in STAR_TABLES
     }
 
 
@@ -32,8 +64,9 @@ def star_from_jdbc(
     connection: Mapping[str, str],
     tables: Mapping[str, str],
     split: Mapping[str, Mapping[str, str]] | None = None,
+    columns: Columns | None = None,
 ) -> dict[str, DataFrame]:
-    """Tables of a database. ``connection`` holds the reader's options (url, user, ...).
+    """Tables of a database in the star schema's columns and types. ``connection`` holds the reader's options (url, user, ...).
 
     ``tables`` gives the database name of each table. ``split`` gives, per table, the
     options partitionColumn, lowerBound, upperBound and numPartitions, without which a
@@ -41,10 +74,14 @@ def star_from_jdbc(
     """
     split = split or {}
     return {
-        name: spark.read.format("jdbc")
-        .options(**connection, dbtable=tables[name], **split.get(name, {}))
-        .load()
-        .select(*STAR_TABLES[name].fieldNames())
+        name: as_star_table(
+            spark.read.format("jdbc")
+            .option("preferTimestampNTZ", "true")  # the database's local times, as they stand
+            .options(**connection, dbtable=tables[name], **split.get(name, {}))
+            .load(),
+            name,
+            columns,
+        )
         for name in tables
     }
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from conftest import plan_of
@@ -35,6 +36,41 @@ DIMENSIONS = {
 }
 
 
+@pytest.fixture
+def riyadh(monkeypatch):
+    """The driver's own time zone, apart from the session's."""
+    monkeypatch.setenv("TZ", "Asia/Riyadh")
+    time.tzset()
+    yield
+    monkeypatch.undo()
+    time.tzset()
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_top_n_of_any_kind_of_date_in_any_time_zone(spark, riyadh, kind):
+    dates = spark.range(10).selectExpr("id", f"CAST(CAST(date_add(DATE '2024-05-01', CAST(id AS INT)) AS TIMESTAMP) AS {kind}) AS Visit_Date")
+    rows = cohort.recent_documents(dates, dt.datetime(2024, 5, 20), n=5).collect()
+    assert [r.id for r in rows] == [9, 8, 7, 6, 5]
+
+
+def test_newest_of_a_star_with_instants(spark, riyadh):
+    billing = [(day(n, 1), 7, 100 + n, 1, 1, 1, 1) for n in range(1, 11)]
+    notes = [(100 + n, f"note {n}") for n in range(1, 11)]
+    star = star_of(spark, fact_billing=billing, dim_clinical_notes=notes, **DIMENSIONS)
+    ntz = F.col("Service_Date").cast("string").cast("timestamp")
+    star["fact_billing"] = star["fact_billing"].withColumn("Service_Date", ntz)
+    assert cohort.cohort(star, newest=5).count() == 5
+
+
+def test_columns_and_types_of_a_warehouse(spark):
+    own = spark.createDataFrame([("3", "OPD")], "PatientEpisodeType_Key string, `Unified ShortName` string")
+    found = tables.as_star_table(own, "dim_patient_episode_type")
+    assert found.schema == STAR_TABLES["dim_patient_episode_type"] and found.first()[:] == (3, "OPD")
+    other = own.withColumnsRenamed({"Unified ShortName": "kind", "PatientEpisodeType_Key": "id"})
+    names = {"dim_patient_episode_type": {"Unified_ShortName": "kind", "PatientEpisodeType_Key": "id"}}
+    assert tables.as_star_table(other, "dim_patient_episode_type", names).first()[:] == (3, "OPD")
+
+
 def cohort_rows(spark, billing, notes, codes=(), **options):
     star = star_of(
         spark, fact_billing=billing, dim_clinical_notes=notes, dim_diagnosis=codes, **DIMENSIONS
