@@ -69,14 +69,27 @@ def balanced_span(text, brackets):
 
 
 def line_span(text):
-    """The array or object found from the first line that begins like one."""
-    offset = 0
+    """The array or object found from the first line that begins like one.
+
+    Brackets are counted once, not again from every line: an object reaches from its line to
+    the last closing bracket, and an array that is not found from one line, for want of a
+    closing bracket, is not found from a later one.
+    """
+    last = text.rfind("}")
+    opened, closed = (text.count(bracket, 0, last + 1) for bracket in "{}")
+    offset, arrays = 0, True
     for line in text.split("\n"):
         first = line.strip()[:1]
-        if first in ("[", "{"):
-            span = (array_span if first == "[" else object_span)(text[offset:])
+        start = offset + line.find(first) if first else offset
+        if first == "[" and arrays:
+            span = array_span(text[offset:])
             if span:
                 return span
+            arrays = False
+        elif first == "{" and start < last and opened == closed:
+            return text[start : last + 1]
+        opened -= line.count("{")
+        closed -= line.count("}")
         offset += len(line) + 1
     return None
 
@@ -212,11 +225,13 @@ def _is_extra(entry: Column) -> Column:
 
 def normalized(entries: Column) -> list[Column]:
     """The seven fields as text, the extra keys joined into one column, and the flags."""
-    texts = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], e["text"])))
-    fields = [
-        F.coalesce(F.element_at(texts, F.lit(field)), F.lit("")).alias(field)
-        for field in C.FIELDS
-    ]
+
+    def text_of(field):
+        # No map of the entries: two keys that differ in half a surrogate pair only are equal here.
+        found = F.filter(entries, lambda e: e["key"] == field)
+        return F.coalesce(F.get(found, F.lit(0))["text"], F.lit("")).alias(field)
+
+    fields = [text_of(field) for field in C.FIELDS]
     extra = F.array_join(
         F.transform(
             F.filter(entries, _is_extra), lambda e: F.concat(e["key"], F.lit(": "), e["text"])

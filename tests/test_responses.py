@@ -1,6 +1,6 @@
 """The repair ladder case by case, and the parts of it against plain definitions."""
 
-import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -101,16 +101,49 @@ def test_half_a_surrogate_pair_is_storable(spark):
     assert row.Diagnosis == "a?b"
 
 
-NESTED_ARRAY = re.compile(r"\[(?:[^\[\]]|\[[^\[\]]*\])*\]", re.DOTALL)
+def test_keys_that_differ_in_half_a_pair_only(spark):
+    for raw in ('{"\\ud800":"a","\\ud801":"b","Diagnosis":"c"}', '{"\\ud800":"a","?":"b","Diagnosis":"c"}'):
+        [row] = _normalized(spark, raw)
+        assert (row.Diagnosis, row.Plan_Text) == ("c", "?: a; ?: b")
+
+
+def closed_arrays(text):
+    """(start, end, depth) of every `[` with its closing `]`."""
+    for start, character in enumerate(text):
+        level = deepest = 0
+        for end in range(start, len(text)) if character == "[" else ():
+            level += (text[end] == "[") - (text[end] == "]")
+            deepest = max(deepest, level)
+            if not level:
+                yield start, end + 1, deepest
+                break
 
 
 @given(st.text(alphabet="[]ab\n", max_size=40))
 @settings(max_examples=2000, deadline=None)
 def test_array_span_is_the_leftmost_shallow_array(text):
-    match = NESTED_ARRAY.search(text)
+    shallow = [text[a:b] for a, b, depth in closed_arrays(text) if depth <= 2]
     first, last = text.find("["), text.rfind("]")
     outer = text[first : last + 1] if first != -1 and last > first else None
-    assert R.array_span(text) == (match.group() if match else outer)
+    assert R.array_span(text) == (shallow[0] if shallow else outer)
+
+
+@given(st.text(alphabet="{}[] a\n", max_size=40))
+@settings(max_examples=2000, deadline=None)
+def test_line_span_is_that_of_the_first_line_that_has_one(text):
+    lines, found = text.split("\n"), None
+    for i, line in enumerate(lines):
+        rest = "\n".join(lines[i:])
+        span = {"[": R.array_span, "{": R.object_span}.get(line.strip()[:1], lambda rest: None)(rest)
+        found = found or span
+    assert R.line_span(text) == found
+
+
+def test_a_long_response_of_open_braces_is_quick():
+    began = time.perf_counter()
+    for text in ("{x\n" * 350_000, "[x\n" * 350_000, "{x\n" * 350_000 + "}"):
+        assert R.parse(text) == (0, [])
+    assert time.perf_counter() - began < 5
 
 
 @given(st.text(alphabet="{}ab\n", max_size=30))
