@@ -4,7 +4,7 @@ import re
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noteloom import contract as C
@@ -20,11 +20,11 @@ def _any_of(words) -> str:
 
 
 ALL_LABELS = [label for labels in C.FIELD_LABELS.values() for label in labels]
-_FIRST_LETTERS = "".join(sorted({label[0].lower() for label in ALL_LABELS}))
-# The letter is looked at first: most characters fail there, before any label is tried.
-LABEL_PATTERN = (
-    rf"(?i)(?=[{_FIRST_LETTERS}])(?<![A-Za-z0-9])({_any_of(ALL_LABELS)})[ \t]*:"
-)
+_LONGEST_LABEL = max(map(len, ALL_LABELS))
+# A label stands right before a colon: it is looked for there alone, in the few characters that
+# it can have and the one before it.
+LABEL_AT_END = rf"(?i)(?<![A-Za-z0-9])({_any_of(ALL_LABELS)})\z"
+_BLANKS = " \t"
 ALLERGY_PATTERN = rf"(?i)(^|[^A-Za-z])({_any_of(C.ALLERGY_CUES)})($|[^A-Za-z])"
 EXAMINATION_PATTERN = rf"(?i)(^|[^A-Za-z])({_any_of(C.EXAMINATION_CUES)})($|[^A-Za-z])"
 KNOWN_CASE_PATTERN = rf"(?i)(^|[^A-Za-z])((?:{_any_of(C.KNOWN_CASE_CUES)}) [^;.,\n]+)"
@@ -36,19 +36,21 @@ COMPLETION_PATTERN = rf"(?i)(^|[^A-Za-z])({_any_of(C.COMPLETION_CUES)})($|[^A-Za
 
 # Bare cues of each field, looked for in the lead and in the segments of other fields. Beside
 # each pattern stands a hint that every match satisfies: plain words, one of which is in the
-# lowered text, or a short pattern. Most texts fail the hint, which costs far less to find out.
+# lowered text, or a short pattern. Hints are tried on the whole note first; most notes fail
+# them all, which costs far less to find out, and are not searched any further.
 BARE_CUES = {
     "History": ((KNOWN_CASE_PATTERN, C.KNOWN_CASE_CUES), (OBSTETRIC_PATTERN, "[PG][0-9]")),
     "Allergy": ((ALLERGY_PATTERN, ("nk", "allerg")),),
     "Comorbidities": ((BACKGROUND_PATTERN, C.BACKGROUND_CUES),),
     "Clinical_Examination": ((EXAMINATION_PATTERN, C.EXAMINATION_CUES),),
 }
+_CUES = [(f"{name}_{i}", *cue) for name, cues in BARE_CUES.items() for i, cue in enumerate(cues)]
 
 
-def _hinted(part: Column, hint: str | tuple[str, ...]) -> Column:
+def _hinted(text: Column, lowered: Column, hint: str | tuple[str, ...]) -> Column:
     if isinstance(hint, str):
-        return F.rlike(part["raw"], F.lit(hint))
-    return reduce(or_, [F.contains(part["lowered"], F.lit(word.lower())) for word in hint])
+        return F.rlike(text, F.lit(hint))
+    return reduce(or_, [F.contains(lowered, F.lit(word.lower())) for word in hint])
 
 
 def _tidy(text: Column) -> Column:
@@ -64,6 +66,24 @@ def _without_marks(note: Column) -> Column:
     return F.when(marked, F.translate(note, SEGMENT + VALUE, "")).otherwise(note)
 
 
+def _with_label_marked(piece: Column) -> Column:
+    """The text before a colon, with marks around the label it ends in, or with its colon."""
+    trimmed = F.rtrim(piece, F.lit(_BLANKS))
+    label = F.regexp_extract(F.right(trimmed, F.lit(_LONGEST_LABEL + 1)), LABEL_AT_END, 1)
+    before = F.substring(trimmed, F.lit(1), F.length(trimmed) - F.length(label))
+    marked = F.concat(before, F.lit(SEGMENT), label, F.lit(VALUE))
+    return F.when(label != "", marked).otherwise(F.concat(piece, F.lit(":")))
+
+
+def _marked(plain: Column) -> Column:
+    pieces = F.split(plain, ":")
+    last = F.size(pieces)
+    ends = F.transform(F.slice(pieces, F.lit(1), last - 1), _with_label_marked)
+    return F.when(
+        F.contains(plain, F.lit(":")), F.concat(F.array_join(ends, ""), F.get(pieces, last - 1))
+    ).otherwise(plain)
+
+
 def _cut(part: Column, i: Column) -> Column:
     """One part of the marked text as struct<label, raw>; the part before any label has none."""
     label = F.when(i > 0, F.substring_index(part, VALUE, 1))
@@ -71,48 +91,56 @@ def _cut(part: Column, i: Column) -> Column:
 
 
 def _described(part: Column) -> Column:
-    """The part with its field, its text in lower case, and its text as a field value."""
+    """The part with its field and its text as a field value."""
     label, text = part["label"], part["raw"]
     field = F.lit(None).cast("string")
     for name, labels in C.FIELD_LABELS.items():
         field = F.when(F.lower(label).isin(*[x.lower() for x in labels]), name).otherwise(field)
     return F.struct(
-        field.alias("field"),
-        label.alias("label"),
-        text.alias("raw"),
-        F.lower(text).alias("lowered"),
-        _tidy(text).alias("value"),
+        field.alias("field"), label.alias("label"), text.alias("raw"), _tidy(text).alias("value")
     )
 
 
-def _searched(part: Column) -> Column:
-    """The part with what each pattern finds in it."""
-    found = [part[c].alias(c) for c in ("field", "label", "raw", "value")]
-    for name, cues in BARE_CUES.items():
-        for i, (pattern, hint) in enumerate(cues):
-            matches = F.when(_hinted(part, hint), _found(part["raw"], pattern))
-            found.append(matches.otherwise(F.array()).alias(f"{name}_{i}"))
-    return F.struct(*found)
+def _searched(hints: Column):
+    """For a part: what each pattern finds in it, as far as the note's hints allow any."""
+
+    def of(part: Column) -> Column:
+        found = [part[c].alias(c) for c in ("field", "label", "raw", "value")]
+        for name, pattern, hint in _CUES:
+            here = hints[name] & _hinted(part["raw"], F.lower(part["raw"]), hint)
+            found.append(F.when(here, _found(part["raw"], pattern)).otherwise(F.array()).alias(name))
+        return F.struct(*found, hints["completion"].alias("may_be_completed"))
+
+    return of
+
 
+def plain_note(note: Column) -> Column:
+    return _without_marks(or_empty(note))
 
-def segments(note: Column) -> Column:
+
+def note_hints(plain: Column, lowered: Column) -> Column:
+    """struct of booleans: which cues the note can hold."""
+    hints = [_hinted(plain, lowered, hint).alias(name) for name, _, hint in _CUES]
+    return F.struct(*hints, _hinted(plain, lowered, C.COMPLETION_CUES).alias("completion"))
+
+
+def segments(plain: Column, hints: Column) -> Column:
     """array<struct<field, label, raw, value, ...>>, one element per segment, and the text
     before any label first. What the bare-cue patterns find in a segment stands in
     ``<field>_0``, ``<field>_1``."""
-    plain = _without_marks(or_empty(note))
-    marked = F.regexp_replace(plain, LABEL_PATTERN, f"{SEGMENT}$1{VALUE}")
-    parts = F.split(marked, SEGMENT)
+    parts = F.split(_marked(plain), SEGMENT)
     # One step per function: what a step computes, the next one reads several times.
-    for step in (_cut, _described, _searched):
+    for step in (_cut, _described, _searched(hints)):
         parts = F.transform(parts, step)
     return parts
 
 
 def lead(parts: Column) -> Column:
     """Text before the first label, without the allergy and examination cues in it."""
-    text = parts[0]["raw"]
-    for pattern in (ALLERGY_PATTERN, EXAMINATION_PATTERN):
-        text = F.regexp_replace(text, pattern, "$1$3")
+    first = parts[0]
+    text = first["raw"]
+    for name, pattern in (("Allergy_0", ALLERGY_PATTERN), ("Clinical_Examination_0", EXAMINATION_PATTERN)):
+        text = F.when(F.size(first[name]) > 0, F.regexp_replace(text, pattern, "$1$3")).otherwise(text)
     return _tidy(text)
 
 
@@ -131,6 +159,22 @@ def _bare(parts: Column, field: str) -> list[Column]:
     return [F.flatten(others[name]) for name in found]
 
 
+def with_cues(notes: DataFrame, note: str, parts: str = "_parts", lead_text: str = "_lead") -> DataFrame:
+    """``notes`` with the segments and the lead of each, column by column: what one step
+    computes, the next one reads several times."""
+    steps = {
+        "_plain": plain_note(F.col(note)),
+        "_lowered": F.lower(F.col("_plain")),
+        "_hints": note_hints(F.col("_plain"), F.col("_lowered")),
+        parts: segments(F.col("_plain"), F.col("_hints")),
+        lead_text: lead(F.col(parts)),
+    }
+    found = notes
+    for name, column in steps.items():
+        found = found.withColumn(name, column)
+    return found.drop("_plain", "_lowered", "_hints")
+
+
 def cue_fields(
     parts: Column,
     lead_text: Column,
@@ -138,7 +182,11 @@ def cue_fields(
     billing_code: Column | None = None,
 ) -> list[Column]:
     """The seven fields from the segments and the lead of a note."""
-    is_procedure = (F.size(parts) == 1) & F.rlike(lead_text, F.lit(COMPLETION_PATTERN))
+    is_procedure = (
+        (F.size(parts) == 1)
+        & parts[0]["may_be_completed"]
+        & F.rlike(lead_text, F.lit(COMPLETION_PATTERN))
+    )
     nothing = F.array().cast("array<string>")
     lead_list = F.when(lead_text != "", F.array(lead_text)).otherwise(nothing)
 

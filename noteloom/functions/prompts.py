@@ -39,6 +39,11 @@ def prompt_text(
     )
 
 
+def prompt_digest(system: Column, prompt: Column) -> Column:
+    """What a response has to answer, in 64 letters: both prompts, with a mark between them."""
+    return F.sha2(F.concat(system, F.lit("\u0000"), prompt), 256)
+
+
 def response_token_budget(prompt: Column) -> Column:
     estimated = F.floor(F.length(prompt) / C.CHARS_PER_TOKEN)
     return F.least(

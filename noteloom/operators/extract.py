@@ -1,7 +1,5 @@
 """Prompts to responses: a model behind a callable, or the cue rules."""
 
-import json
-import math
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -12,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from noteloom import contract as C
-from noteloom.functions.cues import cue_fields, lead, segments
+from noteloom.functions.cues import cue_fields, with_cues
+from noteloom.functions.prompts import prompt_digest
 from noteloom.functions.responses import parse
 from noteloom.schemas import RESPONSES
 
@@ -39,11 +38,15 @@ class CallSettings:
     system_prompt: str = C.SYSTEM_PROMPT
 
     def tasks(self, default: int) -> int:
-        """Tasks to call from. Each calls at most once per delay, which bounds the rate."""
-        tasks = self.parallelism or default
-        if self.max_batches_per_second is not None:
-            tasks = min(tasks, math.floor(self.max_batches_per_second * self.rate_limit_seconds))
-        return max(1, tasks)
+        """Tasks to call from."""
+        return max(1, self.parallelism or default)
+
+    def delay(self, tasks: int) -> float:
+        """Seconds from one call of a task to its next, retries included: with it, ``tasks``
+        tasks together keep to ``max_batches_per_second``."""
+        if self.max_batches_per_second is None:
+            return self.rate_limit_seconds
+        return max(self.rate_limit_seconds, tasks / self.max_batches_per_second)
 
 
 def _failure(text: str | None, extras: str) -> str | None:
@@ -65,8 +68,21 @@ def _failure(text: str | None, extras: str) -> str | None:
     return None
 
 
-def _attempts(backend: Backend, batch: dict, settings: CallSettings) -> Iterator[dict]:
+class _Pace:
+    """Lets one task call once per delay."""
+
+    def __init__(self, delay: float):
+        self.delay, self.next = delay, 0.0
+
+    def wait(self, pause: float = 0.0) -> None:
+        """Until the next call is due, and at least ``pause`` seconds."""
+        time.sleep(max(pause, self.next - time.monotonic(), 0.0))
+        self.next = time.monotonic() + self.delay
+
+
+def _attempts(backend: Backend, batch: dict, settings: CallSettings, pace: _Pace) -> Iterator[dict]:
     for attempt in range(1, settings.max_attempts + 1):
+        pace.wait(settings.backoff_seconds * 2 ** (attempt - 2) if attempt > 1 else 0.0)
         began = time.monotonic()
         try:
             reply = backend(settings.system_prompt, batch["user_prompt"], batch["max_tokens"])
@@ -76,6 +92,7 @@ def _attempts(backend: Backend, batch: dict, settings: CallSettings) -> Iterator
             reply, error = Reply(None), f"{type(problem).__name__}: {problem}"
         yield {
             "batch_id": batch["batch_id"],
+            "prompt_digest": batch["prompt_digest"],
             "attempt": attempt,
             "raw": reply.text,
             "error": error,
@@ -85,8 +102,6 @@ def _attempts(backend: Backend, batch: dict, settings: CallSettings) -> Iterator
         }
         if error is None:
             return
-        if attempt < settings.max_attempts:
-            time.sleep(settings.backoff_seconds * 2 ** (attempt - 1))
 
 
 def call_backend(
@@ -102,21 +117,21 @@ def call_backend(
         raise ValueError("spark.speculation repeats calls; turn it off for this job")
     schema = to_arrow_schema(RESPONSES)
 
+    # A stated number of partitions, as by their size alone a few would hold all prompts; by a
+    # hash, as a repartition by batch_id is dropped where the prompts are grouped by it already.
+    tasks = settings.tasks(spark.sparkContext.defaultParallelism)
+    delay = settings.delay(tasks)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = True
+        pace = _Pace(delay)
         for record_batch in batches:
             for batch in record_batch.to_pylist():
-                if not first:
-                    time.sleep(settings.rate_limit_seconds)
-                first = False
-                rows = list(_attempts(backend, batch, settings))
+                rows = list(_attempts(backend, batch, settings, pace))
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    # A stated number of partitions, as by their size alone a few would hold all prompts; by a
-    # hash, as a repartition by batch_id is dropped where the prompts are grouped by it already.
-    tasks = settings.tasks(spark.sparkContext.defaultParallelism)
+    digest = prompt_digest(F.lit(settings.system_prompt), F.col("user_prompt"))
     return (
-        prompts.select("batch_id", "user_prompt", "max_tokens")
+        prompts.select("batch_id", digest.alias("prompt_digest"), "user_prompt", "max_tokens")
         .repartition(tasks, F.xxhash64("batch_id"))
         .mapInArrow(run, RESPONSES)
     )
@@ -132,9 +147,30 @@ def as_responses(df: DataFrame) -> DataFrame:
     )
 
 
+ANSWERED = ["batch_id", "prompt_digest"]
+
+
 def pending(prompts: DataFrame, responses: DataFrame) -> DataFrame:
-    """Prompts whose batch has no response yet, so that a rerun does not pay twice."""
-    return prompts.join(responses.select("batch_id"), "batch_id", "left_anti")
+    """Prompts without a good response to exactly them: a rerun pays neither twice for an
+    answer nor accepts that of other notes, and calls again what failed."""
+    good = responses.filter(F.col("error").isNull() & F.col("raw").isNotNull())
+    return prompts.join(good.select(*ANSWERED), ANSWERED, "left_anti")
+
+
+def answers_to(prompts: DataFrame, responses: DataFrame) -> DataFrame:
+    """Responses to exactly these prompts."""
+    return _with_digest(responses).join(prompts.select(*ANSWERED), ANSWERED, "left_semi")
+
+
+def unmatched(prompts: DataFrame, responses: DataFrame) -> DataFrame:
+    """Responses to anything else, such as the notes of another day."""
+    return _with_digest(responses).join(prompts.select(*ANSWERED), ANSWERED, "left_anti")
+
+
+def _with_digest(responses: DataFrame) -> DataFrame:
+    if "prompt_digest" not in responses.columns:
+        raise ValueError("responses need a prompt_digest: their batch numbers alone could be another run's")
+    return responses
 
 
 def cue_records(
@@ -145,21 +181,5 @@ def cue_records(
 ) -> DataFrame:
     """The seven fields of every note by its labels and cues; other columns are kept."""
     name, code = (F.col(c) if c else None for c in (billing_name, billing_code))
-    parts = notes.withColumn("_parts", segments(F.col(note)))
-    parts = parts.withColumn("_lead", lead(F.col("_parts")))
+    parts = with_cues(notes, note)
     return parts.select(*notes.columns, *cue_fields(F.col("_parts"), F.col("_lead"), name, code))
-
-
-def cue_responses(batched: DataFrame, note: str = "Note", **billing: str) -> DataFrame:
-    """Responses as a model following the contract would give them, from the cue rules."""
-    rows = batched.select("batch_id", "pos_in_batch", note, *billing.values())
-    # Together by batch first: collecting before the shuffle would sort and save nothing.
-    records = cue_records(rows.repartition("batch_id"), note, **billing)
-    record = F.struct("pos_in_batch", F.to_json(F.struct(*C.FIELDS)).alias("json"))
-    listed = F.array_join(F.array_sort(F.collect_list(record))["json"], ",")
-    wrapper = json.dumps({C.WRAPPER_KEYS[0]: []})
-    before, after = wrapper.split("[]")
-    return records.groupBy("batch_id").agg(
-        F.lit(1).alias("attempt"),
-        F.concat(F.lit(before + "["), listed, F.lit("]" + after)).alias("raw"),
-    )

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noteloom import contract as C
-from noteloom.functions.prompts import note_block, prompt_text, response_token_budget
+from noteloom.functions.prompts import note_block, prompt_digest, prompt_text, response_token_budget
 
 
 def batch_prompts(
@@ -14,8 +14,9 @@ def batch_prompts(
     billing_code: str | None = None,
     header: str = C.PROMPT_HEADER,
     footer: str = C.PROMPT_FOOTER,
+    system: str = C.SYSTEM_PROMPT,
 ) -> DataFrame:
-    """prompts(batch_id, n_notes, user_prompt, max_tokens).
+    """prompts(batch_id, n_notes, user_prompt, max_tokens, prompt_digest).
 
     A group is one batch and so never holds more than the batch size.
     """
@@ -33,6 +34,7 @@ def batch_prompts(
             "batch_id", "n_notes", prompt_text(F.col("blocks"), header, footer).alias("user_prompt")
         )
         .withColumn("max_tokens", response_token_budget(F.col("user_prompt")))
+        .withColumn("prompt_digest", prompt_digest(F.lit(system), F.col("user_prompt")))
     )
 
 

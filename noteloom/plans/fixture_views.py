@@ -62,10 +62,10 @@ OTHER = {
     "records": """
         SELECT doc_id AS note_id, source AS Chief_Complain,
                CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN '   '
-                    ELSE concat('- PMH:  ', lang, '   known') END AS History,
+                    ELSE concat('- PMH:  ', lang, '   known ', text) END AS History,
                CASE WHEN doc_id % 4 = 0 THEN 'NKDA' ELSE '' END AS Allergy,
                CASE WHEN doc_id % 5 = 0 THEN '* DM' ELSE '' END AS Comorbidities,
-               CASE WHEN n_chars % 2 = 0 THEN 'Systems NAD' ELSE NULL END AS Clinical_Examination,
+               CASE WHEN n_chars % 2 = 0 THEN concat('Systems NAD ', text) ELSE NULL END AS Clinical_Examination,
                CASE WHEN n_chars % 3 = 0 THEN concat('Dx ', lang) ELSE '' END AS Diagnosis,
                CASE WHEN doc_id % 7 = 0 THEN 'F/U 2w' ELSE '' END AS Treatment_Plan
         FROM {documents}""",
@@ -84,24 +84,30 @@ OTHER = {
                '\u3000' AS Diagnosis,
                source AS Treatment_Plan, lang
         FROM {documents}""",
+    # One response per batch of three documents, in eight forms; a second attempt for some. The
+    # first record holds the text of the batch's first document, without quotes and brackets.
     "responses": """
-        SELECT b AS batch_id, a AS attempt, k AS kind, CASE k
+        SELECT b AS batch_id, a AS attempt, k AS kind, words, CASE k
           WHEN 0 THEN concat('{{"results":[', r0, ',', r1, ',', r2, ']}}')
           WHEN 1 THEN concat('```json', chr(10), '{{"results":[', r0, ',', r1, ',', r2, ']}}', chr(10), '```')
           WHEN 2 THEN concat('Here: [', r0, ',', r1, '] ok')
-          WHEN 3 THEN concat('Sure: {{"Chief_Complain":"c', CAST(b AS VARCHAR(20)), '_0","History":"","Allergy":"NKDA"}} done')
+          WHEN 3 THEN concat('Sure: ', r0, ' done')
           WHEN 4 THEN concat('note }} ', r0, ' }}')
           WHEN 5 THEN concat('{{"results":[', r0, ',{{"Chief')
           WHEN 6 THEN concat('{{"results":[', r0, ',', r1, ',{{"Allergies":"NKDA"}}]}}')
           ELSE concat('{{"results":[', r0, ',', r1, ',', r2, ',', r0, ']}}') END AS raw
-        FROM (SELECT b, a, CASE WHEN a = 2 THEN 0 ELSE b % 8 END AS k,
-                     concat('{{"Chief_Complain":"c', CAST(b AS VARCHAR(20)), '_0","Allergy":"NKDA"}}') AS r0,
+        FROM (SELECT b, a, words, CASE WHEN a = 2 THEN 0 ELSE b % 8 END AS k,
+                     concat('{{"Chief_Complain":"c', CAST(b AS VARCHAR(20)), '_0","History":"', words, '","Allergy":"NKDA"}}') AS r0,
                      concat('{{"Chief_Complain":"c', CAST(b AS VARCHAR(20)), '_1","Allergy":"NKDA"}}') AS r1,
                      concat('{{"Chief_Complain":"c', CAST(b AS VARCHAR(20)), '_2","Allergy":"NKDA"}}') AS r2
-              FROM (SELECT DISTINCT CAST(floor(doc_id / 3) AS BIGINT) AS b, 1 AS a FROM {documents}
-                    UNION ALL
-                    SELECT DISTINCT CAST(floor(doc_id / 3) AS BIGINT) AS b, 2 AS a FROM {documents}
-                    WHERE CAST(floor(doc_id / 3) AS BIGINT) % 16 IN (5, 6)) y) z""",
+              FROM (SELECT b, 1 AS a, words FROM {first_words}
+                    UNION ALL SELECT b, 2 AS a, words FROM {first_words} WHERE b % 16 IN (5, 6)) y) z""",
+    "first_words": """
+        SELECT CAST(floor(doc_id / 3) AS BIGINT) AS b,
+               translate(coalesce(min_by(text, doc_id), ''),
+                         concat(chr(34), chr(92), chr(10), chr(9), chr(13), chr(96), '[]{{}}'),
+                         concat(chr(39), '/', '   ', chr(39), '()()')) AS words
+        FROM {documents} GROUP BY CAST(floor(doc_id / 3) AS BIGINT)""",
     # The same with usage and timing, as a model would report them.
     "billed_responses": """
         SELECT batch_id, attempt, raw, CAST(length(raw) * 3 AS BIGINT) AS prompt_tokens,
@@ -134,8 +140,27 @@ OTHER = {
                  WHEN 4 THEN concat('C/O:PMH:', text, '; background of ', lang, '; P2+1 ', chr(10), 'F/U: 2w')
                  WHEN 5 THEN CASE WHEN doc_id % 16 = 5 THEN NULL ELSE concat(' ', chr(160), chr(10)) END
                  WHEN 6 THEN concat('cvs: S1S2; Resp: clear; impression: ', text, ' rx: ', source, '; Rx: more at 10:30')
-                 ELSE text END AS Note
+                 ELSE CASE WHEN doc_id % 16 = 7 THEN concat(text, ' Dx: ', text) ELSE text END END AS Note
         FROM {documents}""",
+    # The notes of the next day: the same numbers, other words in every second batch.
+    "next_day_notes": """
+        SELECT note_id, CASE WHEN CAST(floor(note_id / 3) AS BIGINT) % 2 = 1 THEN concat('Day 2. ', coalesce(Note, '')) ELSE Note END AS Note
+        FROM {cue_notes}""",
+    # The star's texts in mixed case and with trailing spaces.
+    "mixed_case_company": """
+        SELECT Company_Key, CASE Company_Key % 3 WHEN 0 THEN 'CREDIT' WHEN 1 THEN concat(lower(CashAccounts), '  ')
+                                 ELSE CashAccounts END AS CashAccounts
+        FROM {dim_company}""",
+    "mixed_case_type": """
+        SELECT PatientEpisodeType_Key,
+               CASE WHEN PatientEpisodeType_Key % 2 = 0 THEN concat(lower(Unified_ShortName), ' ') ELSE Unified_ShortName END
+                 AS Unified_ShortName
+        FROM {dim_patient_episode_type}""",
+    "mixed_case_staff": """
+        SELECT Staff_Key, CASE WHEN Staff_Key % 2 = 0 THEN upper(concat('Dr. ', CAST(Staff_Key % 4 AS VARCHAR(10)), 'x '))
+                               ELSE concat('dr. ', CAST(Staff_Key % 4 AS VARCHAR(10)), 'X') END AS Staff_name,
+               degree_key, category_desc
+        FROM {dim_staff}""",
 }
 
 VIEWS = STAR | OTHER

@@ -2,7 +2,7 @@
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from noteloom import contract as C
 from noteloom.operators import cohort as cohorts
 from noteloom.operators import extract, notes, prompts, quality, records
-from noteloom.schemas import RESULTS
+from noteloom.schemas import RESPONSES, RESULTS
 from noteloom.session import fresh_path, stored
-from noteloom.sources.sinks import append_to_path
+from noteloom.sources import sinks
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,12 @@ class RunSettings:
     max_attempts: int = C.MAX_ATTEMPTS
     extras: str = "merge"
     align: str = "position"
+    # Columns whose values stand beside each note in the prompt, or fill an empty diagnosis.
+    billing_name: str | None = None
+    billing_code: str | None = None
+    header: str = C.PROMPT_HEADER
+    footer: str = C.PROMPT_FOOTER
+    system_prompt: str = C.SYSTEM_PROMPT
 
     @classmethod
     def for_day_before(cls, as_of: dt.date, **settings) -> "RunSettings":
@@ -49,6 +55,18 @@ def cohort_batches(star: cohorts.Star, settings: RunSettings = RunSettings()) ->
     return notes.with_batches(notes.numbered(rows, settings.note_column), settings.batch_size)
 
 
+def prompts_for(batched: DataFrame, settings: RunSettings = RunSettings()) -> DataFrame:
+    return prompts.batch_prompts(
+        batched,
+        settings.note_column,
+        settings.billing_name,
+        settings.billing_code,
+        settings.header,
+        settings.footer,
+        settings.system_prompt,
+    )
+
+
 def gather_responses(
     todo: DataFrame,
     backend: extract.Backend,
@@ -56,18 +74,19 @@ def gather_responses(
     settings: extract.CallSettings = extract.CallSettings(),
     slices: int = 1,
 ) -> DataFrame:
-    """Call the model for every prompt without a response under ``path``.
+    """Call the model for every prompt without a good response under ``path``.
 
     Each slice is a job of its own whose responses are kept, so a failure costs the calls
-    of one slice and a rerun goes on from there.
+    of one slice and a rerun goes on from there. Responses to other prompts may lie under the
+    same path, of another day or another wording; they are neither taken nor called again.
     """
     spark = todo.sparkSession
-    schema = extract.RESPONSES
+    schema = RESPONSES
     for part in range(slices):
         batch = todo.filter(F.pmod(F.xxhash64("batch_id"), F.lit(slices)) == part)
         if _exists(spark, path):
             batch = extract.pending(batch, spark.read.schema(schema).parquet(path))
-        append_to_path(extract.call_backend(batch, backend, settings), path)
+        sinks.append_to_path(extract.call_backend(batch, backend, settings), path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -82,16 +101,33 @@ class NoteRun:
     report: DataFrame  # one row per batch
     checked: DataFrame  # one row per record found, before normalization
     responses: DataFrame
+    unmatched: DataFrame | None = None  # responses offered that answer other prompts
+
+    def rows(self) -> DataFrame:
+        """The columns of the results table."""
+        return self.results.select(*RESULTS.fieldNames())
 
     def append_to(self, path: str, **options) -> int:
-        """Append the rows in the columns of the results table; returns their number.
+        """Append the rows to a folder; returns their number.
 
         With ``partition_by=["service_day"]`` the day of service becomes a column.
         """
-        rows = self.results.select(*RESULTS.fieldNames())
+        rows = self.rows()
         if "service_day" in options.get("partition_by", ()):
             rows = rows.withColumn("service_day", F.to_date("FormattedDate"))
-        return append_to_path(rows, path, **options)
+        return sinks.append_to_path(rows, path, **options)
+
+    def append_to_table(self, table: str) -> int:
+        """Append the rows to a catalog table (schema-qualified name)."""
+        return sinks.append_to_table(self.rows(), table)
+
+    def replace_day(self, day: dt.date, path: str | None = None, table: str | None = None) -> int:
+        """Make the rows the whole content of a day in a folder or table partitioned by
+        ``service_day``, also if there are none; returns their number."""
+        rows = self.rows().withColumn("service_day", F.to_date("FormattedDate"))
+        if path is not None:
+            return sinks.replace_in_path(rows, path, {"service_day": day})
+        return sinks.replace_in_table(rows, table, {"service_day": day})
 
     def summary(self) -> DataFrame:
         return quality.field_summary(self.results)
@@ -112,7 +148,10 @@ class NoteRun:
 def records_to_results(
     batched: DataFrame, responses: DataFrame, settings: RunSettings = RunSettings()
 ) -> NoteRun:
-    """Responses to scored rows. Only batch_id, attempt and raw are required of responses."""
+    """Responses to scored rows, for responses known to answer these very batches.
+
+    Only batch_id, attempt and raw are required of them.
+    """
     responses = extract.as_responses(responses)
     attempts = stored(records.parsed_attempts(responses, settings.extras), "attempts")
     found = records.repaired_records(records.first_ok(attempts, settings.max_attempts))
@@ -129,20 +168,50 @@ def records_to_results(
     return NoteRun(results, report, checked, responses)
 
 
+def cue_run(batched: DataFrame, settings: RunSettings = RunSettings()) -> NoteRun:
+    """Scored rows by the cue rules, note by note: nothing is shuffled or parsed.
+
+    The rules give all seven fields as text, so no field is flagged, every record is valid and
+    every batch succeeds at once.
+    """
+    found = extract.cue_records(batched, settings.note_column, settings.billing_name, settings.billing_code)
+    no_flags = F.array().cast("array<string>")
+    results = quality.with_score(found).select(
+        "row_id", *[c for c in batched.columns if c not in ("row_id", "batch_id", "pos_in_batch")],
+        *C.FIELDS, F.lit("").alias(C.EXTRA_COLUMN), C.SCORE_COLUMN,
+        no_flags.alias("falsy_fields"), no_flags.alias("nan_fields"),
+    )
+    records_found = batched.select("batch_id", F.col("pos_in_batch").alias("rec_pos"))
+    complete = records_found.withColumn("keys", F.array(*[F.lit(f) for f in C.FIELDS]))
+    report = batched.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_notes")).select(
+        "batch_id", (F.col("batch_id") + 1).alias("batch_number"), "n_notes",
+        F.lit(True).alias("ok"), F.lit(1).cast("bigint").alias("attempts"),
+        F.lit(1).alias("strategy"), F.col("n_notes").cast("int").alias("n_records"),
+    )
+    no_calls = batched.sparkSession.createDataFrame([], RESPONSES)
+    checked = quality.validated(complete.withColumn("is_object", F.lit(True)))
+    return NoteRun(results, report, checked, no_calls)
+
+
 def run_notes(
     star: cohorts.Star,
     settings: RunSettings = RunSettings(),
     respond: Callable[[DataFrame], DataFrame] | None = None,
 ) -> NoteRun:
-    """The run with ``respond`` taking batched notes to responses.
+    """The run with ``respond`` taking prompts to responses.
 
-    None answers by the cue rules. A replay is ``lambda batched: earlier_responses``. A
-    model is ``model_responder(backend, path)``, which writes its responses before anything
-    reads them, so that no call is repeated.
+    None answers by the cue rules. A replay is ``lambda prompts: earlier_responses``; of
+    these, responses to other prompts are left aside and reported as ``unmatched``. A model
+    is ``model_responder(backend, path)``, which writes its responses before anything reads
+    them, so that no call is repeated.
     """
     batched = cohort_batches(star, settings)
-    respond = respond or (lambda rows: extract.cue_responses(rows, settings.note_column))
-    return records_to_results(batched, respond(batched), settings)
+    if respond is None:
+        return cue_run(batched, settings)
+    asked = stored(prompts_for(batched, settings), "prompts")
+    responses = respond(asked)
+    run = records_to_results(batched, extract.answers_to(asked, responses), settings)
+    return replace(run, unmatched=extract.unmatched(asked, responses))
 
 
 def model_responder(
@@ -150,11 +219,14 @@ def model_responder(
     path: str | None = None,
     settings: extract.CallSettings = extract.CallSettings(),
     slices: int = 1,
-    **prompt_options,
 ) -> Callable[[DataFrame], DataFrame]:
-    def respond(batched: DataFrame) -> DataFrame:
-        place = path or fresh_path(batched.sparkSession, "model-responses")
-        todo = prompts.batch_prompts(batched, **prompt_options)
-        return gather_responses(todo, backend, place, settings, slices)
+    """Calls the model for prompts without a good response under ``path``.
+
+    ``settings.system_prompt`` has to be that of the run: it is part of what is answered.
+    """
+
+    def respond(asked: DataFrame) -> DataFrame:
+        place = path or fresh_path(asked.sparkSession, "model-responses")
+        return gather_responses(asked, backend, place, settings, slices)
 
     return respond

@@ -1,7 +1,6 @@
 """The registered queries in SQL for DuckDB, written independently of the Spark plans."""
 
 from noteloom import contract as C
-from noteloom.functions import cues
 from noteloom.functions.text import WS
 from noteloom.plans.fixture_views import STAR, with_views
 
@@ -107,6 +106,27 @@ _add("dedup_latest", STAR_VIEWS, """
 _add("topn_latest", STAR_VIEWS, f"SELECT * FROM ({cohort_sql(ALL_DATES)}) c {NEWEST} LIMIT 10")
 _add("cap_rows", STAR_VIEWS, f"SELECT * FROM ({cohort_sql(ALL_DATES)}) c {NEWEST} LIMIT 1000")
 
+_add("cohort_ignore_case", [*STAR_VIEWS, "mixed_case_company", "mixed_case_type", "mixed_case_staff"], f"""
+    SELECT DISTINCT "FormattedDate", doctor, "Patient_Code", "Episode_key", "ICD10_code" FROM (
+      SELECT b.Service_Date AS "FormattedDate", lower(rtrim(s.Staff_name)) AS doctor,
+             b.patient_id AS "Patient_Code", b.Episode_key AS "Episode_key", n.Note AS note,
+             d.ICDDiagnoseCode AS "ICD10_code"
+      FROM fact_billing b
+      JOIN mixed_case_company c ON c.Company_Key = b.Company_Key AND lower(rtrim(c.CashAccounts)) = 'credit'
+      JOIN mixed_case_type t ON t.PatientEpisodeType_Key = b.PatientEpisodeType_Key
+           AND lower(rtrim(t.Unified_ShortName)) = 'opd'
+      JOIN mixed_case_staff s ON s.Staff_Key = b.Doctor_Key
+      JOIN dim_clinical_notes n ON n.Episode_key = b.Episode_key AND n.Note IS NOT NULL
+      LEFT JOIN dim_diagnosis d ON d.Episode_Key = b.Episode_key
+      WHERE {ALL_DATES}
+        AND s.degree_key IN (SELECT degree_key FROM mixed_case_staff WHERE lower(category_desc) LIKE '%doctor%')) rows
+    QUALIFY "FormattedDate" = max("FormattedDate") OVER (
+      PARTITION BY doctor, "Patient_Code", "Episode_key", lower(rtrim(note)), lower(rtrim("ICD10_code")))""")
+_add("cohort_from_query_file", ["fact_billing", "dim_clinical_notes"], """
+    SELECT b.Service_Date, b.patient_id, n.Note
+    FROM fact_billing b JOIN dim_clinical_notes n ON n.Episode_key = b.Episode_key
+    WHERE year(b.Service_Date) = 1996 AND n.Note IS NOT NULL""")
+
 # --- notes and prompts ----------------------------------------------------------------
 
 NUMBERED_NOTES = """
@@ -152,7 +172,7 @@ _add("token_budget", ["cue_notes"], f"""
 # --- responses: what the construction of each kind implies ------------------------------
 
 FOUND = """
-    SELECT batch_id, attempt, kind,
+    SELECT batch_id, attempt, kind, words,
            CASE kind WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 WHEN 4 THEN 5
                      WHEN 5 THEN 0 ELSE 1 END AS strategy,
            CASE kind WHEN 0 THEN 3 WHEN 1 THEN 3 WHEN 2 THEN 2 WHEN 3 THEN 1 WHEN 4 THEN 1
@@ -161,7 +181,8 @@ FOUND = """
 RECORD_SLOTS = f"""
     SELECT f.batch_id, f.attempt, f.strategy, f.kind, CAST(p.pos AS INTEGER) AS rec_pos,
            (f.kind = 6 AND p.pos = 2) AS is_extra,
-           'c' || f.batch_id || '_' || (CASE WHEN p.pos = 3 THEN 0 ELSE p.pos END) AS complaint
+           'c' || f.batch_id || '_' || (CASE WHEN p.pos = 3 THEN 0 ELSE p.pos END) AS complaint,
+           CASE WHEN p.pos IN (0, 3) THEN f.words END AS history
     FROM ({FOUND}) f JOIN (SELECT unnest([0, 1, 2, 3]) AS pos) p ON p.pos < f.n_records"""
 FAILS_MERGED, FAILS_OBSERVED = "kind = 5", "kind IN (5, 6)"
 
@@ -174,7 +195,8 @@ def first_attempt(source: str, fails: str) -> str:
 def normalized_sql(fails: str) -> str:
     return f"""
     SELECT batch_id, attempt, rec_pos,
-           CASE WHEN is_extra THEN '' ELSE complaint END AS "Chief_Complain", '' AS "History",
+           CASE WHEN is_extra THEN '' ELSE complaint END AS "Chief_Complain",
+           coalesce(history, '') AS "History",
            CASE WHEN is_extra THEN '' ELSE 'NKDA' END AS "Allergy", '' AS "Comorbidities",
            '' AS "Clinical_Examination", '' AS "Diagnosis", '' AS "Treatment_Plan",
            CASE WHEN is_extra THEN 'Allergies: NKDA' ELSE '' END AS "Plan_Text"
@@ -205,7 +227,7 @@ _add("repair_strategy", ["responses"],
 _add("repair_records", ["responses"], f"""
     SELECT batch_id, attempt, rec_pos, TRUE AS is_object,
            CASE WHEN is_extra THEN 'Allergies=NKDA'
-                WHEN kind = 3 THEN 'Chief_Complain=' || complaint || '|History=|Allergy=NKDA'
+                WHEN history IS NOT NULL THEN 'Chief_Complain=' || complaint || '|History=' || history || '|Allergy=NKDA'
                 ELSE 'Chief_Complain=' || complaint || '|Allergy=NKDA' END AS content
     FROM ({RECORD_SLOTS}) r""")
 _add("unwrap_records", [], """
@@ -233,6 +255,24 @@ _add("batch_report", ["responses"], report_sql(FAILS_OBSERVED))
 _add("batch_totals", ["responses"], f"""
     SELECT count(*) AS total_batches, count(*) FILTER (WHERE ok) AS successful,
            count(*) FILTER (WHERE NOT ok) AS failed FROM ({report_sql(FAILS_OBSERVED)}) r""")
+_add("responses_of_another_day", ["next_day_notes"], """
+    SELECT note_id AS row_id,
+           CASE WHEN note_id // 3 % 2 = 0 THEN 'first day ' || (note_id // 3) ELSE '' END AS "Allergy"
+    FROM next_day_notes""")
+_add("pending_after_failure", ["cue_notes"], """
+    SELECT note_id // 3 AS batch_id, count(*) AS n_notes FROM cue_notes
+    WHERE note_id // 3 % 4 <> 0 GROUP BY note_id // 3""")
+_add("model_attempts", ["cue_notes"], f"""
+    SELECT batch_id, CAST(attempt AS INTEGER) AS attempt,
+           CASE WHEN error IS NULL OR kind = 2 THEN CASE kind WHEN 2 THEN ' '
+                ELSE '{{"results":[{{"Allergy":"' || chars || '"}}]}}' END
+                WHEN kind = 3 THEN 'I would rather not.' END AS raw, error
+    FROM (SELECT *, CASE WHEN kind = 0 OR (kind = 1 AND attempt = 1) THEN 'RuntimeError: down'
+                         WHEN kind = 2 THEN 'empty response' WHEN kind = 3 THEN 'no records' END AS error
+          FROM (SELECT batch_id, length(user_prompt) AS chars, length(user_prompt) % 5 AS kind
+                FROM ({prompts_sql(BATCHED_DOCUMENTS, False)}) p) k,
+               (SELECT unnest([1, 2, 3]) AS attempt) a
+          WHERE attempt <= CASE kind WHEN 4 THEN 1 WHEN 1 THEN 2 ELSE 3 END) t""")
 _add("usage_totals", ["billed_responses"], """
     SELECT count(*) AS calls, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
            CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens FROM billed_responses""")
@@ -258,77 +298,84 @@ _add("quality_metrics", ["billed_responses"], f"""
           FROM ({report_sql(FAILS_OBSERVED)}) r) b,
          (SELECT CAST(sum(elapsed_ms) AS BIGINT) AS elapsed_ms FROM billed_responses) t""")
 
-# --- cue rules ------------------------------------------------------------------------
-
-
-# No look-around here, so a mark after each colon separates a label from the one before it.
-LABEL = (
-    rf"(?i)(^|[^A-Za-z0-9])({'|'.join(sorted(cues.ALL_LABELS, key=len, reverse=True))})[ \t]*:"
-)
+# --- cue rules: what the construction of each note implies -------------------------------
 
 
 def tidy(text: str) -> str:
     return rf"regexp_replace({text}, '\A[{WS}]+|[{WS};,.]+\z', '', 'g')"
 
 
-def _labels(field: str) -> str:
-    return ", ".join(literal(label.lower()) for label in C.FIELD_LABELS[field])
-
-
-def _segments_of(field: str) -> str:
-    value = tidy("p.value")
-    if field in C.LABELLED_FIELDS:
-        value = f"p.label || ': ' || {value}"
-    return (f"list_transform(list_filter(segs, lambda p: lower(p.label) IN ({_labels(field)})"
-            f" AND {tidy('p.value')} <> ''), lambda p: {value})")
-
-
-def _bare(field: str, pattern: str) -> str:
-    texts = (f"list_concat([first_part], list_transform(list_filter(segs,"
-             f" lambda p: lower(p.label) NOT IN ({_labels(field)})), lambda p: p.value))")
-    found = f"flatten(list_transform({texts}, lambda t: regexp_extract_all(t, {literal(pattern)}, 2)))"
-    return f"list_transform({found}, lambda x: {tidy('x')})"
-
+COMPLETED = r"regexp_matches({text}, '(?i)(^|[^A-Za-z])(completed|done)($|[^A-Za-z])')"
+
+
+def lead_fields(lead: str) -> dict[str, str]:
+    """A note of one segment is a complaint, or a procedure if it says that one is done."""
+    done = COMPLETED.format(text=lead)
+    return {
+        "Chief_Complain": f"CASE WHEN {done} THEN '' ELSE {lead} END",
+        "Treatment_Plan": f"CASE WHEN {done} THEN {lead} ELSE '' END",
+    }
+
+
+TEXT = "d.text"
+SPELLED = {  # kind of note -> its fields
+    "0": {
+        "Chief_Complain": tidy(TEXT),
+        "History": "'PMH: k/c of ' || d.lang || ', stable; Meds: ' || d.source",
+        "Allergy": "'NKDA'",
+        "Comorbidities": "'k/c of ' || d.lang",
+        "Treatment_Plan": "'review'",
+    },
+    "1": {
+        "Chief_Complain": tidy(TEXT),
+        "Clinical_Examination": "'O/E: Systems NAD'",
+        "Diagnosis": "d.source",
+    },
+    "2": lead_fields(tidy(f"('cough since ' || d.source || '  ' || {TEXT})")) | {"Allergy": "'NKDA'"},
+    "3": {"Treatment_Plan": tidy(f"({TEXT} || ' scaling completed')")},
+    "4": {
+        "History": "'PMH: ' || " + tidy(f"({TEXT} || '; background of ' || d.lang || '; P2+1')"),
+        "Comorbidities": "'background of ' || d.lang",
+        "Treatment_Plan": "'2w'",
+    },
+    "5": {},
+    "6": {
+        "Clinical_Examination": "'cvs: S1S2; Resp: clear'",
+        "Diagnosis": tidy(TEXT),
+        "Treatment_Plan": "d.source || '; more at 10:30'",
+    },
+    "7": {"Chief_Complain": tidy(TEXT), "Diagnosis": tidy(TEXT)},
+    "15": lead_fields(tidy(TEXT)),
+}
+
+
+def spelled(field: str) -> str:
+    """The field's value by the kind of its note."""
+    cases = " ".join(f"WHEN {kind} THEN {found[field]}" for kind, found in SPELLED.items() if field in found)
+    kind = "CASE WHEN d.doc_id % 16 = 15 THEN 15 ELSE d.doc_id % 8 END"
+    return f"CASE {kind} {cases} ELSE '' END" if cases else "''"
+
+
+_add("cue_fields", [], f"""
+    SELECT d.doc_id AS note_id, {", ".join(f'{spelled(f)} AS "{f}"' for f in C.FIELDS)} FROM documents d""")
+_add("cue_fields_billing", ["cue_notes"], f"""
+    SELECT d.doc_id AS note_id,
+           coalesce(nullif({spelled("Diagnosis")}, ''), nullif(c.diagnosis_name, ''), nullif(c.icd10_code, ''), '') AS "Diagnosis"
+    FROM documents d JOIN cue_notes c ON c.note_id = d.doc_id""")
 
-def cues_sql(source: str, kept: str, billing: str = "") -> str:
-    """Fields of the notes in ``source``, with its columns ``kept`` beside them."""
-    cut = "first_part"
-    for pattern in (cues.ALLERGY_PATTERN, cues.EXAMINATION_PATTERN):
-        cut = f"regexp_replace({cut}, {literal(pattern)}, '\\1\\3', 'g')"
-    pieces = {f: [_segments_of(f)] for f in C.FIELDS}
-    pieces["Chief_Complain"].insert(0, "CASE WHEN lead = '' OR procedure THEN [] ELSE [lead] END")
-    pieces["Treatment_Plan"].insert(0, "CASE WHEN lead <> '' AND procedure THEN [lead] ELSE [] END")
-    pieces["History"] += [_bare("History", cues.KNOWN_CASE_PATTERN), _bare("History", cues.OBSTETRIC_PATTERN)]
-    pieces["Allergy"].append(_bare("Allergy", cues.ALLERGY_PATTERN))
-    pieces["Comorbidities"].append(_bare("Comorbidities", cues.BACKGROUND_PATTERN))
-    pieces["Clinical_Examination"].append(_bare("Clinical_Examination", cues.EXAMINATION_PATTERN))
 
-    def value(field: str) -> str:
-        lists = pieces[field][0]
-        for other in pieces[field][1:]:
-            lists = f"list_concat({lists}, {other})"
-        text = f"coalesce(array_to_string({lists}, '; '), '')"
-        return f"coalesce(nullif({text}, ''), {billing})" if billing and field == "Diagnosis" else text
+def star_cues_sql(source: str, kept: str) -> str:
+    """Fields of the star's notes: whole documents, or a follow-up line with its label."""
+    lead = tidy("coalesce(Note, '')")
+    found = lead_fields(lead)
+    follow_up = "starts_with(Note, 'F/U: ')"
+    values = {f: "''" for f in C.FIELDS} | {
+        "Chief_Complain": f"CASE WHEN {follow_up} THEN '' ELSE {found['Chief_Complain']} END",
+        "Treatment_Plan": f"CASE WHEN {follow_up} THEN {tidy('substring(Note, 6)')} ELSE {found['Treatment_Plan']} END",
+    }
+    fields = ", ".join(f'{v} AS "{f}"' for f, v in values.items())
+    return f"SELECT {kept}, {fields} FROM ({source}) s"
 
-    fields = ", ".join(f'{value(f)} AS "{f}"' for f in C.FIELDS)
-    return f"""
-    SELECT {kept}, {fields} FROM (
-      SELECT *, len(segs) = 0 AND regexp_matches(lead, {literal(cues.COMPLETION_PATTERN)}) AS procedure
-      FROM (SELECT *, {tidy(cut)} AS lead FROM (
-        SELECT *, replace(parts[1], chr(3), '') AS first_part,
-               list_transform(parts[2:], lambda p: {{'label': split_part(p, chr(2), 1),
-                              'value': replace(split_part(p, chr(2), 2), chr(3), '')}}) AS segs
-        FROM (SELECT *, string_split(regexp_replace(
-                replace(replace(replace(replace(coalesce(Note, ''), chr(1), ''), chr(2), ''), chr(3), ''), ':', ':' || chr(3)),
-                {literal(LABEL)}, '\\1' || chr(1) || '\\2' || chr(2), 'g'), chr(1)) AS parts
-              FROM ({source}) s) a) b) c) d"""
-
-
-_add("cue_fields", ["cue_notes"], cues_sql("SELECT note_id, Note FROM cue_notes", "note_id"))
-_add("cue_fields_billing", ["cue_notes"], f"""
-    SELECT note_id, "Diagnosis" FROM ({cues_sql(
-        "SELECT * FROM cue_notes", "note_id",
-        "nullif(diagnosis_name, ''), nullif(icd10_code, ''), ''")}) c""")
 
 # --- quality --------------------------------------------------------------------------
 
@@ -401,8 +448,12 @@ _add("merge_by_row", ["dim_clinical_notes", "dim_diagnosis"], f"""
 _add("append_roundtrip", ["records"], f"""
     SELECT t.* FROM ({scored("SELECT * FROM records", "* EXCLUDE (" + ", ".join("p_" + f for f in C.FIELDS) + ")")}) t,
            (SELECT unnest([1, 2])) twice""")
+_add("replace_day", ["records"], f"""
+    SELECT *, CAST(note_id % 3 AS VARCHAR) AS service_day
+    FROM ({scored("SELECT * FROM records", "* EXCLUDE (" + ", ".join("p_" + f for f in C.FIELDS) + ")")}) t
+    WHERE note_id % 3 = 2 OR note_id % 6 = 0""")
 _add("json_export", ["records"], "SELECT '{\"note_id\":' || note_id || " + " || ".join(
-    f"',\"{f}\":' || coalesce('\"' || {f} || '\"', 'null')" for f in C.FIELDS
+    f"',\"{f}\":' || CASE WHEN {f} IS NULL THEN 'null' ELSE CAST(to_json({f}) AS VARCHAR) END" for f in C.FIELDS
 ) + " || '}' AS record_json FROM records")
 
 # --- the whole run --------------------------------------------------------------------
@@ -415,7 +466,7 @@ NUMBERED_COHORT = f"""
 _COHORT_LIST = "row_id, " + ", ".join(f'"{c}"' for c in C.COHORT_COLUMNS)
 _FIELD_LIST = ", ".join(f'"{f}"' for f in C.FIELDS)
 _add("end_to_end_results", STAR_VIEWS, scored(
-    cues_sql(NUMBERED_COHORT, _COHORT_LIST), f"{_COHORT_LIST}, {_FIELD_LIST}"))
+    star_cues_sql(NUMBERED_COHORT, _COHORT_LIST), f"{_COHORT_LIST}, {_FIELD_LIST}"))
 _add("end_to_end_totals", STAR_VIEWS, f"""
     SELECT (count(*) + 2) // 3 AS total_batches, (count(*) + 2) // 3 AS successful, CAST(0 AS BIGINT) AS failed,
            count(*) AS total, count(*) AS valid, TRUE AS all_valid

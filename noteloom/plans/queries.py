@@ -1,6 +1,7 @@
 """The registered queries: one per operator, each over whole tables."""
 
 import datetime as dt
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from noteloom.operators import clean, cohort, extract, notes, prompts, quality,
 from noteloom.plans import note_run
 from noteloom.plans.fixture_views import Fixture
 from noteloom.session import configure, fresh_path, stored
-from noteloom.sources import sinks
+from noteloom.sources import sinks, tables
 
 # Fixed so that results do not depend on a clock.
 START, END = dt.datetime(1995, 1, 1), dt.datetime(2002, 1, 1)
@@ -126,6 +127,39 @@ def cap_rows(f: Fixture) -> DataFrame:
     return cohort.cohort(f.star(), START, END, newest=C.MAX_ROWS)
 
 
+@registered
+def cohort_ignore_case(f: Fixture) -> DataFrame:
+    """Filters and names compared as under a case-insensitive, right-trimmed collation."""
+    star = f.star() | {
+        "dim_company": f["mixed_case_company"],
+        "dim_patient_episode_type": f["mixed_case_type"],
+        "dim_staff": f["mixed_case_staff"],
+    }
+    found = cohort.cohort(star, START, END, ci=True)
+    # Which spelling of equal names is kept is not stated; what they have in common is.
+    return found.select(
+        "FormattedDate", F.lower(F.rtrim("Doctor_Name")).alias("doctor"), "Patient_Code", "Episode_key", "ICD10_code"
+    ).distinct()
+
+
+QUERY_FILE = """
+SELECT b.Service_Date, b.patient_id, n.Note
+FROM {fact_billing} b JOIN {dim_clinical_notes} n ON n.Episode_key = b.Episode_key
+WHERE b.Service_Date >= :start AND b.Service_Date < :end AND n.Note IS NOT NULL
+"""
+
+
+@registered
+def cohort_from_query_file(f: Fixture) -> DataFrame:
+    """A query file with named tables and dates."""
+    with tempfile.NamedTemporaryFile("w", suffix=".sql") as file:  # read by the driver alone
+        file.write(QUERY_FILE)
+        file.flush()
+        dates = {"start": dt.date(1996, 1, 1), "end": dt.date(1997, 1, 1)}
+        names = ("fact_billing", "dim_clinical_notes")
+        return tables.run_query_file(f.spark, file.name, {n: f[n] for n in names}, dates)
+
+
 # --- notes and prompts ----------------------------------------------------------------
 
 
@@ -267,6 +301,60 @@ def fix_count_nonblank(f: Fixture) -> DataFrame:
     return aligned.select("row_id", "batch_id", "pos_in_batch", *C.FIELDS)
 
 
+@registered
+def responses_of_another_day(f: Fixture) -> DataFrame:
+    """Answers to one day's prompts, offered to the next: only batches whose notes are the same
+    take them."""
+    asked = prompts.batch_prompts(_batched_documents(f))
+    record = F.concat(F.lit('{"Allergy":"first day '), F.col("batch_id").cast("string"), F.lit('"}'))
+    listed = F.array_join(F.array_repeat(record, F.col("n_notes").cast("int")), ",")
+    responses = asked.select(
+        "batch_id", "prompt_digest", F.lit(1).alias("attempt"), F.concat(F.lit("["), listed, F.lit("]")).alias("raw")
+    )
+    batched = notes.with_batches(f["next_day_notes"].withColumn("row_id", F.col("note_id")))
+    taken = extract.answers_to(prompts.batch_prompts(batched), responses)
+    run = note_run.records_to_results(batched, taken)
+    return run.results.select("row_id", "Allergy")
+
+
+@registered
+def pending_after_failure(f: Fixture) -> DataFrame:
+    """Batches to call again: those that failed, were never called, or answered other notes."""
+    asked = prompts.batch_prompts(_batched_documents(f))
+    kind = F.col("batch_id") % 4
+    tried = asked.where(kind != 2).select(
+        "batch_id",
+        F.when(kind == 3, F.reverse("prompt_digest")).otherwise(F.col("prompt_digest")).alias("prompt_digest"),
+        F.when(kind != 1, F.col("user_prompt")).alias("raw"),
+        F.when(kind == 1, F.lit("RuntimeError: outage")).alias("error"),
+    )
+    return extract.pending(asked, tried).select("batch_id", "n_notes")
+
+
+class _Moody:
+    """A backend whose answers follow from the prompt's length: one kind always fails, one fails
+    the first time it is asked, one stays blank, one talks."""
+
+    def __init__(self):
+        self.asked = set()
+
+    def __call__(self, system: str, user: str, budget: int) -> str:
+        kind, again = len(user) % 5, user in self.asked
+        self.asked.add(user)
+        if kind == 0 or (kind == 1 and not again):
+            raise RuntimeError("down")
+        return {2: " ", 3: "I would rather not."}.get(kind, f'{{"results":[{{"Allergy":"{len(user)}"}}]}}')
+
+
+@registered
+def model_attempts(f: Fixture) -> DataFrame:
+    """Every attempt of the call loop over all documents."""
+    calls = extract.CallSettings(backoff_seconds=0, rate_limit_seconds=0)
+    asked = prompts.batch_prompts(_batched_documents(f))
+    made = stored(extract.call_backend(asked, _Moody(), calls), "model-attempts")
+    return made.select("batch_id", "attempt", "raw", "error")
+
+
 @registered
 def resolve_attempts(f: Fixture) -> DataFrame:
     return records.first_ok(_attempts(f, "observed")).select(
@@ -410,6 +498,17 @@ def append_roundtrip(f: Fixture) -> DataFrame:
     return f.spark.read.schema(scored.schema).parquet(path)
 
 
+@registered
+def replace_day(f: Fixture) -> DataFrame:
+    """Three days written, one replaced by fewer rows, one by none."""
+    path = fresh_path(f.spark, "days")
+    scored = quality.with_score(f["records"]).withColumn("service_day", (F.col("note_id") % 3).cast("string"))
+    sinks.append_to_path(scored, path, partition_by=["service_day"])
+    sinks.replace_in_path(scored.filter("service_day = '0' AND note_id % 2 = 0"), path, {"service_day": "0"})
+    sinks.replace_in_path(scored.limit(0), path, {"service_day": "1"})
+    return f.spark.read.schema(scored.schema).parquet(path)
+
+
 @registered
 def json_export(f: Fixture) -> DataFrame:
     path = fresh_path(f.spark, "json")

@@ -46,9 +46,10 @@ COHORT = T.StructType(
     [T.StructField(c, _COHORT_TYPES.get(c, T.StringType())) for c in COHORT_COLUMNS]
 )
 
-# The seam between prompts and records: one row per attempt.
+# The seam between prompts and records: one row per attempt. The digest of the prompt says
+# which notes a response answers; batch numbers start anew in every run.
 RESPONSES = _struct(
-    "batch_id bigint, attempt int, raw string, error string,"
+    "batch_id bigint, prompt_digest string, attempt int, raw string, error string,"
     " prompt_tokens bigint, completion_tokens bigint, elapsed_ms bigint"
 )
 

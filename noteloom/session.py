@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+RUN_FOLDER = "noteloom.run.folder"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
@@ -58,14 +63,36 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark.conf.get(RUN_FOLDER, None) or work_folder(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def one_run(spark: SparkSession) -> Iterator[str]:
+    """Everything that is stored within goes to one folder, which is removed at the end.
+
+    Stored tables hold note texts; results that are to stay belong elsewhere.
+    """
+    before = spark.conf.get(RUN_FOLDER, None)
+    folder = f"{work_folder(spark)}/run-{uuid.uuid4().hex}"
+    spark.conf.set(RUN_FOLDER, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(RUN_FOLDER)
+        else:
+            spark.conf.set(RUN_FOLDER, before)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the work folder and read it back.
 
     Cuts the lineage, survives lost executors, fixes values that a recomputation could
-    change, and gives the planner the true size for its next broadcast decision.
+    change, and gives the planner the size of the files for its next broadcast decision.
+    That size is a compressed one: text takes several times as much memory.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)

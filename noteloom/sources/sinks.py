@@ -1,6 +1,9 @@
 """Writing results."""
 
+import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
@@ -33,13 +36,68 @@ def append_to_path(
     """Append rows to a folder and return how many were written.
 
     Running twice appends twice. With ``overwrite_partitions`` a rerun replaces exactly
-    the partitions it writes, so repeating a day leaves one copy of it.
+    the partitions it writes, so repeating a day leaves one copy of it; a partition without
+    rows is not written and so keeps its old ones (``replace_in_path`` clears it).
     """
     df, rows = _counted(df)
     _writer(df, partition_by, overwrite_partitions).format(file_format).save(path)
     return rows.get["rows"]
 
 
+def _named(partition: Mapping[str, object]) -> tuple[str, str]:
+    if len(partition) != 1:
+        raise ValueError("name one partition column and its value")
+    ((column, value),) = partition.items()
+    return column, str(value)
+
+
+def replace_in_path(df: DataFrame, path: str, partition: Mapping[str, object]) -> int:
+    """Make ``df`` the whole content of one partition of a parquet folder; returns its rows.
+
+    The partition is named, so it is cleared even if ``df`` has no rows. All rows must belong
+    to it; its column may be in ``df`` or not. Other partitions stay as they are.
+    """
+    column, value = _named(partition)
+    df, rows = _counted(_of_partition(df, column, value))
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={quote(value, safe=' ')}")
+    return rows.get["rows"]
+
+
+def _of_partition(df: DataFrame, column: str, value: str) -> DataFrame:
+    if column not in df.columns:
+        return df
+    same = F.col(column).cast("string").eqNullSafe(F.lit(value))
+    wrong = F.raise_error(F.concat(F.lit(f"row outside {column}={value}: "), F.col(column).cast("string")))
+    return df.filter(F.when(same, F.lit(True)).otherwise(wrong.cast("boolean"))).drop(column)
+
+
+def replace_in_table(df: DataFrame, table: str, partition: Mapping[str, object]) -> int:
+    """As ``replace_in_path`` for a catalog table, which is created if there is none."""
+    column, value = _named(partition)
+    spark = df.sparkSession
+    df = _of_partition(df, column, value)
+    if not spark.catalog.tableExists(table):
+        kind = "date" if _is_date(value) else "string"
+        empty = df.limit(0).withColumn(column, F.lit(value).cast(kind))
+        empty.write.partitionBy(column).saveAsTable(table)
+    own = [c for c in spark.table(table).columns if c != column]
+    df, rows = _counted(df.select(*own))
+    view = f"replacing_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{column}` = '{value}') SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+    return rows.get["rows"]
+
+
+def _is_date(value: str) -> bool:
+    try:
+        return bool(dt.date.fromisoformat(value))
+    except ValueError:
+        return False
+
+
 def append_to_table(
     df: DataFrame,
     table: str,

@@ -1,23 +1,29 @@
-"""Nightly run for spark-submit: yesterday's notes to scored rows in a results folder.
+"""Nightly run for spark-submit: yesterday's notes to scored rows in a results folder or table.
 
     spark-submit run_notes.py --star <folder> --as-of 2024-05-03 --output <folder>
-    spark-submit run_notes.py --database warehouse --as-of 2024-05-03 --output <folder>
+    spark-submit run_notes.py --database warehouse --as-of 2024-05-03 --output-table results.notes
+    spark-submit run_notes.py ... --backend my_module:call --responses <folder>
 
-Without --responses the cue rules answer; with it, responses that a model gave earlier are
-replayed. Any failure ends the run with an error.
+Without --backend and --responses the cue rules answer. A backend is a callable that takes the
+system prompt, the user prompt and the token budget and returns text or a Reply; its responses
+are kept under --responses, and a rerun calls only what has no good response there. With
+--responses alone the responses kept there are replayed; those that answer other prompts are
+left aside and counted. Any failure ends the run with an error.
 """
 
 import argparse
 import datetime as dt
+import importlib
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from noteloom import contract as C
-from noteloom.operators import quality
+from noteloom.operators import extract, quality
 from noteloom.plans import note_run
 from noteloom.schemas import RESPONSES
-from noteloom.session import configure
+from noteloom.session import configure, one_run, stored
 from noteloom.sources import tables
 
 
@@ -27,18 +33,37 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     source.add_argument("--star", help="folder with one parquet table per star-schema name")
     source.add_argument("--database", help="catalog database with those tables")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, required=True, help="the day after the one to read")
-    parser.add_argument("--output", required=True, help="results folder; rows are appended")
-    parser.add_argument("--replace-day", action="store_true", help="a rerun replaces the day's rows")
-    parser.add_argument("--responses", help="folder of earlier responses to replay")
+    output = parser.add_mutually_exclusive_group(required=True)
+    output.add_argument("--output", help="results folder; rows are appended")
+    output.add_argument("--output-table", help="results table; rows are appended")
+    parser.add_argument("--replace-day", action="store_true", help="the day's rows replace earlier ones, also by none")
+    parser.add_argument("--backend", help="module:function that calls a model")
+    parser.add_argument("--responses", help="folder of responses, kept there by a backend or replayed")
+    parser.add_argument("--max-batches-per-second", type=float)
     parser.add_argument("--organization", type=int)
     parser.add_argument("--max-rows", type=int, default=0, help="newest rows to keep; 0 keeps all")
     parser.add_argument("--batch-size", type=int, default=C.BATCH_SIZE)
     parser.add_argument("--extras", choices=("merge", "observed"), default="merge")
     parser.add_argument("--align", choices=("position", "nonblank"), default="position")
     parser.add_argument("--ignore-case", action="store_true")
+    parser.add_argument("--billing-code", action="store_true", help="show the billed code beside each note")
     return parser.parse_args(given)
 
 
+def responder(spark: SparkSession, options: argparse.Namespace):
+    if options.backend:
+        module, _, name = options.backend.partition(":")
+        calls = extract.CallSettings(
+            extras=options.extras, max_batches_per_second=options.max_batches_per_second
+        )
+        backend = getattr(importlib.import_module(module), name)
+        return note_run.model_responder(backend, options.responses, calls)
+    if options.responses:
+        earlier = spark.read.schema(RESPONSES).parquet(options.responses)
+        return lambda prompts: earlier
+    return None
+
+
 def run(spark: SparkSession, options: argparse.Namespace) -> int:
     configure(spark)
     if options.star:
@@ -53,22 +78,26 @@ def run(spark: SparkSession, options: argparse.Namespace) -> int:
         batch_size=options.batch_size,
         extras=options.extras,
         align=options.align,
+        billing_code="ICD10_code" if options.billing_code else None,
     )
-    respond = None
-    if options.responses:
-        earlier = spark.read.schema(RESPONSES).parquet(options.responses)
-        respond = lambda batched: earlier
-    done = note_run.run_notes(star, settings, respond)
-    written = done.append_to(
-        options.output,
-        partition_by=["service_day"] if options.replace_day else (),
-        overwrite_partitions=options.replace_day,
-    )
-    print(f"{written} rows appended")
-    done.totals().show()
-    done.validation().show()
-    quality.overall_completion(done.results).show()
-    quality.top_fields(done.summary()).select("label", "cnt", F.round("pct", 1).alias("pct")).show(truncate=False)
+    with one_run(spark):
+        done = note_run.run_notes(star, settings, responder(spark, options))
+        # Written once: what follows reads it, not the joins behind it.
+        done = replace(done, results=stored(done.results, "results"))
+        if options.replace_day:
+            day = options.as_of - dt.timedelta(days=1)
+            written = done.replace_day(day, options.output, options.output_table)
+        elif options.output:
+            written = done.append_to(options.output)
+        else:
+            written = done.append_to_table(options.output_table)
+        print(f"{written} rows written")
+        if done.unmatched is not None:
+            print(f"{done.unmatched.count()} responses answer other prompts")
+        done.totals().show()
+        done.validation().show()
+        quality.overall_completion(done.results).show()
+        quality.top_fields(done.summary()).select("label", "cnt", F.round("pct", 1).alias("pct")).show(truncate=False)
     return written
 
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from noteloom import contract as C
 from noteloom.functions import quality, text
-from noteloom.functions.cues import cue_fields, lead, segments
+from noteloom.functions.cues import cue_fields, with_cues
 from noteloom.functions.prompts import note_block, response_token_budget
 from noteloom.operators import clean as cleaning
 from noteloom.operators import quality as quality_ops
@@ -165,6 +165,8 @@ CUES = [
         "Chief_Complain": "cough, background of asthma", "Comorbidities": "background of asthma", "Allergy": "allergy free"}),
     ("No known drug allergies; Impression: Eczema, both hands", {"Allergy": "No known drug allergies", "Diagnosis": "Eczema, both hands"}),
     ("a\u0001b\u0002c", {"Chief_Complain": "abc"}),
+    ("a\tDx \t: flu; Dx\n: no label; 10:30 CC:PMH:HTN", {
+        "Chief_Complain": "a", "Diagnosis": "flu; Dx\n: no label; 10:30", "History": "PMH: HTN"}),
     ("(Dx:flu)Plan :rest", {"Chief_Complain": "(", "Diagnosis": "flu)", "Treatment_Plan": "rest"}),
     ("xDx: a 5Plan: b éRx: c", {"Chief_Complain": "xDx: a 5Plan: b é", "Treatment_Plan": "c"}),
     (None, {}),
@@ -174,7 +176,7 @@ CUES = [
 
 def test_cue_cases(spark):
     df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(CUES)], "i int, x string")
-    parts = df.withColumn("p", segments(F.col("x"))).withColumn("l", lead(F.col("p")))
+    parts = with_cues(df, "x", "p", "l")
     for row in parts.select("i", *cue_fields(F.col("p"), F.col("l"))).collect():
         found = {f: row[f] for f in C.FIELDS if row[f]}
         assert found == CUES[row.i][1], CUES[row.i][0]
@@ -187,16 +189,15 @@ def test_every_match_satisfies_its_hint(spark):
     texts = [before + cue + after for cue in cues for before in ("", " ", "(") for after in ("", ".", " z")]
     texts += [text.upper() for text in texts]
     df = spark.createDataFrame([(t, t.lower()) for t in texts], "raw string, lowered string")
-    part = F.struct("raw", "lowered")
     for pattern, hint in (pair for pairs in BARE_CUES.values() for pair in pairs):
         matched = df.filter(F.rlike("raw", F.lit(pattern)))
         assert matched.count() > 0
-        assert matched.filter(~_hinted(part, hint)).collect() == []
+        assert matched.filter(~_hinted(F.col("raw"), F.col("lowered"), hint)).collect() == []
 
 
 def test_billing_fills_a_missing_diagnosis(spark):
     rows = [("cough", "Asthma", "J45"), ("cough", "", "J45"), ("cough", None, None), ("Dx: Flu", "Asthma", "J45")]
     df = spark.createDataFrame(rows, "x string, name string, code string")
-    parts = df.withColumn("p", segments(F.col("x"))).withColumn("l", lead(F.col("p")))
+    parts = with_cues(df, "x", "p", "l")
     fields = cue_fields(F.col("p"), F.col("l"), F.col("name"), F.col("code"))
     assert [r.Diagnosis for r in parts.select(*fields).collect()] == ["Asthma", "J45", "", "Flu"]
