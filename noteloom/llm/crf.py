@@ -135,10 +135,11 @@ class Tagger:
             grads["embed"] += d_table @ w[f"{side}_in"].T
         return float((total - gold).mean()), {k: g / batch for k, g in grads.items()}
 
-    def fit(self, ids: np.ndarray, tags: np.ndarray, steps: int = 300, batch: int = 64, rate: float = 0.02, seed: int = 3):
+    def fit(self, ids: np.ndarray, tags: np.ndarray, steps: int = 300, batch: int = 64, rate: float = 0.02, seed: int = 3, vary=None):
         """Train on windows (rows of ids, padded at the end) and their tags; returns the losses.
 
         ``steps`` batches are taken from the windows in random order, round after round.
+        ``vary(rng, ids, tags)`` may give each batch other characters that fit the same tags.
         """
         rng = np.random.default_rng(seed)
         mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
@@ -148,7 +149,8 @@ class Tagger:
             if len(order) < min(batch, len(ids)):
                 order = rng.permutation(len(ids))
             rows, order = order[:batch], order[batch:]
-            loss, grads = self._loss(ids[rows], tags[rows])
+            seen = ids[rows] if vary is None else vary(rng, ids[rows], tags[rows])
+            loss, grads = self._loss(seen, tags[rows])
             losses.append(loss)
             size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
             shrink = min(1.0, 5.0 / (size + 1e-9))

@@ -277,10 +277,17 @@ def learn(documents: DataFrame, text_column: str = "text", sample: int = SAMPLE,
     if not tags.any():
         return None
     model = Tagger(TAGS)
-    model.fit(ids, tags)
+    model.fit(ids, tags, vary=_other_digits)
     return model
 
 
+def _other_digits(rng: np.random.Generator, ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """Labelled numbers with other digits: what makes them numbers of their kind is their form."""
+    zero = char_ids("0")[0]
+    digits = (tags > 0) & (ids >= zero) & (ids <= zero + 9)
+    return np.where(digits, zero + rng.integers(0, 10, ids.shape), ids)
+
+
 # --- Spark jobs -----------------------------------------------------------------------
 
 _FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
