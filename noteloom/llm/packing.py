@@ -32,11 +32,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from noteloom.llm.common import batches_of, configure, in_slices, rows_of, stored, table
-from noteloom.llm.tokens import ByteEncoder, Encoder, encoder
+from noteloom.llm.tokens import ByteEncoder, Encoder, encoder, in_groups
 
 CAPACITY = 2048
 END_ID = 0
-EFFORT = 20_000  # fillings that the search may try
+EFFORT = 6_000  # fillings that the search may try
 WIDTH = 8  # fillings that a node of the search branches into
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -103,140 +103,150 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Filling]:
     return plan
 
 
-def fillings(gap: int, left: dict[int, int], order: list[int], width: int) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``gap`` from the lengths ``left``, least waste first.
-
-    Numbers of parts are tried in turn; once a number of parts fills the gap exactly, more parts
-    are not looked at. Larger lengths come first, so few and large parts are preferred.
-    """
-    usable = [length for length in order if length <= gap]
-    if not usable:
-        return [()]
-    found: list[tuple[int, tuple[int, ...]]] = []
-    smallest = usable[-1]
-    budget = [4000]
-
-    def grow(first: int, rest: int, parts: tuple[int, ...], more: int) -> None:
-        if more == 1:
-            want = rest
-            if want <= usable[first] and left.get(want, 0) > parts.count(want):
-                found.append((0, (*parts, want)))
-                return
-            # the largest that fits
-            low, high = first, len(usable)
-            while low < high:
-                middle = (low + high) // 2
-                if usable[middle] > want:
-                    low = middle + 1
-                else:
-                    high = middle
-            while low < len(usable) and left[usable[low]] <= parts.count(usable[low]):
-                low += 1
-            if low < len(usable):
-                found.append((rest - usable[low], (*parts, usable[low])))
+class _Sums:
+    """Which sums up to ``gap`` one to four of the available lengths reach, and how."""
+
+    def __init__(self, counts: np.ndarray, gap: int):
+        self.counts, self.gap = counts, gap
+        self.one = np.zeros(gap + 1, dtype=bool)
+        self.one[1:] = counts[1 : gap + 1] > 0
+        self._two = None
+
+    @property
+    def two(self) -> np.ndarray:
+        """Sums of two lengths, equal ones included; whether two are there is seen when they are taken."""
+        if self._two is None:
+            available = np.flatnonzero(self.one).tolist()
+            mask = sum(1 << length for length in available)
+            reached = 0
+            for length in available:
+                reached |= mask << length
+            raw = (reached & ((1 << (self.gap + 1)) - 1)).to_bytes(self.gap // 8 + 1, "little")
+            self._two = np.unpackbits(np.frombuffer(raw, dtype=np.uint8), bitorder="little")[: self.gap + 1].astype(bool)
+        return self._two
+
+    def exact(self, total: int, parts: int, most: int):
+        """Fillings of so many parts that sum up to ``total``, larger parts first."""
+        if parts == 1:
+            if self.one[total]:
+                yield (total,)
             return
-        for i in range(first, len(usable)):
-            length = usable[i]
-            if length > rest - smallest * (more - 1):
-                continue
-            if left[length] <= parts.count(length):
-                continue
-            if length * more < rest and any(w == 0 for w, _ in found):
-                return
-            budget[0] -= 1
-            if budget[0] < 0 or sum(w == 0 for w, _ in found) >= width:
+        first, rest = (self.one, self.one) if parts == 2 else (self.one, self.two) if parts == 3 else (self.two, self.two)
+        low = -(-total // 2) if parts != 3 else 1
+        fits = np.flatnonzero(first[low:total] & rest[total - low : 0 : -1]) + low
+        found = 0
+        for size in fits[::-1].tolist():
+            heads = [(size,)] if parts < 4 else self.exact(size, 2, 2)
+            for head in heads:
+                for tail in self.exact(total - size, 1 if parts == 2 else 2, 2):
+                    filling = head + tail
+                    if parts == 3 and tail[0] > size:
+                        continue
+                    if all(self.counts[p] >= n for p, n in Counter(filling).items()):
+                        yield tuple(sorted(filling, reverse=True))
+                        found += 1
+            if found >= most:
                 return
-            grow(i, rest - length, (*parts, length), more - 1)
 
-    for parts in range(1, 5):
-        budget[0] = 4000
-        grow(0, gap, (), parts)
-        if any(w == 0 for w, _ in found):
-            break
-    # Small parts can still follow where a filling leaves room for them.
-    complete = []
-    for waste, parts in found:
-        full, used = list(parts), Counter(parts)
-        for length in usable:
-            while waste >= length and left[length] > used[length]:
-                full.append(length)
-                used[length] += 1
-                waste -= length
-        complete.append((waste, len(full), tuple(sorted(full, reverse=True))))
-    chosen = []
-    for waste, _, parts in sorted(set(complete), key=lambda f: (f[0], f[1], tuple(-p for p in f[2]))):
-        if len(chosen) >= width:
+
+def fillings(gap: int, counts: np.ndarray, width: int) -> list[tuple[int, ...]]:
+    """Undominated ways to fill ``gap`` from the lengths that ``counts`` still holds, least waste first.
+
+    Where even four of the largest lengths do not reach the gap, largest ones are taken first.
+    """
+    head: list[int] = []
+    counts = counts.copy()
+    while True:
+        available = np.flatnonzero(counts[: gap + 1])
+        if not len(available) or available[-1] * 4 >= gap:
             break
-        if not _dominated(parts, waste, left, usable):
-            chosen.append(parts)
-    return chosen or [min(complete, key=lambda f: f[0])[2]]
-
-
-def _dominated(parts: tuple[int, ...], waste: int, left: dict[int, int], usable: list[int]) -> bool:
-    """Whether some unused length could replace a set of the parts and waste less or no more."""
-    if not waste:
-        # Without waste only an exact single length in place of several parts dominates.
-        if len(parts) < 2:
-            return False
-        sums = {sum(p for i, p in enumerate(parts) if pick >> i & 1) for pick in range(3, 1 << min(len(parts), 8)) if pick & (pick - 1)}
-        return any(left.get(s, 0) > parts.count(s) for s in sums)
-    sums = sorted({sum(p for i, p in enumerate(parts) if pick >> i & 1) for pick in range(1, 1 << min(len(parts), 8))})
-    for s in sums:
-        for length in range(s + 1, s + waste + 1):
-            if left.get(length, 0) > parts.count(length):
+        largest = int(available[-1])
+        n = min(int(counts[largest]), max(1, (gap - 3 * largest) // largest))
+        head += [largest] * n
+        counts[largest] -= n
+        gap -= n * largest
+    if not len(available):
+        return [tuple(head)]
+    sums = _Sums(counts, gap)
+    for total in range(gap, 0, -1):
+        found: dict[tuple[int, ...], None] = {}
+        for parts in range(1, 5):
+            for filling in sums.exact(total, parts, width):
+                if filling not in found and not _dominated(filling, gap - total, counts, gap):
+                    found[filling] = None
+            if len(found) >= width or (found and parts > 1):
+                break
+        if found:
+            return [tuple(head) + f for f in list(found)[:width]]
+    return [tuple(head)]
+
+
+def _dominated(parts: tuple[int, ...], waste: int, counts: np.ndarray, gap: int) -> bool:
+    """Whether a length could take the place of several parts, or of less than it with less waste."""
+    picks = range(1, 1 << len(parts))
+    for pick in picks:
+        chosen = [p for i, p in enumerate(parts) if pick >> i & 1]
+        size = sum(chosen)
+        low = size if len(chosen) > 1 else size + 1
+        for length in range(low, min(size + waste, gap) + 1):
+            if counts[length] > parts.count(length):
                 return True
     return False
 
 
 def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, effort: int = EFFORT, width: int = WIDTH) -> list[Filling]:
-    """A plan for ``counts[length]`` pieces of every length up to ``capacity``."""
-    start = {length: int(n) for length, n in enumerate(counts.tolist()) if n and length}
-    bound = lower_bound(np.asarray(counts, dtype=np.int64), capacity)
+    """A plan for ``counts[length]`` pieces of every length below ``capacity``."""
+    counts = np.asarray(counts, dtype=np.int64).copy()
+    counts[0] = 0
+    lengths = np.arange(len(counts))
+    bound = lower_bound(counts, capacity)
     used_by = lambda plan: sum(f.times for f in plan)
-    best = best_fit(start, capacity)
+    as_dict = lambda left: {int(n): int(left[n]) for n in np.flatnonzero(left)}
+    best = best_fit(as_dict(counts), capacity)
     tries = effort
 
-    def bound_of(left: dict[int, int]) -> int:
-        return -(-sum(length * n for length, n in left.items()) // capacity)
-
-    # Depth first, as a stack of what remains and the fillings still to be tried there.
-    stack = [(start, [], 0, None)]
+    # Depth first: what remains, the plan so far as a chain, its sequences, and the fillings still to
+    # be tried there. Plans share their beginnings.
+    stack: list = [(counts, None, 0, 0, None)]
     while stack and used_by(best) > bound and tries > 0:
-        left, plan, used, branches = stack.pop()
-        if not left:
+        left, chain, used, depth, branches = stack.pop()
+        remaining = int((lengths * left).sum())
+        if not remaining:
             if used < used_by(best):
-                best = plan
+                best = _unchained(chain)
             continue
-        if used + bound_of(left) >= used_by(best):
+        if used + -(-remaining // capacity) >= used_by(best):
             continue
-        order = sorted(left, reverse=True)
+        largest = int(np.flatnonzero(left)[-1])
         if branches is None:
-            rest = best_fit(left, capacity) if len(plan) % 16 == 0 else None
-            if rest is not None and used + used_by(rest) < used_by(best):
-                best = plan + rest
-                if used_by(best) == bound:
-                    break
-            largest = order[0]
-            without = dict(left)
+            if depth % 64 == 63:
+                rest = best_fit(as_dict(left), capacity)
+                if used + used_by(rest) < used_by(best):
+                    best = _unchained(chain) + rest
+            without = left.copy()
             without[largest] -= 1
-            if not without[largest]:
-                del without[largest]
-            branches = fillings(capacity - largest, without, sorted(without, reverse=True), width)
+            branches = fillings(capacity - largest, without, width)
         first, *others = branches
         tries -= 1
         if others:
-            stack.append((left, plan, used, others))
-        filling = Counter((order[0], *first))
-        times = min(left[length] // n for length, n in filling.items())
-        after = dict(left)
+            stack.append((left, chain, used, depth, others))
+        filling = Counter((largest, *first))
+        times = min(int(left[length]) // n for length, n in filling.items())
+        after = left.copy()
         for length, n in filling.items():
             after[length] -= n * times
-            if not after[length]:
-                del after[length]
-        stack.append((after, [*plan, Filling(tuple(filling.elements()), times)], used + times, None))
+        stack.append((after, (chain, Filling(tuple(filling.elements()), times)), used + times, depth + 1, None))
     return best
 
 
+def _unchained(chain) -> list[Filling]:
+    plan = []
+    while chain is not None:
+        chain, filling = chain
+        plan.append(filling)
+    return plan[::-1]
+
+
 def places(plan: list[Filling]) -> np.ndarray:
     """Which numbers of each length go where.
 
@@ -269,15 +279,16 @@ def pieces(
         encode = encoder(kind, path)
 
         def rows():
-            for doc_id, text in rows_of(batches, "id", "text"):
-                ids = encode(text) + end
-                total = len(ids) // 4
-                start = 0
-                stop = total % capacity or capacity
-                piece = 0
-                while start < total:
-                    yield doc_id, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])
-                    start, stop, piece = stop, stop + capacity, piece + 1
+            for group in in_groups(rows_of(batches, "id", "text")):
+                for (doc_id, _), ids in zip(group, encode.many([text for _, text in group]), strict=True):
+                    yield from cut(doc_id, ids + end)
+
+        def cut(doc_id, ids):
+            total = len(ids) // 4
+            start, stop, piece = 0, total % capacity or capacity, 0
+            while start < total:
+                yield doc_id, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])
+                start, stop, piece = stop, stop + capacity, piece + 1
 
         yield from batches_of(rows(), _PIECES, size=10_000)
 
