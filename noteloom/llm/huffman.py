@@ -38,7 +38,7 @@ from noteloom.llm.common import (
     write_file,
 )
 from noteloom.llm.ordering import Buckets
-from noteloom.llm.tokens import Encoder, WordEncoder, as_ids, encoder
+from noteloom.llm.tokens import Encoder, WordEncoder, encoder, in_groups
 
 MAGIC = b"NLHUFF01"
 LIMIT = 16  # longest code in bits
@@ -100,7 +100,7 @@ class Code:
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray, limit: int = LIMIT):
         self.symbols, self.lengths, self.limit = symbols, lengths, limit
         self.codes = canonical_codes(lengths)
-        self._place = None
+        self._by_id = None
         self._table = None
 
     @classmethod
@@ -113,27 +113,30 @@ class Code:
 
         Block bits are the first bit of each block within its document, document after document.
         """
-        if self._place is None:
-            self._place = np.zeros(int(self.symbols[-1]) + 1, dtype=np.int64)
-            self._place[self.symbols] = np.arange(len(self.symbols))
-        place = self._place[ids]
-        sizes = self.lengths[place].astype(np.int64)
-        within = np.cumsum(sizes) - sizes
+        if self._by_id is None:
+            size = int(self.symbols[-1]) + 1
+            self._by_id = np.zeros(size, dtype=np.int32), np.zeros(size, dtype=np.uint64)
+            self._by_id[0][self.symbols] = self.lengths
+            self._by_id[1][self.symbols] = self.codes
+        sizes = self._by_id[0][ids]
+        ends = np.cumsum(sizes, dtype=np.int64)
         tokens = np.diff(np.append(starts, len(ids)))
-        first = np.repeat(within[starts], tokens)
-        bits = np.add.reduceat(sizes, starts)
-        n_bytes = (bits + 7) // 8
-        doc_byte = np.cumsum(n_bytes) - n_bytes
-        inner = within - first
-        offset = inner + np.repeat(doc_byte * 8, tokens)
-        value = self.codes[place].astype(np.uint64) << (64 - sizes - (offset & 31)).astype(np.uint64)
+        first = ends[starts] - sizes[starts]
+        n_bytes = (ends[starts + tokens - 1] - first + 7) // 8
+        doc_bit = (np.cumsum(n_bytes) - n_bytes) * 8
+        offset = ends - sizes
+        offset += np.repeat(doc_bit - first, tokens)
+        value = self._by_id[1][ids] << (64 - sizes - (offset & 31)).astype(np.uint64)
         word = offset >> 5
         words = int(n_bytes.sum() + 3) // 4 + 2
-        packed = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), words)
-        packed += np.bincount(word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), words)
+        packed = np.bincount(word, value >> np.uint64(32), words)
+        packed[1:] += np.bincount(word, value & np.uint64(0xFFFFFFFF), words)[:-1]
         payload = packed.astype(">u4").tobytes()[: int(n_bytes.sum())]
-        rank = np.arange(len(ids)) - np.repeat(starts, tokens)
-        return payload, n_bytes, inner[rank % block == 0].astype("<u4")
+        # The places where blocks start: every ``block`` tokens of each document.
+        blocks = -(-tokens // block)
+        rank = np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        marks = offset[np.repeat(starts, blocks) + rank * block] - np.repeat(doc_bit, blocks)
+        return payload, n_bytes, marks.astype("<u4")
 
     def decode(self, payload: np.ndarray, bits: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Blocks that start at ``bits`` and hold ``tokens`` ids each; all advance in step."""
@@ -225,7 +228,7 @@ def read_documents(data: bytes, at_once: int = 1 << 20):
 
 # --- Spark jobs -----------------------------------------------------------------------
 
-_IDS = pa.schema([("id", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("ids", pa.binary())])
+_IDS = pa.schema([("id", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("ids", pa.binary()), ("is_count", pa.bool_())])
 _COUNTS = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 _CODED = pa.schema(
     [
@@ -242,57 +245,54 @@ _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", p
 
 
 def tokenized(df: DataFrame, id_column: str, text_column: str, path: str, kind: type[Encoder], end_id: int) -> DataFrame:
-    """id, bucket of the id, number and ids (uint32 or uint16 bytes) of every text; written once."""
+    """Per text id, bucket of the id, number of ids and the ids (``_ids_of``), and, with is_count,
+    how often each task has met every id; written once, the counts in files of their own."""
     named = df.select(
         F.col(id_column).cast("long").alias("id"),
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
     )
     buckets = Buckets.of(named, "id")
-    end = struct.pack("<I", end_id)
 
     def work(batches):
-        encode = encoder(kind, path)
+        encode = encoder(kind, path, narrow=True)
+        end = end_id.to_bytes(encode.width, "little")
+        flag = bytes([encode.width])
 
         def rows():
-            for doc_id, bucket, text in rows_of(batches, "id", "bucket", "text"):
-                ids = encode(text) + end
-                yield doc_id, bucket, len(ids) // 4, _narrow(ids)
+            counts = np.zeros(max(encode.tokenizer.get_vocab_size(), end_id + 1), dtype=np.int64)
+            for group in in_groups(rows_of(batches, "id", "bucket", "text")):
+                found = [ids + end for ids in encode.many([row[2] for row in group])]
+                counts += np.bincount(np.frombuffer(b"".join(found), encode.kind), minlength=len(counts))
+                for (doc_id, bucket, _), ids in zip(group, found, strict=True):
+                    yield doc_id, bucket, len(ids) // encode.width, flag + ids, False
+            met = np.flatnonzero(counts)
+            if len(met):
+                yield None, None, len(met), np.stack((met, counts[met])).astype("<i8").tobytes(), True
 
         yield from batches_of(rows(), _IDS)
 
     placed = named.select("id", buckets.number(F.col("id")).cast("int").alias("bucket"), "text")
-    found = placed.mapInArrow(work, "id long, bucket int, n long, ids binary")
+    found = placed.mapInArrow(work, "id long, bucket int, n long, ids binary, is_count boolean")
     location = fresh_path(df.sparkSession, "token-ids")
-    found.write.option("compression", "zstd").parquet(location)
+    found.write.option("compression", "zstd").partitionBy("is_count").parquet(location)
     return df.sparkSession.read.schema(found.schema).parquet(location)
 
 
-def _narrow(ids: bytes) -> bytes:
-    """One flag byte, then 16-bit ids where all of them fit, else 32-bit ids."""
-    wide = as_ids(ids)
-    if len(wide) and wide.max() > 0xFFFF:
-        return b"\x04" + ids
-    return b"\x02" + wide.astype("<u2").tobytes()
-
-
-def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype("<u4")
+def _ids_of(data: bytes) -> np.ndarray:
+    """Ids behind a byte that gives their width."""
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
-    """Count of every id over all documents; tasks send one row per id they have met."""
+    """Count of every id over all documents, from one row per task."""
 
     def work(batches):
-        counts = np.zeros(1 << 16, dtype=np.int64)
         for (data,) in rows_of(batches, "ids"):
-            found = np.bincount(_wide(data))
-            if len(found) > len(counts):
-                counts = np.concatenate((counts, np.zeros(len(found) - len(counts), dtype=np.int64)))
-            counts[: len(found)] += found
-        met = np.flatnonzero(counts)
-        yield from batches_of(zip(met.tolist(), counts[met].tolist(), strict=True), _COUNTS, size=100_000)
+            ids, n = np.frombuffer(data, "<i8").reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], schema=_COUNTS)
 
-    return tokens.mapInArrow(work, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = tokens.where("is_count").select("ids").mapInArrow(work, "token long, n long")
+    return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def write_files(tokens: DataFrame, folder: str, limit: int = LIMIT, block: int = BLOCK) -> DataFrame:
@@ -302,6 +302,7 @@ def write_files(tokens: DataFrame, folder: str, limit: int = LIMIT, block: int =
     row per bucket. Documents travel to their bucket as codes, smaller than their ids.
     """
     counted = id_counts(tokens).toPandas()
+    tokens = tokens.where("not is_count")
     code = Code.from_counts(counted["token"].to_numpy(), counted["n"].to_numpy(), limit) if len(counted) else None
     totals = {r["bucket"]: r["n"] for r in tokens.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     starts, before = {}, 0
@@ -311,7 +312,7 @@ def write_files(tokens: DataFrame, folder: str, limit: int = LIMIT, block: int =
 
     def coded(batches):
         def flush(rows):
-            arrays = [_wide(r[3]) for r in rows]
+            arrays = [_ids_of(r[3]) for r in rows]
             sizes = np.array([len(a) for a in arrays])
             payload, n_bytes, marks = code.encode(np.concatenate(arrays), np.cumsum(sizes) - sizes, block)
             byte = mark = 0
@@ -321,7 +322,7 @@ def write_files(tokens: DataFrame, folder: str, limit: int = LIMIT, block: int =
                     doc_id,
                     bucket,
                     n,
-                    zlib.crc32(ids.tobytes()),
+                    zlib.crc32(ids.astype("<u4")),
                     payload[byte : byte + size],
                     marks[mark : mark + blocks].tobytes(),
                 )

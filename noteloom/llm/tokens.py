@@ -6,121 +6,187 @@ is looked up. The memo of a worker is emptied when it is full.
 """
 
 import os
-from array import array
 
 import numpy as np
 
 from noteloom.llm.common import worker_state
 
-MEMO_PIECES = 500_000
+MEMO_PIECES = 1_000_000
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers in bytes."""
+    """Ids of whole texts as little-endian unsigned integers in bytes, of 32 bits or, if
+    ``narrow``, of 16 where the vocabulary allows."""
 
-    def __init__(self, path: str, memo: int = MEMO_PIECES):
+    def __init__(self, path: str, memo: int = MEMO_PIECES, narrow: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo, self.tails, self.limit = {}, {}, memo
+        self.width = 2 if narrow and self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
+        self.memo, self.tails, self.starts, self.limit = {}, {}, {}, memo
 
     def _learn(self, pieces: set[str]) -> None:
         """A word and the punctuation after it are cut apart anyway, so each is learned once."""
-        memo, words, split, other = self.memo, set(), [], []
+        memo, other, split = self.memo, [], []
+        words: set[str] = set()
+        starts: set[str] = set()  # words that stand after a mark
         for piece in pieces:
             word = piece.rstrip(PUNCTUATION)
-            if not word[self.lead :].isalpha() or not piece.startswith(self.before):
+            marked = word[:1] in self.marks
+            if not (word[1:] if marked else word).isalpha():
                 other.append(piece)
                 continue
             if word not in memo:
-                words.add(word)
+                (starts if marked else words).add(word)
             if len(word) < len(piece):
-                split.append((piece, word, piece[len(word) :]))
-        words = list(words)
-        for first in range(0, len(words), 512):
-            self._learn_words(words[first : first + 512])
-        for piece, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            memo[piece] = array("I", found.ids).tobytes()
-        for piece, word, tail in split:
+                split.append((piece, word))
+        self._learn_words(list(words), *self.between)
+        if starts:
+            self._learn_words(list({word[1:] for word in starts}), "", "\n", 2, self.starts)
+            memo.update((word, self.marks[word[0]] + self.starts[word[1:]]) for word in starts)
+            self.starts.clear()
+        for piece in other:
+            memo[piece] = self.plain(self.spelled(piece))
+        for piece, word in split:
+            tail = piece[len(word) :]
             if tail not in self.tails:
-                self.tails[tail] = array("I", self.tokenizer.encode(tail, add_special_tokens=False).ids).tobytes()
+                self.tails[tail] = self.plain(tail)
             memo[piece] = memo[word] + self.tails[tail]
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Encode words as one text and deal its ids out by the word that each belongs to."""
-        found = self.tokenizer.encode(self.between.join(words), add_special_tokens=False)
-        numbers = np.array(found.word_ids, dtype=np.int64)
-        ids = np.array(found.ids, dtype="<u4").tobytes()
-        if not len(numbers) or numbers[-1] != len(words) - 1:
-            for word in words:  # some word was cut in another way
-                self.memo[word] = self.plain(word)
-            return
-        cuts = (4 * np.searchsorted(numbers, np.arange(len(words) + 1))).tolist()
-        self.memo.update((w, ids[low:high]) for w, low, high in zip(words, cuts, cuts[1:], strict=False))
-
-    lead, before, between = 0, "", ""
-
-    def _joined(self, pieces: list[str]) -> bytes:
-        missing = set(pieces).difference(self.memo)
+    def _learn_words(self, words: list[str], before: str, between: str, step: int, into: dict | None = None) -> None:
+        """Encode words as one text and deal its ids out by the place of the word each belongs to.
+
+        A word and what separates it from the next take ``step`` places.
+        """
+        into = self.memo if into is None else into
+        for i in range(0, len(words), 512):
+            part = words[i : i + 512]
+            found = self.tokenizer.encode(before + between.join(part), add_special_tokens=False)
+            numbers = np.array(found.word_ids, dtype=np.int64)
+            ids = np.array(found.ids, dtype=self.kind).tobytes()
+            if not len(numbers) or numbers[-1] != step * (len(part) - 1):
+                into.update((word, self.plain(before + word)) for word in part)  # some word was cut in another way
+                continue
+            at = step * np.arange(len(part))
+            low = (self.width * np.searchsorted(numbers, at)).tolist()
+            high = (self.width * np.searchsorted(numbers, at, side="right")).tolist()
+            into.update((word, ids[a:b]) for word, a, b in zip(part, low, high, strict=True))
+
+    # What stands before words that are encoded together and between them, and the places that a
+    # word takes; and the ids of what a first character of a piece stands for, where it is a mark.
+    between: tuple[str, str, int] = ("", " ", 1)
+    marks: dict[str, bytes] = {}
+
+    def spelled(self, piece: str) -> str:
+        """The text that a piece stands for."""
+        return piece
+
+    def each(self, *lists: list[str]) -> list[list[bytes]]:
+        """Ids of every piece of lists of pieces; new pieces of all lists are learned together."""
+        found = [list(map(self.memo.get, pieces)) for pieces in lists]
+        gaps = [[i for i, part in enumerate(parts) if part is None] if None in parts else [] for parts in found]
+        missing = {pieces[i] for pieces, places in zip(lists, gaps, strict=True) for i in places}
         if missing:
             if len(self.memo) + len(missing) > self.limit:
                 self.memo.clear()
                 self.tails.clear()
-                missing = set(pieces)
             self._learn(missing)
-        return b"".join(map(self.memo.__getitem__, pieces))
+            memo = self.memo
+            for pieces, parts, places in zip(lists, found, gaps, strict=True):
+                for i in places:
+                    parts[i] = memo[pieces[i]]
+        return found
 
     def plain(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def pieces(self, text: str) -> list[str] | None:
         raise NotImplementedError
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text."""
+        lists = [self.pieces(t) if t and "<|" not in t else None for t in texts]
+        found = iter(self.each(*[pieces for pieces in lists if pieces is not None]))
+        return [
+            (self.plain(text) if text else b"") if pieces is None else b"".join(next(found))
+            for text, pieces in zip(texts, lists, strict=True)
+        ]
+
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        pieces = None if "<|" in text else self.pieces(text)
-        return self.plain(text) if pieces is None else self._joined(pieces)
+        return self.many([text])[0]
 
 
 class ByteEncoder(Encoder):
     """Byte-level BPE whose words carry the space before them.
 
-    A single space after something that is no space always starts a new piece. Texts with two
-    spaces in a row or at an end, where that does not hold, are encoded as a whole.
+    A single space after something that is no space always starts a new piece, and a single
+    line break between other characters is one. In the memo a piece stands without its space;
+    one that starts a line stands with the break before it, one that starts a text with ``FIRST``.
+    Texts where white space stands together or at an end are encoded as a whole.
     """
 
+    FIRST = "\x00"
+    between = (" ", " ", 1)
+
+    def __init__(self, path: str, memo: int = MEMO_PIECES, narrow: bool = False):
+        super().__init__(path, memo, narrow)
+        self.marks = {"\n": self.plain("\n"), self.FIRST: b""}
+
     def pieces(self, text: str) -> list[str] | None:
-        if "  " in text or text[0] == " " or text[-1] == " ":
+        if "  " in text or "\n\n" in text or "\n " in text or " \n" in text or self.FIRST in text:
+            return None
+        if text[0] in " \n" or text[-1] in " \n":
             return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + word for word in rest]]
+        return (self.FIRST + text.replace("\n", " \n")).split(" ")
 
-    lead, before, between = 1, " ", ""
+    def spelled(self, piece: str) -> str:
+        if piece[:1] in self.marks:
+            return piece.removeprefix(self.FIRST)
+        return " " + piece
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each with a space before it."""
+        (found,) = self.each(words)
+        return [
+            self.plain(" " + word) if word[:1] in self.marks else ids for word, ids in zip(words, found, strict=True)
+        ]
 
 
 class WordEncoder(Encoder):
-    """BPE on lower-cased words without white space: any white space ends a piece.
+    """BPE on lower-cased words without white space: any white space ends a piece, and A-Z can be
+    put in lower case before.
 
     No character combines with a space, so normal forms do not cross one either.
     """
 
     def pieces(self, text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
-
-    lead, before, between = 0, "", " "
+        return text.encode().lower().decode().replace("\n", " ").split(" ")
 
 
-def encoder(kind: type[Encoder], path: str) -> Encoder:
+def encoder(kind: type[Encoder], path: str, narrow: bool = False, memo: int = MEMO_PIECES) -> Encoder:
     """This worker's encoder for a vocabulary file."""
     kept = worker_state("encoders", dict)
-    key = (kind.__name__, path)
+    key = (kind.__name__, path, narrow, memo)
     if key not in kept:
-        kept[key] = kind(path)
+        kept[key] = kind(path, memo, narrow)
     return kept[key]
 
 
+def in_groups(rows, place: int = -1, characters: int = 400_000):
+    """Rows as lists that hold about so many characters of text (the value at ``place``)."""
+    held, weight = [], 0
+    for row in rows:
+        held.append(row)
+        weight += len(row[place]) + 100
+        if weight >= characters:
+            yield held
+            held, weight = [], 0
+    if held:
+        yield held
+
+
 def as_ids(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype="<u4")
