@@ -17,4 +17,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.oracle(),
+    "op10_warc": warc.ORACLE,
 }

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteloom.llm.common import batches_of, configure, in_slices, rows_of, stored, table
+from noteloom.llm.common import batches_of, configure, fresh_name, in_slices, rows_of, stored, table
 from noteloom.llm.components import components
 
 WORDS = 4  # of a shingle
@@ -221,8 +221,9 @@ def without_near_duplicates(
     found = stored(near_duplicates(df, id_column, text_column, words_of_shingle, radius), "near-duplicates")
     first = found.where("id is not null").groupBy("id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
     more = first.where("n > 1 or c < id").agg(F.max(F.col("n") > 1).alias("repeated")).first()["repeated"]
-    dropped = first.where("c < id").select(F.col("id").alias("dropped_id"))
-    kept = df.join(dropped, F.col(id_column).cast("long") == F.col("dropped_id"), "left_anti")
+    name = fresh_name(df, "dropped_id")
+    dropped = first.where("c < id").select(F.col("id").alias(name))
+    kept = df.join(dropped, F.col(id_column).cast("long") == F.col(name), "left_anti")
     if not more:
         return kept
     named = kept.where(F.col(id_column).isNotNull()).dropDuplicates([id_column])

@@ -288,3 +288,13 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         .where("record_type <> 'gap'")
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     )
+
+
+# The same rows in DuckDB, without any archive.
+ORACLE = f"""
+SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN last IS NULL OR last = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  nullif(last, page_id) AS refers_to
+FROM (SELECT page_id, payload,
+        CASE WHEN strlen(payload) >= {LEAST} THEN max(page_id) OVER (PARTITION BY payload) END AS last
+      FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))"""

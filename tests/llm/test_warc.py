@@ -109,3 +109,17 @@ def test_gaps_are_rows(spark, tmp_path):
     assert sorted(r["page_id"] for r in rows if r["record_type"] == "response") == [1, 2]
     (gap,) = [r for r in rows if r["record_type"] == "gap"]
     assert (gap["gap_start"], gap["gap_end"]) == (len(warc.member(record(1))), len(warc.member(record(1))) + 6)
+
+
+@pytest.mark.parametrize("least", [0, 1000])
+def test_sql_gives_the_same_rows(spark, tmp_path, least):
+    import duckdb
+
+    rows = [(i, "u", "x" * (995 + i % 10)) for i in range(40)] + [(100, "u", None), (None, "u", "x" * 1002)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").where(f"page_id is null or page_id >= {least}")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = connection.execute(f"SELECT page_id, payload_bytes, payload_digest, record_type, refers_to FROM ({warc.ORACLE})").fetchall()
+    found = [tuple(r) for r in warc.op10_warc(spark, str(tmp_path)).collect()]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
