@@ -40,9 +40,9 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def in_slices(df: DataFrame, per_core: int = 4) -> int:
+def in_slices(df: DataFrame) -> int:
     """A number of shuffle partitions that follows the session's setting, not the machine."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), per_core)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4)
 
 
 def worker_state(name: str, make):

@@ -11,7 +11,7 @@ import numpy as np
 
 from noteloom.llm.common import worker_state
 
-MEMO_PIECES = 1_000_000
+MEMO_PIECES = 800_000
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 

@@ -264,7 +264,7 @@ def _word_counts(sample: DataFrame) -> list:
             stems = {w[:n] for w in words for n in range(STEM[0], min(STEM[1], len(w) - 1) + 1)}
             for entry, is_stem in [*((w, False) for w in words), *((s, True) for s in stems)]:
                 counts[entry, is_stem][0 if toxic else 1] += 1
-            if len(counts) > 400_000:
+            if len(counts) > 150_000:
                 yield from batches_of(((e, s, *n) for (e, s), n in counts.items()), _COUNTS, size=20_000)
                 counts.clear()
         yield from batches_of(((e, s, *n) for (e, s), n in counts.items()), _COUNTS, size=20_000)
