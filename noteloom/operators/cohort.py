@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noteloom import contract as C
+from noteloom.operators.notes import with_row_id
 from noteloom.session import stored
 
 Star = Mapping[str, DataFrame]
@@ -110,9 +111,20 @@ def newest_first(df: DataFrame) -> list[Column]:
     ]
 
 
+ROWS_OF_ONE_TASK = 10_000
+
+
+def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows in an order. A sort with a limit sends them all through one task, so
+    beyond a few thousand the rows are numbered in range partitions instead: the same rows."""
+    if n <= ROWS_OF_ONE_TASK:
+        return df.orderBy(*order).limit(n)
+    return with_row_id(df, order, "_place").filter(F.col("_place") < n).drop("_place")
+
+
 def newest_rows(cohort: DataFrame, n: int | None) -> DataFrame:
     """The ``n`` newest rows; None or 0 keeps all, in any order."""
-    return cohort.orderBy(*newest_first(cohort)).limit(n) if n else cohort
+    return first_rows(cohort, newest_first(cohort), n) if n else cohort
 
 
 def nth_newest(df: DataFrame, date: str, n: int) -> Column | None:
@@ -244,4 +256,4 @@ def recent_documents(
     oldest = nth_newest(recent, date, n)
     if oldest is not None:
         recent = recent.filter(F.col(date) >= oldest)
-    return recent.orderBy(F.desc_nulls_last(date), *ties).limit(n)
+    return first_rows(recent, [F.desc_nulls_last(date), *ties], n)

@@ -23,19 +23,20 @@ def as_text(df: DataFrame, column: str = "Note") -> DataFrame:
     return df.withColumn(column, or_empty(F.col(column).cast("string")))
 
 
-def numbered(
-    df: DataFrame, note: str = "Note", name: str = "row_id", unique: bool = True
-) -> DataFrame:
-    """Rows numbered newest first, then by every other column.
+def numbered(df: DataFrame, note: str = "Note", name: str = "row_id") -> DataFrame:
+    """Rows numbered newest first, then by every other column, copies in any order.
 
-    The note takes part as its digest: sort keys are sampled on the driver, where long
-    texts have no place, and a digest in a column is computed once per row.
+    The rows are written once, with a digest of the note and a number of the copy. Only these
+    and the other columns are sorted: note texts are not sampled, sorted or written again, but
+    meet their numbers in a join by the copy.
     """
     rest = [c for c in df.columns if c not in ("FormattedDate", note)]
     first = [F.desc_nulls_last("FormattedDate")] if "FormattedDate" in df.columns else []
-    order = [*first, *[F.asc_nulls_last(c) for c in rest], F.asc_nulls_last("_digest")]
-    digested = df.withColumn("_digest", F.sha2(F.col(note), 256))
-    return with_row_id(digested, order, name, unique).drop("_digest")
+    marks = {"_digest": F.sha2(F.col(note), 256), "_copy": F.monotonically_increasing_id()}
+    kept = stored(df.withColumns(marks), "notes")
+    order = [*first, *[F.asc_nulls_last(c) for c in (*rest, "_digest", "_copy")]]
+    numbers = with_row_id(kept.drop(note), order, name).select(name, "_copy")
+    return kept.join(numbers, "_copy").select(name, *df.columns)
 
 
 def _placed(df: DataFrame, order: Sequence[Column], unique: bool) -> DataFrame:

@@ -8,6 +8,9 @@ from noteloom.functions.responses import attempt_failed, keys_of, normalized, pa
 from noteloom.functions.text import nonblank
 
 
+ROW = "response_row"
+
+
 def parsed_attempts(responses: DataFrame, extras: str = "merge") -> DataFrame:
     """responses with strategy, records and whether the attempt counts.
 
@@ -43,11 +46,27 @@ def repaired_records(attempts: DataFrame) -> DataFrame:
 
 def first_ok(attempts: DataFrame, max_attempts: int = C.MAX_ATTEMPTS) -> DataFrame:
     """The first attempt of each batch that counts, within ``max_attempts``."""
-    usable = attempts.filter(F.col("ok") & (F.col("attempt") <= max_attempts))
+    usable = _usable(attempts, max_attempts)
     order = Window.partitionBy("batch_id").orderBy("attempt")
     return usable.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
+def first_ok_of_stored(attempts: DataFrame, max_attempts: int = C.MAX_ATTEMPTS) -> DataFrame:
+    """The same for attempts that are written, with their row number ``response_row``.
+
+    The first one is found on numbers alone, for which the table is read a second time; the
+    parsed records stay where they are as long as these numbers are few enough to be broadcast.
+    """
+    usable = _usable(attempts, max_attempts)
+    number = F.min(F.struct("attempt", ROW)).alias("first")
+    first = usable.groupBy("batch_id").agg(number).select("batch_id", "first.*")
+    return usable.join(first, ["batch_id", "attempt", ROW], "left_semi").drop(ROW)
+
+
+def _usable(attempts: DataFrame, max_attempts: int) -> DataFrame:
+    return attempts.filter(F.col("ok") & (F.col("attempt") <= max_attempts))
+
+
 def normalized_records(records: DataFrame) -> DataFrame:
     """The contract's fields of every record that is an object."""
     return records.filter("is_object").select(

@@ -153,8 +153,9 @@ def records_to_results(
     Only batch_id, attempt and raw are required of them.
     """
     responses = extract.as_responses(responses)
-    attempts = stored(records.parsed_attempts(responses, settings.extras), "attempts")
-    found = records.repaired_records(records.first_ok(attempts, settings.max_attempts))
+    attempts = records.parsed_attempts(responses, settings.extras)
+    attempts = stored(attempts.withColumn(records.ROW, F.monotonically_increasing_id()), "attempts")
+    found = records.repaired_records(records.first_ok_of_stored(attempts, settings.max_attempts))
     aligned = records.records_for_notes(
         batched, records.normalized_records(found), settings.align, settings.note_column
     )

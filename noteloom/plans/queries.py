@@ -1,8 +1,8 @@
 """The registered queries: one per operator, each over whole tables."""
 
 import datetime as dt
-import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,29 +142,20 @@ def cohort_ignore_case(f: Fixture) -> DataFrame:
     ).distinct()
 
 
-QUERY_FILE = """
-SELECT b.Service_Date, b.patient_id, n.Note
-FROM {fact_billing} b JOIN {dim_clinical_notes} n ON n.Episode_key = b.Episode_key
-WHERE b.Service_Date >= :start AND b.Service_Date < :end AND n.Note IS NOT NULL
-"""
-
-
 @registered
 def cohort_from_query_file(f: Fixture) -> DataFrame:
     """A query file with named tables and dates."""
-    with tempfile.NamedTemporaryFile("w", suffix=".sql") as file:  # read by the driver alone
-        file.write(QUERY_FILE)
-        file.flush()
-        dates = {"start": dt.date(1996, 1, 1), "end": dt.date(1997, 1, 1)}
-        names = ("fact_billing", "dim_clinical_notes")
-        return tables.run_query_file(f.spark, file.name, {n: f[n] for n in names}, dates)
+    path = Path(__file__).with_name("notes_of_a_period.sql")
+    dates = {"start": dt.date(1996, 1, 1), "end": dt.date(1997, 1, 1)}
+    names = ("fact_billing", "dim_clinical_notes")
+    return tables.run_query_file(f.spark, str(path), {n: f[n] for n in names}, dates)
 
 
 # --- notes and prompts ----------------------------------------------------------------
 
 
 def _numbered_notes(f: Fixture) -> DataFrame:
-    return notes.numbered(notes.as_text(f["dim_clinical_notes"]), unique=False)
+    return notes.numbered(notes.as_text(f["dim_clinical_notes"]))
 
 
 def _batched_documents(f: Fixture) -> DataFrame:

@@ -53,6 +53,15 @@ def test_top_n_of_any_kind_of_date_in_any_time_zone(spark, riyadh, kind):
     assert [r.id for r in rows] == [9, 8, 7, 6, 5]
 
 
+def test_many_newest_rows_are_the_same_rows(spark, small, monkeypatch):
+    found = lambda: sorted(map(str, cohort.cohort(small.star(), START, END, newest=17).collect()))
+    few = found()
+    monkeypatch.setattr(cohort, "ROWS_OF_ONE_TASK", 5)
+    assert found() == few and len(few) == 17
+    rows = cohort.newest_rows(cohort.cohort(small.star(), START, END), 17)
+    assert "TakeOrdered" not in plan_of(rows) and "GlobalLimit" not in plan_of(rows)
+
+
 def test_newest_of_a_star_with_instants(spark, riyadh):
     billing = [(day(n, 1), 7, 100 + n, 1, 1, 1, 1) for n in range(1, 11)]
     notes = [(100 + n, f"note {n}") for n in range(1, 11)]

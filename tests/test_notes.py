@@ -41,6 +41,21 @@ def test_copies_spread_over_partitions(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
+def test_no_note_is_sorted_or_written_twice(spark, monkeypatch):
+    written = {}
+
+    def stored(df, name):
+        written[name] = df.columns
+        return real(df, name)
+
+    real = notes.stored
+    monkeypatch.setattr(notes, "stored", stored)
+    df = spark.createDataFrame([(2, "b"), (1, "a"), (1, "a"), (3, None)], "k int, Note string")
+    rows = notes.numbered(notes.as_text(df)).orderBy("row_id").collect()
+    assert [(r.row_id, r.k, r.Note) for r in rows] == [(0, 1, "a"), (1, 1, "a"), (2, 2, "b"), (3, 3, "")]
+    assert "Note" in written["notes"] and "Note" not in written["row-ids"]
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k int")
     assert notes.with_row_id(df, [F.asc("k")]).count() == 0

@@ -3,6 +3,7 @@
 import time
 
 import pytest
+from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from noteloom import contract as C
 from noteloom.functions import responses as R
 from noteloom.operators import records
+from noteloom.session import fresh_path
 
 # raw response, strategy, records found, and why the attempt fails (None: it counts)
 CASES = [
@@ -171,6 +173,21 @@ def test_parse_is_evaluated_once_per_response(spark):
     assert plan.count("_parse_responses(") <= 2  # the operator and its result column
 
 
+def test_records_stay_while_the_first_good_attempt_is_found(spark):
+    rows = [(0, 2, "[{}]"), (0, 1, "x"), (0, 3, "[{}]"), (1, 1, "[{}]"), (1, 1, "[{},{}]")]
+    df = spark.createDataFrame(rows, "batch_id bigint, attempt int, raw string").coalesce(1)
+    attempts = records.parsed_attempts(df).withColumn(records.ROW, F.monotonically_increasing_id())
+    path = fresh_path(spark, "attempts")
+    attempts.write.parquet(path)
+    chosen = records.first_ok_of_stored(spark.read.parquet(path))
+    found = chosen.select("batch_id", "attempt", F.size("records").alias("n")).orderBy("batch_id").collect()
+    assert [tuple(r) for r in found] == [(0, 2, 1), (1, 1, 1)]
+    plan = plan_of(chosen)
+    assert "Window" not in plan
+    moved = [node for node in plan.split("\n\n") if node.strip().split("\n")[0].split(") ")[-1] in ("Sort", "Exchange")]
+    assert moved and all("records" not in node for node in moved)
+
+
 def test_wrapper_order():
     assert R.unwrap({"records": [1], "results": [2]}) == [2]
     assert R.unwrap({"x": [{}], "y": 1}) == [{}]
