@@ -196,7 +196,8 @@ def decode(model: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
             for (row, w), one in zip(some, got, strict=True):
                 scores[row, w : w + WINDOW] += one
                 weight[row, w : w + WINDOW] += slope
-        scores = scores[:, :longest] / weight[:, :longest, None].clip(1)
+        # Sums over a long stretch need more digits than the network's own numbers have.
+        scores = scores[:, :longest].astype(np.float64) / weight[:, :longest, None].clip(1)
         live = ids[:, :longest] != PAD
         path = viterbi(scores, live, start, trans)
         told = np.flatnonzero((path * live).any(1))
