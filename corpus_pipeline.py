@@ -25,27 +25,36 @@ from noteloom.llm import toxicity as toxic
 from noteloom.llm.common import configure, fresh_name, stored
 
 
+# Pieces that a worker remembers while it tokenizes: fewer than by default, since the workers go on
+# living beside the other stages.
+MEMO = 200_000
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxic.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = toxic.learn(docs, configure(spark).read.parquet(f"{sf_dir}/labels.parquet"))
     name = fresh_name(docs, "toxicity")
     scored = docs.withColumn(name, toxic.score(model, F.col("text")))
     return scored.where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return simhash.without_near_duplicates(docs, "doc_id", "text")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return pii.mask(docs, pii.learn(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return mixing.sample(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    configure(spark)
+    return packing.pack(docs, memo=MEMO)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -11,9 +11,18 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteloom.session import configure, fresh_path, stored, work_folder
+from noteloom import session
+from noteloom.session import fresh_path, stored, work_folder
 
-__all__ = ["configure", "fresh_path", "stored", "work_folder"]
+__all__ = ["fresh_path", "stored", "work_folder"]
+
+BATCH_ROWS = 2000  # texts that a Python worker is handed at a time
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """The library's settings, and batches of whole texts that leave room in a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return session.configure(spark)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from noteloom.llm.common import batches_of, configure, in_slices, rows_of, stored, table
-from noteloom.llm.tokens import ByteEncoder, Encoder, encoder, in_groups
+from noteloom.llm.tokens import MEMO_PIECES, ByteEncoder, Encoder, encoder, in_groups
 
 CAPACITY = 2048
 END_ID = 0
@@ -270,13 +270,20 @@ def places(plan: list[Filling]) -> np.ndarray:
 
 
 def pieces(
-    df: DataFrame, id_column: str, text_column: str, path: str, kind: type[Encoder], end_id: int, capacity: int
+    df: DataFrame,
+    id_column: str,
+    text_column: str,
+    path: str,
+    kind: type[Encoder],
+    end_id: int,
+    capacity: int,
+    memo: int = MEMO_PIECES,
 ) -> DataFrame:
     """doc_id, piece, start, length and crc32 of the ids of every piece."""
     end = struct.pack("<I", end_id)
 
     def work(batches):
-        encode = encoder(kind, path)
+        encode = encoder(kind, path, memo=memo)
 
         def rows():
             for group in in_groups(rows_of(batches, "id", "text")):
@@ -348,12 +355,13 @@ def pack(
     kind: type[Encoder] = ByteEncoder,
     end_id: int = END_ID,
     capacity: int = CAPACITY,
+    memo: int = MEMO_PIECES,
 ) -> DataFrame:
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    return packed(stored(pieces(df, id_column, text_column, tokenizer, kind, end_id, capacity), "pieces"), capacity)
+    return packed(stored(pieces(df, id_column, text_column, tokenizer, kind, end_id, capacity, memo), "pieces"), capacity)
 
 
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
