@@ -8,7 +8,7 @@ them, and returns a table with the same columns; the last one returns the packed
 | toxicity | dropped if the grammar scores it 0.5 or more |
 | near_dedup | dropped if its SimHash group holds a document with a smaller id |
 | pii | personal data in its text is masked, and ``n_chars`` brought up to date |
-| mixing | kept with the probability of its source, language and topic |
+| mixing | kept with the probability of its source, language and topic, ``MIXED`` of all tokens |
 | packing | cut and packed into sequences of 2048 tokens |
 
 Null texts, missing ids, repeated rows, empty tables and additional columns pass through as each
@@ -28,6 +28,7 @@ from noteloom.llm.common import configure, fresh_name, stored
 # Pieces that a worker remembers while it tokenizes: fewer than by default, since the workers go on
 # living beside the other stages.
 MEMO = 200_000
+MIXED = 0.75  # share of the clean tokens that mixing keeps
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +50,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
-    return mixing.sample(docs)
+    return mixing.sample(docs, share=MIXED)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,11 @@ their targets. A cell's weight over its tokens is its documents' rate; divided b
 it is the probability with which a document is kept, so the expected tokens of the sample have the
 raked shares. Whether a document is kept follows from a hash of its id alone.
 
+The largest rate is that of the rarest cell, so one odd row can set the size of the whole sample.
+With ``share`` the sample is scaled to that share of all tokens instead: cells whose weight reaches
+their tokens are kept whole, and the others are raked again to what is left of the targets
+(``to_budget``, as the pipeline uses it). The registered query has the form that its SQL states.
+
 Targets are given weights, or by default the observed token shares to a power (``TEMPER``; 1 keeps
 them), and are scaled to sum up to one. A value without a given weight has its default target; a
 given value that does not occur is left out. Targets that contradict each other are met in turn,
@@ -89,13 +94,51 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
         for dimension, target in targets.items():
             sums = now.groupBy(F.col(dimension).alias("value")).agg(F.sum("weight").alias("sum"))
             scale = sums.join(target, "value").select(
-                F.col("value").alias(dimension), (F.col("target") / F.col("sum")).alias("scale")
+                F.col("value").alias(dimension),
+                F.when(F.col("sum") > 0, F.col("target") / F.col("sum")).otherwise(0.0).alias("scale"),
             )
             now = now.join(scale, dimension).withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
         now = stored(now.select(*DIMENSIONS, "tokens", "weight"), "raked")
     return now
 
 
+def to_budget(cells: DataFrame, targets: Mapping[str, DataFrame], share: float, rounds: int = ROUNDS) -> DataFrame:
+    """``cells`` (the dimensions, tokens) with ``weight``, the tokens to be expected of each.
+
+    Weights sum up to ``share`` of all tokens and are nowhere above a cell's own. Every pass keeps at
+    least one more cell whole, so the last one rakes cells that all have room.
+    """
+    free = stored(cells.where("tokens > 0").select(*DIMENSIONS, "tokens"), "cells")
+    whole = free.where("false").withColumn("weight", F.col("tokens").cast("double"))
+    budget = share * (free.agg(F.sum("tokens")).first()[0] or 0)
+    if share >= 1:
+        return free.withColumn("weight", F.col("tokens").cast("double"))
+    while True:
+        spare = budget - (whole.agg(F.sum("weight")).first()[0] or 0.0)
+        left = {d: _left(free, whole, d, target, budget, spare) for d, target in targets.items()}
+        raked = rake(free, left, rounds)
+        full = raked.where("weight >= tokens")
+        if full.isEmpty():
+            return whole.unionByName(raked)
+        whole = stored(whole.unionByName(full.withColumn("weight", F.col("tokens").cast("double"))), "whole-cells")
+        free = raked.where("weight < tokens").drop("weight")
+
+
+def _left(free: DataFrame, whole: DataFrame, dimension: str, target: DataFrame, budget: float, spare: float) -> DataFrame:
+    """value and target, in tokens, of the values of ``free`` beside what ``whole`` cells hold of them."""
+    value = F.col(dimension).alias("value")
+    held = whole.groupBy(value).agg(F.sum("weight").alias("held"))
+    wanted = F.col("target") * budget
+    rest = stored(
+        target.join(free.select(value).distinct(), "value")
+        .join(held, "value", "left")
+        .select("value", F.greatest(wanted - F.coalesce("held", F.lit(0.0)), wanted * 1e-6).alias("rest")),
+        "targets-left",
+    )
+    scale = spare / (rest.agg(F.sum("rest")).first()[0] or 1.0)
+    return rest.select("value", (F.col("rest") * scale).alias("target"))
+
+
 def margins(raked: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
     """dimension, value, target and raked weight: how far each target is met."""
     found = None
@@ -112,29 +155,57 @@ def chance(id_column: str = "doc_id", seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("double") / float(1 << 48)
 
 
+def _targets(cells: DataFrame, given: Mapping[str, Mapping[str, float]] | None) -> dict[str, DataFrame]:
+    return {d: targets_of(cells, d, TEMPER[d], (given or {}).get(d)) for d in DIMENSIONS}
+
+
+def _cells(documents: DataFrame) -> DataFrame:
+    return stored(documents.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
+
+
 def rates(
-    documents: DataFrame, given: Mapping[str, Mapping[str, float]] | None = None, rounds: int = ROUNDS
+    documents: DataFrame,
+    given: Mapping[str, Mapping[str, float]] | None = None,
+    rounds: int = ROUNDS,
+    share: float | None = None,
 ) -> DataFrame:
     """source, lang, topic and the probability of each cell of ``documents`` (as from ``measured``)."""
-    cells = stored(documents.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
-    targets = {d: targets_of(cells, d, TEMPER[d], (given or {}).get(d)) for d in DIMENSIONS}
-    raked = rake(cells, targets, rounds).withColumn("rate", F.col("weight") / F.col("tokens"))
-    most = raked.agg(F.max("rate")).first()[0] or 1.0
-    found = raked.select(*DIMENSIONS, (F.col("rate") / most).alias("probability"))
+    cells = _cells(documents)
+    targets = _targets(cells, given)
+    rate = F.col("weight") / F.col("tokens")
+    if share is None:
+        raked = rake(cells, targets, rounds).withColumn("rate", rate)
+        most = raked.agg(F.max("rate")).first()[0] or 1.0
+        found = raked.select(*DIMENSIONS, (F.col("rate") / most).alias("probability"))
+    else:
+        found = to_budget(cells, targets, share, rounds).select(*DIMENSIONS, rate.alias("probability"))
     empty = cells.where("tokens = 0").select(*DIMENSIONS, F.lit(1.0).alias("probability"))
     return stored(found.unionByName(empty), "rates")
 
 
-def mixed(documents: DataFrame, given: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
+def budget_margins(
+    documents: DataFrame, share: float, given: Mapping[str, Mapping[str, float]] | None = None, rounds: int = ROUNDS
+) -> DataFrame:
+    """``margins`` of a sample of ``share`` of the tokens: what cells kept whole leave unmet shows here."""
+    cells = _cells(documents)
+    targets = _targets(cells, given)
+    planned = stored(to_budget(cells, targets, share, rounds), "planned")
+    total = planned.agg(F.sum("weight")).first()[0] or 1.0
+    return margins(planned.withColumn("weight", F.col("weight") / total), targets)
+
+
+def mixed(
+    documents: DataFrame, given: Mapping[str, Mapping[str, float]] | None = None, share: float | None = None
+) -> DataFrame:
     """``documents`` (as from ``measured``) with their probability and whether they are kept."""
-    probability = rates(documents, given)
+    probability = rates(documents, given, share=share)
     return documents.join(probability, list(DIMENSIONS)).withColumn("kept", chance() < F.col("probability"))
 
 
-def sample(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``df`` that the mix keeps, as they are."""
+def sample(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", share: float | None = None) -> DataFrame:
+    """The rows of ``df`` that the mix keeps, as they are; ``share`` is that of all tokens to keep."""
     found = stored(measured(df, id_column, text_column), "measured")
-    probability = rates(found)
+    probability = rates(found, share=share)
     names = {d: fresh_name(df, f"mix_{d}") for d in DIMENSIONS}
     p = fresh_name(df, "mix_probability")
     of_cell = probability.select(*[F.col(d).alias(n) for d, n in names.items()], F.col("probability").alias(p))

@@ -77,3 +77,38 @@ def test_clashing_columns(spark):
 def test_no_documents(spark, tmp_path):
     assert m.op3_mixing(spark, saved(no_documents(spark), tmp_path)).collect() == []
     assert m.sample(no_documents(spark)).collect() == []
+
+
+@pytest.mark.parametrize("odd", [("own", "own", "five words of its own"), (None, "en", "five words of no source")])
+def test_a_rare_cell_does_not_change_the_share_of_the_others(spark, odd):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "source", "lang", "text")
+    rare = spark.createDataFrame([(-1, *odd)], documents.schema)
+
+    found = m.measured(documents.unionByName(rare))
+    cells = found.groupBy(*m.DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
+    targets = {d: m.targets_of(cells, d, m.TEMPER[d]) for d in m.DIMENSIONS}
+    rows = m.to_budget(cells, targets, 0.7, rounds=2).collect()
+    (small,) = [r for r in rows if r["tokens"] < 6]
+    assert small["weight"] == small["tokens"]
+    others = [r for r in rows if r["tokens"] >= 6]
+    assert sum(r["weight"] for r in others) / sum(r["tokens"] for r in others) == pytest.approx(0.7, abs=1e-3)
+
+
+def test_budget_keeps_small_cells_whole_and_rakes_the_rest(spark):
+    cells = spark.createDataFrame(
+        [("a", "x", "t", 10), ("b", "x", "t", 1000), ("b", "y", "t", 500), ("c", "y", "t", 490)],
+        "source string, lang string, topic string, tokens long",
+    )
+    targets = {d: m.targets_of(cells, d, 1.0, {"source": {"a": 0.4, "b": 0.4, "c": 0.2}}.get(d)) for d in m.DIMENSIONS}
+    rows = m.to_budget(cells, targets, 0.5).collect()
+    weight = {(r["source"], r["lang"]): r["weight"] for r in rows}
+    assert sum(weight.values()) == pytest.approx(1000)
+    assert weight["a", "x"] == 10
+    assert all(r["weight"] <= r["tokens"] for r in rows)
+    assert sum(r["weight"] for r in m.to_budget(cells, targets, 1.0).collect()) == 2000
+
+
+def test_budget_margins(spark):
+    documents = m.measured(spark.read.parquet(f"{FOLDER}/documents.parquet"))
+    for row in m.budget_margins(documents, 0.5).collect():
+        assert row["weight"] == pytest.approx(row["target"], abs=1e-3)
