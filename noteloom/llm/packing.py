@@ -8,8 +8,9 @@ that it makes.
 
 The search takes the largest remaining length, enumerates fillings of the space beside it that no
 other filling dominates (none of its parts can be replaced by one larger length that still fits),
-least waste first, and uses the chosen one as often as the counts allow. A branch ends when its
-waste so far and the bound of what remains cannot beat the incumbent. Incumbents are best-fit
+least waste first, and uses the chosen one as often as the counts allow, then fewer times. The
+first ``width`` fillings of a node are found by a faster search of few parts; after them come all
+others. A branch ends when its waste so far and the bound of what remains cannot beat the incumbent. Incumbents are best-fit
 packings, of all lengths and of what remains at each step. The search stops at the lower bound or
 after ``effort`` fillings; what it returns then is its best plan, always of all documents.
 
@@ -23,6 +24,7 @@ are packed like others; an empty table gives no rows. Other columns are not read
 import struct
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +39,8 @@ from noteloom.llm.tokens import MEMO_PIECES, ByteEncoder, Encoder, encoder, in_g
 CAPACITY = 2048
 END_ID = 0
 EFFORT = 6_000  # fillings that the search may try
-WIDTH = 8  # fillings that a node of the search branches into
+WIDTH = 8  # fillings of a node that are sought among few parts, before all others
+DEAD_ENDS = 500  # steps of the enumeration without a filling that count as a try
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema(
@@ -194,6 +197,88 @@ def _dominated(parts: tuple[int, ...], waste: int, counts: np.ndarray, gap: int)
     return False
 
 
+def _within(mask: int, waste: int) -> int:
+    """Numbers from which one of ``mask`` is at most ``waste`` away, upwards."""
+    reach = 0
+    while reach < waste:
+        step = min(reach + 1, waste - reach)
+        mask |= mask >> step
+        reach += step
+    return mask
+
+
+def completions(gap: int, counts: np.ndarray, least: int = 1) -> Iterator[tuple[int, ...] | None]:
+    """All undominated ways to fill ``gap`` down to ``least``, least waste first, then larger parts first.
+
+    After every ``DEAD_ENDS`` steps without a filling comes a ``None``, so a caller can stop.
+    Sets of lengths are numbers with a bit for each length.
+    """
+    lengths = np.flatnonzero(counts[: gap + 1]).tolist()
+    number = {length: int(counts[length]) for length in lengths}
+    within = (1 << (gap + 1)) - 1
+    reached, below = [1], {}  # sums of the first lengths; place of each length
+    for length in lengths:
+        below[length] = len(reached) - 1
+        sums, left, step = reached[-1], min(number[length], gap // length), 1
+        while left:
+            n = min(step, left)
+            sums |= (sums << n * length) & within
+            left, step = left - n, 2 * step
+        reached.append(sums)
+    everything = sum(1 << length for length in lengths)
+    steps = 0
+
+    def fit(total: int, waste: int, parts: tuple[int, ...], free: int):
+        """Ways to go on from ``parts`` (largest first) by ``total``; ``free`` lengths are not used up."""
+        nonlocal steps
+        steps += 1
+        if steps % DEAD_ENDS == 0:
+            yield None
+        near = _within(free, waste)
+        if not total:
+            if not free & ((2 << waste) - 2):  # else one more length would fit
+                yield parts
+            return
+        # Next parts that a larger length could replace, alone or with parts taken before.
+        bad = _within(free >> 1, waste - 1) if waste else 0
+        for part in parts:
+            bad |= bad >> part | near >> part
+        last = parts[-1] if parts else total
+        able = everything & ~bad & ((1 << (min(last, total) + 1)) - 1)
+        if parts and parts.count(last) == number[last]:
+            able &= ~(1 << last)
+        while able:
+            part = able.bit_length() - 1
+            able ^= 1 << part
+            used = parts.count(part) + 1
+            # What is left to reach: by smaller lengths and by further ones of this.
+            place, rest = below[part], total - part
+            if not any(reached[place] >> (rest - n * part) & 1 for n in range(min(number[part] - used, rest // part) + 1)):
+                continue
+            yield from fit(rest, waste, (*parts, part), free & ~(1 << part) if used == number[part] else free)
+
+    for total in range(gap, max(least, 1) - 1, -1):
+        if reached[-1] >> total & 1:
+            yield from fit(total, gap - total, (), everything)
+
+
+def _branches(gap: int, counts: np.ndarray, width: int, least: int, most: int) -> Iterator[tuple[tuple[int, ...], int] | None]:
+    """Fillings beside a largest length that is there ``most`` times, and how often to use each at most."""
+    first = fillings(gap, counts, width)
+    yield from ((filling, most) for filling in first)
+    seen = {tuple(sorted(filling)) for filling in first}
+    for filling in completions(gap, counts, least):
+        if filling is None:
+            yield None
+        elif tuple(sorted(filling)) not in seen:
+            yield filling, most
+    if most > 1:  # once, and the rest of the largest length otherwise
+        for filling in completions(gap, counts, least):
+            yield filling and (filling, 1)
+        if not counts[: gap + 1].any():
+            yield (), 1
+
+
 def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, effort: int = EFFORT, width: int = WIDTH) -> list[Filling]:
     """A plan for ``counts[length]`` pieces of every length below ``capacity``."""
     counts = np.asarray(counts, dtype=np.int64).copy()
@@ -225,13 +310,18 @@ def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, effort: int = E
                     best = _unchained(chain) + rest
             without = left.copy()
             without[largest] -= 1
-            branches = fillings(capacity - largest, without, width)
-        first, *others = branches
+            least = remaining - largest - (used_by(best) - used - 2) * capacity
+            branches = _branches(capacity - largest, without, width, least, int(left[largest]))
         tries -= 1
-        if others:
-            stack.append((left, chain, used, depth, others))
+        branch = next(branches, False)
+        if branch is False:
+            continue
+        stack.append((left, chain, used, depth, branches))
+        if branch is None:
+            continue
+        first, most = branch
         filling = Counter((largest, *first))
-        times = min(int(left[length]) // n for length, n in filling.items())
+        times = min(most, *(int(left[length]) // n for length, n in filling.items()))
         after = left.copy()
         for length, n in filling.items():
             after[length] -= n * times

@@ -1,5 +1,6 @@
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -57,6 +58,36 @@ def test_beats_best_fit_where_that_fails():
     assert checked(lengths, 11) == 4
 
 
+def test_fillings_with_more_waste_are_tried():
+    assert checked([1228, 1188, 1126, 800, 512, 450, 410, 410], 2048) == 3
+    assert checked([60, 58, 55, 39, 25, 22, 20, 20], 100) == 3
+
+
+def brute_undominated(gap, lengths):
+    """Fillings whose parts no others cover: sets of parts that each fit a place of their own."""
+    sets = {tuple(c) for n in range(1, len(lengths) + 1) for c in combinations(sorted(lengths, reverse=True), n)}
+    sets = [s for s in sets if sum(s) <= gap]
+
+    def covers(other, parts):
+        def place(i, room):
+            return i == len(parts) or any(
+                place(i + 1, (*room[:k], r - parts[i], *room[k + 1 :])) for k, r in enumerate(room) if r >= parts[i]
+            )
+
+        return place(0, other)
+
+    return {s for s in sets if not any(o != s and covers(o, s) and not (covers(s, o) and len(o) >= len(s)) for o in sets)}
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 14), min_size=1, max_size=7), st.integers(3, 20))
+def test_every_undominated_filling_comes_once_by_waste(lengths, gap):
+    found = list(p.completions(gap, np.bincount(lengths, minlength=gap + 1)))
+    assert len(found) == len(set(found))
+    assert [sum(f) for f in found] == sorted(map(sum, found), reverse=True)
+    assert brute_undominated(gap, lengths) <= set(found)
+
+
 def test_never_worse_than_best_fit_and_never_below_the_bound():
     rng = np.random.default_rng(1)
     for low, high, n in ((1, 2048, 300), (400, 900, 200), (600, 700, 100), (1025, 2048, 50), (1, 100, 500)):
