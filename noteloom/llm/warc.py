@@ -4,6 +4,9 @@ Every record is one gzip member, as the format advises, and carries the digest o
 The reader checks each member (gzip's own checksum, version line, lengths, block digest). After
 a failed check it searches for the next place where a gzip member or a version line starts a
 record that passes all checks, goes on from there, and logs the bytes in between as a gap.
+Of a member that is damaged, cut short or fails its checksum, every record that can be inflated and
+passes its own checks is kept, but for a member of one record alone that is cut; version lines are searched in the inflated bytes too. A gap between
+such records has the offsets of their member, and those in the inflated bytes in its reason.
 
 Pages with equal payloads of at least ``least`` bytes are stored once: the page with the largest
 id is the response, the others are revisits that refer to it.
@@ -131,36 +134,102 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     return headers, block, last + 4
 
 
-def _inflate(data: memoryview, at: int) -> tuple[bytes, int]:
+CUT = "member cut short"
+PIECE = 1 << 16  # compressed bytes that are inflated at a time
+
+
+def _inflate(data: memoryview, at: int) -> tuple[bytes, int, str | None]:
+    """Content and end of the member at ``at``; with an error, what could be inflated before it."""
     unpack = zlib.decompressobj(31)
-    parts, size = [], 1 << 16
+    parts = []
     here = at
     try:
         while not unpack.eof:
-            piece = data[here : here + size]
+            piece = data[here : here + PIECE]
             if not piece:
-                raise Damaged("member cut short")
+                return b"".join(parts), here, CUT
             parts.append(unpack.decompress(piece))
             here += len(piece)
     except zlib.error as error:
-        raise Damaged(f"gzip: {error}") from None
-    return b"".join(parts), here - len(unpack.unused_data)
+        return *_inflate_slowly(data, at), f"gzip: {error}"
+    return b"".join(parts), here - len(unpack.unused_data), None
 
 
-def _records_at(data: bytes, view: memoryview, at: int) -> tuple[list[tuple[dict, bytes]], int]:
-    """The records of the gzip member, or the one plain record, that starts at ``at``."""
-    if data.startswith(GZIP_START, at):
-        content, end = _inflate(view, at)
-        found, here = [], 0
-        while here < len(content):
-            headers, block, here = parse_record(content, here)
-            found.append((headers, block))
-        return found, end
-    headers, block, end = parse_record(data, at)
-    return [(headers, block)], end
+def _inflate_slowly(data: memoryview, at: int, most: int | None = None) -> tuple[bytes, int]:
+    """Content up to an error or to ``most`` bytes, and the place in ``data`` where that was reached.
 
+    The piece in which it happens is inflated byte by byte.
+    """
+    unpack = zlib.decompressobj(31)
+    parts, size, here = [], 0, at
+    while here < len(data) and not unpack.eof:
+        piece, before = data[here : here + PIECE], unpack.copy()
+        try:
+            out = unpack.decompress(piece)
+        except zlib.error:
+            out = None
+        if out is not None and (most is None or size + len(out) < most):
+            parts.append(out)
+            size += len(out)
+            here += len(piece)
+            continue
+        unpack = before
+        for i in range(len(piece)):
+            try:
+                parts.append(unpack.decompress(piece[i : i + 1]))
+            except zlib.error:
+                return b"".join(parts), here + i
+            size += len(parts[-1])
+            if most is not None and size >= most:
+                return b"".join(parts), here + i + 1
+        break
+    return b"".join(parts), here
+
+
+_VERSION_LINE = re.compile(rb"(?:(?<=\n)|\A)WARC/1\.[01]\r\n")
+_CANDIDATE = re.compile(rb"\x1f\x8b\x08|" + _VERSION_LINE.pattern)
+
+
+def _records_in(content: bytes) -> tuple[list[tuple[dict, bytes]], list[tuple[int, int, str]], int]:
+    """Records in inflated bytes, gaps before and between them, and the end of the last one."""
+    found, gaps, here, last, why = [], [], 0, 0, ""
+    while here < len(content):
+        try:
+            headers, block, end = parse_record(content, here)
+        except Damaged as error:
+            if here == last:
+                why = str(error)
+            following = _VERSION_LINE.search(content, here + 1)
+            here = following.start() if following else len(content)
+            continue
+        if here > last:
+            gaps.append((last, here, why))
+        found.append((headers, block))
+        here = last = end
+    if last < len(content):
+        gaps.append((last, len(content), why))
+    return found, gaps, last
 
-_CANDIDATE = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/1\.[01]\r\n")
+
+def _records_at(data: bytes, view: memoryview, at: int) -> tuple[list[tuple], int, str | None]:
+    """Records and inner gaps of the gzip member, or the one plain record, that starts at ``at``.
+
+    With an error, the end is where the last record of the member ends. A member without any
+    record that passes its checks raises ``Damaged``.
+    """
+    if not data.startswith(GZIP_START, at):
+        headers, block, end = parse_record(data, at)
+        return [(headers, block)], end, None
+    content, end, error = _inflate(view, at)
+    found, gaps, last = _records_in(content)
+    if not found and (error or gaps):
+        raise Damaged(error or gaps[0][2])
+    if error == CUT and len(found) == 1 and not gaps:
+        raise Damaged(error)  # the cut is in the member of a single record, not after it
+    if error:
+        gaps = [gap for gap in gaps if gap[0] < last]
+        _, end = _inflate_slowly(view, at, last)
+    return [*found, *((at, end, f"inflated bytes {a} to {b}: {why}") for a, b, why in gaps)], end, error
 
 
 def salvage(data: bytes) -> Iterator[tuple[dict, bytes] | tuple[int, int, str]]:
@@ -168,10 +237,10 @@ def salvage(data: bytes) -> Iterator[tuple[dict, bytes] | tuple[int, int, str]]:
     view, at, bad, why = memoryview(data), 0, None, ""
     while at < len(data):
         try:
-            found, end = _records_at(data, view, at)
-        except Damaged as error:
+            found, end, error = _records_at(data, view, at)
+        except Damaged as damage:
             if bad is None:
-                bad, why = at, str(error)
+                bad, why = at, str(damage)
             following = _CANDIDATE.search(data, at + 1)
             at = following.start() if following else len(data)
             continue
@@ -180,6 +249,10 @@ def salvage(data: bytes) -> Iterator[tuple[dict, bytes] | tuple[int, int, str]]:
             bad = None
         yield from found
         at = end
+        if error:
+            bad, why = end, error
+            following = _CANDIDATE.search(data, end)
+            at = following.start() if following else len(data)
     if bad is not None:
         yield bad, len(data), why
 

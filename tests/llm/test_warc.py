@@ -1,4 +1,5 @@
 import hashlib
+import zlib
 from collections import defaultdict
 
 import pytest
@@ -50,6 +51,46 @@ def test_member_and_plain_record_mixed():
     assert read(warc.member(record(1)) + record(2) + warc.member(record(3)))[0] == [1, 2, 3]
 
 
+def noisy(n, size=3000):
+    return warc.record_bytes(n, f"http://x/{n}", hashlib.shake_128(b"%d" % n).hexdigest(size).encode(), None)
+
+
+def test_damaged_record_of_a_member_of_several():
+    records = [noisy(n) for n in range(6)]
+    bad = records[2].replace(records[2][-20:-10], b"!" * 10)
+    pages, gaps = read(warc.member(b"".join([*records[:2], bad, *records[3:]])) + warc.member(record(9)))
+    assert pages == [0, 1, 3, 4, 5, 9]
+    assert len(gaps) == 1 and "block digest differs" in gaps[0][2]
+
+
+def test_bad_checksum_and_cut_member_of_several():
+    squeezed = warc.member(b"".join(noisy(n) for n in range(6)))
+    bad = bytearray(squeezed)
+    bad[-6] ^= 0xFF
+    pages, gaps = read(bytes(bad) + warc.member(record(9)))
+    assert pages == [0, 1, 2, 3, 4, 5, 9] and len(gaps) == 1
+    for rest in (b"", warc.member(record(9))):
+        pages, gaps = read(squeezed[: len(squeezed) * 3 // 4] + rest)
+        assert pages == [0, 1, 2, 3, *([9] if rest else [])]
+        assert len(gaps) == 1 and gaps[0][0] < gaps[0][1]
+
+
+def test_bad_byte_in_a_compressed_member_of_several():
+    squeezed = warc.member(b"".join(noisy(n) for n in range(6)))
+    for at in range(len(squeezed) // 2, len(squeezed) // 2 + 200, 10):
+        bad = bytearray(squeezed)
+        bad[at] ^= 0xFF
+        pages, gaps = read(bytes(bad) + warc.member(record(9)))
+        assert pages[:2] == [0, 1] and pages[-1] == 9 and gaps
+        assert len(pages) == len(set(pages))
+
+
+def test_stored_member_of_several_is_not_read_twice():
+    squeeze = zlib.compressobj(0, zlib.DEFLATED, 31)
+    stored = squeeze.compress(b"".join(noisy(n, 300) for n in range(6))) + squeeze.flush()
+    assert read(stored[:-20])[0] == [0, 1, 2, 3, 4]
+
+
 def test_nothing_valid():
     assert read(b"x" * 1000) == ([], [(0, 1000, "no version line")])
     assert read(b"") == ([], [])
