@@ -202,10 +202,21 @@ def mixed(
     return documents.join(probability, list(DIMENSIONS)).withColumn("kept", chance() < F.col("probability"))
 
 
-def sample(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", share: float | None = None) -> DataFrame:
-    """The rows of ``df`` that the mix keeps, as they are; ``share`` is that of all tokens to keep."""
-    found = stored(measured(df, id_column, text_column), "measured")
-    probability = rates(found, share=share)
+def sample(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    share: float | None = None,
+    given: Mapping[str, Mapping[str, float]] | None = None,
+    topic: Column | None = None,
+) -> DataFrame:
+    """The rows of ``df`` that the mix keeps, as they are.
+
+    ``share`` is that of all tokens to keep, ``given`` has target weights by dimension and value, and
+    ``topic`` takes the place of the form of the text.
+    """
+    found = stored(measured(df, id_column, text_column, topic), "measured")
+    probability = rates(found, given, share=share)
     names = {d: fresh_name(df, f"mix_{d}") for d in DIMENSIONS}
     p = fresh_name(df, "mix_probability")
     of_cell = probability.select(*[F.col(d).alias(n) for d, n in names.items()], F.col("probability").alias(p))
@@ -214,7 +225,7 @@ def sample(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     placed = (
         df.withColumn(names["source"], named(F.col("source")))
         .withColumn(names["lang"], named(F.col("lang")))
-        .withColumn(names["topic"], form(text))
+        .withColumn(names["topic"], named(form(text) if topic is None else topic))
     )
     return placed.join(of_cell, list(names.values())).where(chance(id_column) < F.col(p)).select(*df.columns)
 

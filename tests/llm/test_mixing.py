@@ -112,3 +112,11 @@ def test_budget_margins(spark):
     documents = m.measured(spark.read.parquet(f"{FOLDER}/documents.parquet"))
     for row in m.budget_margins(documents, 0.5).collect():
         assert row["weight"] == pytest.approx(row["target"], abs=1e-3)
+
+
+def test_sample_takes_target_weights_and_a_topic(spark):
+    rows = [(i, "s", "en", "a" if i % 2 else "b", "same words") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, subject string, text string")
+    kept = m.sample(df, given={"topic": {"a": 1.0, "b": 0.0}}, topic=F.col("subject"))
+    assert kept.columns == df.columns
+    assert {r["doc_id"] for r in kept.collect()} == set(range(1, 20, 2))
