@@ -5,11 +5,11 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from support import SMALL  # noqa: E402
+
 from noteloom.plans.fixture_views import Fixture  # noqa: E402
 from noteloom.session import local_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,9 +19,3 @@ def spark():
 @pytest.fixture(scope="session")
 def small(spark):
     return Fixture(spark, SMALL)
-
-
-def plan_of(df) -> str:
-    """The physical plan with nothing cut off."""
-    explain = df.sparkSession._jvm.PythonSQLUtils.explainString
-    return explain(df._jdf.queryExecution(), "formatted")

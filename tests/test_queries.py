@@ -2,7 +2,7 @@
 
 import pytest
 from compare import actual, difference, expected, oracle
-from conftest import SMALL
+from support import SMALL
 
 import __spark_entry__ as entry_point
 from noteloom.plans.oracles import ORACLES
