@@ -1,35 +1,35 @@
 """Mixing sources to target weights by raking (iterative proportional fitting).
 
-Documents are summed up to cells of source, language and topic, weighted by their tokens. Each
-round scales the cells' weights so that the sums by source, then by language, then by topic meet
-their targets. A cell's weight over its tokens is its documents' rate; divided by the largest rate
-it is the probability with which a document is kept, so the expected tokens of the sample have the
-raked shares. Whether a document is kept follows from a hash of its id alone.
-
-The largest rate is that of the rarest cell, so one odd row can set the size of the whole sample.
-With ``share`` the sample is scaled to that share of all tokens instead: cells whose weight reaches
-their tokens are kept whole, and the others are raked again to what is left of the targets
-(``to_budget``, as the pipeline uses it). The registered query has the form that its SQL states.
+Documents are summed up to cells of source, language and topic, weighted by their tokens. The sample
+is to hold a ``share`` of all tokens. Each round scales the cells' weights so that the sums by source,
+then by language, then by topic meet their targets; a cell counts with at most its own tokens, so
+that what a small cell cannot give is asked of the others in the same rounds. At the end all weights
+are scaled by one number with which the sample has its share. A cell's weight over its tokens is the
+probability with which its documents are kept. Whether a document is kept follows from a hash of its
+id alone. One odd row with a source of its own is kept, and changes nothing for the others.
 
 Targets are given weights, or by default the observed token shares to a power (``TEMPER``; 1 keeps
 them), and are scaled to sum up to one. A value without a given weight has its default target; a
-given value that does not occur is left out. Targets that contradict each other are met in turn,
-as far as the last round goes; see ``margins``.
+given value that does not occur is left out. Targets that contradict each other, or ask for more
+than there is, are met as far as the last round goes; see ``budget_margins``.
 
-All of it is DataFrame operations. Sums are combined before they are shuffled and cells are
+All of it is DataFrame operations. Sums are combined before they are shuffled. The targets become
+columns of the cells, and a step is one window over the cells of a value: no joins, and a number of
+jobs that depends on the number of rounds alone. Up to ``CELLS_OF_ONE_TASK`` cells the windows run in
+one task without shuffles, beyond that they are dealt by value; the weights are the same. Cells are
 joined back to documents by a join that Spark broadcasts if the cells are few, and splits where a
 cell is hot if they are not.
 
 Edge cases: a null source, language or topic is the value ``(none)``; a null or empty text has no
 tokens and weighs nothing; its cell may have a rate from other documents, and if all of a cell's
-documents are empty the rate is that of the fullest cell, so they are kept. A null id is hashed
-as the empty text; rows that repeat an id are kept or not together within a cell. An empty table
-gives no rows. Columns of the input are not touched by name beyond those named.
+documents are empty they are kept. A null id is hashed as the empty text; rows that repeat an id
+are kept or not together within a cell. An empty table gives no rows. Columns of the input are not
+touched by name beyond those named.
 """
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from noteloom.llm.common import configure, fresh_name, stored, table
@@ -37,6 +37,9 @@ from noteloom.llm.common import configure, fresh_name, stored, table
 DIMENSIONS = ("source", "lang", "topic")
 TEMPER = {"source": 0.8, "lang": 0.8, "topic": 1.0}
 ROUNDS = 10
+STORED_ROUNDS = 5  # rounds between two writes of the weights, which bound the size of a plan
+CELLS_OF_ONE_TASK = 1_000_000
+SHARE = 0.75  # of the tokens, that a sample holds
 SEED = "mix"
 NONE = "(none)"
 
@@ -73,70 +76,125 @@ def measured(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
 def targets_of(cells: DataFrame, dimension: str, temper: float, given: Mapping[str, float] | None = None) -> DataFrame:
     """value and target of every value of a dimension that has tokens; targets sum up to one."""
-    sums = stored(
-        cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").cast("double").alias("n")).where("n > 0"),
-        "margin",
+    sums = cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").cast("double").alias("n")).where("n > 0")
+    wanted = _wanted(F.col("n") / F.sum("n").over(_whole()), F.col("value"), temper, given)
+    return sums.select("value", wanted.alias("wanted")).select(
+        "value", (F.col("wanted") / F.sum("wanted").over(_whole())).alias("target")
     )
-    total = sums.agg(F.sum("n")).first()[0] or 1.0
-    wanted = F.pow(F.col("n") / total, F.lit(float(temper)))
-    if given:
-        stated = F.create_map(*[F.lit(x) for v, w in given.items() for x in (v, float(w))])
-        wanted = F.coalesce(F.element_at(stated, F.col("value")), wanted)
-    weighed = sums.select("value", wanted.alias("wanted"))
-    scale = weighed.agg(F.sum("wanted")).first()[0] or 1.0
-    return stored(weighed.select("value", (F.col("wanted") / scale).alias("target")), "targets")
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (the dimensions, tokens) with the raked ``weight`` of each."""
-    now = stored(cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")), "cells")
-    for _ in range(rounds):
-        for dimension, target in targets.items():
-            sums = now.groupBy(F.col(dimension).alias("value")).agg(F.sum("weight").alias("sum"))
-            scale = sums.join(target, "value").select(
-                F.col("value").alias(dimension),
-                F.when(F.col("sum") > 0, F.col("target") / F.col("sum")).otherwise(0.0).alias("scale"),
-            )
-            now = now.join(scale, dimension).withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
-        now = stored(now.select(*DIMENSIONS, "tokens", "weight"), "raked")
+def _whole() -> WindowSpec:
+    """All cells."""
+    return Window.partitionBy()
+
+
+def _wanted(share: Column, value: Column, temper: float, given: Mapping[str, float] | None) -> Column:
+    wanted = F.pow(share, F.lit(float(temper)))
+    if not given:
+        return wanted
+    stated = F.create_map(*[F.lit(x) for v, w in given.items() for x in (v, float(w))])
+    return F.coalesce(F.element_at(stated, value), wanted)
+
+
+def _together(cells: DataFrame, few: bool) -> DataFrame:
+    """Cells in one partition, if they are few: windows over them need no shuffle then."""
+    return cells.coalesce(1) if few else cells
+
+
+def _few(cells: DataFrame) -> bool:
+    return cells.count() <= CELLS_OF_ONE_TASK
+
+
+def _target(dimension: str) -> str:
+    return f"target_{dimension}"
+
+
+def with_targets(cells: DataFrame, given: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
+    """``cells`` that have tokens, with a column of each dimension's target; the same as ``targets_of``."""
+    found = cells.where("tokens > 0")
+    for d in DIMENSIONS:
+        of_value = Window.partitionBy(d)
+        n = F.sum(F.col("tokens").cast("double"))
+        # One cell of each value stands for it where values are summed up.
+        first = F.row_number().over(of_value.orderBy(*DIMENSIONS)) == 1
+        found = found.withColumns({"_n": n.over(of_value), "_all": n.over(_whole()), "_first": first})
+        found = found.withColumn("_wanted", _wanted(F.col("_n") / F.col("_all"), F.col(d), TEMPER[d], (given or {}).get(d)))
+        total = F.sum(F.when(F.col("_first"), F.col("_wanted"))).over(_whole())
+        found = found.withColumn(_target(d), F.col("_wanted") / total).drop("_n", "_all", "_first", "_wanted")
+    return found
+
+
+def _joined(cells: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """``cells`` that have tokens and targets in all dimensions, with these as columns."""
+    found = cells.where("tokens > 0").select(*DIMENSIONS, "tokens")
+    for d, target in targets.items():
+        found = found.join(target.select(F.col("value").alias(d), F.col("target").alias(_target(d))), d)
+    return stored(found, "cells")
+
+
+def _rounds(cells: DataFrame, rounds: int, capped: bool, few: bool) -> DataFrame:
+    """The column ``weight`` after so many rounds; ``cells`` has it, the tokens and the targets.
+
+    With ``capped`` a cell counts with at most its tokens; its weight may go beyond, so that it
+    stays the product of its tokens and one factor for each of its values.
+    """
+    counted = F.least("weight", "tokens") if capped else F.col("weight")
+    now = _together(cells, few)
+    for n in range(rounds):
+        for d in [d for d in DIMENSIONS if _target(d) in cells.columns]:
+            total = F.sum(counted).over(Window.partitionBy(d))
+            scale = F.when(total > 0, F.col(_target(d)) / total).otherwise(0.0)
+            now = now.withColumn("weight", F.col("weight") * scale)
+        if (n + 1) % STORED_ROUNDS == 0 and n + 1 < rounds:
+            now = _together(stored(now, "raked"), few)
     return now
 
 
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+    """``cells`` (the dimensions, tokens) with the raked ``weight`` of each; weights sum up to one."""
+    start = _joined(cells, targets).withColumn("weight", F.col("tokens").cast("double"))
+    return stored(_rounds(start, rounds, capped=False, few=_few(start)).select(*DIMENSIONS, "tokens", "weight"), "raked")
+
+
+def _scaled(cells: DataFrame, share: float) -> DataFrame:
+    """Weights times the one number with which they, at most the tokens each, sum up to ``share``.
+
+    In the order in which cells reach their tokens as that number grows, a cell is full if the
+    number that just fills it does not ask for more than the budget of all.
+    """
+    ratio = F.when(F.col("weight") > 0, F.col("tokens") / F.col("weight"))
+    before = Window.orderBy("_ratio", *DIMENSIONS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = cells.withColumns({"_ratio": ratio, "_budget": F.sum("tokens").over(_whole()) * F.lit(float(share))})
+    usable = F.col("_ratio").isNotNull()
+    weight, tokens = (F.when(usable, F.col(c)).otherwise(0.0) for c in ("weight", "tokens"))
+    at_this = F.sum(tokens).over(before) + F.col("_ratio") * (F.sum(weight).over(_whole()) - F.sum(weight).over(before))
+    found = found.withColumn("_full", F.coalesce(at_this <= F.col("_budget"), F.lit(False)))
+    held = F.sum(F.when(F.col("_full"), F.col("tokens")).otherwise(0)).over(_whole())
+    free = F.sum(F.when(~F.col("_full"), F.col("weight")).otherwise(0.0)).over(_whole())
+    found = found.withColumn("_scale", F.when(free > 0, (F.col("_budget") - held) / free).otherwise(0.0))
+    full = F.col("tokens").cast("double")
+    return found.select(
+        *DIMENSIONS, "tokens", F.when(F.col("_full"), full).otherwise(F.least(full, F.col("weight") * F.col("_scale"))).alias("weight")
+    )
+
+
+def _to_budget(cells: DataFrame, share: float, rounds: int, few: bool) -> DataFrame:
+    if share >= 1:
+        return cells.select(*DIMENSIONS, "tokens", F.col("tokens").cast("double").alias("weight"))
+    budget = F.sum("tokens").over(_whole()) * F.lit(float(share))
+    start = cells.withColumns({_target(d): F.col(_target(d)) * budget for d in DIMENSIONS if _target(d) in cells.columns})
+    start = start.withColumn("weight", F.col("tokens") * F.lit(float(share)))
+    return _scaled(_rounds(start, rounds, capped=True, few=few), share)
+
+
 def to_budget(cells: DataFrame, targets: Mapping[str, DataFrame], share: float, rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (the dimensions, tokens) with ``weight``, the tokens to be expected of each.
 
-    Weights sum up to ``share`` of all tokens and are nowhere above a cell's own. Every pass keeps at
-    least one more cell whole, so the last one rakes cells that all have room.
+    Weights sum up to ``share`` of all tokens and are nowhere above a cell's own. If all cells with a
+    target above nothing hold less than that, they are kept whole.
     """
-    free = stored(cells.where("tokens > 0").select(*DIMENSIONS, "tokens"), "cells")
-    whole = free.where("false").withColumn("weight", F.col("tokens").cast("double"))
-    budget = share * (free.agg(F.sum("tokens")).first()[0] or 0)
-    if share >= 1:
-        return free.withColumn("weight", F.col("tokens").cast("double"))
-    while True:
-        spare = budget - (whole.agg(F.sum("weight")).first()[0] or 0.0)
-        left = {d: _left(free, whole, d, target, budget, spare) for d, target in targets.items()}
-        raked = rake(free, left, rounds)
-        full = raked.where("weight >= tokens")
-        if full.isEmpty():
-            return whole.unionByName(raked)
-        whole = stored(whole.unionByName(full.withColumn("weight", F.col("tokens").cast("double"))), "whole-cells")
-        free = raked.where("weight < tokens").drop("weight")
-
-
-def _left(free: DataFrame, whole: DataFrame, dimension: str, target: DataFrame, budget: float, spare: float) -> DataFrame:
-    """value and target, in tokens, of the values of ``free`` beside what ``whole`` cells hold of them."""
-    value = F.col(dimension).alias("value")
-    held = whole.groupBy(value).agg(F.sum("weight").alias("held"))
-    wanted = F.col("target") * budget
-    rest = stored(
-        target.join(free.select(value).distinct(), "value")
-        .join(held, "value", "left")
-        .select("value", F.greatest(wanted - F.coalesce("held", F.lit(0.0)), wanted * 1e-6).alias("rest")),
-        "targets-left",
-    )
-    scale = spare / (rest.agg(F.sum("rest")).first()[0] or 1.0)
-    return rest.select("value", (F.col("rest") * scale).alias("target"))
+    start = _joined(cells, targets)
+    return stored(_to_budget(start, share, rounds, _few(start)), "budget")
 
 
 def margins(raked: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
@@ -155,10 +213,6 @@ def chance(id_column: str = "doc_id", seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("double") / float(1 << 48)
 
 
-def _targets(cells: DataFrame, given: Mapping[str, Mapping[str, float]] | None) -> dict[str, DataFrame]:
-    return {d: targets_of(cells, d, TEMPER[d], (given or {}).get(d)) for d in DIMENSIONS}
-
-
 def _cells(documents: DataFrame) -> DataFrame:
     return stored(documents.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
 
@@ -167,18 +221,14 @@ def rates(
     documents: DataFrame,
     given: Mapping[str, Mapping[str, float]] | None = None,
     rounds: int = ROUNDS,
-    share: float | None = None,
+    share: float = SHARE,
 ) -> DataFrame:
     """source, lang, topic and the probability of each cell of ``documents`` (as from ``measured``)."""
     cells = _cells(documents)
-    targets = _targets(cells, given)
-    rate = F.col("weight") / F.col("tokens")
-    if share is None:
-        raked = rake(cells, targets, rounds).withColumn("rate", rate)
-        most = raked.agg(F.max("rate")).first()[0] or 1.0
-        found = raked.select(*DIMENSIONS, (F.col("rate") / most).alias("probability"))
-    else:
-        found = to_budget(cells, targets, share, rounds).select(*DIMENSIONS, rate.alias("probability"))
+    few = _few(cells)
+    aimed = stored(with_targets(_together(cells, few), given), "targets")
+    planned = _to_budget(aimed, share, rounds, few)
+    found = planned.select(*DIMENSIONS, (F.col("weight") / F.col("tokens")).alias("probability"))
     empty = cells.where("tokens = 0").select(*DIMENSIONS, F.lit(1.0).alias("probability"))
     return stored(found.unionByName(empty), "rates")
 
@@ -186,16 +236,15 @@ def rates(
 def budget_margins(
     documents: DataFrame, share: float, given: Mapping[str, Mapping[str, float]] | None = None, rounds: int = ROUNDS
 ) -> DataFrame:
-    """``margins`` of a sample of ``share`` of the tokens: what cells kept whole leave unmet shows here."""
+    """``margins`` of a sample of ``share`` of the tokens: what targets the rounds leave unmet shows here."""
     cells = _cells(documents)
-    targets = _targets(cells, given)
-    planned = stored(to_budget(cells, targets, share, rounds), "planned")
-    total = planned.agg(F.sum("weight")).first()[0] or 1.0
-    return margins(planned.withColumn("weight", F.col("weight") / total), targets)
+    targets = {d: targets_of(cells, d, TEMPER[d], (given or {}).get(d)) for d in DIMENSIONS}
+    planned = to_budget(cells, targets, share, rounds)
+    return margins(planned.withColumn("weight", F.col("weight") / F.sum("weight").over(_whole())), targets)
 
 
 def mixed(
-    documents: DataFrame, given: Mapping[str, Mapping[str, float]] | None = None, share: float | None = None
+    documents: DataFrame, given: Mapping[str, Mapping[str, float]] | None = None, share: float = SHARE
 ) -> DataFrame:
     """``documents`` (as from ``measured``) with their probability and whether they are kept."""
     probability = rates(documents, given, share=share)
@@ -206,7 +255,7 @@ def sample(
     df: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    share: float | None = None,
+    share: float = SHARE,
     given: Mapping[str, Mapping[str, float]] | None = None,
     topic: Column | None = None,
 ) -> DataFrame:
@@ -257,16 +306,24 @@ def oracle(rounds: int = ROUNDS) -> str:
     SELECT {d} AS value, pow(sum(tokens)::DOUBLE / (sum(sum(tokens)) OVER ())::DOUBLE, {TEMPER[d]!r}::DOUBLE) AS wanted
     FROM cells WHERE tokens > 0 GROUP BY {d}))""")
     before = "raked_0"
-    parts.append("raked_0 AS (SELECT source, lang, topic, tokens, tokens::DOUBLE AS weight FROM cells WHERE tokens > 0)")
+    joins = " ".join(f"JOIN target_{d} ON target_{d}.value = {d}" for d in DIMENSIONS)
+    parts.append(f"""raked_0 AS MATERIALIZED (
+  SELECT source, lang, topic, tokens, tokens * {SHARE!r}::DOUBLE AS weight, sum(tokens) OVER () * {SHARE!r}::DOUBLE AS budget,
+    {", ".join(f"target_{d}.target AS t_{d}" for d in DIMENSIONS)}
+  FROM cells {joins} WHERE tokens > 0)""")
     for n in range(rounds):
         for d in DIMENSIONS:
             name = f"raked_{n + 1}_{d}"
             parts.append(f"""{name} AS MATERIALIZED (
-  SELECT source, lang, topic, tokens, weight * (target / sum(weight) OVER (PARTITION BY {d})) AS weight
-  FROM {before} JOIN target_{d} ON value = {d})""")
+  SELECT * REPLACE (weight * (t_{d} * budget / sum(least(weight, tokens)) OVER (PARTITION BY {d})) AS weight) FROM {before})""")
             before = name
-    parts.append(f"""rates AS (
-  SELECT source, lang, topic, (weight / tokens) / max(weight / tokens) OVER () AS probability FROM {before}
+    parts.append(f"""filled AS MATERIALIZED (
+  SELECT *, sum(tokens) OVER upto + tokens / weight * (sum(weight) OVER () - sum(weight) OVER upto) <= budget AS whole FROM {before}
+  WINDOW upto AS (ORDER BY tokens / weight, source, lang, topic ROWS UNBOUNDED PRECEDING))""")
+    parts.append("""rates AS (
+  SELECT source, lang, topic, CASE WHEN whole THEN 1.0 ELSE least(tokens::DOUBLE,
+    weight * ((budget - sum(CASE WHEN whole THEN tokens ELSE 0 END) OVER ()) / sum(CASE WHEN whole THEN 0.0 ELSE weight END) OVER ())) / tokens
+  END AS probability FROM filled
   UNION ALL SELECT source, lang, topic, 1.0 FROM cells WHERE tokens = 0)""")
     return (
         "WITH " + ",\n".join(parts) + "\n"

@@ -1,3 +1,5 @@
+import uuid
+
 import duckdb
 import pytest
 from odd import no_documents, odd_documents, saved
@@ -120,3 +122,43 @@ def test_sample_takes_target_weights_and_a_topic(spark):
     kept = m.sample(df, given={"topic": {"a": 1.0, "b": 0.0}}, topic=F.col("subject"))
     assert kept.columns == df.columns
     assert {r["doc_id"] for r in kept.collect()} == set(range(1, 20, 2))
+
+
+def jobs_of(spark, work) -> int:
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, group)
+    try:
+        work()
+        return len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+
+
+def test_the_number_of_jobs_does_not_follow_the_cells(spark):
+    # Every source has half the tokens of the one before: with passes, one more cell would fill in each.
+    rows = [
+        (i, f"s{s}", f"l{i % 4}", "t", 2 ** (12 - s)) for s in range(12) for i in range(4)
+    ]
+    geometric = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
+    one = jobs_of(spark, lambda: m.rates(geometric, share=0.7).collect())
+    other = jobs_of(spark, lambda: m.rates(geometric.where("source in ('s0', 's1')"), share=0.7).collect())
+    assert one == other <= 12
+    assert jobs_of(spark, lambda: m.op3_mixing(spark, FOLDER).collect()) <= 12
+
+
+def test_many_cells_have_the_same_weights(spark, monkeypatch):
+    documents = m.measured(spark.read.parquet(f"{FOLDER}/documents.parquet"))
+    one = {tuple(r[:3]): r[3] for r in m.rates(documents).collect()}
+    monkeypatch.setattr(m, "CELLS_OF_ONE_TASK", 0)
+    other = {tuple(r[:3]): r[3] for r in m.rates(documents).collect()}
+    assert one == pytest.approx(other)
+
+
+def test_one_odd_row_changes_nothing_for_the_others(spark, tmp_path):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    odd = spark.createDataFrame([(-1, "five words of its own", "own", "own", 21)], documents.schema)
+    before = {r["doc_id"]: r["probability"] for r in m.op3_mixing(spark, FOLDER).collect()}
+    after = {r["doc_id"]: r for r in m.op3_mixing(spark, saved(documents.unionByName(odd), tmp_path)).collect()}
+    assert after.pop(-1)["kept"]
+    assert max(abs(before[i] - row["probability"]) for i, row in after.items()) < 0.02
