@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from noteloom.llm import huffman, lm, mixing, multi_index, packing, pii, simhash, toxicity, warc, winnowing
+from noteloom.llm import alignment, huffman, lm, mixing, multi_index, packing, pii, simhash, toxicity, warc, winnowing
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_huffman": huffman.op9_huffman,
     "op10_warc": warc.op10_warc,
+    "op11_alignment": alignment.op11_alignment,
 }
 
 ORACLES: dict[str, str] = {
