@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from noteloom.llm import alignment, huffman, lm, mixing, multi_index, packing, pii, simhash, toxicity, warc, winnowing
+from noteloom.llm import alignment, huffman, lexical, lm, mixing, multi_index, packing, pii, sharding, simhash, toxicity, warc, winnowing
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -14,9 +14,12 @@ QUERIES = {
     "op9_huffman": huffman.op9_huffman,
     "op10_warc": warc.op10_warc,
     "op11_alignment": alignment.op11_alignment,
+    "op12_sharding": sharding.op12_sharding,
+    "op13_lexical": lexical.op13_lexical,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.oracle(),
     "op10_warc": warc.ORACLE,
+    "op13_lexical": lexical.ORACLE,
 }
