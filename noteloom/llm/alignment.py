@@ -8,10 +8,10 @@ share bytes: the overlap links, with the number of bytes shared. Byte offsets wh
 end cut the tokens into groups; the product of the token-group matrices has the pairs within a group.
 
 Neither tokenizer has a token across the place before a space or line break that stands between two
-characters that are no white space. There texts are cut into units, and the products are taken over the
-units that a task has not met yet, as one block-diagonal matrix; ``Aligner`` checks that the
-vocabularies allow it, and takes whole texts as units if they do not. A unit whose tokens do not
-spell it has its text aligned as a whole.
+characters that are no white space, nor between letters and the marks after them. There texts are cut
+into units, and the products are taken over the units that a worker does not remember, many at a time
+as one block-diagonal matrix; ``Aligner`` checks that the vocabularies allow it, and takes whole texts
+as units if they do not. A unit whose tokens do not spell it has its text aligned as a whole.
 
 Corpus-wide counts (documents that hold a pair of ids linked) cover all documents. Documents are
 read in blocks by the tasks that scan them; a block brings its distinct pairs with the number of its
@@ -36,15 +36,16 @@ from pyspark.sql import functions as F
 
 from noteloom.llm.common import batches_of, configure, rows_of, stored, table, worker_state
 from noteloom.llm.csr import incidence, memberships, product
-from noteloom.llm.tokens import in_groups
+from noteloom.llm.tokens import PUNCTUATION, in_groups
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK = 2_000_000  # characters of the texts of a block
-MEMO_UNITS, MEMO_LENGTH = 200_000, 64  # units that a worker remembers, and their longest
+MEMO_UNITS, MEMO_LENGTH = 400_000, 64  # units that a worker remembers, and their longest
+JOINED = 50_000  # characters of units that are tokenized together
 SHIFT = 32  # a pair of ids is one number: that of A above, that of B below
 SPACE = "▁"
 
-_TOGETHER = re.compile(r"\s\s|^\s|\s$")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
@@ -85,18 +86,27 @@ class Aligner:
         for i, piece in enumerate(pieces):
             byte = self.b.is_byte(i)
             self.b_bytes.append(bytes([int(piece[1:-1], 16)]) if byte else piece.replace(SPACE, " ").encode())
-        # No piece has a space after another character, and none a line break.
+        # No piece has a space after another character, a line break, or a mark after a letter.
         self.cuts = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in pieces)
+        after = {y for p in pieces for x, y in zip(p, p[1:], strict=False) if x.isalpha()}
+        self.marks = "".join(c for c in PUNCTUATION if c not in after)
         self.lone = self.b.piece_to_id(SPACE)
         self.a_size, self.b_size = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
+        # How ids are written: of A first, after another one, after a group; of B first and after another one.
+        n, m = len(self.a_bytes), len(self.b_bytes)
+        self.written = [before + str(i) for before in ("", ",", ";") for i in range(n)]
+        self.written += [before + str(i) for before in ("|", ",") for i in range(m)]
         self.memo: dict = {}
+        self.led: dict = {}
+        self.bare: dict = {}
 
     def units(self, text: str) -> list:
         """Units of a space and the text. One that starts with a line break or a letter stands as it
         is, without its space; any other one as a tuple of it."""
         if not self.cuts:
             return [(" " + text,)]
-        if not _TOGETHER.search(text):
+        together = "  " in text or "\n\n" in text or "\n " in text or " \n" in text
+        if not together and text[0] not in " \n" and text[-1] not in " \n" and not _OTHER_SPACE.search(text):
             return text.replace("\n", " \n").split(" ")
         found = _CUT.split(" " + text)
         return [u if u[0] == "\n" else u[1:] if u[0] == " " and not u[1:2].isspace() and len(u) > 1 else (u,) for u in found]
@@ -107,68 +117,143 @@ class Aligner:
             return unit[0]
         return unit if unit[:1] == "\n" else " " + unit
 
-    def _b_ids(self, texts: list[str]) -> list[list[int] | None]:
-        """Ids of B; the model puts a space before, which a text that starts with a line break has not."""
-        found = self.b.encode([t[1:] if t[:1] == " " else t for t in texts], num_threads=1)
-        return [
-            ids if t[:1] == " " else ids[1:] if ids[:1] == [self.lone] else None
-            for t, ids in zip(texts, found, strict=True)
-        ]
+    def _b_ids(self, text: str) -> list[int] | None:
+        """Ids of B; the model puts a space before, which a text that starts otherwise has not."""
+        if text[:1] == " ":
+            return self.b.encode(text[1:])
+        found = self.b.encode("\n" + text)
+        # That space and the line break, which nothing is merged with.
+        return found[2:] if found[:1] == [self.lone] and self.b_bytes[found[1]] == b"\n" else None
 
-    def aligned(self, units: list) -> list[tuple | None]:
+    def aligned(self, texts: list[str]) -> list[tuple | None]:
         """(groups as text, tokens of A, of B, groups, links within groups, pairs of linked ids as bytes)
-        of each unit, or None where its tokens do not spell it."""
-        texts = [self.spelled(u) for u in units]
-        a_lists = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-        b_lists = self._b_ids(texts)
-        results: list[tuple | None] = [None] * len(units)
-        good = []
-        for i, (text, a, b) in enumerate(zip(texts, a_lists, b_lists, strict=True)):
-            raw = text.encode()
-            if b and a and b"".join([self.a_bytes[x] for x in a]) == raw == b"".join([self.b_bytes[x] for x in b]):
-                good.append(i)
-        if not good:
-            return results
-        a_ids = np.array([x for i in good for x in a_lists[i]], dtype=np.int64)
-        b_ids = np.array([x for i in good for x in b_lists[i]], dtype=np.int64)
+        of each text, or None where its tokens do not spell it."""
+        a_lists = [self.a.encode(t, add_special_tokens=False).ids for t in texts]
+        b_lists = [self._b_ids(t) for t in texts]
+        results: list[tuple | None] = [None] * len(texts)
+        good = [i for i, t in enumerate(texts) if self._spells(t, a_lists[i], b_lists[i])]
+        if good:
+            a, b = ([x for i in good for x in lists[i]] for lists in (a_lists, b_lists))
+            ends = np.cumsum([len(texts[i].encode()) for i in good])
+            for i, entry in zip(good, self._entries(np.array(a), np.array(b), ends), strict=True):
+                results[i] = entry
+        return results
+
+    def _spells(self, text: str, a: list[int], b: list[int] | None) -> bool:
+        if not a or not b:
+            return False
+        return b"".join([self.a_bytes[x] for x in a]) == text.encode() == b"".join([self.b_bytes[x] for x in b])
+
+    def _entries(self, a_ids: np.ndarray, b_ids: np.ndarray, ends: np.ndarray) -> list[tuple]:
+        """What ``aligned`` returns for texts one after the other that end at these bytes; tokens of both
+        kinds end at all of them."""
         a_high, b_high = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
         links = overlaps(a_high, b_high)
         pairs = ((a_ids[links.row_of_entry()] << SHIFT) | b_ids[links.columns]).astype("<i8")
-        a_group, b_group, ends = grouped(a_high, b_high)
-        together = shared_groups(a_group, b_group, len(ends))
-        a_text, b_text = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        a_cut = np.searchsorted(a_group, np.arange(len(ends) + 1)).tolist()
-        b_cut = np.searchsorted(b_group, np.arange(len(ends) + 1)).tolist()
-        groups = [
-            ",".join(a_text[a_cut[g] : a_cut[g + 1]]) + "|" + ",".join(b_text[b_cut[g] : b_cut[g + 1]])
-            for g in range(len(ends))
-        ]
-        at_a = np.cumsum([0] + [len(a_lists[i]) for i in good])
-        at_b = np.cumsum([0] + [len(b_lists[i]) for i in good])
-        at_link, at_together = links.starts[at_a].tolist(), together.starts[at_a].tolist()
-        at_group = [0, *(a_group[at_a[1:] - 1] + 1).tolist()]
-        data, sizes_a, sizes_b = pairs.tobytes(), np.diff(at_a).tolist(), np.diff(at_b).tolist()
-        for n, i in enumerate(good):
-            g, h = at_group[n], at_group[n + 1]
-            results[i] = (
-                ";".join(groups[g:h]), sizes_a[n], sizes_b[n], h - g, at_together[n + 1] - at_together[n],
-                data[8 * at_link[n] : 8 * at_link[n + 1]],
-            )
-        return results
-
-    def _learn(self, units: Iterable) -> dict:
-        found: dict = {}
-        held, size = [], 0
+        a_group, b_group, group_ends = grouped(a_high, b_high)
+        together = shared_groups(a_group, b_group, len(group_ends))
+        # Each group's tokens of A and then those of B, as they are written.
+        a_cut, b_cut = (np.searchsorted(g, np.arange(len(group_ends) + 1)) for g in (a_group, b_group))
+        a_first = a_cut[a_group] == np.arange(len(a_ids))
+        b_first = b_cut[b_group] == np.arange(len(b_ids))
+        low = np.concatenate([[0], ends[:-1]])
+        text_first = np.isin(np.concatenate([[0], a_high[:-1]]), low)
+        n = len(self.a_bytes)
+        written = np.empty(len(a_ids) + len(b_ids), dtype=np.int64)
+        written[np.arange(len(a_ids)) + b_cut[a_group]] = a_ids + n * np.where(text_first, 0, np.where(a_first, 2, 1))
+        written[np.arange(len(b_ids)) + a_cut[b_group + 1]] = b_ids + 3 * n + len(self.b_bytes) * np.where(b_first, 0, 1)
+        at_a, at_b, at_group = (
+            np.concatenate([[0], np.searchsorted(x, ends, side="right")]) for x in (a_high, b_high, group_ends)
+        )
+        at_link, at_together = links.starts[at_a].tolist(), together.starts[at_a]
+        at = (at_a + at_b).tolist()
+        data, codes, table = pairs.tobytes(), written.tolist(), self.written
+        return [
+            (
+                "".join([table[c] for c in codes[i:j]]), n_a, n_b, n_groups, n_together, data[8 * k : 8 * l]
+            )
+            for i, j, n_a, n_b, n_groups, n_together, k, l in zip(
+                at, at[1:], np.diff(at_a).tolist(), np.diff(at_b).tolist(), np.diff(at_group).tolist(),
+                np.diff(at_together).tolist(), at_link, at_link[1:], strict=False,
+            )
+        ]
+
+    def _joined(self, units: list[str], before: str) -> Iterator[tuple | None]:
+        """What ``aligned`` returns for units that stand after a space or, without it, after a line break;
+        many are tokenized as one text."""
+        held: list[str] = []
+        size = 0
         for unit in units:
             held.append(unit)
-            size += len(unit[0]) if isinstance(unit, tuple) else len(unit) + 1
-            if size > 500_000:
-                found.update(zip(held, self.aligned(held), strict=True))
+            size += len(unit) + 1
+            if size > JOINED:
+                yield from self._joined_once(held, before)
                 held, size = [], 0
         if held:
-            found.update(zip(held, self.aligned(held), strict=True))
+            yield from self._joined_once(held, before)
+
+    def _joined_once(self, units: list[str], before: str) -> list[tuple | None]:
+        led = before == " "
+        text = before + before.join(units)
+        raw = text.encode()
+        a = self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text[1:]) if led else self.b.encode(text)[1:]
+        sizes = np.array([len(u) if u.isascii() else len(u.encode()) for u in units])
+        if led:
+            ends = np.cumsum(sizes + 1)
+        else:
+            # The line breaks are texts of their own.
+            ends = np.cumsum(np.stack([np.ones(len(units), dtype=np.int64), sizes], axis=1).ravel())
+        if self._spells(text, a, b):
+            a, b = np.array(a), np.array(b)
+            if np.isin(ends, np.cumsum(self.a_size[a])).all() and np.isin(ends, np.cumsum(self.b_size[b])).all():
+                assert ends[-1] == len(raw)
+                found = self._entries(a, b, ends)
+                return found if led else found[1::2]
+        return self.aligned([" " + u for u in units] if led else units)
+
+    def _learn(self, units: Iterable) -> dict:
+        """What is found for units; a unit is put together from a word and the marks after it."""
+        found: dict = {}
+        parts: dict = {}
+        led, bare = set(), set()
+        for unit in units:
+            if isinstance(unit, tuple):
+                (found[unit],) = self.aligned([unit[0]])
+                continue
+            line = unit[0] == "\n"
+            word = unit[1:] if line else unit
+            stem = word.rstrip(self.marks)
+            tail = word[len(stem) :] if stem.isalpha() else ""
+            stem = stem if tail else word
+            (bare if line else led).add(stem)
+            if tail:
+                bare.add(tail)
+            if line:
+                bare.add("\n")
+            parts[unit] = (line, stem, tail)
+        at_led, at_bare = self._parts(self.led, led, " "), self._parts(self.bare, bare, "\n")
+        for unit, (line, stem, tail) in parts.items():
+            entry = at_bare[stem] if line else at_led[stem]
+            if line or tail:
+                entries = [at_bare["\n"], entry] if line else [entry]
+                entry = _after_another([*entries, at_bare[tail]] if tail else entries)
+            found[unit] = entry
         return found
 
+    def _parts(self, kept: dict, wanted: set[str], before: str) -> dict:
+        """What is found for words or marks; short ones are added to ``kept``."""
+        new = [u for u in wanted if u not in kept and u != "\n"]
+        found = dict(zip(new, self._joined(new, before), strict=True))
+        if "\n" in wanted and "\n" not in kept:
+            (found["\n"],) = self.aligned(["\n"])
+        if len(kept) + len(found) > MEMO_UNITS:
+            found |= {u: kept[u] for u in wanted if u in kept}
+            kept.clear()
+        short = {u: x for u, x in found.items() if len(u) <= MEMO_LENGTH}
+        kept.update(short)
+        return kept if len(short) == len(found) else kept | found
+
     def documents(self, texts: list[str]) -> list[list[tuple] | None]:
         """What is found for the units of each text, or None where there are no tokens."""
         lists = [self.units(t) if t else [] for t in texts]
@@ -184,12 +269,20 @@ class Aligner:
         for text, units in zip(texts, lists, strict=True):
             entries = [here[u] for u in units]
             if None in entries:
-                (whole,) = self.aligned([(" " + text,)])
+                (whole,) = self.aligned([" " + text])
                 entries = [] if whole is None else [whole]
             results.append(entries or None)
         return results
 
 
+def _after_another(entries: list[tuple | None]) -> tuple | None:
+    """Texts that follow each other as one."""
+    if None in entries:
+        return None
+    groups, n_a, n_b, n_groups, n_together, pairs = zip(*entries, strict=True)
+    return ";".join(groups), sum(n_a), sum(n_b), sum(n_groups), sum(n_together), b"".join(pairs)
+
+
 def overlaps(a_high: np.ndarray, b_high: np.ndarray):
     """Tokens of A by tokens of B, the bytes that both cover; tokens are given by their ends."""
     width = int(a_high[-1]) if len(a_high) else 0
