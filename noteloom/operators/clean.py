@@ -27,5 +27,10 @@ def nonempty(records: DataFrame) -> DataFrame:
     return records.filter(has_content())
 
 
+def removed_records() -> Column:
+    """Number of records that ``nonempty`` removes."""
+    return F.count_if(~has_content())
+
+
 def removed_count(records: DataFrame) -> DataFrame:
-    return records.agg(F.count_if(~has_content()).alias("removed"))
+    return records.agg(removed_records().alias("removed"))

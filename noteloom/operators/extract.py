@@ -1,10 +1,13 @@
 """Prompts to responses: a model behind a callable, or the cue rules."""
 
+import math
+import os
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -14,6 +17,7 @@ from noteloom.functions.cues import cue_fields, with_cues
 from noteloom.functions.prompts import prompt_digest
 from noteloom.functions.responses import parse
 from noteloom.schemas import RESPONSES
+from noteloom.sources.journal import Journal
 
 
 @dataclass(frozen=True)
@@ -69,17 +73,52 @@ def _failure(text: str | None, extras: str) -> str | None:
 
 
 class _Pace:
-    """Lets one task call once per delay."""
+    """Lets one task call once per delay, and with slots only at times that are its own."""
 
-    def __init__(self, delay: float):
-        self.delay, self.next = delay, 0.0
+    def __init__(self, delay: float, slots: "Slots | None" = None):
+        self.delay, self.slots, self.next = delay, slots, 0.0
 
     def wait(self, pause: float = 0.0) -> None:
         """Until the next call is due, and at least ``pause`` seconds."""
         time.sleep(max(pause, self.next - time.monotonic(), 0.0))
+        if self.slots is not None:
+            self.slots.wait()
         self.next = time.monotonic() + self.delay
 
 
+@dataclass(frozen=True)
+class Slots:
+    """Times at which one call may start, ``1 / rate`` seconds apart, for all tasks of a job.
+
+    A slot belongs to the task that makes its file, so what a slow task leaves is taken by the others.
+    ``folder`` is one that all machines mount; their clocks should agree to a fraction of a second.
+    """
+
+    folder: str
+    rate: float
+    start: float
+
+    def wait(self) -> None:
+        slot = math.ceil(max(0.0, time.time() - self.start) * self.rate)
+        while not self._taken(slot):
+            slot += 1
+        time.sleep(max(0.0, self.start + slot / self.rate - time.time()))
+
+    def _taken(self, slot: int) -> bool:
+        place = f"{self.folder}/{slot // 10_000}"  # no folder of millions of files
+        os.makedirs(place, exist_ok=True)
+        try:
+            os.close(os.open(f"{place}/{slot}", os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+
+
+def _writable(text: str | None) -> str | None:
+    """Without halves of character pairs, which no table can hold."""
+    return None if text is None else text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
 def _attempts(backend: Backend, batch: dict, settings: CallSettings, pace: _Pace) -> Iterator[dict]:
     for attempt in range(1, settings.max_attempts + 1):
         pace.wait(settings.backoff_seconds * 2 ** (attempt - 2) if attempt > 1 else 0.0)
@@ -94,8 +133,8 @@ def _attempts(backend: Backend, batch: dict, settings: CallSettings, pace: _Pace
             "batch_id": batch["batch_id"],
             "prompt_digest": batch["prompt_digest"],
             "attempt": attempt,
-            "raw": reply.text,
-            "error": error,
+            "raw": _writable(reply.text),
+            "error": _writable(error),
             "prompt_tokens": reply.prompt_tokens,
             "completion_tokens": reply.completion_tokens,
             "elapsed_ms": round((time.monotonic() - began) * 1000),
@@ -105,12 +144,19 @@ def _attempts(backend: Backend, batch: dict, settings: CallSettings, pace: _Pace
 
 
 def call_backend(
-    prompts: DataFrame, backend: Backend, settings: CallSettings = CallSettings()
+    prompts: DataFrame,
+    backend: Backend,
+    settings: CallSettings = CallSettings(),
+    journal: str | None = None,
+    slots: Slots | None = None,
 ) -> DataFrame:
     """responses: one row per attempt.
 
     Calls cost money and differ from one run to the next, so write the result once
-    (``stored`` or a sink) before reading it. Speculative tasks would call twice.
+    (``stored`` or a sink) before reading it. Speculative tasks would call twice. With a ``journal``
+    (``Folder.uri``) every call is kept there as soon as it is answered, and a task that is tried
+    again does not repeat the calls that an earlier attempt of it got good answers to. With
+    ``slots`` the rate holds over all tasks together, without a share for each.
     """
     spark = prompts.sparkSession
     if spark.sparkContext.getConf().get("spark.speculation", "false") == "true":
@@ -120,14 +166,24 @@ def call_backend(
     # A stated number of partitions, as by their size alone a few would hold all prompts; by a
     # hash, as a repartition by batch_id is dropped where the prompts are grouped by it already.
     tasks = settings.tasks(spark.sparkContext.defaultParallelism)
-    delay = settings.delay(tasks)
+    delay = settings.rate_limit_seconds if slots else settings.delay(tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pace = _Pace(delay)
+        pace = _Pace(delay, slots)
+        kept = Journal(journal, TaskContext.get().partitionId()) if journal else None
+        earlier = kept.earlier() if kept else {}
         for record_batch in batches:
             for batch in record_batch.to_pylist():
-                rows = list(_attempts(backend, batch, settings, pace))
+                rows = earlier.get((batch["batch_id"], batch["prompt_digest"]))
+                if rows is None:
+                    rows = []
+                    for row in _attempts(backend, batch, settings, pace):
+                        if kept:
+                            kept.add(row)
+                        rows.append(row)
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        if kept:
+            kept.close()
 
     digest = prompt_digest(F.lit(settings.system_prompt), F.col("user_prompt"))
     return (

@@ -136,11 +136,16 @@ def quality_metrics(report: DataFrame, records: DataFrame, responses: DataFrame)
     )
 
 
-def with_presence_counts(records: DataFrame) -> DataFrame:
-    """One row: populated counts as in the summary, and present counts as in the score."""
+def presence_counts(records: DataFrame) -> dict[str, Column]:
+    """Number of records, of populated values as in the summary, and of present ones as in the score."""
     falsy, nan = _column(records, "falsy_fields"), _column(records, "nan_fields")
-    return records.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(populated(f, falsy)).alias(f) for f in C.FIELDS],
-        *[F.count_if(populated(f, nan)).alias(f"present_{f}") for f in C.FIELDS],
+    return (
+        {"total": F.count(F.lit(1))}
+        | {f: F.count_if(populated(f, falsy)) for f in C.FIELDS}
+        | {f"present_{f}": F.count_if(populated(f, nan)) for f in C.FIELDS}
     )
+
+
+def with_presence_counts(records: DataFrame) -> DataFrame:
+    """One row: populated counts as in the summary, and present counts as in the score."""
+    return records.agg(*[count.alias(name) for name, count in presence_counts(records).items()])

@@ -146,6 +146,26 @@ OTHER = {
     "next_day_notes": """
         SELECT note_id, CASE WHEN CAST(floor(note_id / 3) AS BIGINT) % 2 = 1 THEN concat('Day 2. ', coalesce(Note, '')) ELSE Note END AS Note
         FROM {cue_notes}""",
+    # Notes that are all different, some of them blank, and the same with some written anew.
+    "unique_notes": """
+        SELECT doc_id AS row_id,
+               CASE WHEN doc_id % 8 = 5 THEN NULL ELSE concat('No. ', CAST(doc_id AS VARCHAR(20)), ' ', coalesce(text, '')) END AS Note
+        FROM {documents}""",
+    "late_notes": """
+        SELECT row_id, CASE WHEN row_id % 50 = 7 AND Note IS NOT NULL THEN concat(Note, ' (late)') ELSE Note END AS Note FROM {unique_notes}""",
+    # Billing lines as text, with values that are no days and no numbers.
+    "text_billing": """
+        SELECT CASE WHEN Episode_key % 101 = 7 THEN 'not a day' WHEN Episode_key % 101 = 9 THEN '1995-13-01 00:00:00'
+                    ELSE CAST(Service_Date AS VARCHAR(30)) END AS Service_Date,
+               CASE WHEN Episode_key % 103 = 5 THEN concat('P', CAST(patient_id AS VARCHAR(20)))
+                    ELSE CAST(patient_id AS VARCHAR(20)) END AS patient_id,
+               CAST(Episode_key AS VARCHAR(20)) AS Episode_key,
+               CASE WHEN Episode_key % 107 = 1 THEN '' WHEN Episode_key % 107 = 2 THEN NULL
+                    ELSE CAST(Company_Key AS VARCHAR(20)) END AS Company_Key,
+               CASE WHEN Episode_key % 101 = 7 THEN 'n/a' ELSE CAST(Doctor_Key AS VARCHAR(20)) END AS Doctor_Key,
+               CAST(PatientEpisodeType_Key AS VARCHAR(20)) AS PatientEpisodeType_Key,
+               CAST(Organization_Key AS VARCHAR(20)) AS Organization_Key
+        FROM {fact_billing}""",
     # The star's texts in mixed case and with trailing spaces.
     "mixed_case_company": """
         SELECT Company_Key, CASE Company_Key % 3 WHEN 0 THEN 'CREDIT' WHEN 1 THEN concat(lower(CashAccounts), '  ')

@@ -1,18 +1,22 @@
 """The whole run: cohort, prompts, responses, records, scores, results."""
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noteloom import contract as C
 from noteloom.operators import cohort as cohorts
-from noteloom.operators import extract, notes, prompts, quality, records
-from noteloom.schemas import RESPONSES, RESULTS
+from noteloom.operators import extract, notes, prompts, quality, records, reuse
+from noteloom.schemas import NOTE_INDEX, RESPONSES, RESULTS
 from noteloom.session import fresh_path, stored
 from noteloom.sources import sinks
+from noteloom.sources.files import Folder, mounted
+from noteloom.sources.journal import journal_rows
 
 
 @dataclass(frozen=True)
@@ -43,6 +47,11 @@ class RunSettings:
 def cohort_batches(star: cohorts.Star, settings: RunSettings = RunSettings()) -> DataFrame:
     """Cohort rows with row_id, batch_id and pos_in_batch, read from the files that fixed
     their order."""
+    return notes.with_batches(cohort_rows(star, settings), settings.batch_size)
+
+
+def cohort_rows(star: cohorts.Star, settings: RunSettings = RunSettings()) -> DataFrame:
+    """The same without batches."""
     rows = cohorts.cohort(
         star,
         settings.start,
@@ -51,8 +60,7 @@ def cohort_batches(star: cohorts.Star, settings: RunSettings = RunSettings()) ->
         settings.ignore_case,
         settings.max_rows,
     )
-    rows = notes.as_text(rows, settings.note_column)
-    return notes.with_batches(notes.numbered(rows, settings.note_column), settings.batch_size)
+    return notes.numbered(notes.as_text(rows, settings.note_column), settings.note_column)
 
 
 def prompts_for(batched: DataFrame, settings: RunSettings = RunSettings()) -> DataFrame:
@@ -76,23 +84,47 @@ def gather_responses(
 ) -> DataFrame:
     """Call the model for every prompt without a good response under ``path``.
 
-    Each slice is a job of its own whose responses are kept, so a failure costs the calls
-    of one slice and a rerun goes on from there. Responses to other prompts may lie under the
-    same path, of another day or another wording; they are neither taken nor called again.
+    A call is kept as soon as it is answered, in a journal below ``path``, and joins the responses when
+    its job ends, or when the next run finds the journal of one that did not. So a lost task,
+    job or driver costs the calls that were under way. ``slices`` are jobs one after the other.
+    Responses to other prompts may lie under the same path, of another day or another wording;
+    they are neither taken nor called again. One run at a time calls for a folder.
     """
     spark = todo.sparkSession
-    schema = RESPONSES
+    folder = Folder(spark, path)
+    settle(spark, folder)
     for part in range(slices):
         batch = todo.filter(F.pmod(F.xxhash64("batch_id"), F.lit(slices)) == part)
-        if _exists(spark, path):
-            batch = extract.pending(batch, spark.read.schema(schema).parquet(path))
-        sinks.append_to_path(extract.call_backend(batch, backend, settings), path)
-    return spark.read.schema(schema).parquet(path)
+        batch = extract.pending(batch, spark.read.schema(RESPONSES).parquet(path))
+        run = uuid.uuid4().hex
+        calls = extract.call_backend(batch, backend, settings, f"{folder.uri}/{JOURNAL}/{run}", _slots(folder, run, settings))
+        calls.write.format("noop").mode("overwrite").save()
+        folder.delete(f"_slots-{run}")
+        settle(spark, folder)
+    return spark.read.schema(RESPONSES).parquet(path)
+
+
+JOURNAL = "_journal"
 
 
-def _exists(spark, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+def settle(spark: SparkSession, folder: Folder) -> None:
+    """Make the calls in journals below a folder part of its responses, each once."""
+    folder.make(JOURNAL)
+    for run in folder.names(JOURNAL):
+        journal = f"{JOURNAL}/{run}"
+        sinks.append_once(journal_rows(spark, f"{folder.uri}/{journal}"), folder.uri, run)
+        folder.delete(journal)
+    for name in folder.names():
+        if name.startswith("_slots-"):
+            folder.delete(name)
+
+
+def _slots(folder: Folder, run: str, settings: extract.CallSettings) -> extract.Slots | None:
+    """One rate for all tasks, where they share a mounted folder; else each has its share of it."""
+    place = mounted(folder.uri)
+    if settings.max_batches_per_second is None or place is None:
+        return None
+    return extract.Slots(f"{place}/_slots-{run}", settings.max_batches_per_second, time.time())
 
 
 @dataclass(frozen=True)
@@ -107,18 +139,24 @@ class NoteRun:
         """The columns of the results table."""
         return self.results.select(*RESULTS.fieldNames())
 
-    def append_to(self, path: str, **options) -> int:
+    def append_to(self, path: str, run: str | None = None, **options) -> int:
         """Append the rows to a folder; returns their number.
 
-        With ``partition_by=["service_day"]`` the day of service becomes a column.
+        With ``partition_by=["service_day"]`` the day of service becomes a column. Repeating a named
+        ``run`` adds nothing.
         """
         rows = self.rows()
         if "service_day" in options.get("partition_by", ()):
             rows = rows.withColumn("service_day", F.to_date("FormattedDate"))
+        if run is not None:
+            return sinks.append_once(rows, path, run, **options)
         return sinks.append_to_path(rows, path, **options)
 
-    def append_to_table(self, table: str) -> int:
-        """Append the rows to a catalog table (schema-qualified name)."""
+    def append_to_table(self, table: str, run: str | None = None) -> int:
+        """Append the rows to a catalog table (schema-qualified name); repeating a named ``run``,
+        for which the table has to be there, adds nothing."""
+        if run is not None:
+            return sinks.append_once_to_table(self.rows(), table, run)
         return sinks.append_to_table(self.rows(), table)
 
     def replace_day(self, day: dt.date, path: str | None = None, table: str | None = None) -> int:
@@ -215,6 +253,52 @@ def run_notes(
     return replace(run, unmatched=extract.unmatched(asked, responses))
 
 
+NOTES = "_notes"  # below the responses: which notes their prompts held
+
+
+def run_unanswered(
+    rows: DataFrame,
+    settings: RunSettings,
+    path: str,
+    respond: Callable[[DataFrame], DataFrame],
+) -> NoteRun:
+    """The run over numbered rows that asks only for notes that no answered prompt held.
+
+    ``rows`` have row_id, as from ``cohort_rows``; ``path`` is the folder of responses. A note takes its
+    record from the response to an earlier prompt that held the same note, whatever else was in
+    that prompt; the others are batched among themselves, blank ones are not asked. So one late
+    note costs one call, where ``run_notes`` would call for all batches after it.
+    """
+    spark = rows.sparkSession
+    folder = Folder(spark, path)
+    settle(spark, folder)
+    folder.make(NOTES)
+    index = lambda: spark.read.schema(NOTE_INDEX).parquet(f"{folder.uri}/{NOTES}")
+    name, code = (F.col(c) if c else None for c in (settings.billing_name, settings.billing_code))
+    digest = reuse.note_digest(
+        F.col(settings.note_column), name, code, settings.header, settings.footer, settings.system_prompt
+    )
+    earlier = spark.read.schema(RESPONSES).parquet(path)
+    known = stored(reuse.with_earlier_answer(rows.withColumn(reuse.DIGEST, digest), index(), earlier), "known")
+    rest = notes.with_batches(reuse.to_ask(known), settings.batch_size, "rest_id")
+    asked = stored(prompts_for(rest, settings), "prompts")
+    held = stored(reuse.note_positions(rest, asked), "positions")
+    # Before any call, so that no answer is without its notes.
+    sinks.append_to_path(held.select(*NOTE_INDEX.fieldNames()), f"{folder.uri}/{NOTES}")
+    responses = respond(asked)
+    # By now the prompts of this run answer its notes, those that got a good answer at least.
+    columns = ["batch_id", "prompt_digest", "rec_pos"]
+    placed = stored(reuse.with_earlier_answer(known.drop(*columns), index(), responses), "placed")
+    missed = placed.where(F.col("prompt_digest").isNull()).drop(*columns)
+    failed = missed.join(held.select("row_id", *columns), "row_id", "left").select(*placed.columns)
+    placed = placed.where(F.col("prompt_digest").isNotNull()).unionByName(failed)
+    numbered, answers = reuse.in_one_numbering(placed, extract.as_responses(responses))
+    batched = stored(numbered.withColumnRenamed("rec_pos", "pos_in_batch").drop(reuse.DIGEST, "prompt_digest"), "batches")
+    run = records_to_results(batched, stored(answers, "answers"), replace(settings, align="position"))
+    asked_notes = run.report.where(F.col("batch_id").isNotNull())  # blank notes are in no batch
+    return replace(run, report=asked_notes)
+
+
 def model_responder(
     backend: extract.Backend,
     path: str | None = None,

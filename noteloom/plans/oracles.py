@@ -273,6 +273,19 @@ _add("model_attempts", ["cue_notes"], f"""
                 FROM ({prompts_sql(BATCHED_DOCUMENTS, False)}) p) k,
                (SELECT unnest([1, 2, 3]) AS attempt) a
           WHERE attempt <= CASE kind WHEN 4 THEN 1 WHEN 1 THEN 2 ELSE 3 END) t""")
+_add("answers_after_lost_task", ["cue_notes"], f"""
+    SELECT batch_id, CAST(1 AS INTEGER) AS attempt, '{{"results":[{{"Allergy":"' || length(user_prompt) || '"}}]}}' AS raw
+    FROM ({prompts_sql(BATCHED_DOCUMENTS, False)}) p""")
+_add("late_notes", ["late_notes", "unique_notes"], """
+    SELECT n.row_id, CASE WHEN n.Note IS NULL THEN '' ELSE told END AS "Allergy"
+    FROM late_notes n LEFT JOIN (
+      SELECT row_id, 'second ' || (r // 3) || '.' || (r % 3) AS told
+      FROM (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS r FROM late_notes
+            WHERE Note IS NOT NULL AND row_id % 50 = 7)
+      UNION ALL
+      SELECT row_id, 'first ' || (r // 3) || '.' || (r % 3)
+      FROM (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS r FROM unique_notes WHERE Note IS NOT NULL)
+      WHERE row_id % 50 <> 7) t USING (row_id)""")
 _add("usage_totals", ["billed_responses"], """
     SELECT count(*) AS calls, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
            CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens FROM billed_responses""")
@@ -452,6 +465,35 @@ _add("replace_day", ["records"], f"""
     SELECT *, CAST(note_id % 3 AS VARCHAR) AS service_day
     FROM ({scored("SELECT * FROM records", "* EXCLUDE (" + ", ".join("p_" + f for f in C.FIELDS) + ")")}) t
     WHERE note_id % 3 = 2 OR note_id % 6 = 0""")
+_add("replace_that_fails", ["records"], f"""
+    SELECT *, CAST(note_id % 3 AS VARCHAR) AS service_day
+    FROM ({scored("SELECT * FROM records", "* EXCLUDE (" + ", ".join("p_" + f for f in C.FIELDS) + ")")}) t
+    WHERE note_id % 3 <> 0 OR note_id % 2 = 0""")
+_add("append_once", ["records"], f"""
+    SELECT t.* FROM ({scored("SELECT * FROM records", "* EXCLUDE (" + ", ".join("p_" + f for f in C.FIELDS) + ")")}) t,
+           (SELECT unnest(['monday', 'tuesday'])) runs""")
+_add("measured_during_write", ["sparse_records"], f"""
+    SELECT total - removed AS written, total, removed, {", ".join(f"n_{f} AS {f}" for f in C.FIELDS)},
+           CAST({" + ".join(f"n_{f}" for f in C.FIELDS)} AS DOUBLE) / (total * 7) * 100 AS completion_rate,
+           {weighted('n_{field}')} / total AS mean_score
+    FROM (SELECT count(*) AS total, count(*) FILTER (WHERE NOT ({_CONTENT})) AS removed,
+                 {", ".join(f"count(*) FILTER (WHERE {present(f)}) AS n_{f}" for f in C.FIELDS)} FROM sparse_records) c""")
+WRONG_VALUES = """
+    SELECT 'fact_billing' AS source, Episode_key AS row_key, column_name AS "column", value FROM (
+      SELECT Episode_key, unnest(['Service_Date', 'patient_id', 'Company_Key', 'Doctor_Key']) AS column_name,
+             unnest([Service_Date, patient_id, Company_Key, Doctor_Key]) AS value,
+             unnest([TRY_CAST(Service_Date AS TIMESTAMP) IS NULL, TRY_CAST(patient_id AS BIGINT) IS NULL,
+                     TRY_CAST(Company_Key AS BIGINT) IS NULL, TRY_CAST(Doctor_Key AS BIGINT) IS NULL]) AS wrong
+      FROM text_billing) v WHERE wrong AND value IS NOT NULL"""
+_add("rejected_values", ["text_billing"], WRONG_VALUES)
+_add("accepted_rows", ["text_billing"], f"""
+    SELECT TRY_CAST(Service_Date AS TIMESTAMP) AS Service_Date, count(*) AS n,
+           CAST(sum(TRY_CAST(patient_id AS BIGINT)) AS BIGINT) AS patients, CAST(NULL AS VARCHAR) AS lost_column
+    FROM text_billing
+    WHERE TRY_CAST(Service_Date AS TIMESTAMP) IS NOT NULL AND TRY_CAST(patient_id AS BIGINT) IS NOT NULL
+      AND (Company_Key IS NULL OR TRY_CAST(Company_Key AS BIGINT) IS NOT NULL) AND TRY_CAST(Doctor_Key AS BIGINT) IS NOT NULL
+    GROUP BY 1
+    UNION ALL SELECT NULL, count(*), NULL, "column" FROM ({WRONG_VALUES}) w GROUP BY 4""")
 _add("json_export", ["records"], "SELECT '{\"note_id\":' || note_id || " + " || ".join(
     f"',\"{f}\":' || CASE WHEN {f} IS NULL THEN 'null' ELSE CAST(to_json({f}) AS VARCHAR) END" for f in C.FIELDS
 ) + " || '}' AS record_json FROM records")

@@ -1,6 +1,7 @@
 """The registered queries: one per operator, each over whole tables."""
 
 import datetime as dt
+import os
 from collections.abc import Callable
 from pathlib import Path
 
@@ -8,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noteloom import contract as C
-from noteloom.operators import clean, cohort, extract, notes, prompts, quality, records
+from noteloom.operators import clean, cohort, extract, measures, notes, prompts, quality, records
 from noteloom.plans import note_run
 from noteloom.plans.fixture_views import Fixture
+from noteloom.schemas import RESPONSES
 from noteloom.session import configure, fresh_path, stored
 from noteloom.sources import sinks, tables
+from noteloom.sources.files import Folder
 
 # Fixed so that results do not depend on a clock.
 START, END = dt.datetime(1995, 1, 1), dt.datetime(2002, 1, 1)
@@ -346,6 +349,63 @@ def model_attempts(f: Fixture) -> DataFrame:
     return made.select("batch_id", "attempt", "raw", "error")
 
 
+class _Dying:
+    """A backend that ends the process it is called in, the first time it is asked one kind of prompt."""
+
+    def __init__(self, mark: Folder):
+        mark.make()
+        self.mark = mark.uri
+
+    def __call__(self, system: str, user: str, budget: int) -> str:
+        from noteloom.sources.files import Lines, names_in_task
+
+        if len(user) % 7 == 3 and not names_in_task(self.mark):
+            Lines(self.mark, "died").add(b"")
+            os._exit(1)
+        return f'{{"results":[{{"Allergy":"{len(user)}"}}]}}'
+
+
+@registered
+def answers_after_lost_task(f: Fixture) -> DataFrame:
+    """All calls over the documents, with a task lost on the way: none is made twice, none is missing."""
+    path = fresh_path(f.spark, "lost-task")
+    backend = _Dying(Folder(f.spark, fresh_path(f.spark, "died")))
+    calls = extract.CallSettings(backoff_seconds=0, rate_limit_seconds=0)
+    asked = stored(prompts.batch_prompts(_batched_documents(f)), "asked")
+    try:
+        note_run.gather_responses(asked, backend, path, calls)
+    except Exception:  # the lost task ends the job where tasks are not tried again
+        pass
+    return note_run.gather_responses(asked, backend, path, calls).select("batch_id", "attempt", "raw")
+
+
+def _told(path: str, day: str) -> Callable[[DataFrame], DataFrame]:
+    """Answers every prompt, and says in each record on which day, in which batch and at which place."""
+
+    def respond(asked: DataFrame) -> DataFrame:
+        place = lambda i: F.concat(
+            F.lit(f'{{"Allergy":"{day} '), F.col("batch_id").cast("string"), F.lit("."), i.cast("string"), F.lit('"}')
+        )
+        listed = F.array_join(F.transform(F.sequence(F.lit(0), (F.col("n_notes") - 1).cast("int")), place), ",")
+        answers = asked.select(
+            "batch_id", "prompt_digest", F.lit(1).alias("attempt"), F.concat(F.lit("["), listed, F.lit("]")).alias("raw")
+        )
+        sinks.append_to_path(extract.as_responses(answers), path)
+        return asked.sparkSession.read.schema(RESPONSES).parquet(path)
+
+    return respond
+
+
+@registered
+def late_notes(f: Fixture) -> DataFrame:
+    """Notes on two days, some written anew on the second: only these are asked again."""
+    path = fresh_path(f.spark, "late-notes")
+    settings = note_run.RunSettings()
+    note_run.run_unanswered(f["unique_notes"], settings, path, _told(path, "first"))
+    run = note_run.run_unanswered(f["late_notes"], settings, path, _told(path, "second"))
+    return run.results.select("row_id", "Allergy")
+
+
 @registered
 def resolve_attempts(f: Fixture) -> DataFrame:
     return records.first_ok(_attempts(f, "observed")).select(
@@ -500,6 +560,63 @@ def replace_day(f: Fixture) -> DataFrame:
     return f.spark.read.schema(scored.schema).parquet(path)
 
 
+@registered
+def replace_that_fails(f: Fixture) -> DataFrame:
+    """Three days written; one is replaced, by another try with rows that cannot be computed."""
+    path = fresh_path(f.spark, "failing-day")
+    scored = quality.with_score(f["records"]).withColumn("service_day", (F.col("note_id") % 3).cast("string"))
+    sinks.append_to_path(scored, path, partition_by=["service_day"])
+    day = scored.filter("service_day = '0'")
+    sinks.replace_in_path(day.filter("note_id % 2 = 0"), path, {"service_day": "0"})
+    late = F.when(F.col("note_id") >= 0, F.raise_error(F.lit("no such score")).cast("double"))
+    try:
+        sinks.replace_in_path(day.withColumn(C.SCORE_COLUMN, late), path, {"service_day": "0"})
+    except Exception as error:
+        if "no such score" not in str(error):
+            raise
+    return sinks.results_in(f.spark, path, scored.schema)
+
+
+@registered
+def append_once(f: Fixture) -> DataFrame:
+    """Two runs appended, each of them repeated: every run's rows are there once."""
+    path = fresh_path(f.spark, "runs")
+    scored = quality.with_score(f["records"])
+    for run in ("monday", "monday", "tuesday", "monday", "tuesday"):
+        sinks.append_once(scored, path, run)
+    return f.spark.read.schema(scored.schema).parquet(path)
+
+
+@registered
+def measured_during_write(f: Fixture) -> DataFrame:
+    """Records with content written, and what the same job found out about them."""
+    path = fresh_path(f.spark, "measured")
+    measured = measures.Measured(f["sparse_records"])
+    sinks.append_to_path(measured.nonempty(), path)
+    figures = measured.figures()
+    written = f.spark.read.schema(f["sparse_records"].schema).parquet(path).agg(F.count(F.lit(1)).alias("written"))
+    return written.select(
+        "written", F.lit(figures.total).cast("bigint").alias("total"), F.lit(figures.removed).cast("bigint").alias("removed"),
+        *[F.lit(figures.counts[field]).cast("bigint").alias(field) for field in C.FIELDS],
+        F.lit(figures.completion_rate).alias("completion_rate"), F.lit(figures.mean_score).alias("mean_score"),
+    )
+
+
+@registered
+def rejected_values(f: Fixture) -> DataFrame:
+    """Billing lines read from text: the values that are not of their column's type."""
+    return tables.split_rejects(f["text_billing"], "fact_billing", key="Episode_key")[1]
+
+
+@registered
+def accepted_rows(f: Fixture) -> DataFrame:
+    """The billing lines without such values, and how many values each column cost."""
+    good, rejects = tables.split_rejects(f["text_billing"], "fact_billing", key="Episode_key")
+    days = good.groupBy("Service_Date").agg(F.count(F.lit(1)).alias("n"), F.sum("patient_id").alias("patients"))
+    lost = tables.reject_counts(rejects).select(F.col("column").alias("lost_column"), F.col("rejected").alias("n"))
+    return days.unionByName(lost, allowMissingColumns=True)
+
+
 @registered
 def json_export(f: Fixture) -> DataFrame:
     path = fresh_path(f.spark, "json")

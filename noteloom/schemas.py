@@ -53,6 +53,12 @@ RESPONSES = _struct(
     " prompt_tokens bigint, completion_tokens bigint, elapsed_ms bigint"
 )
 
+# Which notes a prompt held: record ``rec_pos`` of a response to it is the note's.
+NOTE_INDEX = _struct("note_digest string, batch_id bigint, prompt_digest string, rec_pos int")
+
+# Values of a source that do not have the type of their column.
+REJECTS = _struct("source string, row_key string, column string, value string")
+
 # One parsed record: its keys in order. `falsy` and `nan` keep what text alone would lose.
 ENTRY = _struct("key string, text string, falsy boolean, nan boolean")
 RECORD = T.StructType(

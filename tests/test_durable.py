@@ -1,0 +1,464 @@
+"""What outlives lost tasks, lost drivers and failing writes."""
+
+import datetime as dt
+import json
+import os
+import sys
+import time
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from noteloom import contract as C
+from noteloom.operators import clean, extract, measures, notes, prompts, quality, reuse
+from noteloom.plans import note_run
+from noteloom.schemas import NOTE_INDEX, RESPONSES, STAR_TABLES
+from noteloom.session import fresh_path
+from noteloom.sources import files, journal, sinks, tables
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+QUICK = extract.CallSettings(backoff_seconds=0, rate_limit_seconds=0, parallelism=1)
+
+
+def asked(spark, texts, size=1):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row_id long, Note string")
+    return prompts.batch_prompts(notes.with_batches(df, size))
+
+
+class Counting:
+    """Answers every prompt and leaves a file for each call; dies at a stated call, once."""
+
+    def __init__(self, folder, dies_at=None, error=None):
+        self.folder, self.dies_at, self.error = str(folder), dies_at, error
+
+    def __call__(self, system, user, budget):
+        import os
+        import uuid
+
+        os.makedirs(self.folder, exist_ok=True)
+        open(f"{self.folder}/{uuid.uuid4().hex}", "w").close()
+        if len(os.listdir(self.folder)) == self.dies_at:
+            os._exit(1)
+        texts = [block.split("\n", 1)[1].split("\n\n")[0] for block in user.split("**Note ")[1:]]
+        return json.dumps({"results": [{"Chief_Complain": t} for t in texts]})
+
+    def calls(self):
+        return len(os.listdir(self.folder)) if os.path.isdir(self.folder) else 0
+
+
+# --- answers --------------------------------------------------------------------------
+
+
+def test_a_lost_task_costs_the_call_under_way(spark, tmp_path):
+    todo, path = asked(spark, [f"n{i}" for i in range(8)]), fresh_path(spark, "responses")
+    backend = Counting(tmp_path / "calls", dies_at=8)
+    with pytest.raises(Exception, match="crashed|exited"):
+        note_run.gather_responses(todo, backend, path, QUICK)
+    assert backend.calls() == 8
+    found = note_run.gather_responses(todo, backend, path, QUICK)
+    assert backend.calls() == 9  # seven answers were kept
+    assert sorted(r.batch_id for r in found.collect()) == list(range(8))
+    assert note_run.gather_responses(todo, backend, path, QUICK).count() == 8
+    assert backend.calls() == 9
+    assert files.Folder(spark, path).names("_journal") == []
+
+
+def test_a_driver_lost_before_the_journal_was_taken_over(spark, tmp_path, monkeypatch):
+    todo, path = asked(spark, ["a", "b", "c"]), fresh_path(spark, "responses")
+    backend = Counting(tmp_path / "calls")
+    settle = note_run.settle
+    monkeypatch.setattr(note_run, "settle", lambda s, f: f.make(note_run.JOURNAL))
+    note_run.gather_responses(todo, backend, path, QUICK)
+    monkeypatch.setattr(note_run, "settle", settle)
+    assert note_run.gather_responses(todo, backend, path, QUICK).count() == 3
+    assert backend.calls() == 3
+
+
+def test_a_journal_that_was_taken_over_is_not_taken_twice(spark, tmp_path):
+    todo, path = asked(spark, ["a", "b"]), fresh_path(spark, "responses")
+    backend = Counting(tmp_path / "calls")
+    note_run.gather_responses(todo, backend, path, QUICK)
+    folder = files.Folder(spark, path)
+    # The driver is lost between noting the run and removing its journal.
+    (run,) = folder.names("_runs")
+    kept = journal.Journal(f"{folder.uri}/_journal/{run}", 0)
+    for row in spark.read.schema(RESPONSES).parquet(path).collect():
+        kept.add(row.asDict())
+    kept.close()
+    assert note_run.gather_responses(todo, backend, path, QUICK).count() == 2
+
+
+def test_a_task_that_is_tried_again_reads_its_journal(spark, tmp_path):
+    uri = files.Folder(spark, str(tmp_path / "journal")).uri
+    one = journal.Journal(uri, 3)
+    row = {"batch_id": 1, "prompt_digest": "d", "attempt": 1, "raw": "r\n\r \ud800"[:4], "error": None,
+           "prompt_tokens": None, "completion_tokens": 2, "elapsed_ms": 5}
+    failed = row | {"batch_id": 2, "raw": None, "error": "down"}
+    one.add(failed)
+    one.add(row)
+    one.close()
+    again = journal.Journal(uri, 3)
+    assert again.earlier() == {(1, "d"): [row]}
+    again.add(row | {"batch_id": 9})
+    assert journal.Journal(uri, 30).earlier() == {}
+    rows = journal.journal_rows(spark, uri).collect()
+    assert sorted(r.batch_id for r in rows) == [1, 2, 9]
+    assert [r.raw for r in rows if r.batch_id == 1] == [row["raw"]]
+
+
+def test_torn_lines_are_dropped(spark, tmp_path):
+    uri = files.Folder(spark, str(tmp_path / "journal")).uri
+    kept = journal.Journal(uri, 0)
+    row = {"batch_id": 1, "prompt_digest": "d", "attempt": 1, "raw": "x" * 50, "error": None,
+           "prompt_tokens": 1, "completion_tokens": 2, "elapsed_ms": 5}
+    kept.add(row)
+    kept.add(row | {"batch_id": 2})
+    kept.close()
+    (file,) = (tmp_path / "journal").iterdir()
+    whole = file.read_bytes()
+    first = whole.index(b"\n") + 1
+    for cut in (first, first + 5, len(whole) - 30, len(whole) - 3):
+        file.write_bytes(whole[:cut])
+        assert [r.batch_id for r in journal.journal_rows(spark, uri).collect()] == [1]
+        assert set(journal.Journal(uri, 0).earlier()) == {(1, "d")}
+
+
+def test_halves_of_character_pairs_do_not_stop_a_job(spark):
+    found = extract.call_backend(asked(spark, ["a"]), lambda *_: '[{"Allergy":"\ud83d x"}]', QUICK).collect()
+    assert found[0].raw == '[{"Allergy":"� x"}]' and found[0].error is None
+
+
+def test_one_rate_for_all_tasks(spark, tmp_path):
+    """One task's calls take half a second; the others use what it leaves of the limit."""
+    times = tmp_path / "times"
+    times.mkdir()
+
+    def backend(system, user, budget):
+        import time
+        import uuid
+
+        (times / uuid.uuid4().hex).write_text(str(time.time()))
+        time.sleep(0.5 if "slow" in user else 0)
+        return "[{}]"
+
+    texts = ["slow" if i % 4 == 0 else f"n{i}" for i in range(60)]
+    settings = extract.CallSettings(backoff_seconds=0, rate_limit_seconds=0, parallelism=4, max_batches_per_second=10)
+    path = fresh_path(spark, "responses")
+    assert note_run.gather_responses(asked(spark, texts), backend, path, settings).count() == 60
+    seen = sorted(float(f.read_text()) for f in times.iterdir())
+    busy = seen[:45]  # until the slow prompts are left alone
+    assert (len(busy) - 1) / (busy[-1] - busy[0]) == pytest.approx(10, rel=0.1)
+    assert min(b - a for a, b in zip(seen, seen[3:])) >= 0.25
+    assert not [n for n in files.Folder(spark, path).names() if n.startswith("_slots")]
+
+
+def test_slots_are_taken_once(tmp_path):
+    slots = extract.Slots(str(tmp_path), 200.0, time.time())
+    began = time.time()
+    for _ in range(20):
+        slots.wait()
+    assert 0.08 <= time.time() - began < 0.5
+    assert len([f for _, _, names in os.walk(tmp_path) for f in names]) == 20
+
+
+# --- notes that were asked before --------------------------------------------------------
+
+
+def rows_of(spark, texts):
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row_id long, Note string")
+
+
+def test_one_late_note_costs_one_call(spark, tmp_path):
+    backend, path = Counting(tmp_path / "calls"), fresh_path(spark, "responses")
+    settings = note_run.RunSettings()
+    texts = [f"n{i}" for i in range(10)] + [" ", None]
+    respond = note_run.model_responder(backend, path, QUICK)
+
+    def complaints(rows):
+        run = note_run.run_unanswered(rows, settings, path, respond)
+        return [r.Chief_Complain for r in run.results.orderBy("row_id").collect()], run
+
+    found, run = complaints(rows_of(spark, texts))
+    assert found == [*texts[:10], "", ""] and backend.calls() == 4
+    assert run.totals().first()[:] == (4, 4, 0)
+    found, run = complaints(rows_of(spark, ["first", *texts]))
+    assert found == ["first", *texts[:10], "", ""] and backend.calls() == 5
+    # Nothing is left to ask; answers of both days are taken.
+    found, _ = complaints(rows_of(spark, ["n9", "first", "n0"]))
+    assert found == ["n9", "first", "n0"] and backend.calls() == 5
+    # Batches of the default run: one note before all others moves them all.
+    assert note_run.run_notes is not note_run.run_unanswered
+
+
+def test_other_wording_or_billing_asks_again(spark, tmp_path):
+    backend, path = Counting(tmp_path / "calls"), fresh_path(spark, "responses")
+    respond = note_run.model_responder(backend, path, QUICK)
+    rows = rows_of(spark, ["a", "b"]).withColumn("code", F.lit("J1"))
+    for settings in (
+        note_run.RunSettings(), note_run.RunSettings(header="H"), note_run.RunSettings(billing_code="code"),
+        note_run.RunSettings(header="H"),
+    ):
+        note_run.run_unanswered(rows, settings, path, respond)
+    assert backend.calls() == 3
+
+
+def test_failed_batches_stay_unanswered(spark, tmp_path):
+    path, down = fresh_path(spark, "responses"), tmp_path / "down"
+    down.touch()
+    works = Counting(tmp_path / "calls")
+
+    def backend(system, user, budget):
+        import os
+
+        if "n4" in user and os.path.exists(str(down)):
+            raise RuntimeError("outage")
+        return works(system, user, budget)
+
+    respond = note_run.model_responder(backend, path, QUICK)
+    rows = rows_of(spark, [f"n{i}" for i in range(6)])
+    run = note_run.run_unanswered(rows, note_run.RunSettings(), path, respond)
+    assert [r.Chief_Complain for r in run.results.orderBy("row_id").collect()] == ["n0", "n1", "n2", "", "", ""]
+    assert run.totals().first()[:] == (2, 1, 1)
+    down.unlink()
+    run = note_run.run_unanswered(rows, note_run.RunSettings(), path, respond)
+    assert [r.Chief_Complain for r in run.results.orderBy("row_id").collect()] == [f"n{i}" for i in range(6)]
+    assert works.calls() == 2 and run.totals().first()[:] == (2, 2, 0)
+
+
+def test_copies_of_a_note_share_an_answer(spark, tmp_path):
+    backend, path = Counting(tmp_path / "calls"), fresh_path(spark, "responses")
+    respond = note_run.model_responder(backend, path, QUICK)
+    run = note_run.run_unanswered(rows_of(spark, ["same"] * 5), note_run.RunSettings(), path, respond)
+    assert {r.Chief_Complain for r in run.results.collect()} == {"same"} and run.results.count() == 5
+    again = note_run.run_unanswered(rows_of(spark, ["same", "same"]), note_run.RunSettings(), path, respond)
+    assert again.results.count() == 2 and backend.calls() == 2
+    index = spark.read.schema(NOTE_INDEX).parquet(f"{path}/_notes")
+    assert index.count() == 5 and index.select(reuse.DIGEST).distinct().count() == 1
+
+
+# --- replacing and appending ----------------------------------------------------------------
+
+DAY = dt.date(2024, 5, 1)
+
+
+def days(spark):
+    rows = [(DAY, x) for x in "abcde"] + [(dt.date(2024, 5, 2), "z")]
+    return spark.createDataFrame(rows, "day date, x string")
+
+
+def failing(spark):
+    return spark.range(1).select(F.lit(DAY).alias("day"), F.raise_error(F.lit("stop")).cast("string").alias("x"))
+
+
+def test_a_replacement_that_fails_leaves_the_day_in_a_folder(spark, tmp_path):
+    path, df = str(tmp_path / "out"), days(spark)
+    sinks.append_to_path(df, path, partition_by=["day"])
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_in_path(failing(spark), path, {"day": DAY})
+    found = spark.read.schema(df.schema).parquet(path)
+    assert sorted(r.x for r in found.collect()) == list("abcdez")
+    assert [n for n in files.Folder(spark, path).names() if n[0] == "_" and n != "_SUCCESS"] == []
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_in_path(failing(spark), str(tmp_path / "new"), {"day": DAY})
+    assert not (tmp_path / "new").exists()
+
+
+def test_a_replacement_that_fails_leaves_the_day_in_a_table(spark, tmp_path):
+    name = "kept_" + tmp_path.name.replace("-", "_")
+    try:
+        assert sinks.replace_in_table(days(spark).filter("x < 'f'"), name, {"day": DAY}) == 5
+        with pytest.raises(Exception, match="stop"):
+            sinks.replace_in_table(failing(spark), name, {"day": DAY})
+        assert sorted(r.x for r in spark.table(name).collect()) == list("abcde")
+        assert sinks.replace_in_table(days(spark).filter("x < 'c'"), name, {"day": DAY}) == 2
+        assert sorted(r.x for r in spark.table(name).collect()) == ["a", "b"]
+        with pytest.raises(Exception, match="row outside"):
+            sinks.replace_in_table(days(spark), name, {"day": DAY})
+        assert spark.table(name).count() == 2
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@pytest.mark.parametrize("lost_at", [1, 2])
+def test_a_driver_lost_while_a_day_changes_places(spark, tmp_path, monkeypatch, lost_at):
+    path, df = str(tmp_path / "out"), days(spark)
+    sinks.append_to_path(df, path, partition_by=["day"])
+    rename, seen = files.Folder.rename, []
+
+    def dying(self, source, target):
+        if "day=" in source + target:
+            seen.append(target)
+            if len(seen) == lost_at:
+                raise KeyboardInterrupt
+        rename(self, source, target)
+
+    monkeypatch.setattr(files.Folder, "rename", dying)
+    with pytest.raises(KeyboardInterrupt):
+        sinks.replace_in_path(df.filter("x = 'a'"), path, {"day": DAY})
+    monkeypatch.setattr(files.Folder, "rename", rename)
+    found = sinks.results_in(spark, path, df.schema)
+    assert sorted(r.x for r in found.collect()) == ["a", "z"]
+    assert [n for n in files.Folder(spark, path).names() if n[0] == "_" and n != "_SUCCESS"] == []
+
+
+def test_a_run_is_appended_once(spark, tmp_path):
+    path, df = str(tmp_path / "out"), days(spark)
+    assert sinks.append_once(df, path, "r1", partition_by=["day"]) == 6
+    assert sinks.append_once(df, path, "r1", partition_by=["day"]) == 0
+    assert sinks.append_once(df, path, "r2", partition_by=["day"]) == 6
+    assert spark.read.schema(df.schema).parquet(path).count() == 12
+    for name in ("", "a/b", "_x", "a b"):
+        with pytest.raises(ValueError):
+            sinks.append_once(df, path, name)
+
+
+@pytest.mark.parametrize("lost_at", ["rows", "file", "noted"])
+def test_a_driver_lost_while_appending(spark, tmp_path, monkeypatch, lost_at):
+    path, df = str(tmp_path / "out"), days(spark).repartition(3)
+    rename, write, count = files.Folder.rename, files.Folder.write, []
+
+    def dying_rename(self, source, target):
+        if target.startswith("r1-"):
+            count.append(target)
+            if lost_at == "file" and len(count) == 2:
+                raise KeyboardInterrupt
+        rename(self, source, target)
+
+    def dying_write(self, name, text):
+        if (lost_at == "rows" and name.endswith("_rows")) or (lost_at == "noted" and name.startswith("_runs")):
+            raise KeyboardInterrupt
+        write(self, name, text)
+
+    monkeypatch.setattr(files.Folder, "rename", dying_rename)
+    monkeypatch.setattr(files.Folder, "write", dying_write)
+    with pytest.raises(KeyboardInterrupt):
+        sinks.append_once(df, path, "r1")
+    monkeypatch.setattr(files.Folder, "rename", rename)
+    monkeypatch.setattr(files.Folder, "write", write)
+    assert sinks.append_once(df, path, "r1") == 6
+    assert sinks.append_once(df, path, "r1") == 0
+    assert sorted(r.x for r in spark.read.schema(df.schema).parquet(path).collect()) == list("abcdez")
+
+
+def test_an_append_that_fails_can_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "out")
+    with pytest.raises(Exception, match="stop"):
+        sinks.append_once(failing(spark), path, "r1")
+    assert sinks.append_once(days(spark), path, "r1") == 6
+
+
+def test_a_run_is_appended_to_a_table_once(spark, tmp_path):
+    name = "once_" + tmp_path.name.replace("-", "_")
+    df = days(spark)
+    try:
+        df.limit(0).write.partitionBy("day").saveAsTable(name)
+        assert [sinks.append_once_to_table(df, name, r) for r in ("r1", "r1", "r2")] == [6, 0, 6]
+        assert spark.table(name).count() == 12
+        assert spark.table(name).where("day = '2024-05-02'").count() == 2
+        assert sinks.replace_in_table(df.filter("x = 'a'"), name, {"day": DAY}) == 1
+        assert spark.table(name).count() == 3
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+# --- figures and rejects ---------------------------------------------------------------------
+
+
+def jobs(spark, group):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_figures_cost_no_job(spark, small, tmp_path):
+    records = small["sparse_records"]
+    spark.sparkContext.setJobGroup("figures", "figures")
+    try:
+        measured = measures.Measured(records)
+        written = sinks.append_to_path(measured.nonempty(), str(tmp_path / "out"))
+        made = jobs(spark, "figures")
+        figures = measured.figures()
+        top, rate, score = figures.top_fields(), figures.completion_rate, figures.mean_score
+        assert jobs(spark, "figures") == made == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert written == figures.kept == clean.nonempty(records).count()
+    assert figures.removed == clean.removed_count(records).first()[0]
+    assert (figures.total, rate) == quality.overall_completion(records).first()[:]
+    want = quality.top_fields(quality.field_summary(records)).select("field", "cnt", "pct").collect()
+    assert top == [tuple(r) for r in want]
+    assert score == pytest.approx(quality.with_score(records).agg(F.avg(C.SCORE_COLUMN)).first()[0])
+
+
+def test_figures_of_no_records(spark, small, tmp_path):
+    measured = measures.Measured(small["records"].limit(0))
+    sinks.append_to_path(measured.records, str(tmp_path / "out"))
+    figures = measured.figures()
+    assert (figures.total, figures.completion_rate, figures.mean_score, figures.top_fields()) == (0, 0.0, 0.0, [])
+
+
+def test_rejects(spark):
+    df = spark.createDataFrame(
+        [("1", "Credit"), ("x1", "Cash"), (None, "Cash"), ("99999999999999999999", None)], "Company_Key string, CashAccounts string"
+    )
+    good, rejects = tables.split_rejects(df, "dim_company")
+    assert sorted(map(tuple, good.collect()), key=str) == [(1, "Credit"), (None, "Cash")]
+    assert good.schema == STAR_TABLES["dim_company"]
+    assert sorted(map(tuple, rejects.collect())) == [
+        ("dim_company", "99999999999999999999", "Company_Key", "99999999999999999999"), ("dim_company", "x1", "Company_Key", "x1"),
+    ]
+    assert tables.reject_counts(rejects).collect()[0][:] == ("dim_company", "Company_Key", 2)
+
+
+def test_a_star_with_rejects_and_other_names(spark):
+    staff = spark.createDataFrame([(1, "a", "7", None), (2, "b", "seven", "Nurse")], "k int, Staff_name string, d string, category_desc string")
+    columns = {"dim_staff": {"Staff_Key": "k", "degree_key": "d"}}
+    star, rejects = tables.star_and_rejects({"dim_staff": staff}, columns)
+    assert [r.Staff_Key for r in star["dim_staff"].collect()] == [1]
+    assert [tuple(r) for r in rejects.collect()] == [("dim_staff", "2", "degree_key", "seven")]
+
+
+def test_the_command_line_with_rejects_and_a_run_id(spark, small, tmp_path, capsys):
+    import run_notes
+
+    for name, df in small.star().items():
+        df.select(*[F.col(t.name).cast(t.dataType) for t in STAR_TABLES[name]]).write.parquet(f"{tmp_path}/{name}.parquet")
+    database = "star_" + tmp_path.name.replace("-", "_")
+    output = str(tmp_path / "results")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    try:
+        for name, df in small.star().items():
+            wide = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+            if name == "fact_billing":
+                wide = wide.unionByName(wide.limit(1).withColumn("patient_id", F.lit("nobody")))
+            wide.write.saveAsTable(f"{database}.{name}")
+        given = ["--database", database, "--as-of", "1995-05-30", "--output", output, "--run-id", "night-1",
+                 "--rejects", str(tmp_path / "rejects")]
+        assert run_notes.run(spark, run_notes.arguments(given)) == 2
+        assert run_notes.run(spark, run_notes.arguments(given)) == 0
+        assert spark.read.parquet(output).count() == 2
+        assert "1 values rejected" in capsys.readouterr().out
+        assert {r.value for r in spark.read.parquet(str(tmp_path / "rejects")).collect()} == {"nobody"}
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_the_command_line_asks_only_for_unanswered_notes(spark, small, tmp_path, monkeypatch):
+    import run_notes
+
+    for name, df in small.star().items():
+        df.select(*[F.col(t.name).cast(t.dataType) for t in STAR_TABLES[name]]).write.parquet(f"{tmp_path}/{name}.parquet")
+    (tmp_path / "echo.py").write_text("def call(system, user, budget):\n    return '[{\"Allergy\": \"x\"}]'\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    import echo
+
+    cloudpickle.register_pickle_by_value(echo)
+    given = ["--star", str(tmp_path), "--as-of", "1995-05-30", "--output", str(tmp_path / "out"), "--backend", "echo:call",
+             "--seconds-between-calls", "0", "--slices", "2", "--max-attempts", "2", "--unanswered-only"]
+    with pytest.raises(SystemExit):
+        run_notes.run(spark, run_notes.arguments(given))
+    given += ["--responses", str(tmp_path / "responses")]
+    for _ in range(2):
+        assert run_notes.run(spark, run_notes.arguments(given)) == 2
+    assert spark.read.parquet(str(tmp_path / "responses")).count() == 1
+    assert run_notes.arguments([*given[2:], "--jdbc-url", "jdbc:x", "--jdbc-option", "user=me"]).jdbc_option == ["user=me"]
