@@ -195,6 +195,12 @@ def near_duplicates(
     df: DataFrame, id_column: str, text_column: str, words_of_shingle: int = WORDS, radius: int = RADIUS
 ) -> DataFrame:
     """id, fp (signed long) and component_id (smallest id of the group) of every row."""
+    return _grouped(df, id_column, text_column, words_of_shingle, radius).drop("label")
+
+
+def _grouped(df: DataFrame, id_column: str, text_column: str, words_of_shingle: int, radius: int) -> DataFrame:
+    """The same with the label of the group: an id that is there with several texts may be the
+    smallest of several groups."""
     found = stored(
         df.select(F.col(id_column).cast("long").alias("id"), fingerprint(F.col(text_column), words_of_shingle).alias("fp")),
         "fingerprints",
@@ -206,8 +212,8 @@ def near_duplicates(
         "labelled",
     )
     smallest = stored(labelled.groupBy("label").agg(F.min("first_id").alias("component_id")), "smallest")
-    by_fingerprint = stored(labelled.join(smallest, "label").select("fp", "component_id"), "components")
-    return found.join(by_fingerprint, "fp")
+    by_fingerprint = stored(labelled.join(smallest, "label").select("fp", "component_id", "label"), "components")
+    return found.join(by_fingerprint, "fp").select("id", "fp", "component_id", "label")
 
 
 def without_near_duplicates(
@@ -215,19 +221,28 @@ def without_near_duplicates(
 ) -> DataFrame:
     """The rows of ``df``, of each group only the document with the smallest id.
 
-    Rows without id are never dropped. Rows that repeat an id are one document, of which one
-    row stays.
+    Rows without id are never dropped. A row is dropped only for one whose text is near its own, so
+    rows that repeat an id with other texts stay; of the rows of a group that have its smallest id,
+    one of those with the smallest fingerprint does.
     """
-    found = stored(near_duplicates(df, id_column, text_column, words_of_shingle, radius), "near-duplicates")
-    first = found.where("id is not null").groupBy("id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
-    more = first.where("n > 1 or c < id").agg(F.max(F.col("n") > 1).alias("repeated")).first()["repeated"]
+    found = stored(_grouped(df, id_column, text_column, words_of_shingle, radius), "near-duplicates")
+    named = found.where("id is not null")
+    of_id = named.groupBy("id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
+    of_id = stored(of_id.where("n > 1 or c < id"), "dropped-or-repeated")
     name = fresh_name(df, "dropped_id")
-    dropped = first.where("c < id").select(F.col("id").alias(name))
-    kept = df.join(dropped, F.col(id_column).cast("long") == F.col(name), "left_anti")
-    if not more:
+    own = F.col(id_column).cast("long")
+    kept = df.join(of_id.select(F.col("id").alias(name)), own == F.col(name), "left_anti")
+    repeated = of_id.where("n > 1").select("id")
+    if repeated.isEmpty():
         return kept
-    named = kept.where(F.col(id_column).isNotNull()).dropDuplicates([id_column])
-    return named.unionByName(kept.where(F.col(id_column).isNull()))
+    first = named.groupBy("label").agg(F.min(F.struct("id", "fp")).alias("first")).select("first.id", "first.fp")
+    first = first.join(repeated, "id", "left_semi")
+    mark = fresh_name(df, "own_fingerprint")
+    again = df.join(repeated.select(F.col("id").alias(name)), own == F.col(name), "left_semi")
+    again = again.withColumn(mark, fingerprint(F.col(text_column), words_of_shingle))
+    first = first.select(F.col("id").alias(name), F.col("fp").alias(f"{mark}_"))
+    again = again.join(first, (own == F.col(name)) & (F.col(mark) == F.col(f"{mark}_")), "left_semi")
+    return kept.unionByName(again.dropDuplicates([id_column, mark]).select(*df.columns))
 
 
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:

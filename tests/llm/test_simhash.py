@@ -4,6 +4,7 @@ import numpy as np
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from odd import no_documents, odd_documents, saved, whole
 
 from noteloom.llm import simhash as s
@@ -113,3 +114,13 @@ def test_one_document_of_each_group_stays(spark):
     ids = sorted((r["doc_id"] for r in kept.collect()), key=repr)
     # 2, 3 and 4 have no words, 5 repeats 1, and 1 is there twice; rows without id stay.
     assert ids == sorted([1, 2, 6, 7, 8, 9, None, None], key=repr)
+
+
+def test_other_texts_of_a_repeated_id_stay(spark):
+    words = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    rows = [(1, words[0]), (1, words[1]), (1, words[1]), (2, words[0]), (3, words[2]), (4, words[2]), (4, words[3]), (None, words[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("own_fingerprint", F.lit(1))
+    kept = s.without_near_duplicates(df, "doc_id", "text")
+    assert kept.columns == df.columns
+    want = [(1, words[0]), (1, words[1]), (3, words[2]), (4, words[3]), (None, words[0])]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(want, key=repr)
