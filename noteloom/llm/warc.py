@@ -224,8 +224,6 @@ def _records_at(data: bytes, view: memoryview, at: int) -> tuple[list[tuple], in
     found, gaps, last = _records_in(content)
     if not found and (error or gaps):
         raise Damaged(error or gaps[0][2])
-    if error == CUT and len(found) == 1 and not gaps:
-        raise Damaged(error)  # the cut is in the member of a single record, not after it
     if error:
         gaps = [gap for gap in gaps if gap[0] < last]
         _, end = _inflate_slowly(view, at, last)

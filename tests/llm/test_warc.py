@@ -42,9 +42,27 @@ def test_garbage_lost_bytes_and_a_cut_end():
     parts = [warc.member(record(n, 300)) for n in range(6)]
     data = b"junk" + parts[0] + parts[1][7:] + parts[2] + b"\x1f\x8b\x08no member" + parts[3] + parts[4][:-9]
     pages, gaps = read(data)
-    assert pages == [0, 2, 3]
+    # Of the last one only the end of the member is missing; the record is whole.
+    assert pages == [0, 2, 3, 4]
     assert len(gaps) == 4 and gaps[-1][1] == len(data)
-    assert sum(b - a for a, b, _ in gaps) + sum(map(len, (parts[0], parts[2], parts[3]))) == len(data)
+    before = len(data) - len(parts[4][:-9])
+    assert sum(b - a for a, b, _ in gaps[:3]) + sum(map(len, (parts[0], parts[2], parts[3]))) == before
+
+
+@pytest.mark.parametrize("missing", [1, 4, 8])
+def test_record_of_a_member_without_its_end(missing):
+    parts = [warc.member(noisy(n)) for n in range(2)]
+    data = parts[0] + parts[1][:-missing]
+    pages, gaps = read(data)
+    assert pages == [0, 1]
+    assert [why for *_, why in gaps] == [warc.CUT] and gaps[0][0] <= gaps[0][1] == len(data)
+
+
+def test_member_cut_in_its_record():
+    parts = [warc.member(noisy(n)) for n in range(2)]
+    pages, gaps = read(parts[0] + parts[1][:-100])
+    assert pages == [0]
+    assert [(a, b) for a, b, _ in gaps] == [(len(parts[0]), len(parts[0]) + len(parts[1]) - 100)]
 
 
 def test_member_and_plain_record_mixed():
