@@ -310,6 +310,17 @@ def _regression(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float
     return w
 
 
+def ordered(weights: dict[str, float]) -> dict[str, float]:
+    """Weights in the order that the grammar means: an aimed insult or threat counts for more than a
+    plain one, by the share of the priors at least, and a denied or reported one for no more."""
+    found = dict(weights)
+    for plain, aimed, lesser in (("I", "J", "ir"), ("H", "K", "hs")):
+        found[aimed] = max(found[aimed], found[plain] * READINGS[aimed] / READINGS[plain])
+        for reading in lesser:
+            found[reading] = min(found[reading], found[plain])
+    return found
+
+
 def learn(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     """A model from at most ``bound`` labelled rows; what comes to the driver is bounded by them."""
     sample = labelled_sample(documents, labels, bound)
@@ -337,7 +348,7 @@ def learn(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model
     prior = np.array([BIAS, *[2 * v for v in READINGS.values()]])
     fitted = _regression(x, y, prior)
     # More of a matched reading never makes a text less toxic, and none is not toxic.
-    weights = {r: max(0.0, float(w)) for r, w in zip(READINGS, fitted[1:], strict=True)}
+    weights = ordered({r: max(0.0, float(w)) for r, w in zip(READINGS, fitted[1:], strict=True)})
     return Model(model.words, stems, weights, min(float(fitted[0]), -1.0))
 
 

@@ -85,3 +85,18 @@ def test_odd_documents(spark, tmp_path):
 def test_no_documents_and_no_labels(spark, tmp_path):
     saved(spark.createDataFrame([], "doc_id long, quality int, toxic int"), tmp_path, "labels")
     assert t.op8_toxicity(spark, saved(no_documents(spark), tmp_path)).collect() == []
+
+
+def test_weights_keep_the_order_of_the_readings():
+    found = t.ordered({"I": 2.7, "J": 2.4, "i": 3.0, "r": 0.1, "H": 1.0, "K": 0.2, "h": 0.0, "s": 5.0})
+    assert found["J"] > found["I"] >= found["i"] and found["r"] == 0.1
+    assert found["K"] > found["H"] >= found["s"]
+
+
+def test_learned_weights_read_clauses_not_bags_of_words(spark):
+    model = t.learn(spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    assert model.weights["J"] > model.weights["I"] >= max(model.weights["i"], model.weights["r"])
+    words = ["you", "are", "a", "moron", "said", "the", "other", "man", "today"]
+    scores = {model.score(" ".join(words[k:] + words[:k])) for k in range(len(words))}
+    assert len(scores) > 1  # the same words in other orders
+    assert model.score("you moron") > model.score("a moron") >= model.score("he said that a moron came")
