@@ -218,7 +218,9 @@ def _fixture_notes(f: Fixture) -> DataFrame:
 
 def _response_shapes(f: Fixture) -> DataFrame:
     """Every document wrapped in one of 14 response forms, its text in the record."""
-    text = F.translate("text", "[]{}", "()()")
+    text = F.col("text")  # replaced bracket by bracket: translate looks up every letter
+    for bracket, other in zip("[]{}", "()()"):
+        text = F.replace(text, F.lit(bracket), F.lit(other))
     record = F.to_json(F.struct(text.alias("Chief_Complain")))
     full = F.to_json(
         F.struct(text.alias("Chief_Complain"), F.lit("").alias("History"), F.col("lang").alias("Allergy"))
@@ -239,7 +241,8 @@ def _response_shapes(f: Fixture) -> DataFrame:
         F.concat(F.lit("Note [see {]\n"), record),
         F.concat(record, F.lit(" tail")),
     ]
-    chosen = F.element_at(F.array(*forms), (F.col("doc_id") % len(forms) + 1).cast("int"))
+    # One form is made of each document; an array of all would make fourteen.
+    chosen = F.coalesce(*[F.when(F.col("doc_id") % len(forms) == i, form) for i, form in enumerate(forms)])
     return f["documents"].select(
         F.col("doc_id").alias("batch_id"), F.lit(1).alias("attempt"), chosen.alias("raw")
     )
