@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteloom.llm.common import batches_of, configure, in_slices, rows_of, table, worker_state
+from noteloom.llm.common import batches_of, configure, rows_of, table, worker_state
 from noteloom.llm.ordering import Buckets
 
 K = 20  # code points of a gram
@@ -134,7 +134,7 @@ def beside_next(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Rows sorted by bucket, place and id, so that the next document follows each in its task.
 
     The first document of every bucket is also sent, as a copy, to the bucket before; that of
-    the first bucket goes to the last one. Texts move once.
+    the first bucket goes to the last one. Texts move once, every bucket to a task of its own.
     """
     named = df.select(
         F.col(id_column).cast("long").alias("id"),
@@ -161,7 +161,7 @@ def beside_next(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return (
         placed.select("id", "text", F.explode(F.when(F.col("is_first"), F.array(own, copy)).otherwise(F.array(own))).alias("to"))
         .select("to.bucket", "to.copy", "id", "text")
-        .repartition(in_slices(df), "bucket")
+        .repartitionById(len(slots), F.col("bucket"))
         .sortWithinPartitions("bucket", "copy", "id", "text")
     )
 
