@@ -9,6 +9,11 @@ from noteloom import contract as C
 from noteloom.functions.text import or_empty
 from noteloom.session import stored
 
+DATE = "FormattedDate"
+PART_BYTES = 64 << 20  # text of a part that holds whole batches
+LEAST_BYTES = 1 << 20  # below this a part is not split for the sake of more tasks
+PART = "_batch_part"
+
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, position below
 
 
@@ -23,20 +28,72 @@ def as_text(df: DataFrame, column: str = "Note") -> DataFrame:
     return df.withColumn(column, or_empty(F.col(column).cast("string")))
 
 
-def numbered(df: DataFrame, note: str = "Note", name: str = "row_id") -> DataFrame:
+def numbered(
+    df: DataFrame,
+    note: str = "Note",
+    name: str = "row_id",
+    batch_size: int = C.BATCH_SIZE,
+    part: str | None = None,
+) -> DataFrame:
     """Rows numbered newest first, then by every other column, copies in any order.
 
-    The rows are written once, with a digest of the note and a number of the copy. Only these
-    and the other columns are sorted: note texts are not sampled, sorted or written again, but
-    meet their numbers in a join by the copy.
+    The rows are written once, with a digest of the note and a number of the copy. These and the
+    other columns are numbered without the texts. Every so many numbers a row's order becomes a
+    bound; rows find their part between the bounds by halving, so a text moves once, to the part that
+    its number lies in. Parts hold whole batches: what groups by the column ``part``, which is kept if
+    it is named, and by batch moves no text again.
     """
-    rest = [c for c in df.columns if c not in ("FormattedDate", note)]
-    first = [F.desc_nulls_last("FormattedDate")] if "FormattedDate" in df.columns else []
-    marks = {"_digest": F.sha2(F.col(note), 256), "_copy": F.monotonically_increasing_id()}
+    rest = [c for c in df.columns if c not in (DATE, note)]
+    marks = {
+        "_digest": F.sha2(F.col(note), 256),
+        "_copy": F.monotonically_increasing_id(),
+        "_bytes": F.octet_length(note).cast("long"),
+    }
     kept = stored(df.withColumns(marks), "notes")
-    order = [*first, *[F.asc_nulls_last(c) for c in (*rest, "_digest", "_copy")]]
-    numbers = with_row_id(kept.drop(note), order, name).select(name, "_copy")
-    return kept.join(numbers, "_copy").select(name, *df.columns)
+    rest = [*rest, "_digest", "_copy"]
+    first = [F.desc_nulls_last(DATE)] if DATE in df.columns else []
+    order = [*first, *[F.asc_nulls_last(c) for c in rest]]
+    rows, weight = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum("_bytes"), F.lit(0))).first()
+    size = _rows_of_part(rows, weight, batch_size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, -(-rows // size))
+    placed = kept.withColumn("_part", F.lit(0))
+    if parts > 1:
+        numbers = with_row_id(kept.drop(note, "_bytes"), order, name)
+        placed = _in_parts(kept, numbers, name, rest, size, parts)
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    found = placed.repartitionById(parts, F.col("_part")).withColumn(name, F.col("_part").cast("long") * size + rank - 1)
+    return found.select(name, *df.columns, *([F.col("_part").alias(part)] if part else []))
+
+
+def _rows_of_part(rows: int, weight: int, batch_size: int, slices: int) -> int:
+    """Rows of a part: whole batches of about ``PART_BYTES`` of text, less where a slice of the
+    shuffle would otherwise have none and there is enough for all."""
+    parts = max(-(-weight // PART_BYTES), min(slices, -(-weight // LEAST_BYTES)), 1)
+    return max(1, -(-rows // (parts * batch_size))) * batch_size
+
+
+def _in_parts(kept: DataFrame, numbers: DataFrame, name: str, rest: Sequence[str], size: int, parts: int) -> DataFrame:
+    """``kept`` with the number of bounds at or before each row, which is that of its part.
+
+    The bounds are one row per part, held once by a task. Each step halves what is left, so a row is
+    compared with as many as the number of parts has binary digits.
+    """
+    dated = DATE in kept.columns
+    place = F.struct(*[c for n in rest for c in (F.col(n).isNull().alias(f"{n} null"), F.col(n).alias(n))])
+    bound = F.struct(F.col(name).alias("at"), *([F.col(DATE).alias("date")] if dated else []), place.alias("place"))
+    every = numbers.where((F.col(name) > 0) & (F.col(name) % size == 0))
+    bounds = stored(every.agg(F.sort_array(F.collect_list(bound)).alias("bounds")), "bounds").scalar()
+    df = kept.withColumn("_part", F.lit(0))
+    for bit in reversed(range((parts - 1).bit_length())):
+        ahead = F.col("_part") + (1 << bit)
+        one = F.try_element_at(bounds, ahead)
+        reached = one["place"] <= place
+        if dated:  # newest first, none last
+            day, own = one["date"], F.col(DATE)
+            earlier = (day > own) | (day.isNotNull() & own.isNull())
+            reached = one["at"].isNotNull() & (F.coalesce(earlier, F.lit(False)) | (day.eqNullSafe(own) & reached))
+        df = df.withColumn("_part", F.when(reached, ahead).otherwise(F.col("_part")))
+    return df
 
 
 def _placed(df: DataFrame, order: Sequence[Column], unique: bool) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from noteloom import contract as C
 from noteloom.functions.prompts import note_block, prompt_digest, prompt_text, response_token_budget
+from noteloom.operators.notes import PART
 
 
 def batch_prompts(
@@ -18,14 +19,17 @@ def batch_prompts(
 ) -> DataFrame:
     """prompts(batch_id, n_notes, user_prompt, max_tokens, prompt_digest).
 
-    A group is one batch and so never holds more than the batch size.
+    A group is one batch and so never holds more than the batch size. Rows that lie in parts of
+    whole batches, which the column ``PART`` tells, stay where they are.
     """
+    placed = [PART] if PART in batched.columns else []
     name, code = (F.col(c) if c else None for c in (billing_name, billing_code))
     block = note_block(F.col("pos_in_batch"), F.col(note), name, code)
+    blocks = batched.select(*placed, "batch_id", "pos_in_batch", block.alias("block"))
+    if not placed:
+        blocks = blocks.repartition("batch_id")  # collecting before the shuffle would sort and save nothing
     return (
-        batched.select("batch_id", "pos_in_batch", block.alias("block"))
-        .repartition("batch_id")  # collecting before the shuffle would sort and save nothing
-        .groupBy("batch_id")
+        blocks.groupBy(*placed, "batch_id")
         .agg(
             F.count(F.lit(1)).alias("n_notes"),
             F.array_sort(F.collect_list(F.struct("pos_in_batch", "block")))["block"].alias("blocks"),

@@ -44,13 +44,17 @@ class RunSettings:
         return cls(start=start, end=end, **settings)
 
 
-def cohort_batches(star: cohorts.Star, settings: RunSettings = RunSettings()) -> DataFrame:
+def cohort_batches(
+    star: cohorts.Star, settings: RunSettings = RunSettings(), part: str | None = None
+) -> DataFrame:
     """Cohort rows with row_id, batch_id and pos_in_batch, read from the files that fixed
-    their order."""
-    return notes.with_batches(cohort_rows(star, settings), settings.batch_size)
+    their order. ``part`` names a column for the part that a row's whole batch lies in."""
+    return notes.with_batches(cohort_rows(star, settings, part), settings.batch_size)
 
 
-def cohort_rows(star: cohorts.Star, settings: RunSettings = RunSettings()) -> DataFrame:
+def cohort_rows(
+    star: cohorts.Star, settings: RunSettings = RunSettings(), part: str | None = None
+) -> DataFrame:
     """The same without batches."""
     rows = cohorts.cohort(
         star,
@@ -60,7 +64,8 @@ def cohort_rows(star: cohorts.Star, settings: RunSettings = RunSettings()) -> Da
         settings.ignore_case,
         settings.max_rows,
     )
-    return notes.numbered(notes.as_text(rows, settings.note_column), settings.note_column)
+    texts = notes.as_text(rows, settings.note_column)
+    return notes.numbered(texts, settings.note_column, batch_size=settings.batch_size, part=part)
 
 
 def prompts_for(batched: DataFrame, settings: RunSettings = RunSettings()) -> DataFrame:
@@ -244,10 +249,11 @@ def run_notes(
     is ``model_responder(backend, path)``, which writes its responses before anything reads
     them, so that no call is repeated.
     """
-    batched = cohort_batches(star, settings)
+    placed = cohort_batches(star, settings, notes.PART)
+    batched = placed.drop(notes.PART)
     if respond is None:
         return cue_run(batched, settings)
-    asked = stored(prompts_for(batched, settings), "prompts")
+    asked = stored(prompts_for(placed, settings), "prompts")
     responses = respond(asked)
     run = records_to_results(batched, extract.answers_to(asked, responses), settings)
     return replace(run, unmatched=extract.unmatched(asked, responses))

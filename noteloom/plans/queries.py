@@ -157,8 +157,8 @@ def cohort_from_query_file(f: Fixture) -> DataFrame:
 # --- notes and prompts ----------------------------------------------------------------
 
 
-def _numbered_notes(f: Fixture) -> DataFrame:
-    return notes.numbered(notes.as_text(f["dim_clinical_notes"]))
+def _numbered_notes(f: Fixture, part: str | None = None) -> DataFrame:
+    return notes.numbered(notes.as_text(f["dim_clinical_notes"]), part=part)
 
 
 def _batched_documents(f: Fixture) -> DataFrame:
@@ -180,7 +180,7 @@ def note_batches(f: Fixture) -> DataFrame:
 
 @registered
 def batch_prompts(f: Fixture) -> DataFrame:
-    rendered = prompts.batch_prompts(notes.with_batches(_numbered_notes(f)))
+    rendered = prompts.batch_prompts(notes.with_batches(_numbered_notes(f, notes.PART)))
     return rendered.select("batch_id", "n_notes", "user_prompt")
 
 

@@ -1,4 +1,5 @@
 import pytest
+from support import plan_of
 from pyspark.sql import functions as F
 
 from noteloom import contract as C
@@ -41,7 +42,7 @@ def test_copies_spread_over_partitions(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
-def test_no_note_is_sorted_or_written_twice(spark, monkeypatch):
+def test_no_note_is_numbered_or_written_twice(spark, monkeypatch):
     written = {}
 
     def stored(df, name):
@@ -50,15 +51,66 @@ def test_no_note_is_sorted_or_written_twice(spark, monkeypatch):
 
     real = notes.stored
     monkeypatch.setattr(notes, "stored", stored)
+    monkeypatch.setattr(notes, "LEAST_BYTES", 1)
     df = spark.createDataFrame([(2, "b"), (1, "a"), (1, "a"), (3, None)], "k int, Note string")
-    rows = notes.numbered(notes.as_text(df)).orderBy("row_id").collect()
+    rows = notes.numbered(notes.as_text(df), batch_size=1).orderBy("row_id").collect()
     assert [(r.row_id, r.k, r.Note) for r in rows] == [(0, 1, "a"), (1, 1, "a"), (2, 2, "b"), (3, 3, "")]
     assert "Note" in written["notes"] and "Note" not in written["row-ids"]
 
 
+def dated_notes(spark, n=3000):
+    """Rows with days that tie or are missing, null keys, and many copies of one row."""
+    i = F.col("id")
+    rows = spark.range(0, n, 1, 7).select(
+        F.when(i % 11 != 0, F.expr("timestampadd(DAY, id % 5, TIMESTAMP_NTZ '2020-01-01 00:00:00')")).alias("FormattedDate"),
+        F.when(i % 7 != 0, F.concat(F.lit("d"), i % 13)).alias("doctor"),
+        F.concat(F.lit("text "), F.xxhash64("id").cast("string")).alias("Note"),
+    )
+    copies = spark.range(0, n // 3, 1, 3).select(F.lit(None).cast("timestamp_ntz"), F.lit("d1"), F.lit("copy"))
+    return rows.union(copies)
+
+
+@pytest.mark.parametrize("size", [1, 3, 7])
+def test_parts_hold_whole_batches_in_order(spark, monkeypatch, size):
+    monkeypatch.setattr(notes, "LEAST_BYTES", 1 << 10)
+    monkeypatch.setattr(notes, "PART_BYTES", 1 << 11)
+    df = dated_notes(spark)
+    found = notes.with_batches(notes.numbered(df, batch_size=size, part=notes.PART), size).collect()
+    found.sort(key=lambda r: r.row_id)
+    digest = F.sha2("Note", 256)
+    wanted = df.orderBy(F.desc_nulls_last("FormattedDate"), F.asc_nulls_last("doctor"), digest).collect()
+    assert [r.row_id for r in found] == list(range(4000))
+    assert [(r.FormattedDate, r.doctor, r.Note) for r in found] == [tuple(r) for r in wanted]
+    parts = [r[notes.PART] for r in found]
+    assert parts == sorted(parts) and set(parts) == set(range(max(parts) + 1)) and max(parts) > 16
+    rows_of = [parts.count(p) for p in range(max(parts) + 1)]
+    assert len(set(rows_of[:-1])) == 1 and rows_of[0] % size == 0
+
+
+def test_one_move_of_the_notes_from_rows_to_prompts(spark, monkeypatch):
+    monkeypatch.setattr(notes, "LEAST_BYTES", 1 << 10)
+    placed = notes.with_batches(notes.numbered(dated_notes(spark), part=notes.PART))
+    rendered = prompts.batch_prompts(placed)
+    plan = plan_of(rendered)
+    moves = [part for part in plan.split("\n\n") if "Exchange\nInput" in part]
+    assert sum("Note" in move or "block" in move for move in moves) == 1, plan
+    assert "MergeJoin" not in plan and "HashJoin" not in plan.split("===== Subqueries =====")[0]
+    plain = prompts.batch_prompts(placed.drop(notes.PART))
+    assert sorted(rendered.collect()) == sorted(plain.collect())
+
+
+def test_a_part_is_of_bounded_bytes():
+    assert notes._rows_of_part(0, 0, 3, 200) == 3
+    assert notes._rows_of_part(10, 1000, 3, 200) == 12  # one part
+    assert notes._rows_of_part(3_000_000, 64 << 30, 3, 200) == 2931  # 1,024 parts
+    assert notes._rows_of_part(600, 100 << 20, 3, 8) == 75
+
+
 def test_empty_input(spark):
-    df = spark.createDataFrame([], "k int")
+    df = spark.createDataFrame([], "k int, Note string")
     assert notes.with_row_id(df, [F.asc("k")]).count() == 0
+    assert notes.numbered(df).count() == 0
+    assert prompts.batch_prompts(notes.with_batches(notes.numbered(df, part=notes.PART))).count() == 0
 
 
 @pytest.mark.parametrize("size", [1, 3, 5, 100])
