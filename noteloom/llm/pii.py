@@ -1,13 +1,15 @@
 """Personal data in texts: email addresses, IP addresses, card and phone numbers.
 
 The base is a set of exact patterns with checks. The method adds spans that these miss (a mistyped
-card number, a phone number without its plus sign): a character-level bidirectional LSTM with CRF
-transitions, trained on windows of a bounded sample of documents whose base spans are the labels.
-Windows with a candidate that only failed a check are left out of training, so the model does not
-learn the checks. All kinds need a digit or an at sign; the model reads every stretch of a text
-around these, in overlapping windows, whose scores are averaged with more weight on a window's
-middle, and one path is decoded over the whole stretch. An added span must be likely
-(``LIKELY``), have the make-up of its kind, and meet no base span.
+card number, a phone number without its plus sign, an address with ``(at)`` for its at sign, digits
+in full width): a character-level bidirectional LSTM with CRF transitions, trained on windows of a
+bounded sample of documents whose base spans are the labels. Each text with base spans is trained on
+a second time with its spans in another form (``VARIED``). Windows with a candidate that only failed
+a check are left out of training, so the model does not learn the checks. All kinds need a digit, an
+at sign or its name in letters; the model reads every stretch of a text around these, in overlapping
+windows, whose scores are averaged with more weight on a window's middle, and one path is decoded
+over the whole stretch. An added span must be likely (``LIKELY``), hold the parts of its kind
+(``complete``), and meet no base span.
 
 Edge cases: a null or empty text has no spans; a text of any length is read whole; if the sample
 holds no base span nothing is added; rows without id are read like others; an empty table gives
@@ -16,6 +18,7 @@ no rows. Other columns are left as they are.
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -102,10 +105,20 @@ def written(spans) -> str:
 # --- the model's spans ----------------------------------------------------------------
 
 
+_WIDE = re.compile("[\uff01-\uff5e]")
+_NARROW = {code: code - 0xFEE0 for code in range(0xFF01, 0xFF5F)}  # full-width forms of ASCII
+_NEAR = re.compile(r"[0-9@]+|[(\[{] ?[aA][tT] ?[)\]}]|\b[aA][tT] (?=[A-Za-z0-9-]{1,63} [dD][oO][tT] )")
+
+
+def narrow(text: str) -> str:
+    """The text as the model reads it: full-width characters as their ASCII ones, place by place."""
+    return text.translate(_NARROW) if not text.isascii() and _WIDE.search(text) else text
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
     """The parts of a text within ``CONTEXT`` characters of a digit or at sign, merged."""
     found: list[list[int]] = []
-    for m in _ANCHOR.finditer(text):
+    for m in _NEAR.finditer(text):
         first, last = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
         if found and first <= found[-1][1]:
             found[-1][1] = last
@@ -118,12 +131,27 @@ def window_starts(first: int, last: int) -> range:
     return range(first, max(first + 1, last - WINDOW + STRIDE), STRIDE)
 
 
-_SHAPES = {
-    0: re.compile(r"[^\s@]+@[^\s@]+\.[^\s@]+"),
-    1: re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"),
-    2: re.compile(r"(?:[0-9][ -]?){12,18}[0-9]"),
-    3: re.compile(r"\+?\(?[0-9](?:[ ().-]{0,2}[0-9]){6,14}"),
-}
+# What stands for an at sign and a dot in an address that is written out.
+_AT = re.compile(r" ?(?:@|[(\[{] ?at ?[)\]}]) ?| at ", re.I)
+_DOT = re.compile(r" ?[(\[{] ?(?:dot|\.) ?[)\]}] ?| dot | ?\. ?", re.I)
+_CARD_LIKE = re.compile(r"[0-9](?:[ ./_-]{0,3}[0-9]){12,18}")
+_PHONE_LIKE = re.compile(r"(?:\(?\+|00)?\(?[0-9](?:[ ()./-]{0,3}[0-9]){6,14}")
+
+
+def complete(kind: int, span: str) -> bool:
+    """Whether a span has all the parts of its kind, whatever stands between them."""
+    if kind == 2:
+        return bool(_CARD_LIKE.fullmatch(span))
+    if kind == 3:
+        return bool(_PHONE_LIKE.fullmatch(span))
+    parts = _DOT.split(span)
+    if kind == 1:
+        return len(parts) == 4 and all(1 <= len(p) <= 3 and p.isascii() and p.isdigit() for p in parts)
+    sides = _AT.split(span)
+    names = _DOT.split(sides[-1])
+    return len(sides) == 2 and len(names) > 1 and all(p and not re.search(r"\s", p) for p in (sides[0], *names))
+
+
 _EDGES = " \t\r\n.,;:!?|$%&*#\"'"
 
 
@@ -148,7 +176,7 @@ def _spans_of(text: str, offset: int, path: np.ndarray, likely: np.ndarray) -> l
             a -= 1
         while a < b < len(path) and text[offset + b - 1].isdigit() and text[offset + b].isdigit():
             b += 1
-        if a < b and likely[a:b, kind].mean() >= LIKELY and _SHAPES[kind].fullmatch(text, offset + a, offset + b):
+        if a < b and likely[a:b, kind].mean() >= LIKELY and complete(kind, text[offset + a : offset + b]):
             found.append((offset + a, kind, offset + b))
     return found
 
@@ -214,7 +242,7 @@ def decode(model: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
 def all_spans(model: Tagger | None, texts: list[str]) -> list[tuple[list, list]]:
     """(base spans, all spans) of every text."""
     base = [base_spans(t) for t in texts]
-    more = decode(model, texts) if model else [[] for _ in texts]
+    more = decode(model, [narrow(t) for t in texts]) if model else [[] for _ in texts]
     result = []
     for sure, added in zip(base, more, strict=True):
         new = [(a, k, b) for a, k, b in added if not any(a < d and c < b for c, _, d in sure)]
@@ -227,18 +255,70 @@ def all_spans(model: Tagger | None, texts: list[str]) -> list[tuple[list, list]]
 _TRAINING = pa.schema([("window", pa.string()), ("tags", pa.binary())])
 
 
+# Marks that stand between the parts of a span in its other form, by kind.
+VARIED = {
+    "at": (" (at) ", "(at)", "[at]", " [at] ", " at ", " @ "),
+    "dot": (" (dot) ", "(dot)", "[dot]", ".", " dot ", "[.]"),
+    "ip": ("[.]", "(.)", " . ", ". "),
+    "card": (".", "/", "  ", "_", " - ", "-", " ", ""),
+    "phone": (".", "/", " ", "-", " - ", ""),
+    "prefix": ("", "", "00", "(+", "("),
+    "ending": ("com", "org", "net", "edu", "info", "de", "fr"),
+}
+
+
+def varied(rng: np.random.Generator, kind: int, span: str, words: list[str]) -> str:
+    """A base span in a form that the base patterns do not know; an address of words of its text."""
+    pick = lambda name: VARIED[name][rng.integers(len(VARIED[name]))]
+    if kind == 0:
+        ending, at = pick("ending"), pick("at")
+        dot = " dot " if at == " at " else pick("dot")
+        some = [words[i] for i in rng.integers(len(words), size=4)]
+        name = rng.choice([".", "_", "-", ""]).join(some[: rng.integers(1, 3)])
+        return name + at + dot.join([*some[2 : rng.integers(3, 5)], ending])
+    if kind == 1:
+        return span.replace(".", pick("ip"))
+    digits, mark = _digits(span), pick(KINDS[kind])
+    if kind == 2:
+        return mark.join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    prefix, cut = pick("prefix"), int(rng.integers(1, 4))
+    close = ")" if "(" in prefix else mark
+    rest = digits[cut:]
+    return prefix + digits[:cut] + close + mark.join(rest[i : i + 3] for i in range(0, len(rest), 3))
+
+
 def training_windows(text: str):
-    """Windows of a text with their tags, but for those that hold a failed candidate."""
+    """Windows of a text with their tags, but for those that hold a failed candidate; then the same
+    of the text with its spans in other forms."""
     if not _ANCHOR.search(text):
         return
     tags = np.zeros(len(text), dtype=np.uint8)
     unclear = np.zeros(len(text), dtype=bool)
+    spans = []
     for a, kind, b, good in candidates(text):
         if good and not tags[a:b].any():
             tags[a:b] = 2 * kind + 2
             tags[a] = 2 * kind + 1
+            spans.append((a, kind, b))
         else:
             unclear[a:b] = True
+    yield from _windows(text, tags, unclear)
+    if not spans:
+        return
+    rng = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    words = re.findall("[A-Za-z0-9]{2,16}", text)
+    texts, marks, doubts, done = [], [], [], 0
+    for a, kind, b in sorted(spans):
+        new = varied(rng, kind, text[a:b], words)
+        texts += [text[done:a], new]
+        marks += [tags[done:a], np.array([2 * kind + 1] + [2 * kind + 2] * (len(new) - 1), dtype=np.uint8)]
+        doubts += [unclear[done:a], np.full(len(new), unclear[a:b].any())]
+        done = b
+    texts.append(text[done:])
+    yield from _windows("".join(texts), np.concatenate((*marks, tags[done:])), np.concatenate((*doubts, unclear[done:])))
+
+
+def _windows(text: str, tags: np.ndarray, unclear: np.ndarray):
     for first, last in stretches(text):
         for start in window_starts(first, last):
             end = min(start + WINDOW, last)
@@ -291,11 +371,11 @@ def _other_digits(rng: np.random.Generator, ids: np.ndarray, tags: np.ndarray) -
 
 # --- Spark jobs -----------------------------------------------------------------------
 
-_FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+_FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
 
 
 def find(model: Tagger | None, text: Column) -> Column:
-    """Struct of the counts and digest of base spans and of all spans of a text column."""
+    """Struct of the counts and digest of base spans, all spans of a text column, and their number."""
 
     @F.pandas_udf(_FOUND)
     def found(texts: pd.Series) -> pd.DataFrame:
@@ -303,7 +383,7 @@ def find(model: Tagger | None, text: Column) -> Column:
         for i in range(0, len(texts), 512):
             for base, every in all_spans(model, texts.iloc[i : i + 512].tolist()):
                 counts = [sum(k == kind for _, k, _ in base) for kind in range(len(KINDS))]
-                rows.append((*counts, hashlib.sha256(written(base).encode()).hexdigest(), written(every)))
+                rows.append((*counts, hashlib.sha256(written(base).encode()).hexdigest(), written(every), len(every)))
         return pd.DataFrame(rows, columns=[part.split()[0] for part in _FOUND.split(", ")])
 
     return found(F.coalesce(text.cast("string"), F.lit("")))

@@ -97,6 +97,50 @@ def test_windows_reconciled_over_a_long_stretch(model):
     assert len({a for a, k, _ in spans if k == 1} & {a for a, k, _ in pii.base_spans(text)}) >= 1900
 
 
+def planted(seed, form, kind, n=100):
+    """Texts of the corpus's words around one value each, with the value's span."""
+    rng = np.random.default_rng(seed)
+    words = [w for _, text in itertools.islice(whole(FOLDER), 300) for w in (text or "").split() if w.isalpha()]
+    for _ in range(n):
+        before, after = (" ".join(rng.choice(words, 8)) for _ in range(2))
+        value = form(lambda n: "".join(map(str, rng.integers(0, 10, n))), lambda: str(rng.choice(words)).lower())
+        start = len(before) + 1
+        yield f"{before} {value} {after}", (start, kind, start + len(value))
+
+
+WIDE = {ord("+"): 0xFF0B, **{48 + i: 0xFF10 + i for i in range(10)}}
+
+
+@pytest.mark.parametrize(
+    "kind, least, form",
+    [
+        (0, 0.5, lambda d, w: f"{w()}.{w()} (at) {w()}.com"),
+        (1, 0.9, lambda d, w: "[.]".join(str(int(d(3)) % 256) for _ in range(4))),
+        (2, 0.9, lambda d, w: ".".join(d(4) for _ in range(4))),
+        (2, 0.9, lambda d, w: d(16).translate(WIDE)),
+        (3, 0.9, lambda d, w: f"({d(3)}) {d(3)}-{d(4)}"),
+        (3, 0.9, lambda d, w: f"+{d(2)} {d(3)} {d(3)} {d(3)}".translate(WIDE)),
+    ],
+)
+def test_other_forms_are_found(model, kind, least, form):
+    texts, spans = zip(*planted(kind, form, kind), strict=True)
+    found = pii.all_spans(model, list(texts))
+    met = [any(k == kind and a < span[2] and span[0] < b for a, k, b in every) for span, (_, every) in zip(spans, found, strict=True)]
+    assert np.mean(met) >= least
+
+
+def test_plain_words_are_left_alone(model):
+    texts = [text for text, _ in planted(9, lambda d, w: f"{w()} at {w()}", 0)]
+    assert pii.decode(model, texts) == [[] for _ in texts]
+
+
+@pytest.mark.parametrize("kind, span", [(0, "ann@mail.net"), (1, "10.0.0.255"), (2, "4111 1111 1111 1111"), (3, "+44 20 7946 0199")])
+def test_trained_forms_are_complete(kind, span):
+    rng = np.random.default_rng(kind)
+    forms = {pii.varied(rng, kind, span, ["cat", "dog2", "tree"]) for _ in range(200)}
+    assert len(forms) > 3 and all(pii.complete(kind, form) for form in forms)
+
+
 def test_query_keeps_the_base_and_adds(spark):
     rows = pii.op1_pii(spark, FOLDER).collect()
     texts = dict(whole(FOLDER))
@@ -108,6 +152,7 @@ def test_query_keeps_the_base_and_adds(spark):
         assert [row[f"n_{k}"] for k in pii.KINDS] == [sum(x[1] == n for x in base) for n in range(4)]
         assert row["base_sha256"] == pii.hashlib.sha256(pii.written(base).encode()).hexdigest()
         spans = row["spans"].split(",") if row["spans"] else []
+        assert row["n_spans"] == len(spans)
         assert set(pii.written(base).split(",")) - {""} <= set(spans)
         added += len(spans) - len(base)
         if not re.search("[0-9@]", text):
