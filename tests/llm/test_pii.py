@@ -1,3 +1,4 @@
+import functools
 import itertools
 import re
 
@@ -97,10 +98,15 @@ def test_windows_reconciled_over_a_long_stretch(model):
     assert len({a for a, k, _ in spans if k == 1} & {a for a, k, _ in pii.base_spans(text)}) >= 1900
 
 
+@functools.cache
+def some_texts():
+    return [text or "" for _, text in itertools.islice(whole(FOLDER), 300)]
+
+
 def planted(seed, form, kind, n=100):
     """Texts of the corpus's words around one value each, with the value's span."""
     rng = np.random.default_rng(seed)
-    words = [w for _, text in itertools.islice(whole(FOLDER), 300) for w in (text or "").split() if w.isalpha()]
+    words = np.array([w for text in some_texts() for w in text.split() if w.isalpha()])
     for _ in range(n):
         before, after = (" ".join(rng.choice(words, 8)) for _ in range(2))
         value = form(lambda n: "".join(map(str, rng.integers(0, 10, n))), lambda: str(rng.choice(words)).lower())
