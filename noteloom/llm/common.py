@@ -21,8 +21,10 @@ BATCH_ROWS = 2000  # texts that a Python worker is handed at a time
 
 def configure(spark: SparkSession) -> SparkSession:
     """The library's settings, and batches of whole texts that leave room in a worker's memory."""
+    session.configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return session.configure(spark)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    return spark
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -20,6 +20,10 @@ RUNTIME_SETTINGS = {
     # batch is a handful of rows, so the coarser key makes no large partitions.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
+    # Rows that a Python worker is handed at a time hold whole notes and answers: parsed, they take
+    # several times their length, in every worker of an executor at once.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 

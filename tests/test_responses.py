@@ -2,6 +2,7 @@
 
 import time
 
+import pyarrow as pa
 import pytest
 from support import plan_of
 from hypothesis import given, settings
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from noteloom import contract as C
 from noteloom.functions import responses as R
 from noteloom.operators import records
-from noteloom.session import fresh_path
+from noteloom.session import configure, fresh_path
 
 # raw response, strategy, records found, and why the attempt fails (None: it counts)
 CASES = [
@@ -193,3 +194,19 @@ def test_wrapper_order():
     assert R.unwrap({"x": [{}], "y": 1}) == [{}]
     assert R.unwrap({f: "" for f in C.FIELDS[:3]} | {"x": [{}]})[0].keys() >= set(C.FIELDS[:3])
     assert R.unwrap(3) == [] and R.unwrap([]) == [] and R.unwrap([1]) == []
+
+
+def test_a_worker_is_handed_few_responses_at_a_time(spark):
+    """Each holds whole texts, so memory would follow how many there are, up to the default of 10,000."""
+
+    @F.arrow_udf("int")
+    def handed(raw: pa.Array) -> pa.Array:
+        return pa.array([len(raw)] * len(raw), pa.int32())
+
+    def largest(rows, size):
+        raw = F.repeat(F.lit("x"), F.lit(size))
+        return spark.range(0, rows, 1, 1).select(handed(raw).alias("n")).agg(F.max("n")).first()[0]
+
+    configure(spark)
+    assert largest(3000, 5) <= 500
+    assert largest(300, 200_000) * 200_000 <= 16 << 20
