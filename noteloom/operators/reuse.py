@@ -14,6 +14,7 @@ from noteloom.operators.extract import ANSWERED
 from noteloom.operators.notes import with_row_id
 
 DIGEST = "note_digest"
+MARK = "note_mark"  # of a written row: what is joined by it needs no text and no unique row_id
 
 
 def note_digest(

@@ -285,9 +285,14 @@ def run_unanswered(
         F.col(settings.note_column), name, code, settings.header, settings.footer, settings.system_prompt
     )
     earlier = spark.read.schema(RESPONSES).parquet(path)
-    known = stored(reuse.with_earlier_answer(rows.withColumn(reuse.DIGEST, digest), index(), earlier), "known")
-    rest = notes.with_batches(reuse.to_ask(known), settings.batch_size, "rest_id")
-    asked = stored(prompts_for(rest, settings), "prompts")
+    # The rows are written once. What is looked up, numbered and placed are their marks; texts move
+    # once, to the prompts, and once more where the results are read with them.
+    written = stored(rows.withColumns({reuse.DIGEST: digest, reuse.MARK: F.monotonically_increasing_id()}), "rows")
+    marks = written.select(reuse.MARK, "row_id", reuse.DIGEST)
+    known = stored(reuse.with_earlier_answer(marks, index(), earlier), "known")
+    rest = stored(notes.with_batches(reuse.to_ask(known), settings.batch_size, "rest_id"), "rest")
+    texts = written.drop("row_id", reuse.DIGEST).join(rest.select(reuse.MARK, "batch_id", "pos_in_batch"), reuse.MARK)
+    asked = stored(prompts_for(texts, settings), "prompts")
     held = stored(reuse.note_positions(rest, asked), "positions")
     # Before any call, so that no answer is without its notes.
     sinks.append_to_path(held.select(*NOTE_INDEX.fieldNames()), f"{folder.uri}/{NOTES}")
@@ -302,7 +307,10 @@ def run_unanswered(
     batched = stored(numbered.withColumnRenamed("rec_pos", "pos_in_batch").drop(reuse.DIGEST, "prompt_digest"), "batches")
     run = records_to_results(batched, stored(answers, "answers"), replace(settings, align="position"))
     asked_notes = run.report.where(F.col("batch_id").isNotNull())  # blank notes are in no batch
-    return replace(run, report=asked_notes)
+    found = [c for c in run.results.columns if c not in ("row_id", reuse.MARK)]
+    results = run.results.join(written.drop("row_id", reuse.DIGEST), reuse.MARK)
+    results = results.select("row_id", *[c for c in rows.columns if c != "row_id"], *found)
+    return replace(run, results=results, report=asked_notes)
 
 
 def model_responder(

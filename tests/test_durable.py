@@ -238,6 +238,28 @@ def test_copies_of_a_note_share_an_answer(spark, tmp_path):
     assert index.count() == 5 and index.select(reuse.DIGEST).distinct().count() == 1
 
 
+def test_notes_of_a_rerun_are_written_once_and_kept(spark, tmp_path, monkeypatch):
+    """What is looked up and numbered carries no texts, and the results have every column again."""
+    texts = {}
+    plain = note_run.stored
+
+    def watched(df, name):
+        texts[name] = texts.get(name, 0) + bool({"Note", "user_prompt"} & set(df.columns))
+        return plain(df, name)
+
+    monkeypatch.setattr(note_run, "stored", watched)
+    path = fresh_path(spark, "responses")
+    respond = note_run.model_responder(Counting(tmp_path / "calls"), path, QUICK)
+    rows = [(0, "a", "x"), (1, "b", "y"), (2, " ", None), (3, None, "z")]
+    rows = spark.createDataFrame(rows, "row_id long, Note string, Patient_Code string")
+    run = note_run.run_unanswered(rows, note_run.RunSettings(), path, respond)
+    assert {name for name, n in texts.items() if n} == {"rows", "prompts"}
+    found = run.results.select("row_id", "Note", "Patient_Code", "Chief_Complain").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(
+        [(0, "a", "x", "a"), (1, "b", "y", "b"), (2, " ", None, ""), (3, None, "z", "")], key=repr
+    )
+
+
 # --- replacing and appending ----------------------------------------------------------------
 
 DAY = dt.date(2024, 5, 1)
