@@ -105,11 +105,11 @@ class Attention:
         logits += w["table"][self.classes[read[rows]]]
         return own, window, query, key, value, chances, gathered, logits
 
-    def log_chances(self, ids: np.ndarray, starts: np.ndarray, at_once: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    def log_chances(self, ids: np.ndarray, starts: np.ndarray, at_once: int = 128) -> tuple[np.ndarray, np.ndarray]:
         """Natural logs for every id of its class's probability, and of that of a new word there.
 
         As ``_forward``, in fewer passes: keys, values and a one that sums up the attention weights
-        are one table, and sums over classes are one product.
+        are one table, and sums over classes are one product. ``at_once`` rows stay in a core's cache.
         """
         w = self.weights
         size = w["value"].shape[1]

@@ -25,6 +25,7 @@ columns are not read.
 import math
 import zlib
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noteloom.llm.attention import CLASSES, INPUTS, Attention, clusters
-from noteloom.llm.common import batches_of, configure, fresh_path, id_remainder, in_slices, rows_of, stored, table
-from noteloom.llm.tokens import ByteEncoder, as_ids, encoder
+from noteloom.llm.common import batches_of, configure, fresh_path, id_remainder, in_slices, rows_of, stored, table, worker_state
+from noteloom.llm.tokens import PUNCTUATION, ByteEncoder, as_ids, encoder
 
 FOLDS = 10
 SPACE = "\u0120"  # how byte-level vocabularies write the space that a word starts with
@@ -44,7 +45,7 @@ SMOOTH = 0.1
 KNOWN = 0.8  # share of the corpus's words in what follows a word's first id
 BLOCK_WORDS = 300_000  # distinct words after which a block ends
 BLOCK_TOKENS = 1_500_000  # words after which it ends in any case
-MEMO = 400_000  # pieces that a worker remembers beside its block
+MEMO = 400_000  # words that a worker remembers beside its block
 SKETCH = 24  # cells that the ids on one side of an id are counted in
 GROUP_WORDS = 50_000  # words of texts that are worked on at a time
 
@@ -53,6 +54,9 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+_MARKS = PUNCTUATION.encode()
+
+
 def _texts(words: list[bytes]) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in words]
 
@@ -88,12 +92,84 @@ class _Words:
         return self.ids[np.repeat(self.first[places] - (ends - n), n) + np.arange(int(n.sum()))], n
 
 
+class _Memo:
+    """Subword ids of the words that a worker has met, in one array; emptied when it is full.
+
+    Words are encoded many at a time, as one text. A space starts a new piece after anything that is
+    no white space, and no id spans two pieces, so a word's ids begin with one that starts with a space.
+    Marks after ASCII letters are cut off them anyway, so a word is put together from both.
+    """
+
+    def __init__(self, encode: ByteEncoder):
+        self.encode = encode
+        vocabulary = encode.tokenizer.get_vocab()
+        self.starts = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.starts[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.words = _Words(np.zeros(0, dtype=np.int64), np.zeros(0, dtype="<u4"))
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words, one after the other, and how many each has."""
+        new = [w for w in words if w not in self.numbers]
+        if new and len(self.numbers) + len(new) > MEMO:
+            self.clear()
+            new = words
+        if new:
+            self._learn(new)
+        return self.words.subwords(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+
+    def _add(self, words: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+        known = len(self.numbers)
+        self.numbers.update(zip(words, range(known, known + len(words)), strict=True))
+        self.words = _Words(np.append(self.words.sizes, sizes), np.append(self.words.ids, ids))
+
+    def _learn(self, new: list[bytes]) -> None:
+        whole = [w for w in new if w.isalpha()]  # of bytes: ASCII letters only
+        marked, cores = [], []
+        for word in new:
+            if not word.isalpha():
+                core = word.rstrip(_MARKS)
+                if core.isalpha():
+                    marked.append(word)
+                    cores.append(core)
+                else:
+                    whole.append(word)
+        whole += set(cores).difference(self.numbers, whole)
+        parts = [whole[i : i + 512] for i in range(0, len(whole), 512)]
+        tails = [b" " + w[len(c) :] for w, c in zip(marked, cores, strict=True)]  # no word holds a space
+        rest = list(set(tails).difference(self.numbers))
+        each = [self.encode.plain(tail[1:].decode()) for tail in rest]
+        found = [*self._spaced(parts), _sized(each)]
+        self._add(whole + rest, *(np.concatenate(v) for v in zip(*found, strict=True)))
+        both = [self.numbers[part] for pair in zip(cores, tails, strict=True) for part in pair]
+        ids, sizes = self.words.subwords(np.array(both, dtype=np.int64))
+        self._add(marked, sizes.reshape(-1, 2).sum(axis=1), ids)
+
+    def _spaced(self, parts: list[list[bytes]]):
+        """How many ids each word has with a space before it, and these, for every part."""
+        texts = [b" ".join(words).decode("utf-8", "surrogatepass") for words in parts]
+        encoded = self.encode.tokenizer.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
+        for words, text, found in zip(parts, texts, encoded, strict=True):
+            ids = np.array(found.ids, dtype="<u4")
+            first = np.flatnonzero(self.starts[ids])
+            # Beside other white space, spaces are cut in another way.
+            plain = len(text.split()) == len(first) == len(words) and first[0] == 0
+            yield (np.diff(first, append=len(ids)), ids) if plain else _sized(self.encode.words(_texts(words)))
+
+
+def _sized(each: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([len(e) // 4 for e in each], dtype=np.int64), as_ids(b"".join(each))
+
+
 class _Block:
     """Vocabulary of a block: words by place, their training counts and their subword ids; and the
     ids that stand side by side where words of its training texts meet."""
 
-    def __init__(self, number: int, encode: ByteEncoder, end: int):
-        self.number, self.encode, self.end = number, encode, end
+    def __init__(self, number: int, memo: _Memo, end: int):
+        self.number, self.memo, self.end = number, memo, end
         self.texts = self.tokens = 0
         self.places: dict[bytes, int] = {b"": 0}  # the end of a text
         self.counts = np.zeros(1 << 16, dtype=np.int64)
@@ -101,14 +177,22 @@ class _Block:
         self.sizes, self.ids = [np.ones(1, dtype=np.int64)], [np.array([end], dtype="<u4")]
         self.pairs: list[np.ndarray] = []
 
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self.places))
-        if not new:
-            return
+    def read(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """Places of the words of each text and of its end."""
+        words = list(chain.from_iterable(texts))
+        places = list(map(self.places.get, words))
+        new = [i for i, place in enumerate(places) if place is None]
+        if new:
+            self.learn(list(dict.fromkeys([words[i] for i in new])))
+            for i in new:
+                places[i] = self.places[words[i]]
+        every, ends = np.array(places, dtype=np.int64), np.cumsum([len(t) for t in texts])
+        return [np.append(part, 0) for part in np.split(every, ends[:-1])]
+
+    def learn(self, new: list[bytes]) -> None:
         known = len(self.places)
         self.places.update(zip(new, range(known, known + len(new)), strict=True))
-        found = self.encode.words(_texts(new))
-        sizes, ids = np.array([len(f) for f in found]) // 4, as_ids(b"".join(found))
+        ids, sizes = self.memo(new)
         self.sizes.append(sizes)
         self.ids.append(ids)
         if len(self.places) > len(self.counts):
@@ -142,13 +226,11 @@ def blocks(df: DataFrame, id_column: str, text_column: str, path: str, end: int)
     """Rows of vocabularies, texts and pairs (``_ROWS``), written once; ``end`` is the id of a text's end."""
 
     def work(batches):
-        encode = encoder(ByteEncoder, path, memo=MEMO)
+        memo = worker_state("word-ids", dict).setdefault(path, _Memo(encoder(ByteEncoder, path, memo=MEMO // 4)))
         first = TaskContext.get().partitionId() << 24
 
         def flush(block, held):
-            block.learn(set().union(*(words for _, _, words in held)))
-            place = block.places.__getitem__
-            each = [np.array([*map(place, words), 0], dtype=np.int64) for _, _, words in held]
+            each = block.read([words for _, _, words in held])
             learned = [places for (_, held_out, _), places in zip(held, each, strict=True) if not held_out]
             if learned:
                 block.count(np.concatenate(learned), np.cumsum([0] + [len(p) for p in learned[:-1]]))
@@ -158,7 +240,7 @@ def blocks(df: DataFrame, id_column: str, text_column: str, path: str, end: int)
                 yield block.number, 1, doc_id, held_out, _planes(places), None, None, None
 
         def rows():
-            block, held, weight = _Block(first, encode, end), [], 0
+            block, held, weight = _Block(first, memo, end), [], 0
             for doc_id, held_out, text in rows_of(batches, "doc_id", "held_out", "text"):
                 held.append((doc_id, held_out, words_of(text)))
                 weight += len(held[-1][2]) + 1
@@ -167,7 +249,7 @@ def blocks(df: DataFrame, id_column: str, text_column: str, path: str, end: int)
                     held, weight = [], 0
                     if len(block.places) >= BLOCK_WORDS or block.tokens >= BLOCK_TOKENS:
                         yield from block.rows()
-                        block = _Block(block.number + 1, encode, end)
+                        block = _Block(block.number + 1, memo, end)
             if held:
                 yield from flush(block, held)
             if block.texts:

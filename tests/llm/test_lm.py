@@ -143,6 +143,33 @@ def test_over_long_words(spark, tmp_path):
     assert score[held] < -100_000  # more than 65,535 ids that no training word explains
 
 
+@pytest.mark.parametrize("limit", [400_000, 30])
+def test_ids_of_words_learned_together_are_those_of_each(monkeypatch, limit):
+    import public_tokenizers
+
+    monkeypatch.setattr(lm, "MEMO", limit)
+    encode = lm.ByteEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    memo = lm._Memo(encode)
+    odd = ["a", "bc", "bc,", "bc.", "bc...", "don't", "555-4124", "a1b2", ",", "...", "\u00e4\u00f6", "\u0120x", "\ud83d\ude00".encode("utf-16", "surrogatepass").decode("utf-16")]
+    white = ["a\u00a0b", "\u3000", "\u2003x", "x\u0085", "\x1c", "y\x1f"]
+    marks = ["\x00", "\x00a", "<|endoftext|>", "a<|endoftext|>b", "\u200b", "\ufeffb"]
+    asked = ["longerwords" + chr(97 + i) for i in range(26)]
+    for words in (odd, asked, [*odd[2:], *white], [*asked, *marks], ["bc!"], []):
+        words = [w.encode("utf-8") for w in words]
+        ids, sizes = memo(words)
+        each = [encode.plain(" " + w.decode("utf-8")) for w in words]
+        assert sizes.tolist() == [len(e) // 4 for e in each]
+        assert ids.astype("<u4").tobytes() == b"".join(each)
+    assert limit > 30 or len(memo.numbers) <= len(asked) + len(marks) + 30
+
+
+def test_chances_do_not_follow_how_many_rows_are_worked_on_at_once():
+    model = small_model()
+    ids, starts = texts_of(np.random.default_rng(6), 70, 1, 300, 33)
+    for found, other in zip(model.log_chances(ids, starts), model.log_chances(ids, starts, 2), strict=True):
+        assert np.allclose(found, other, atol=1e-6)
+
+
 def subwords(tokenizer, text):
     """Ids of each word of a text by itself, and the end."""
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
