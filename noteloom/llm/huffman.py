@@ -45,6 +45,8 @@ LIMIT = 16  # longest code in bits
 BLOCK = 256  # tokens between checkpoints
 END_ID = 1
 FILE_BYTES = 32 << 20
+MEMO = 1_200_000  # pieces that a worker remembers
+GROUP_CHARACTERS = 2_000_000  # of texts that are encoded together
 
 _HEAD = "<BBHIII"
 _TAIL = "<QI8s"
@@ -254,13 +256,13 @@ def tokenized(df: DataFrame, id_column: str, text_column: str, path: str, kind:
     buckets = Buckets.of(named, "id")
 
     def work(batches):
-        encode = encoder(kind, path, narrow=True)
+        encode = encoder(kind, path, narrow=True, memo=MEMO)
         end = end_id.to_bytes(encode.width, "little")
         flag = bytes([encode.width])
 
         def rows():
             counts = np.zeros(max(encode.tokenizer.get_vocab_size(), end_id + 1), dtype=np.int64)
-            for group in in_groups(rows_of(batches, "id", "bucket", "text")):
+            for group in in_groups(rows_of(batches, "id", "bucket", "text"), characters=GROUP_CHARACTERS):
                 found = [ids + end for ids in encode.many([row[2] for row in group])]
                 counts += np.bincount(np.frombuffer(b"".join(found), encode.kind), minlength=len(counts))
                 for (doc_id, bucket, _), ids in zip(group, found, strict=True):

@@ -8,6 +8,8 @@ is looked up. The memo of a worker is emptied when it is full.
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from noteloom.llm.common import worker_state
 
@@ -159,12 +161,58 @@ class WordEncoder(Encoder):
     """BPE on lower-cased words without white space: any white space ends a piece, and A-Z can be
     put in lower case before.
 
-    No character combines with a space, so normal forms do not cross one either.
+    No character combines with a space, so normal forms do not cross one either. Texts are cut and
+    their different pieces found in Arrow, and each of these is looked up once. A memo that is half full
+    becomes the older one; pieces asked for again move on from it, so frequent ones stay.
     """
 
+    def __init__(self, path: str, memo: int = MEMO_PIECES, narrow: bool = False):
+        super().__init__(path, memo, narrow)
+        self.older: dict[str, bytes] = {}
+
     def pieces(self, text: str) -> list[str]:
         return text.encode().lower().decode().replace("\n", " ").split(" ")
 
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
+        if len(self.memo) >= self.limit // 2:
+            self.older = self.memo if len(self.memo) <= self.limit else {}
+            self.memo = {}
+            self.tails.clear()
+        memo, older = self.memo, self.older
+        found = list(map(memo.get, pieces))
+        gaps = [i for i, part in enumerate(found) if part is None] if None in found else []
+        missing = set()
+        for i in gaps:
+            piece = pieces[i]
+            part = older.get(piece)
+            if part is None:
+                missing.add(piece)
+            else:
+                memo[piece] = found[i] = part
+        if missing:
+            self._learn(missing)
+            for i in gaps:
+                if found[i] is None:
+                    found[i] = memo[pieces[i]]
+        return found
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """As for any encoder, with one look-up for each different piece of all texts."""
+        whole = [bool(t) and "<|" in t for t in texts]
+        cut = pa.array(["" if w else t or "" for t, w in zip(texts, whole, strict=True)], pa.large_string())
+        cut = pc.split_pattern(pc.replace_substring(pc.ascii_lower(cut), "\n", " "), " ")
+        coded = cut.flatten().dictionary_encode()
+        known = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(known, pa.large_binary()).take(coded.indices)
+        _, places, data = ids.buffers()
+        ends = np.frombuffer(places, "<i8", len(ids) + 1)[cut.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
+        data = data.to_pybytes() if data else b""
+        return [
+            self.plain(text) if w else data[low:high]
+            for text, w, low, high in zip(texts, whole, ends, ends[1:], strict=False)
+        ]
+
 
 def encoder(kind: type[Encoder], path: str, narrow: bool = False, memo: int = MEMO_PIECES) -> Encoder:
     """This worker's encoder for a vocabulary file."""

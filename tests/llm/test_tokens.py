@@ -43,3 +43,17 @@ def test_together_as_one_by_one(both):
 @given(st.text(alphabet=st.sampled_from(list("aB1 \n\t.,'séß中_$ ́")), max_size=40))
 def test_any_text(both, text):
     assert same(both, text)
+
+
+def test_frequent_pieces_are_learned_once_and_looked_up_once_for_all_texts(monkeypatch):
+    encode = WordEncoder(public_tokenizers.path("word_bpe_49k.json"), memo=60)
+    learned = []
+    plain = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda pieces: learned.extend(pieces) or plain(pieces))
+    letters = "abcdefghij"
+    for first in letters:
+        texts = [f"often {first}{second}rare often" for second in letters]
+        assert encode.many(texts) == [encode.plain(text) for text in texts]
+    assert learned.count("often") == 1
+    assert len(learned) == 101
+    assert len(encode.memo) + len(encode.older) <= 100
