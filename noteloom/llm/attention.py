@@ -34,6 +34,13 @@ def clusters(beside: np.ndarray, counts: np.ndarray, k: int, rounds: int = 10) -
     return (found @ centres.T).argmax(1)
 
 
+def _by_number(numbers: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows of values (the last axis) by the number of each."""
+    width = values.shape[-1]
+    cells = np.arange(n * width).reshape(n, width)[numbers.ravel()]
+    return np.bincount(cells.ravel(), values.ravel(), n * width).reshape(n, width)
+
+
 class Attention:
     """``inputs``: embedding number of every id; ``classes``: class of every id. Classes from
     ``first_start`` on are those of ids that start a word, and of the end.
@@ -179,6 +186,90 @@ class Attention:
         np.add.at(grads["distance"], gap[gap >= 0], by_gap[gap >= 0])
         return loss, grads
 
+    def _sums(self, read: np.ndarray, number: np.ndarray, aims: np.ndarray, real: np.ndarray, blank: np.ndarray, rows: np.ndarray) -> dict:
+        """What ``_loss`` has as gradients, but for the table, summed up over places, in fewer passes.
+
+        ``number``, ``aims`` and ``real`` hold the input of each place, the class to be predicted and
+        whether there is one, ``blank`` which rows hold padding. Keys and values are one table.
+        """
+        w = self.weights
+        size = w["value"].shape[1]
+        window, own = np.concatenate((number[rows - 1], number[rows]), axis=1), number[rows]
+        seen, query = np.concatenate((w["key"], w["value"]), axis=1)[window], w["query"][own]
+        key, value = seen[:, :, :size], seen[:, :, size:]
+        chances = np.matmul(query, key.transpose(0, 2, 1))
+        chances += self._bias()
+        touched = np.flatnonzero(blank[rows - 1] | blank[rows])
+        if len(touched):
+            these = rows[touched]
+            empty = np.concatenate((read[these - 1], read[these]), axis=1) == self.start
+            own_reach = np.arange(2 * CHUNK)[None, :] != np.arange(CHUNK, 2 * CHUNK)[:, None]
+            chances[touched] += np.where(empty[:, None, :] & own_reach, _FAR, np.float32(0))
+        np.exp(chances, out=chances)
+        chances /= (chances.reshape(-1, 2 * CHUNK) @ np.ones(2 * CHUNK, chances.dtype)).reshape(-1, CHUNK, 1)
+        gathered = np.matmul(chances, value)
+        flat = gathered.reshape(-1, size)
+        d_logits = w["table"][self.classes[read[rows]]].reshape(len(flat), -1)
+        d_logits += flat @ w["out"]
+        np.exp(d_logits, out=d_logits)
+        asked = real[rows].ravel()
+        d_logits *= (asked / (d_logits @ np.ones(d_logits.shape[1], d_logits.dtype))).astype(d_logits.dtype)[:, None]
+        d_logits[np.arange(len(flat)), aims[rows].ravel()] -= asked
+        d_gathered = (d_logits @ w["out"].T).reshape(gathered.shape)
+        d_scores = np.matmul(d_gathered, value.transpose(0, 2, 1))
+        d_scores -= np.einsum("rik,rik->ri", d_gathered, gathered)[:, :, None]
+        d_scores *= chances
+        d_seen = np.empty(seen.shape, dtype=seen.dtype)
+        d_seen[:, :, :size] = np.matmul(d_scores.transpose(0, 2, 1), query)
+        d_seen[:, :, size:] = np.matmul(chances.transpose(0, 2, 1), d_gathered)
+        seen = _by_number(window, d_seen, len(w["key"]))
+        gap = np.arange(CHUNK, 2 * CHUNK)[:, None] - np.arange(2 * CHUNK)[None, :]
+        return {
+            "query": _by_number(own, np.matmul(d_scores, key), len(w["query"])),
+            "key": seen[:, :size],
+            "value": seen[:, size:],
+            "out": flat.T @ d_logits,
+            "distance": np.bincount(gap[gap >= 0], d_scores.sum(axis=0)[gap >= 0], 2 * CHUNK),
+        }
+
+    def learn(self, texts, n_ids: int, batch: int = 512, at_once: int = 128, rate: float = 0.02, seed: int = 3) -> int:
+        """Go on from the weights as they are, once over groups of texts (ids and starts) that hold
+        about ``n_ids`` ids in all; returns how many places were learned from."""
+        rng, state, done = np.random.default_rng(seed), self._state(), 0
+        for ids, starts in texts:
+            read, wanted, rows, _ = self.chunked(ids, starts)
+            number, real = self.inputs[read], wanted >= 0
+            aims, blank = self.classes[np.where(real, wanted, 0)], (read == self.start).any(axis=1)
+            rows = rng.permutation(rows)
+            # Batches of a group are about equal: a small rest would weigh as much as a whole batch.
+            for some in np.array_split(rows, max(1, round(len(rows) / batch))):
+                parts = [self._sums(read, number, aims, real, blank, some[i : i + at_once]) for i in range(0, len(some), at_once)]
+                n = int(real[some].sum())
+                grads = {k: sum(part[k] for part in parts) / n for k in parts[0]}
+                self._step(grads, state, rate * (1.02 - min(done / n_ids, 1)))
+                done += n
+        return done
+
+    def _state(self) -> dict:
+        zeros = lambda: {k: np.zeros_like(v) for k, v in self.weights.items() if k != "table"}
+        return {"mean": zeros(), "square": zeros(), "step": 0}
+
+    def _step(self, grads: dict, state: dict, now: float) -> None:
+        """One step of Adam on all weights but the table."""
+        mean, square = state["mean"], state["square"]
+        state["step"] = step = state["step"] + 1
+        for k in mean:
+            g = grads[k]
+            mean[k] = 0.9 * mean[k] + 0.1 * g
+            square[k] = 0.999 * square[k] + 0.001 * g * g
+            change = now * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
+            self.weights[k] -= change.astype(np.float32)
+        # Products of queries and keys stay in a range that needs no care in exponentials.
+        for k in ("query", "key"):
+            length = np.linalg.norm(self.weights[k], axis=1, keepdims=True)
+            self.weights[k] *= np.minimum(1, REACH / np.maximum(length, 1e-6))
+        np.clip(self.weights["distance"], -REACH, REACH, out=self.weights["distance"])
+
     def fit(self, ids: np.ndarray, starts: np.ndarray, pairs: np.ndarray, steps: int = 400, batch: int = 128, rate: float = 0.05, seed: int = 2):
         """Adam over batches of rows in random order; returns the losses.
 
@@ -189,8 +280,7 @@ class Attention:
         pair = pairs + 5 * whole / whole.sum()
         self.weights["table"] = np.log(pair / pair.sum(axis=1, keepdims=True)).astype(np.float32)
         rng = np.random.default_rng(seed)
-        mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        square = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        state = self._state()
         losses, order = [], rows[:0]
         for step in range(1, steps + 1):
             if len(order) < min(batch, len(rows)):
@@ -198,17 +288,5 @@ class Attention:
             some, order = order[:batch], order[batch:]
             loss, grads = self._loss(read, wanted, some)
             losses.append(loss)
-            now = rate * (1.02 - step / steps)
-            for k, g in grads.items():
-                if k == "table":
-                    continue
-                mean[k] = 0.9 * mean[k] + 0.1 * g
-                square[k] = 0.999 * square[k] + 0.001 * g * g
-                change = now * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
-                self.weights[k] -= change.astype(np.float32)
-            # Products of queries and keys stay in a range that needs no care in exponentials.
-            for k in ("query", "key"):
-                length = np.linalg.norm(self.weights[k], axis=1, keepdims=True)
-                self.weights[k] *= np.minimum(1, REACH / np.maximum(length, 1e-6))
-            np.clip(self.weights["distance"], -REACH, REACH, out=self.weights["distance"])
+            self._step(grads, state, rate * (1.02 - step / steps))
         return losses

@@ -6,15 +6,17 @@ the subword ids of the words: attention predicts the class of the next id (see `
 the id within its class has its share of the ids of all training texts. What follows a word's
 first id, up to the start of the next word, is a mixture (``KNOWN``): the ids that attention
 predicts, or one of the words that start so in the training texts, by its count. Rows whose id's
-crc32 is divisible by ten are held out of all counts and of the sample that attention is fitted on.
+crc32 is divisible by ten are held out of all counts and of what attention is fitted on.
 
 Texts are worked on in blocks with a vocabulary of their own, which end at a number of distinct
 words or of words. The blocks' words meet in buckets by their hash, where they are counted, so
 neither the words of the corpus nor its texts are ever in one place, and no row is made for a
 single word. A block also counts which ids stand side by side. From the counts of all blocks come
 the ids that occur at all, their classes (by the ids beside them) and the table of class pairs.
-Only the weights of attention are fitted on a bounded sample (``SAMPLE`` texts, ``SAMPLE_IDS`` ids
-of each). Texts are scored when their block meets its counts again.
+The weights of attention start from a fit on some texts (``SAMPLE``, ``SAMPLE_IDS`` ids of each) and
+are then learned from every id of all training texts (``learned``): each block goes on from that start
+with all its texts, and the weights are the blocks' mean by their number of ids. Blocks are read as
+their files have them, without a shuffle. Texts are scored when their block meets its counts again.
 
 Edge cases: a null or empty text is its end alone; a row without id has the empty text as its id
 and so is held out; rows that repeat an id count as often as they occur. Without training rows
@@ -22,6 +24,7 @@ all counts are zero and the base is uniform over one token. An empty table gives
 columns are not read.
 """
 
+import copy
 import math
 import zlib
 from collections import defaultdict
@@ -29,17 +32,29 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noteloom.llm.attention import CLASSES, INPUTS, Attention, clusters
-from noteloom.llm.common import batches_of, configure, fresh_path, id_remainder, in_slices, rows_of, stored, table, worker_state
+from noteloom.llm.common import (
+    batches_of,
+    configure,
+    filesystem,
+    fresh_path,
+    id_remainder,
+    in_slices,
+    rows_of,
+    stored,
+    table,
+    worker_state,
+)
 from noteloom.llm.tokens import PUNCTUATION, ByteEncoder, as_ids, encoder
 
 FOLDS = 10
 SPACE = "\u0120"  # how byte-level vocabularies write the space that a word starts with
-SAMPLE = 3_000  # training texts that the weights of attention are fitted on, by hash of the text
+SAMPLE = 3_000  # training texts that the weights of attention start from, by hash of the text
 SAMPLE_IDS = 512  # ids of each, from a place that the hash picks
 SMOOTH = 0.1
 KNOWN = 0.8  # share of the corpus's words in what follows a word's first id
@@ -259,7 +274,8 @@ def blocks(df: DataFrame, id_column: str, text_column: str, path: str, end: int)
 
     found = _named(df, id_column, text_column).mapInArrow(work, _ROWS_SQL)
     location = fresh_path(df.sparkSession, "lm-blocks")
-    found.write.option("compression", "zstd").parquet(location)
+    # A scan task writes one file, so that no block is in two (``learned``).
+    found.write.option("compression", "zstd").option("maxRecordsPerFile", 0).parquet(location)
     return df.sparkSession.read.schema(found.schema).parquet(location)
 
 
@@ -407,7 +423,8 @@ def sampled(df: DataFrame, id_column: str, text_column: str, path: str, n_ids: i
 
 
 def fit(rows: DataFrame, counts: np.ndarray, sample: tuple[np.ndarray, np.ndarray], starts_of_words) -> Attention:
-    """Attention over classes made from all training texts; its weights are fitted on the sample.
+    """Attention over classes made from all training texts; its weights start from the sample and are
+    learned from all training texts.
 
     Classes are groups of ids inside words, ids that no training text has, then the same of ids that
     start a word, the end of a text, and what stands before one.
@@ -429,9 +446,97 @@ def fit(rows: DataFrame, counts: np.ndarray, sample: tuple[np.ndarray, np.ndarra
     inputs[seen[:own]] = np.arange(own)
     model = Attention(inputs, classes, CLASSES, first_start=groups + 1)
     model.fit(*sample, class_pairs(rows, classes))
+    learned(rows, model)
     return model
 
 
+def _whole_blocks(files):
+    """Vocabulary and training texts (places of their words) of each block in files of ``blocks``."""
+    columns = ["block", "kind", "held_out", "words", "sizes", "ids"]
+    for path in files:
+        system, place = filesystem(path)
+        with system.open_input_file(place) as file:
+            held, block = [], None
+            batches = pq.ParquetFile(file).iter_batches(batch_size=256, columns=columns)
+            for number, kind, held_out, places, sizes, ids in rows_of(batches, *columns):
+                if held and number != block:
+                    raise ValueError(f"block {block} without its vocabulary")
+                if kind == 1 and not held_out:
+                    held.append(places)
+                    block = number
+                elif kind == 0:
+                    yield number, _Words(np.frombuffer(sizes, "<u4").astype(np.int64), as_ids(ids).astype(np.int64)), held
+                    held = []
+            if held:
+                raise ValueError(f"block {block} without its vocabulary")
+
+
+def _groups_of(words: _Words, held: list[bytes]):
+    """Ids of texts and where each starts, some texts at a time."""
+    each, weight = [], 0
+    for i, places in enumerate(held):
+        each.append(_from_planes(places))
+        weight += len(each[-1])
+        if weight >= GROUP_WORDS or i == len(held) - 1:
+            n = np.array([len(e) for e in each])
+            ids, sizes = words.subwords(np.concatenate(each))
+            yield ids, (np.cumsum(sizes) - sizes)[np.cumsum(n) - n]
+            each, weight = [], 0
+
+
+def learned(rows: DataFrame, model: Attention) -> int:
+    """Learn the weights from every id of all training texts, and return how many there were.
+
+    Each block starts from the model as it is; the weights become the mean of the blocks', by their
+    numbers of ids. ``rows`` are read file by file, as ``blocks`` wrote them: a block's texts, then its
+    vocabulary. Tasks sum up weights, ranges of these are then summed over tasks, and what comes to the
+    driver has the size of the model.
+    """
+    names = [k for k in model.weights if k != "table"]
+    size = sum(model.weights[k].size for k in names)
+    span = -(-size // 16)  # weights of a range
+    schema = pa.schema([("range", pa.int32()), ("n", pa.int64()), ("sums", pa.binary())])
+    sql = "range int, n long, sums binary"
+    spark = rows.sparkSession
+
+    def work(batches):
+        sums, n = np.zeros(16 * span), 0
+        for block, words, held in _whole_blocks(path for (path,) in rows_of(batches, "path")):
+            if held:
+                own = copy.copy(model)
+                own.weights = {k: v.copy() for k, v in model.weights.items()}
+                total = sum(int(words.sizes[_from_planes(places)].sum()) for places in held)
+                done = own.learn(_groups_of(words, held), total, seed=block)
+                sums[:size] += done * np.concatenate([own.weights[k].ravel() for k in names])
+                n += done
+        if n:
+            parts = sums.reshape(16, span)
+            yield from batches_of(((i, n, part.astype("<f8").tobytes()) for i, part in enumerate(parts)), schema)
+
+    def merge(batches):
+        found: dict[int, list] = {}
+        for number, n, sums in rows_of(batches, "range", "n", "sums"):
+            held = found.setdefault(number, [0, np.zeros(span)])
+            held[0] += n
+            held[1] += np.frombuffer(sums, "<f8")
+        yield from batches_of(((i, n, sums.tobytes()) for i, (n, sums) in found.items()), schema)
+
+    files = sorted(rows.inputFiles())
+    if not files:
+        return 0
+    listed = spark.createDataFrame([(i, path) for i, path in enumerate(files)], "i int, path string")
+    # A task has one file: all that one scan task wrote.
+    dealt = listed.repartitionById(len(files), F.col("i")).select("path").mapInArrow(work, sql)
+    sums, n = np.zeros((16, span)), 0
+    for row in dealt.repartitionById(16, F.col("range")).mapInArrow(merge, sql).collect():  # 16 ranges
+        sums[row["range"]], n = np.frombuffer(row["sums"], "<f8"), row["n"]
+    if n:
+        mean = np.split(sums.ravel()[:size] / n, np.cumsum([model.weights[k].size for k in names])[:-1])
+        for k, values in zip(names, mean, strict=True):
+            model.weights[k] = values.reshape(model.weights[k].shape).astype(np.float32)
+    return n
+
+
 def log_shares(counts: np.ndarray, model: Attention) -> np.ndarray:
     """Natural log of every id's share of its class, by its count in all training texts."""
     classes = model.classes[: len(counts)]

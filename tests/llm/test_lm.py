@@ -39,6 +39,18 @@ def test_gradients():
         assert grad[at] == pytest.approx((sides[0] - sides[1]) / 2e-5, rel=1e-3, abs=1e-7)
 
 
+def test_sums_of_gradients():
+    model = small_model()
+    read, wanted, rows, _ = model.chunked(*texts_of(np.random.default_rng(0), 5, 20, 1, 40))
+    _, grads = model._loss(read, wanted, rows)
+    real = wanted >= 0
+    aims, blank = model.classes[np.where(real, wanted, 0)], (read == model.start).any(axis=1)
+    sums = model._sums(read, model.inputs[read], aims, real, blank, rows)
+    for name, values in sums.items():
+        assert np.allclose(values / real[rows].sum(), grads[name], atol=1e-6)
+    assert sums.keys() | {"table"} == grads.keys()
+
+
 def test_class_probabilities_sum_up_to_one_and_start_is_their_part():
     model = small_model()
     ids, starts = texts_of(np.random.default_rng(1), 30)
@@ -279,3 +291,46 @@ def test_neighbours_of_ids(spark, tmp_path):
         assert sums[0] <= trained * after[i] and sums[1] <= trained * before[i]
         assert (sums > 0).tolist() == [after[i] > 0, before[i] > 0]
     assert not found[[i for i in range(n_ids + 2) if i not in set(ids)]].any()
+
+
+def test_attention_is_learned_from_every_id_of_all_training_texts(spark, tmp_path, monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(i, text[:1500]) for i, text in whole(SMALL)[:60]] + [(900, ""), (901, None), (None, "once upon")]
+    monkeypatch.setattr(lm, "SAMPLE", 5)
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 400)
+    monkeypatch.setattr(lm, "GROUP_WORDS", 150)
+    texts, done = [], []
+    plain = Attention.learn
+
+    def learn(model, groups, n_ids, **rest):
+        start = {k: v.copy() for k, v in model.weights.items()}
+        groups = list(groups)
+        texts.extend(tuple(t.tolist()) for ids, starts in groups for t in np.split(ids, starts[1:]))
+        done.append((plain(model, groups, n_ids, **rest), {k: v.copy() for k, v in model.weights.items()}))
+        assert done[-1][0] == n_ids and all((start[k] == v).all() == (k == "table") for k, v in model.weights.items())
+        return done[-1][0]
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    n_ids = Tokenizer.from_file(path).get_vocab_size()
+    blocks = lm.blocks(df, "doc_id", "text", path, n_ids)
+    counts, _ = lm.id_counts(blocks, n_ids)
+    classes = np.append(np.arange(n_ids) % 60, [62, 63])
+    model = Attention(60 + classes, classes, lm.CLASSES, first_start=30)
+    alone = Attention(60 + classes, classes, lm.CLASSES, first_start=30)
+    assert lm.learned(blocks, model) == counts.sum()  # every training id, the ends among them
+    files = [f.removeprefix("file:").replace("//", "/") for f in sorted(blocks.inputFiles())]
+    for number, words, held in lm._whole_blocks(files):
+        if held:
+            own = Attention(60 + classes, classes, lm.CLASSES, first_start=30)
+            learn(own, lm._groups_of(words, held), int(sum(words.sizes[lm._from_planes(p)].sum() for p in held)), seed=number)
+    assert len(done) > 5
+    tokenizer = Tokenizer.from_file(path)
+    trained = [text for i, text in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
+    assert Counter(texts) == Counter(tuple(i for w in subwords(tokenizer, t) for i in w) for t in trained)
+    for k, values in model.weights.items():
+        mean = sum(n * w[k].astype(float) for n, w in done) / sum(n for n, _ in done)
+        assert np.allclose(values, mean, atol=1e-5)
+        assert k == "table" or not np.allclose(values, alone.weights[k], atol=1e-3)
