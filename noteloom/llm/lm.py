@@ -32,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,6 +64,7 @@ BLOCK_TOKENS = 1_500_000  # words after which it ends in any case
 MEMO = 400_000  # words that a worker remembers beside its block
 SKETCH = 24  # cells that the ids on one side of an id are counted in
 GROUP_WORDS = 50_000  # words of texts that are worked on at a time
+CHARACTERS = 24  # of texts that are cut and looked up together, for each word of a group
 
 
 def words_of(text: str) -> list[bytes]:
@@ -108,7 +110,8 @@ class _Words:
 
 
 class _Memo:
-    """Subword ids of the words that a worker has met, in one array; emptied when it is full.
+    """Subword ids of the words that a worker has met, in one array; when it is full it becomes the
+    older one, from which words met again move on.
 
     Words are encoded many at a time, as one text. A space starts a new piece after anything that is
     no white space, and no id spans two pieces, so a word's ids begin with one that starts with a space.
@@ -121,6 +124,7 @@ class _Memo:
         self.starts = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.starts[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
         self.clear()
+        self.older = self.numbers, self.words
 
     def clear(self) -> None:
         self.numbers: dict[bytes, int] = {}
@@ -130,8 +134,16 @@ class _Memo:
         """Ids of different words, one after the other, and how many each has."""
         new = [w for w in words if w not in self.numbers]
         if new and len(self.numbers) + len(new) > MEMO:
+            full = self.numbers, self.words
             self.clear()
+            self.older = full if len(full[0]) <= MEMO else (self.numbers, self.words)
             new = words
+        numbers, kept = self.older
+        again = [w for w in new if w in numbers]
+        if again:
+            ids, sizes = kept.subwords(np.fromiter(map(numbers.__getitem__, again), np.int64, len(again)))
+            self._add(again, sizes, ids)
+            new = [w for w in new if w not in numbers]
         if new:
             self._learn(new)
         return self.words.subwords(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
@@ -192,17 +204,24 @@ class _Block:
         self.sizes, self.ids = [np.ones(1, dtype=np.int64)], [np.array([end], dtype="<u4")]
         self.pairs: list[np.ndarray] = []
 
-    def read(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """Places of the words of each text and of its end."""
-        words = list(chain.from_iterable(texts))
-        places = list(map(self.places.get, words))
+    def read(self, texts: list[str]) -> list[np.ndarray]:
+        """Places of the words of each text and of its end. Each different word is looked up once."""
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+        words, ends = cut.flatten().cast(pa.large_binary()), cut.offsets.to_numpy()
+        full = pc.binary_length(words).to_numpy() > 0  # white space at an end of a text leaves an empty word
+        if not full.all():
+            words, ends = words.filter(pa.array(full)), np.append(0, np.cumsum(full))[ends]
+        coded = words.dictionary_encode()
+        each = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = list(map(self.places.get, each))
         new = [i for i, place in enumerate(places) if place is None]
         if new:
-            self.learn(list(dict.fromkeys([words[i] for i in new])))
-            for i in new:
-                places[i] = self.places[words[i]]
-        every, ends = np.array(places, dtype=np.int64), np.cumsum([len(t) for t in texts])
-        return [np.append(part, 0) for part in np.split(every, ends[:-1])]
+            known = len(self.places)
+            self.learn([each[i] for i in new])
+            for place, i in enumerate(new, known):
+                places[i] = place
+        every = np.array(places, dtype=np.int64)[coded.indices.to_numpy()]
+        return [np.append(part, 0) for part in np.split(every, ends[1:-1])] if texts else []
 
     def learn(self, new: list[bytes]) -> None:
         known = len(self.places)
@@ -245,7 +264,7 @@ def blocks(df: DataFrame, id_column: str, text_column: str, path: str, end: int)
         first = TaskContext.get().partitionId() << 24
 
         def flush(block, held):
-            each = block.read([words for _, _, words in held])
+            each = block.read([text for _, _, text in held])
             learned = [places for (_, held_out, _), places in zip(held, each, strict=True) if not held_out]
             if learned:
                 block.count(np.concatenate(learned), np.cumsum([0] + [len(p) for p in learned[:-1]]))
@@ -257,9 +276,9 @@ def blocks(df: DataFrame, id_column: str, text_column: str, path: str, end: int)
         def rows():
             block, held, weight = _Block(first, memo, end), [], 0
             for doc_id, held_out, text in rows_of(batches, "doc_id", "held_out", "text"):
-                held.append((doc_id, held_out, words_of(text)))
-                weight += len(held[-1][2]) + 1
-                if weight >= GROUP_WORDS:
+                held.append((doc_id, held_out, text))
+                weight += len(text) + 1
+                if weight >= GROUP_WORDS * CHARACTERS:
                     yield from flush(block, held)
                     held, weight = [], 0
                     if len(block.places) >= BLOCK_WORDS or block.tokens >= BLOCK_TOKENS:

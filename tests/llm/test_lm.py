@@ -301,7 +301,7 @@ def test_attention_is_learned_from_every_id_of_all_training_texts(spark, tmp_pat
     rows = [(i, text[:1500]) for i, text in whole(SMALL)[:60]] + [(900, ""), (901, None), (None, "once upon")]
     monkeypatch.setattr(lm, "SAMPLE", 5)
     monkeypatch.setattr(lm, "BLOCK_TOKENS", 400)
-    monkeypatch.setattr(lm, "GROUP_WORDS", 150)
+    monkeypatch.setattr(lm, "GROUP_WORDS", 60)
     texts, done = [], []
     plain = Attention.learn
 
@@ -334,3 +334,20 @@ def test_attention_is_learned_from_every_id_of_all_training_texts(spark, tmp_pat
         mean = sum(n * w[k].astype(float) for n, w in done) / sum(n for n, _ in done)
         assert np.allclose(values, mean, atol=1e-5)
         assert k == "table" or not np.allclose(values, alone.weights[k], atol=1e-3)
+
+
+def test_words_met_again_are_not_encoded_again_when_the_memo_is_full(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(lm, "MEMO", 30)
+    memo = lm._Memo(lm.ByteEncoder(public_tokenizers.path("byte_bpe_50k.json")))
+    encoded = []
+    plain = memo._learn
+    monkeypatch.setattr(memo, "_learn", lambda new: encoded.extend(new) or plain(new))
+    letters = [chr(97 + i) for i in range(10)]
+    for first in letters:
+        words = [b"often", *((first + second + "rare").encode() for second in letters)]
+        ids, sizes = memo(words)
+        each = [memo.encode.plain(" " + w.decode()) for w in words]
+        assert sizes.tolist() == [len(e) // 4 for e in each] and ids.astype("<u4").tobytes() == b"".join(each)
+    assert encoded.count(b"often") == 1 and len(encoded) == 101
