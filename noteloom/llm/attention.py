@@ -34,13 +34,6 @@ def clusters(beside: np.ndarray, counts: np.ndarray, k: int, rounds: int = 10) -
     return (found @ centres.T).argmax(1)
 
 
-def _by_number(numbers: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows of values (the last axis) by the number of each."""
-    width = values.shape[-1]
-    cells = np.arange(n * width).reshape(n, width)[numbers.ravel()]
-    return np.bincount(cells.ravel(), values.ravel(), n * width).reshape(n, width)
-
-
 class Attention:
     """``inputs``: embedding number of every id; ``classes``: class of every id. Classes from
     ``first_start`` on are those of ids that start a word, and of the end.
@@ -115,39 +108,34 @@ class Attention:
     def log_chances(self, ids: np.ndarray, starts: np.ndarray, at_once: int = 128) -> tuple[np.ndarray, np.ndarray]:
         """Natural logs for every id of its class's probability, and of that of a new word there.
 
-        As ``_forward``, in fewer passes: keys, values and a one that sums up the attention weights
-        are one table, and sums over classes are one product. ``at_once`` rows stay in a core's cache.
+        As ``_forward``, in fewer passes: what attention gathers is divided by the sum of its weights, not
+        these, and sums over classes are one product. ``at_once`` rows stay in a core's cache.
         """
         w = self.weights
-        size = w["value"].shape[1]
-        both = np.concatenate((w["key"], w["value"], np.ones((len(w["key"]), 1), dtype=w["key"].dtype)), axis=1)
-        n_classes = len(w["table"])
-        sums = np.ones((n_classes, 2), dtype=w["table"].dtype)
+        size, n_classes, kind = w["value"].shape[1], len(w["table"]), w["table"].dtype
+        sums = np.ones((n_classes, 2), dtype=kind)
         sums[: self.first_start, 1] = 0
-        bias = self._bias()
-        own_reach = np.arange(2 * CHUNK)[None, None, :] != np.arange(CHUNK, 2 * CHUNK)[None, :, None]
+        one, bias = np.ones(2 * CHUNK, dtype=kind), self._bias()
         read, wanted, rows, _ = self.chunked(ids, starts)
-        number, classes = self.inputs[read], self.classes[read]
+        number, classes = self.inputs.take(read), self.classes.take(read)
         blank = (read == self.start).any(axis=1)
         aims = self.classes[wanted]
         of_class, of_start = (np.zeros(wanted.shape, dtype=np.float32) for _ in range(2))
+        first = np.arange(at_once * CHUNK) * n_classes
         for i in range(0, len(rows), at_once):
             part = rows[i : i + at_once]
-            seen = both[np.concatenate((number[part - 1], number[part]), axis=1)]
-            scores = np.matmul(w["query"][number[part]], seen[:, :, :size].transpose(0, 2, 1))
-            scores += bias
-            touched = np.flatnonzero(blank[part - 1] | blank[part])
-            if len(touched):
-                these = part[touched]
-                empty = np.concatenate((read[these - 1], read[these]), axis=1) == self.start
-                scores[touched] += np.where(empty[:, None, :] & own_reach, _FAR, np.float32(0))
-            np.exp(scores, out=scores)
-            gathered = np.matmul(scores, seen[:, :, size:])
-            logits = w["table"][classes[part]].reshape(-1, n_classes)
-            logits += (gathered[:, :, :-1] / gathered[:, :, -1:]).reshape(-1, size) @ w["out"]
-            hit = logits[np.arange(len(logits)), aims[part].ravel()]
-            np.exp(logits, out=logits)
-            totals = np.log(logits @ sums)
+            window, touched, unseen = self._windows(read, number, blank, part)
+            chances = np.matmul(w["query"].take(window[:, CHUNK:], axis=0), w["key"].take(window, axis=0).transpose(0, 2, 1))
+            chances += bias
+            chances[touched] += unseen
+            np.exp(chances, out=chances)
+            gathered = np.matmul(chances, w["value"].take(window, axis=0)).reshape(-1, size)
+            gathered /= (chances.reshape(-1, 2 * CHUNK) @ one)[:, None]
+            odds = w["table"].take(classes.take(part, axis=0).reshape(-1), axis=0)
+            odds += gathered @ w["out"]
+            hit = odds.reshape(-1).take(first[: len(odds)] + aims.take(part, axis=0).reshape(-1))
+            np.exp(odds, out=odds)
+            totals = np.log(odds @ sums)
             of_class[part] = (hit - totals[:, 0]).reshape(-1, CHUNK)
             of_start[part] = (totals[:, 1] - totals[:, 0]).reshape(-1, CHUNK)
         real = wanted.ravel() >= 0
@@ -186,51 +174,71 @@ class Attention:
         np.add.at(grads["distance"], gap[gap >= 0], by_gap[gap >= 0])
         return loss, grads
 
-    def _sums(self, read: np.ndarray, number: np.ndarray, aims: np.ndarray, real: np.ndarray, blank: np.ndarray, rows: np.ndarray) -> dict:
+    def _windows(self, read: np.ndarray, number: np.ndarray, blank: np.ndarray, rows: np.ndarray):
+        """Inputs of the windows of rows, the rows whose window holds padding, and what to add to their scores."""
+        window = np.concatenate((number.take(rows - 1, axis=0), number.take(rows, axis=0)), axis=1)
+        touched = np.flatnonzero(blank[rows - 1] | blank[rows])
+        these = rows[touched]
+        empty = np.concatenate((read[these - 1], read[these]), axis=1) == self.start
+        own_reach = np.arange(2 * CHUNK)[None, :] != np.arange(CHUNK, 2 * CHUNK)[:, None]
+        return window, touched, np.where(empty[:, None, :] & own_reach, _FAR, np.float32(0))
+
+    def _sums(
+        self, read: np.ndarray, number: np.ndarray, aims: np.ndarray, real: np.ndarray, blank: np.ndarray, rows: np.ndarray, at_once: int = 128
+    ) -> dict:
         """What ``_loss`` has as gradients, but for the table, summed up over places, in fewer passes.
 
         ``number``, ``aims`` and ``real`` hold the input of each place, the class to be predicted and
-        whether there is one, ``blank`` which rows hold padding. Keys and values are one table.
+        whether there is one, ``blank`` which rows hold padding. Chances of keys and classes are not
+        divided by their sums: what they are multiplied with is, which is narrower. ``at_once`` rows
+        are worked on at a time.
         """
         w = self.weights
-        size = w["value"].shape[1]
-        window, own = np.concatenate((number[rows - 1], number[rows]), axis=1), number[rows]
-        seen, query = np.concatenate((w["key"], w["value"]), axis=1)[window], w["query"][own]
-        key, value = seen[:, :, :size], seen[:, :, size:]
-        chances = np.matmul(query, key.transpose(0, 2, 1))
-        chances += self._bias()
-        touched = np.flatnonzero(blank[rows - 1] | blank[rows])
-        if len(touched):
-            these = rows[touched]
-            empty = np.concatenate((read[these - 1], read[these]), axis=1) == self.start
-            own_reach = np.arange(2 * CHUNK)[None, :] != np.arange(CHUNK, 2 * CHUNK)[:, None]
-            chances[touched] += np.where(empty[:, None, :] & own_reach, _FAR, np.float32(0))
-        np.exp(chances, out=chances)
-        chances /= (chances.reshape(-1, 2 * CHUNK) @ np.ones(2 * CHUNK, chances.dtype)).reshape(-1, CHUNK, 1)
-        gathered = np.matmul(chances, value)
-        flat = gathered.reshape(-1, size)
-        d_logits = w["table"][self.classes[read[rows]]].reshape(len(flat), -1)
-        d_logits += flat @ w["out"]
-        np.exp(d_logits, out=d_logits)
-        asked = real[rows].ravel()
-        d_logits *= (asked / (d_logits @ np.ones(d_logits.shape[1], d_logits.dtype))).astype(d_logits.dtype)[:, None]
-        d_logits[np.arange(len(flat)), aims[rows].ravel()] -= asked
-        d_gathered = (d_logits @ w["out"].T).reshape(gathered.shape)
-        d_scores = np.matmul(d_gathered, value.transpose(0, 2, 1))
-        d_scores -= np.einsum("rik,rik->ri", d_gathered, gathered)[:, :, None]
-        d_scores *= chances
-        d_seen = np.empty(seen.shape, dtype=seen.dtype)
-        d_seen[:, :, :size] = np.matmul(d_scores.transpose(0, 2, 1), query)
-        d_seen[:, :, size:] = np.matmul(chances.transpose(0, 2, 1), d_gathered)
-        seen = _by_number(window, d_seen, len(w["key"]))
+        (n, size), n_classes, kind = w["value"].shape, len(w["table"]), w["value"].dtype
+        sums = {k: np.zeros(v.shape, dtype=kind) for k, v in w.items() if k != "table"}
+        cells = np.arange(n * size).reshape(n, size)
+        back = np.ascontiguousarray(w["out"].T)
+        ones = np.ones(max(2 * CHUNK, n_classes, at_once), dtype=kind)
+        bias, by_place = self._bias(), np.zeros(2 * CHUNK * CHUNK, dtype=kind)
+        windows, touched, unseen = self._windows(read, number, blank, rows)
+        classes = self.classes.take(read.take(rows, axis=0))
+        hits = np.arange(len(rows) * CHUNK).reshape(-1, CHUNK) % (at_once * CHUNK) * n_classes + aims.take(rows, axis=0)
+        asked = real.take(rows, axis=0).astype(kind)
+        for i in range(0, len(rows), at_once):
+            window = windows[i : i + at_once]
+            query, key, value = w["query"].take(window[:, CHUNK:], axis=0), w["key"].take(window, axis=0), w["value"].take(window, axis=0)
+            chances = np.matmul(query, key.transpose(0, 2, 1))
+            chances += bias
+            low, high = np.searchsorted(touched, (i, i + at_once))
+            chances[touched[low:high] - i] += unseen[low:high]
+            np.exp(chances, out=chances)
+            share = (1 / (chances.reshape(-1, 2 * CHUNK) @ ones[: 2 * CHUNK]))[:, None]
+            gathered = np.matmul(chances, value).reshape(-1, size)
+            gathered *= share
+            odds = w["table"].take(classes[i : i + at_once].reshape(-1), axis=0)
+            odds += gathered @ w["out"]
+            np.exp(odds, out=odds)
+            total = odds @ ones[:n_classes]
+            odds.reshape(-1)[hits[i : i + at_once].reshape(-1)] -= total
+            weight = (asked[i : i + at_once].reshape(-1) / total)[:, None]
+            d_gathered = odds @ back
+            d_gathered *= weight * share
+            weight = gathered * weight
+            sums["out"] += (odds.T @ weight).T
+            inner = np.einsum("nk,nk->n", d_gathered, gathered).reshape(-1, CHUNK, 1)
+            d_gathered = d_gathered.reshape(-1, CHUNK, size)
+            d_scores = np.matmul(d_gathered, value.transpose(0, 2, 1))
+            d_scores -= inner
+            d_scores *= chances
+            by_place += ones[: len(window)] @ d_scores.reshape(len(window), -1)
+            at = cells.take(window, axis=0)
+            np.add.at(sums["query"].reshape(-1), at[:, CHUNK:].reshape(-1), np.matmul(d_scores, key).reshape(-1))
+            at = at.reshape(-1)
+            np.add.at(sums["key"].reshape(-1), at, np.matmul(d_scores.transpose(0, 2, 1), query).reshape(-1))
+            np.add.at(sums["value"].reshape(-1), at, np.matmul(chances.transpose(0, 2, 1), d_gathered).reshape(-1))
         gap = np.arange(CHUNK, 2 * CHUNK)[:, None] - np.arange(2 * CHUNK)[None, :]
-        return {
-            "query": _by_number(own, np.matmul(d_scores, key), len(w["query"])),
-            "key": seen[:, :size],
-            "value": seen[:, size:],
-            "out": flat.T @ d_logits,
-            "distance": np.bincount(gap[gap >= 0], d_scores.sum(axis=0)[gap >= 0], 2 * CHUNK),
-        }
+        sums["distance"] += np.bincount(gap[gap >= 0], by_place.reshape(gap.shape)[gap >= 0], 2 * CHUNK)
+        return sums
 
     def learn(self, texts, n_ids: int, batch: int = 512, at_once: int = 128, rate: float = 0.02, seed: int = 3) -> int:
         """Go on from the weights as they are, once over groups of texts (ids and starts) that hold
@@ -243,9 +251,8 @@ class Attention:
             rows = rng.permutation(rows)
             # Batches of a group are about equal: a small rest would weigh as much as a whole batch.
             for some in np.array_split(rows, max(1, round(len(rows) / batch))):
-                parts = [self._sums(read, number, aims, real, blank, some[i : i + at_once]) for i in range(0, len(some), at_once)]
                 n = int(real[some].sum())
-                grads = {k: sum(part[k] for part in parts) / n for k in parts[0]}
+                grads = {k: v / n for k, v in self._sums(read, number, aims, real, blank, some, at_once).items()}
                 self._step(grads, state, rate * (1.02 - min(done / n_ids, 1)))
                 done += n
         return done
@@ -260,10 +267,16 @@ class Attention:
         state["step"] = step = state["step"] + 1
         for k in mean:
             g = grads[k]
-            mean[k] = 0.9 * mean[k] + 0.1 * g
-            square[k] = 0.999 * square[k] + 0.001 * g * g
-            change = now * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
-            self.weights[k] -= change.astype(np.float32)
+            mean[k] *= 0.9
+            mean[k] += 0.1 * g
+            square[k] *= 0.999
+            square[k] += 0.001 * g * g
+            change, spread = mean[k] / (1 - 0.9**step), square[k] / (1 - 0.999**step)
+            change *= now
+            np.sqrt(spread, out=spread)
+            spread += 1e-8
+            change /= spread
+            self.weights[k] -= change
         # Products of queries and keys stay in a range that needs no care in exponentials.
         for k in ("query", "key"):
             length = np.linalg.norm(self.weights[k], axis=1, keepdims=True)

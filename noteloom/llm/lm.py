@@ -27,8 +27,8 @@ columns are not read.
 import copy
 import math
 import zlib
-from collections import defaultdict
-from itertools import chain
+from itertools import chain, repeat
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
@@ -71,9 +71,6 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-_MARKS = PUNCTUATION.encode()
-
-
 def _texts(words: list[bytes]) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in words]
 
@@ -109,17 +106,40 @@ class _Words:
         return self.ids[np.repeat(self.first[places] - (ends - n), n) + np.arange(int(n.sum()))], n
 
 
+class _Growing(_Words):
+    """Words that are added to, in arrays with room for more."""
+
+    def __init__(self):
+        super().__init__(np.zeros(0, dtype=np.int64), np.zeros(0, dtype="<u4"))
+        self.n = self.n_ids = 0
+
+    def add(self, sizes: np.ndarray, ids: np.ndarray) -> None:
+        n, n_ids = self.n + len(sizes), self.n_ids + len(ids)
+        if n > len(self.sizes):
+            self.sizes, self.first = (np.append(v[: self.n], np.zeros(2 * n - self.n, dtype=v.dtype)) for v in (self.sizes, self.first))
+        if n_ids > len(self.ids):
+            self.ids = np.append(self.ids[: self.n_ids], np.zeros(2 * n_ids - self.n_ids, dtype=self.ids.dtype))
+        self.sizes[self.n : n], self.ids[self.n_ids : n_ids] = sizes, ids
+        self.first[self.n : n] = self.n_ids + np.cumsum(sizes) - sizes
+        self.n, self.n_ids = n, n_ids
+
+
 class _Memo:
     """Subword ids of the words that a worker has met, in one array; when it is full it becomes the
     older one, from which words met again move on.
 
     Words are encoded many at a time, as one text. A space starts a new piece after anything that is
     no white space, and no id spans two pieces, so a word's ids begin with one that starts with a space.
-    Marks after ASCII letters are cut off them anyway, so a word is put together from both.
+    Marks after ASCII letters are cut off them anyway, so a word is put together from both. Words of
+    ASCII letters are spelled as the vocabulary does, and cut at their spaces by a plain search.
     """
 
     def __init__(self, encode: ByteEncoder):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.encode = encode
+        self.letters = Tokenizer(encode.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Split(SPACE, "merged_with_next")
         vocabulary = encode.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.starts[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
@@ -128,57 +148,78 @@ class _Memo:
 
     def clear(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.words = _Words(np.zeros(0, dtype=np.int64), np.zeros(0, dtype="<u4"))
+        self.words = _Growing()
 
     def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of different words, one after the other, and how many each has."""
-        new = [w for w in words if w not in self.numbers]
-        if new and len(self.numbers) + len(new) > MEMO:
+        found = _numbers(self.numbers, words)
+        gaps = np.flatnonzero(found < 0)
+        if len(gaps) and len(self.numbers) + len(gaps) > MEMO:
             full = self.numbers, self.words
             self.clear()
             self.older = full if len(full[0]) <= MEMO else (self.numbers, self.words)
-            new = words
-        numbers, kept = self.older
-        again = [w for w in new if w in numbers]
-        if again:
-            ids, sizes = kept.subwords(np.fromiter(map(numbers.__getitem__, again), np.int64, len(again)))
-            self._add(again, sizes, ids)
-            new = [w for w in new if w not in numbers]
-        if new:
-            self._learn(new)
-        return self.words.subwords(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
-
-    def _add(self, words: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+            gaps = np.arange(len(words))
+        if len(gaps):
+            asked = [words[i] for i in gaps.tolist()]
+            numbers, kept = self.older
+            old = _numbers(numbers, asked)
+            again, new = np.flatnonzero(old >= 0), np.flatnonzero(old < 0)
+            if len(again):
+                ids, sizes = kept.subwords(old[again])
+                found[gaps[again]] = self._add([asked[i] for i in again.tolist()])
+                self.words.add(sizes, ids)
+            if len(new):
+                found[gaps[new]] = self._learn([asked[i] for i in new.tolist()] if len(again) else asked)
+        return self.words.subwords(found)
+
+    def _add(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of words that had none."""
         known = len(self.numbers)
         self.numbers.update(zip(words, range(known, known + len(words)), strict=True))
-        self.words = _Words(np.append(self.words.sizes, sizes), np.append(self.words.ids, ids))
-
-    def _learn(self, new: list[bytes]) -> None:
-        whole = [w for w in new if w.isalpha()]  # of bytes: ASCII letters only
-        marked, cores = [], []
-        for word in new:
-            if not word.isalpha():
-                core = word.rstrip(_MARKS)
-                if core.isalpha():
-                    marked.append(word)
-                    cores.append(core)
-                else:
-                    whole.append(word)
-        whole += set(cores).difference(self.numbers, whole)
-        parts = [whole[i : i + 512] for i in range(0, len(whole), 512)]
-        tails = [b" " + w[len(c) :] for w, c in zip(marked, cores, strict=True)]  # no word holds a space
-        rest = list(set(tails).difference(self.numbers))
+        return np.arange(known, known + len(words))
+
+    def _learn(self, new: list[bytes]) -> np.ndarray:
+        """Numbers of new words."""
+        words = pa.array(new, pa.large_binary()).view(pa.large_string())
+        core = pc.ascii_rtrim(words, PUNCTUATION)
+        letters, ends = pc.ascii_is_alpha(words), pc.ascii_is_alpha(core)
+        marked = pc.and_not(ends, letters)
+        numbers = np.empty(len(new), dtype=np.int64)
+        lists = []
+        for kind in (letters, pc.invert(ends)):
+            at = np.flatnonzero(kind)
+            lists.append([new[i] for i in at.tolist()])
+            numbers[at] = self._add(lists[-1])
+        cores, of_core, fresh = self._parts(core.filter(marked))
+        # No word holds a space, so one before its marks tells them from words.
+        tails, of_tail, rest = self._parts(pc.ascii_ltrim(words.filter(marked), ascii_letters), b" ")
         each = [self.encode.plain(tail[1:].decode()) for tail in rest]
-        found = [*self._spaced(parts), _sized(each)]
-        self._add(whole + rest, *(np.concatenate(v) for v in zip(*found, strict=True)))
-        both = [self.numbers[part] for pair in zip(cores, tails, strict=True) for part in pair]
-        ids, sizes = self.words.subwords(np.array(both, dtype=np.int64))
-        self._add(marked, sizes.reshape(-1, 2).sum(axis=1), ids)
-
-    def _spaced(self, parts: list[list[bytes]]):
-        """How many ids each word has with a space before it, and these, for every part."""
+        for sizes, ids in chain(self._spaced(lists[0], True), self._spaced(lists[1]), self._spaced(fresh, True), [_sized(each)]):
+            self.words.add(sizes, ids)
+        at = np.flatnonzero(marked)
+        numbers[at] = self._add([new[i] for i in at.tolist()])
+        ids, sizes = self.words.subwords(np.stack((cores[of_core], tails[of_tail]), axis=1).reshape(-1))
+        self.words.add(sizes.reshape(-1, 2).sum(axis=1), ids)
+        return numbers
+
+    def _parts(self, words: pa.Array, before: bytes = b"") -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Numbers of the different ones of words, which of them each word is, and those that had no number."""
+        coded = words.dictionary_encode()
+        each = [before + word for word in coded.dictionary.view(pa.large_binary()).to_pylist()]
+        numbers = _numbers(self.numbers, each)
+        fresh = np.flatnonzero(numbers < 0)
+        new = [each[i] for i in fresh.tolist()]
+        numbers[fresh] = self._add(new)
+        return numbers, coded.indices.to_numpy(), new
+
+    def _spaced(self, listed: list[bytes], letters: bool = False):
+        """How many ids each word has with a space before it, and these, for some words at a time."""
+        parts = [listed[i : i + 512] for i in range(0, len(listed), 512)]
         texts = [b" ".join(words).decode("utf-8", "surrogatepass") for words in parts]
-        encoded = self.encode.tokenizer.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
+        if letters:
+            encoded = self.letters.encode_batch_fast([SPACE + text.replace(" ", SPACE) for text in texts], add_special_tokens=False)
+        else:
+            encoded = self.encode.tokenizer.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
         for words, text, found in zip(parts, texts, encoded, strict=True):
             ids = np.array(found.ids, dtype="<u4")
             first = np.flatnonzero(self.starts[ids])
@@ -187,6 +228,11 @@ class _Memo:
             yield (np.diff(first, append=len(ids)), ids) if plain else _sized(self.encode.words(_texts(words)))
 
 
+def _numbers(known: dict[bytes, int], words: list[bytes]) -> np.ndarray:
+    """Number of each word, -1 for those without."""
+    return np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+
+
 def _sized(each: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.array([len(e) // 4 for e in each], dtype=np.int64), as_ids(b"".join(each))
 
@@ -213,14 +259,13 @@ class _Block:
             words, ends = words.filter(pa.array(full)), np.append(0, np.cumsum(full))[ends]
         coded = words.dictionary_encode()
         each = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        places = list(map(self.places.get, each))
-        new = [i for i, place in enumerate(places) if place is None]
-        if new:
+        places = _numbers(self.places, each)
+        new = np.flatnonzero(places < 0)
+        if len(new):
             known = len(self.places)
-            self.learn([each[i] for i in new])
-            for place, i in enumerate(new, known):
-                places[i] = place
-        every = np.array(places, dtype=np.int64)[coded.indices.to_numpy()]
+            self.learn([each[i] for i in new.tolist()])
+            places[new] = np.arange(known, known + len(new))
+        every = places[coded.indices.to_numpy()]
         return [np.append(part, 0) for part in np.split(every, ends[1:-1])] if texts else []
 
     def learn(self, new: list[bytes]) -> None:
@@ -615,26 +660,28 @@ def word_counts(rows: DataFrame) -> DataFrame:
     def spread(batches):
         def parts():
             for block, words, counts in rows_of(batches, "block", "words", "counts"):
-                listed, n = words.split(b" "), np.frombuffer(counts, "<u4")
-                bucket = np.fromiter(map(zlib.crc32, listed), dtype=np.int64, count=len(listed)) % buckets
+                listed, n = _split([words]).flatten(), np.frombuffer(counts, "<u4")
+                crc = map(zlib.crc32, listed.to_numpy(zero_copy_only=False))
+                bucket = np.fromiter(crc, dtype=np.int64, count=len(listed)) % buckets
                 order = np.argsort(bucket, kind="stable")
-                cuts = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
-                for low, high in zip(cuts, cuts[1:], strict=False):
+                cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
+                sent = pa.LargeListArray.from_arrays(cuts, listed.take(pa.array(order)))
+                sent = pc.binary_join(sent, pa.scalar(b" ", pa.large_binary()))
+                for part, low, high in zip(sent.to_pylist(), cuts.tolist(), cuts[1:].tolist(), strict=False):
                     places = order[low:high]
-                    part = b" ".join([listed[i] for i in places.tolist()])
                     yield int(bucket[places[0]]), block, part, places.astype("<u4").tobytes(), n[places].tobytes()
 
         yield from batches_of(parts(), _SPREAD)
 
     def merged(held):
-        total: dict[bytes, int] = defaultdict(int)
-        listed = [words.split(b" ") for _, words, _, _ in held]
-        for words, (_, _, _, counts) in zip(listed, held, strict=True):
-            for word, n in zip(words, np.frombuffer(counts, "<u4").tolist(), strict=True):
-                total[word] += n
-        for words, (block, _, places, _) in zip(listed, held, strict=True):
-            yield block, places, np.array([total[w] for w in words], dtype="<i8").tobytes(), None, None
-        yield None, None, None, sum(total.values()), sum(n > 0 for n in total.values())
+        listed = _split([words for _, words, _, _ in held])
+        coded, ends = listed.flatten().dictionary_encode(), listed.offsets.to_numpy()
+        word = coded.indices.to_numpy()
+        total = np.zeros(len(coded.dictionary), dtype=np.int64)
+        np.add.at(total, word, np.concatenate([np.frombuffer(counts, "<u4") for *_, counts in held]).astype(np.int64))
+        for (block, _, places, _), low, high in zip(held, ends.tolist(), ends[1:].tolist(), strict=False):
+            yield block, places, total[word[low:high]].astype("<i8").tobytes(), None, None
+        yield None, None, None, int(total.sum()), int((total > 0).sum())
 
     def count(batches):
         def found():
@@ -656,6 +703,11 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return stored(together.mapInArrow(count, "block long, places binary, counts binary, n long, v long"), "word-counts")
 
 
+def _split(joined: list[bytes]) -> pa.ListArray:
+    """Words of lists that were joined by spaces."""
+    return pc.split_pattern(pa.array(joined, pa.large_binary()), b" ")
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Numbers below 2**32 as their lower halves, then their upper halves, which compress well."""
     return (values & 0xFFFF).astype("<u2").tobytes() + (values >> 16).astype("<u2").tobytes()

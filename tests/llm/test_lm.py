@@ -2,6 +2,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -352,3 +353,28 @@ def test_words_met_again_are_not_encoded_again_when_the_memo_is_full(monkeypatch
         each = [memo.encode.plain(" " + w.decode()) for w in words]
         assert sizes.tolist() == [len(e) // 4 for e in each] and ids.astype("<u4").tobytes() == b"".join(each)
     assert encoded.count(b"often") == 1 and len(encoded) == 101
+
+
+def test_sums_of_gradients_do_not_follow_how_many_rows_are_worked_on_at_once():
+    model = small_model()
+    read, wanted, rows, _ = model.chunked(*texts_of(np.random.default_rng(8), 70, 1, 300, 33))
+    real = wanted >= 0
+    given = read, model.inputs[read], model.classes[np.where(real, wanted, 0)], real, (read == model.start).any(axis=1)
+    whole = model._sums(*given, rows)
+    for at_once in (1, 3, len(rows)):
+        for name, values in model._sums(*given, rows, at_once).items():
+            assert np.allclose(values, whole[name], atol=1e-9)
+
+
+def test_words_of_letters_are_cut_without_the_pattern_of_the_vocabulary(monkeypatch):
+    import public_tokenizers
+
+    memo = lm._Memo(lm.ByteEncoder(public_tokenizers.path("byte_bpe_50k.json")))
+    words = [b"words", b"antidisestablishmentarianism", b"qzx", b"s", *((chr(97 + i // 26) + chr(97 + i % 26)).encode() for i in range(600))]
+    each = [memo.encode.plain(" " + w.decode()) for w in words]
+    asked = []
+    plain = SimpleNamespace(encode_batch_fast=lambda texts, **_: asked.extend(texts) or [])
+    monkeypatch.setattr(memo.encode, "tokenizer", plain)
+    ids, sizes = memo(words)
+    assert sizes.tolist() == [len(e) // 4 for e in each] and ids.astype("<u4").tobytes() == b"".join(each)
+    assert not asked
